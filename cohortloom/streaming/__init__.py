@@ -1,0 +1 @@
+"""Nothing is streamed: every input of this domain is a finished extract, so no watermark or state store applies."""
