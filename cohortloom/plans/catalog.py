@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import joining, projections, scans  # noqa: F401
+from . import aggregations, joining, projections, scans  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
