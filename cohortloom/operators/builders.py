@@ -149,12 +149,12 @@ def self_history(cases: DataFrame, completers: DataFrame) -> DataFrame:
 def family_burden(chosen: DataFrame, completers: DataFrame, weights: dict[str, float] = fixed.RELATION_WEIGHTS) -> DataFrame:
     """Relatedness-weighted sum over the chosen relations; completers without an answer have 0, missing-only answers are dropped.
 
-    `chosen` has pid, answer, age; distinct relations count once per person.
+    `chosen` has pid, answer, age; every distinct answer text counts once.
     """
     table = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
     rel = T.relation_norm("answer")
     miss = T.is_missing_answer("answer") | rel.isin(fixed.MISSING_ANSWERS)
-    per = chosen.withColumn("rel", F.when(~miss, rel)).groupBy("pid", "rel").agg(F.min("age").alias("age"))
+    per = chosen.withColumn("rel", F.when(~miss, rel)).groupBy("pid", "answer", "rel").agg(F.min("age").alias("age"))
     w = F.coalesce(F.try_element_at(table, F.col("rel")), F.lit(0.0))
     score = per.groupBy("pid").agg(F.sum(F.when(F.col("rel").isNotNull(), w)).alias("score"), F.min("age").alias("age"), F.lit(True).alias("answered"))
     s = completers.groupBy("pid").agg(F.min("age").alias("_s"))
@@ -303,19 +303,26 @@ def stratified_trait(values: DataFrame, people: DataFrame, sex_01: int, suffix:
     return kept.select(F.concat("pheno_id", F.lit(suffix)).alias("pheno_id"), "iid", F.col("lo").alias("y"), "age")
 
 
+# Sex coding and status names.
+PLOIDY_OF_SEX = {0: "XX", 1: "XY"}
+SEX_STATUS = ["missing_or_nonbinary_sex_at_birth", "missing_wgs_sex_ploidy", "concordant_binary", "discordant_binary", "noncanonical_wgs_sex_ploidy"]
+
+
 def sex_status(samples: DataFrame) -> DataFrame:
-    """Reported sex against ploidy: missing_or_nonbinary, missing_ploidy, concordant, discordant, noncanonical."""
-    rep, pl = F.col("reported"), F.col("ploidy")
-    expect = F.when(pl == "XX", 1).when(pl == "XY", 0)
+    """Reported sex (0 female, 1 male) against ploidy; the first status that applies."""
+    reported, ploidy = F.col("reported"), F.col("ploidy")
+    no_sex, no_ploidy, same, differs, other = SEX_STATUS
+    expected = F.when(reported == 0, PLOIDY_OF_SEX[0]).when(reported == 1, PLOIDY_OF_SEX[1])
     status = (
-        F.when(rep.isNull(), "missing_or_nonbinary").when(pl.isNull(), "missing_ploidy").when(expect.isNull(), "noncanonical")
-        .when(expect == rep, "concordant").otherwise("discordant")
+        F.when(expected.isNull(), no_sex).when(F.coalesce(ploidy, F.lit("")) == "", no_ploidy).when(ploidy == expected, same)
+        .when(ploidy.isin(list(PLOIDY_OF_SEX.values())), differs).otherwise(other)
     )
     return samples.withColumn("status", status)
 
 
 def sex_additions(status: DataFrame) -> DataFrame:
     """Concordant samples with their sex, plus samples without a reported sex whose ploidy is canonical; `source` says which."""
-    base = status.where("status = 'concordant'").select("iid", F.col("reported").alias("sex_01"), F.lit("concordant").alias("source"))
-    extra = status.where("status = 'missing_or_nonbinary' AND ploidy IN ('XX', 'XY')").select("iid", F.when(F.col("ploidy") == "XX", 1).otherwise(0).alias("sex_01"), F.lit("imputed").alias("source"))
+    base = status.where(F.col("status") == SEX_STATUS[2]).select("iid", F.col("reported").alias("sex_01"), F.lit("concordant").alias("source"))
+    sex = F.when(F.col("ploidy") == PLOIDY_OF_SEX[0], 0).when(F.col("ploidy") == PLOIDY_OF_SEX[1], 1)
+    extra = status.where(F.col("status") == SEX_STATUS[0]).select("iid", sex.alias("sex_01"), F.lit("imputed").alias("source")).where("sex_01 is not null")
     return base.unionByName(extra.join(base.select("iid"), "iid", "left_anti"))
