@@ -1,0 +1,62 @@
+"""Pair statistics of rows of a sparse matrix, block against block.
+
+Cells are (row, column, small integer). Rows are cut into blocks of fixed size and columns into chunks; a task sees one pair of
+blocks in one chunk, multiplies small dense matrices and hands on only their sums. Pairs are never rows until they pass the filter.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def _dense(block: pd.DataFrame, size: int, cols: dict) -> np.ndarray:
+    m = np.full((size, len(cols)), -1, dtype=np.int8)
+    if len(block):
+        m[block["slot"].to_numpy(), block["col"].map(cols).to_numpy()] = block["value"].to_numpy()
+    return m
+
+
+def pair_stats(cells: DataFrame, partners: Column, size: int, chunks: int, products, finish, out: str) -> DataFrame:
+    """Rows of `finish` over all block pairs.
+
+    cells: block, slot, col, value. partners: for a cell's block the array of blocks it meets on its right (itself included).
+    products(L, R) gives a float array (k, size, size) that adds up over column chunks; finish(S, same) turns the sums of a block
+    pair into a DataFrame with slot_i, slot_j and statistics; `out` is the schema of those after block_i, block_j.
+    """
+    base = cells.where(F.col("value").isNotNull()).withColumn("chunk", F.pmod(F.xxhash64("col"), F.lit(chunks)))
+    meets = base.withColumn("bj", F.explode(partners))
+    left = meets.select(F.col("block").alias("bi"), "bj", "chunk", F.lit(0).alias("side"), "slot", "col", F.col("value").cast("int").alias("value"))
+    # The right side of pair (i, j) is the same cell sent once per block that names it as a partner.
+    right = (
+        base.withColumnRenamed("block", "bj")
+        .join(meets.select(F.col("block").alias("bi"), "bj").distinct().where("bi <> bj"), "bj")
+        .select("bi", "bj", "chunk", F.lit(1).alias("side"), "slot", "col", F.col("value").cast("int").alias("value"))
+    )
+
+    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
+        bi, bj, chunk = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0]), int(pdf["chunk"].iloc[0])
+        cols = {c: i for i, c in enumerate(pd.unique(pdf["col"]))}
+        lhs = _dense(pdf[pdf["side"] == 0], size, cols)
+        rhs = lhs if bi == bj else _dense(pdf[pdf["side"] == 1], size, cols)
+        return pd.DataFrame({"bi": [bi], "bj": [bj], "chunk": [chunk], "sums": [products(lhs, rhs).astype(np.float64).tobytes()]})
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        bi, bj = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0])
+        total = sum(np.frombuffer(x, dtype=np.float64) for x in pdf["sums"]).reshape(-1, size, size)
+        rows = finish(total, bi == bj)
+        rows.insert(0, "block_i", bi)
+        rows.insert(1, "block_j", bj)
+        return rows
+
+    sums = left.unionByName(right).groupBy("bi", "bj", "chunk").applyInPandas(partial, "bi long, bj long, chunk long, sums binary")
+    return sums.groupBy("bi", "bj").applyInPandas(combine, f"block_i long, block_j long, {out}")
+
+
+def name_pairs(pairs: DataFrame, dim: DataFrame, key: str, a: str, b: str) -> DataFrame:
+    """Row ids for block and slot numbers."""
+    left = dim.select(F.col("block").alias("block_i"), F.col("slot").alias("slot_i"), F.col(key).alias(a))
+    right = dim.select(F.col("block").alias("block_j"), F.col("slot").alias("slot_j"), F.col(key).alias(b))
+    return pairs.join(left, ["block_i", "slot_i"]).join(right, ["block_j", "slot_j"]).drop("block_i", "slot_i", "block_j", "slot_j")

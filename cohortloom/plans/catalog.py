@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import aggregations, joining, projections, scans, traits  # noqa: F401
+from . import aggregations, joining, projections, scans, statistics, traits  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
