@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..session import broadcast_if_small
+from ..sources.tables import semi_scan
 from . import ranks
 
 
@@ -206,7 +206,7 @@ def option_count(options: Column, scored: list[str], none: list[str], ignored: l
 
 def weighted_options(selected: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
     """Sum of the weights of the options chosen; unlisted options weigh nothing."""
-    j = selected.join(broadcast_if_small(weights), "option", "left")
+    j = selected.join(weights, "option", "left")
     return j.groupBy(*keys).agg(F.sum(F.coalesce("weight", F.lit(0.0))).alias("score"))
 
 
@@ -227,7 +227,7 @@ def pass_extremes(flagged: DataFrame, cols: list[str]) -> DataFrame:
 
 def variant_freq(genotypes: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """ALT count, observed alleles and frequency per variant, over a sample subset when given."""
-    g = genotypes if samples is None else genotypes.join(broadcast_if_small(samples.select("sample_id").distinct()), "sample_id", "left_semi")
+    g = genotypes if samples is None else semi_scan(genotypes, samples, "sample_id")
     out = g.groupBy("variant_id").agg(F.sum("dosage").alias("alt_ct"), (F.count("dosage") * 2).alias("obs_ct"))
     return out.withColumn("freq", F.when(F.col("obs_ct") > 0, F.col("alt_ct") / F.col("obs_ct")))
 

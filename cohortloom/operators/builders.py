@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as T
-from ..session import broadcast_if_small
 
 
 def one_vs_rest(answers: DataFrame) -> DataFrame:
@@ -21,7 +20,7 @@ def one_vs_rest(answers: DataFrame) -> DataFrame:
     """
     chosen = answers.groupBy("pid", "qid").agg(F.collect_set("answer").alias("chosen"), F.min("age").alias("age"))
     options = answers.select("qid", F.col("answer").alias("option")).distinct()
-    j = chosen.join(broadcast_if_small(options), "qid")
+    j = chosen.join(options, "qid")
     return j.select(
         F.concat_ws("_", F.lit("bin"), F.col("qid"), T.slug(T.answer_tail("option"))).alias("pheno_id"), "qid", "option", F.col("pid").alias("iid"),
         F.array_contains("chosen", F.col("option")).cast("double").alias("y"), "age",
@@ -60,7 +59,7 @@ def collapse_complement(answers: DataFrame, values: DataFrame) -> DataFrame:
 
 def numeric_trait(single: DataFrame, ranges: DataFrame, integer: bool = False) -> DataFrame:
     """Numeric answers inside the question's range (no range: any number)."""
-    j = single.join(broadcast_if_small(ranges.select("qid", "lo", "hi")), "qid")
+    j = single.join(ranges.select("qid", "lo", "hi"), "qid")
     v = T.parse_number("answer", integer=integer, strict=False)
     ok = (F.col("lo").isNull() | F.col("hi").isNull()) | v.between(F.col("lo"), F.col("hi"))
     return j.withColumn("y", v).where(ok & F.col("y").isNotNull()).select(F.concat_ws("_", F.lit("num"), "qid").alias("pheno_id"), F.col("pid").alias("iid"), "y", "age")
@@ -68,7 +67,7 @@ def numeric_trait(single: DataFrame, ranges: DataFrame, integer: bool = False) -
 
 def min_age(values: DataFrame, rules: DataFrame) -> DataFrame:
     """Rows at or above the least age of their trait; traits without a rule keep all rows."""
-    j = values.join(broadcast_if_small(rules.select("pheno_id", "min_age")), "pheno_id", "left")
+    j = values.join(rules.select("pheno_id", "min_age"), "pheno_id", "left")
     return j.where(F.col("min_age").isNull() | (F.col("age") >= F.col("min_age"))).drop("min_age")
 
 
@@ -80,7 +79,7 @@ def pooled_items(primary: DataFrame, fill: DataFrame) -> DataFrame:
 
 def pooled_scale(items: DataFrame, reverse: DataFrame, n_items: int, complete: bool = False) -> DataFrame:
     """Scale from pooled items: reverse keys (max - y), proration or completeness, fill-in flag if any item was filled in."""
-    j = items.join(broadcast_if_small(reverse.select("item", "top")), "item", "left")
+    j = items.join(reverse.select("item", "top"), "item", "left")
     j = j.withColumn("y", F.when(F.col("top").isNotNull(), F.col("top") - F.col("y")).otherwise(F.col("y")))
     out = j.groupBy("pid").agg(F.count("y").alias("n_valid"), F.avg("y").alias("m"), F.avg("age").alias("age"), F.max("from_fill").alias("from_fill"))
     need = n_items if complete else n_items // 2 + 1
@@ -170,11 +169,11 @@ def composite(responses: DataFrame, scale_items: DataFrame) -> DataFrame:
     range; more than half of the items must be answered.
     """
     size = scale_items.groupBy("instrument").agg(F.count_distinct("item").alias("n_items"))
-    j = responses.join(broadcast_if_small(scale_items), "qid")
+    j = responses.join(scale_items, "qid")
     v = F.when(F.col("reverse"), F.col("value_lo") + F.col("value_hi") - F.col("y")).otherwise(F.col("y"))
     per = j.withColumn("v", v).where("v is not null").groupBy("instrument", "pid", "item").agg(F.min_by(F.struct("v", "age"), "place").alias("b"))
     s = per.groupBy("instrument", "pid").agg(F.count(F.lit(1)).alias("n_valid"), F.avg("b.v").alias("m"), F.max_by("b.age", "item").alias("age"))
-    return s.join(broadcast_if_small(size), "instrument").where(F.col("n_valid") >= F.floor(F.col("n_items") / 2) + 1).select(
+    return s.join(size, "instrument").where(F.col("n_valid") >= F.floor(F.col("n_items") / 2) + 1).select(
         F.col("instrument").alias("pheno_id"), F.col("pid").alias("iid"), (F.col("m") * F.col("n_items")).alias("y"), "age", "n_valid"
     )
 
@@ -234,7 +233,7 @@ def membership(people: DataFrame, place: str, clusters: DataFrame) -> DataFrame:
     members = clusters.select("cluster", F.explode(F.split("members", r"\|")).alias("m")).select("cluster", F.trim("m").alias("m")).distinct()
     per_place = members.groupBy("m").agg(F.collect_set("cluster").alias("inside"))
     names = clusters.select("cluster").distinct().agg(F.array_sort(F.collect_set("cluster")).alias("names"))
-    j = people.where(F.col(place).isNotNull()).join(broadcast_if_small(per_place), F.col(place).cast("string") == F.col("m"), "left").crossJoin(F.broadcast(names))
+    j = people.where(F.col(place).isNotNull()).join(per_place, F.col(place).cast("string") == F.col("m"), "left").crossJoin(F.broadcast(names))
     return j.select("iid", "age", "inside", F.explode("names").alias("cluster")).select(
         F.col("cluster").alias("pheno_id"), "iid", F.coalesce(F.array_contains("inside", F.col("cluster")), F.lit(False)).cast("double").alias("y"), "age"
     )
@@ -272,8 +271,8 @@ def resolve_items(selected: DataFrame, concepts: DataFrame, texts: DataFrame) ->
     Result per person and question: value, status scored / missing / invalid.
     """
     a = selected.select("pid", "qid", "age", F.explode("answers").alias("a")).select("pid", "qid", "age", F.trim(F.coalesce("a.concept", F.lit(""))).alias("concept"), T.norm_answer("a.text").alias("label"))
-    a = a.join(broadcast_if_small(concepts.select("qid", "concept", F.col("value").alias("cv"), F.lit(True).alias("c_hit"))), ["qid", "concept"], "left")
-    a = a.join(broadcast_if_small(texts.select("label", F.col("value").alias("tv"), F.lit(True).alias("t_hit"))), "label", "left")
+    a = a.join(concepts.select("qid", "concept", F.col("value").alias("cv"), F.lit(True).alias("c_hit")), ["qid", "concept"], "left")
+    a = a.join(texts.select("label", F.col("value").alias("tv"), F.lit(True).alias("t_hit")), "label", "left")
     known = F.when(F.col("concept") != "", F.col("c_hit")).otherwise(F.col("t_hit"))
     clash = (F.col("concept") != "") & F.col("t_hit") & ~F.col("cv").eqNullSafe(F.col("tv"))
     bad = known.isNull() | F.coalesce(clash, F.lit(False))

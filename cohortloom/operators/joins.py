@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import broadcast_if_small
 from ..sources.tables import require_unique
 
 
@@ -20,7 +19,7 @@ def code_table(spark: SparkSession, mapping: dict, key: str, value: str) -> Data
 
 def map_codes(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     """Values of a code list beside the rows; unlisted codes are null."""
-    return df.join(broadcast_if_small(codes), key, "left")
+    return df.join(codes, key, "left")
 
 
 def in_class(limits: dict[str, tuple[float | None, float | None]]) -> Column:
@@ -40,7 +39,7 @@ def in_class(limits: dict[str, tuple[float | None, float | None]]) -> Column:
 def leakage_report(features: DataFrame, key: str, name: str, deny: str, allow: DataFrame) -> DataFrame:
     """Feature names that match the denied words and are not explicitly allowed."""
     listed = allow.select(key).distinct().withColumn("_allowed", F.lit(True))
-    out = features.join(broadcast_if_small(listed), key, "left")
+    out = features.join(listed, key, "left")
     denied, allowed = F.col(name).rlike(f"(?i){deny}"), F.coalesce("_allowed", F.lit(False))
     return out.select(*features.columns, denied.alias("denied"), allowed.alias("allowed"), (denied & ~allowed).alias("violation"))
 
@@ -125,7 +124,7 @@ def exclude_ranges(points: DataFrame, ranges: DataFrame, chrom: str = "chrom", p
         F.col("chrom").alias("_c"), "start", "end", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))).alias("_tile")
     )
     p = points.withColumn("_tile", F.floor(F.col(pos) / width)).alias("p")
-    t = broadcast_if_small(tiles).alias("t")
+    t = tiles.alias("t")
     cond = (F.col(f"p.{chrom}") == F.col("t._c")) & (F.col("p._tile") == F.col("t._tile")) & (F.col(f"p.{pos}") > F.col("t.start")) & (F.col(f"p.{pos}") <= F.col("t.end"))
     return p.join(t, cond, "left_anti").drop("_tile")
 

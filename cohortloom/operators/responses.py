@@ -38,19 +38,14 @@ def latest_valid(responses: DataFrame, keep_missing_qids: list[str] = ()) -> Dat
 
 
 def single_answer(selected: DataFrame) -> DataFrame:
-    """Persons with exactly one valid answer text to the question."""
-    texts = F.array_distinct(F.transform(F.filter("answers", lambda a: ~T.is_missing_answer(a["text"])), lambda a: a["text"]))
-    return selected.withColumn("texts", texts).where(F.size("texts") == 1).select("pid", "qid", "ts", "age", F.col("texts")[0].alias("answer"))
+    """Persons with exactly one valid answer text to the question; a valid event holds valid answers only."""
+    texts = F.array_distinct("answers.text")
+    return selected.where("valid").withColumn("texts", texts).where(F.size("texts") == 1).select("pid", "qid", "ts", "age", F.col("texts")[0].alias("answer"))
 
 
 def answers_long(selected: DataFrame) -> DataFrame:
     """One row per person, question and distinct valid answer text."""
-    return (
-        selected.select("pid", "qid", "ts", "age", F.explode("answers").alias("a"))
-        .select("pid", "qid", "ts", "age", F.col("a.text").alias("answer"))
-        .where(~T.is_missing_answer("answer"))
-        .distinct()
-    )
+    return selected.where("valid").select("pid", "qid", "ts", "age", F.explode(F.array_distinct("answers.text")).alias("answer"))
 
 
 def question_scan(responses: DataFrame) -> DataFrame:

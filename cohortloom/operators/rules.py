@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import broadcast_if_small
 
 
 def answer_candidates(answer: str | Column) -> Column:
@@ -26,12 +25,12 @@ def apply_rules(df: DataFrame, rules: DataFrame, overrides: DataFrame | None = N
     """
     keys = ["rule", "answer"] + (["item"] if overrides is not None else [])
     cands = df.select(*keys).distinct().select(*keys, F.posexplode(answer_candidates("answer")).alias("try", "label"))
-    hit = cands.join(broadcast_if_small(rules.select("rule", "label", "value", "local_missing")), ["rule", "label"], "left")
+    hit = cands.join(rules.select("rule", "label", "value", "local_missing"), ["rule", "label"], "left")
     first = F.min_by("value", F.when(F.col("value").isNotNull() & ~F.coalesce("local_missing", F.lit(False)), F.col("try")))
     aggs = [F.coalesce(F.bool_or("local_missing"), F.lit(False)).alias("_missing"), first.alias("_by_rule")]
     if overrides is not None:
         own = overrides.select("item", "label", F.col("value").alias("_own"))
-        hit = hit.join(broadcast_if_small(own), ["item", "label"], "left")
+        hit = hit.join(own, ["item", "label"], "left")
         aggs.append(F.min_by("_own", F.when(F.col("_own").isNotNull(), F.col("try"))).alias("_own"))
     per = hit.groupBy(*keys).agg(*aggs)
     by_rule = F.when(~F.col("_missing"), F.col("_by_rule"))
@@ -47,9 +46,9 @@ def ordinal_trait(single: DataFrame, live: DataFrame, items: DataFrame, texts: D
     """
     kinds = single.select("item", "question", "answer").distinct()
     k = kinds.withColumn("label", T.answer_norm("answer")).withColumn("_q", T.norm_question("question"))
-    k = k.join(broadcast_if_small(live.select("item", "label", F.col("value").alias("_a"))), ["item", "label"], "left")
-    k = k.join(broadcast_if_small(items.select("item", "label", F.col("value").alias("_b"))), ["item", "label"], "left")
-    k = k.join(broadcast_if_small(texts.select(T.norm_question("question").alias("_q"), "label", F.col("value").alias("_c"))), ["_q", "label"], "left")
+    k = k.join(live.select("item", "label", F.col("value").alias("_a")), ["item", "label"], "left")
+    k = k.join(items.select("item", "label", F.col("value").alias("_b")), ["item", "label"], "left")
+    k = k.join(texts.select(T.norm_question("question").alias("_q"), "label", F.col("value").alias("_c")), ["_q", "label"], "left")
     last = T.text_ordinal("answer") if fallback else F.lit(None).cast("double")
     k = k.select("item", "question", "answer", F.coalesce("_a", "_b", "_c", last).alias("y")).where("y is not null")
     return single.join(k, ["item", "question", "answer"]).select("pid", "qid", "item", "y", "age")
@@ -57,7 +56,7 @@ def ordinal_trait(single: DataFrame, live: DataFrame, items: DataFrame, texts: D
 
 def harmonize(df: DataFrame, mapping: DataFrame, key: str = "y") -> DataFrame:
     """Values of one source scale on another; unlisted values are dropped."""
-    return df.join(broadcast_if_small(mapping.select(F.col("source").alias(key), "target")), key).drop(key).withColumnRenamed("target", key)
+    return df.join(mapping.select(F.col("source").alias(key), "target"), key).drop(key).withColumnRenamed("target", key)
 
 
 def classify_catalog(items: DataFrame, rules: DataFrame, nominal: DataFrame, excluded: str) -> DataFrame:
@@ -71,7 +70,7 @@ def classify_catalog(items: DataFrame, rules: DataFrame, nominal: DataFrame, exc
     n_core = opts.groupBy("item").agg(F.count_if(~F.col("miss")).alias("n_core"))
     n_labels = core.groupBy("item").agg(F.count(F.lit(1)).alias("n_labels"))
     fits = (
-        core.join(broadcast_if_small(rules), "label")
+        core.join(rules, "label")
         .groupBy("item", "rule", "priority", "confidence")
         .agg(
             F.count_distinct("label").alias("known"), F.count_distinct(F.when(~F.col("local_missing"), F.col("value"))).alias("levels"),
@@ -81,7 +80,7 @@ def classify_catalog(items: DataFrame, rules: DataFrame, nominal: DataFrame, exc
         .where((F.col("known") == F.col("n_labels")) & (F.col("levels") >= F.when(F.col("lowest") < 0, 2).otherwise(3)))
     )
     best = fits.groupBy("item").agg(F.min_by(F.struct("rule", "levels", "confidence"), F.struct("priority", "rule")).alias("b")).select("item", "b.*")
-    out = items.join(n_core, "item", "left").join(best, "item", "left").join(broadcast_if_small(nominal.select("item", F.lit(True).alias("_nominal"))), "item", "left")
+    out = items.join(n_core, "item", "left").join(best, "item", "left").join(nominal.select("item", F.lit(True).alias("_nominal")), "item", "left")
     cls, n = F.col("phenotype_class"), F.coalesce("n_core", F.lit(0))
     disposition = (
         F.when(cls == "descriptive", "excluded_descriptive")
@@ -106,7 +105,7 @@ def classify_catalog(items: DataFrame, rules: DataFrame, nominal: DataFrame, exc
 
 def check_reserved(manifest: DataFrame, definitions: DataFrame) -> DataFrame:
     """Manifest rows that use a reserved id for another construction."""
-    d = broadcast_if_small(definitions.select("pheno_id", F.col("construction_id").alias("expected")))
+    d = definitions.select("pheno_id", F.col("construction_id").alias("expected"))
     return manifest.join(d, "pheno_id").where(~F.col("construction_id").eqNullSafe(F.col("expected")))
 
 
@@ -118,7 +117,7 @@ def assert_reserved(manifest: DataFrame, definitions: DataFrame) -> None:
 
 def sex_rules(meta: DataFrame, rules: DataFrame) -> DataFrame:
     """Item-level sex filters; a filtered trait is adjusted for age and components only."""
-    j = meta.join(broadcast_if_small(rules.select("item", F.lower(F.trim("sex_filter")).alias("_f"))), "item", "left")
+    j = meta.join(rules.select("item", F.lower(F.trim("sex_filter")).alias("_f")), "item", "left")
     f = F.when(F.lower(F.coalesce("sex_filter", F.lit("all"))) != "all", F.lower("sex_filter")).otherwise(F.coalesce("_f", F.lit("all")))
     return j.withColumn("sex_filter", f).withColumn("covar_mode", F.when(f != "all", F.lit("agepc")).otherwise(F.col("covar_mode"))).drop("_f")
 

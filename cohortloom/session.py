@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -13,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -56,16 +58,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-BROADCAST_ROWS = 200_000
+LIST_ROWS = 2_000_000
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when the table holds at most `limit` rows; looks at `limit + 1` rows, never at the whole table."""
-    return df.limit(limit + 1).count() <= limit
+def key_list(df: DataFrame, limit: int = LIST_ROWS) -> DataFrame:
+    """A list of keys for a semi or anti join against a huge table: computed once, counted, and broadcast only below the limit.
 
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; beyond the limit the plain (shuffled, skew-split) join is used."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if small(df, limit) else df
+    Other joins carry no hint. The planner broadcasts tables whose size it knows; adaptive execution measures derived tables at
+    run time, broadcasts the small ones and splits hot keys of the rest.
+    """
+    done = cut(df)
+    return F.broadcast(done) if done.count() <= limit else done

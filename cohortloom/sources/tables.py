@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.responses import union_all
-from ..session import broadcast_if_small
+from ..session import key_list
 
 
 def require_columns(df: DataFrame, required, where: str = "table") -> None:
@@ -70,12 +70,12 @@ def read_responses(spark: SparkSession, paths: list[str], keep: DataFrame | None
 
 
 def semi_scan(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of a huge table whose key is wanted; the id list is broadcast only when its size was checked."""
-    return df.join(broadcast_if_small(ids.select(key).distinct()), key, "left_semi")
+    """Rows of a huge table whose key is wanted; the id list is broadcast only after it was counted."""
+    return df.join(key_list(ids.select(key).distinct()), key, "left_semi")
 
 
 def anti_scan(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    return df.join(broadcast_if_small(ids.select(key).distinct()), key, "left_anti")
+    return df.join(key_list(ids.select(key).distinct()), key, "left_anti")
 
 
 def extract_with_age(events: DataFrame, person: DataFrame, key: str, ts: str, birth: str) -> DataFrame:
