@@ -86,6 +86,14 @@ def nan_to_null(c) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def safe_corr(a, b) -> Column:
+    """Pearson correlation over rows with both values; null instead of a division error when one side is constant."""
+    a, b = col(a), col(b)
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+
+
 def _poly(coefs, x: Column) -> Column:
     return reduce(lambda acc, a: acc * x + F.lit(a), reversed(coefs[:-1]), F.lit(coefs[-1]))
 

@@ -19,9 +19,15 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+WIDE_SPACES = "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+QUOTES = "\"'‘’“”"
+
+
 def squeeze(c) -> Column:
-    """Collapse white space and trim."""
-    return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), SPACE + "+", " "))
+    """Collapse white space and trim. Rare wide spaces become plain ones first, so the expression walks an ASCII class only."""
+    c = F.coalesce(col(c), F.lit(""))
+    plain = F.translate(c, WIDE_SPACES, " " * len(WIDE_SPACES))
+    return F.trim(F.regexp_replace(plain, r"[\t-\r\x{1c}-\x{20}]+", " "))
 
 
 def untag(c) -> Column:
@@ -29,8 +35,7 @@ def untag(c) -> Column:
 
 
 def norm_question(c) -> Column:
-    bare = F.regexp_replace(untag(c), "[\"'‘’“”]", "")
-    return F.trim(F.lower(squeeze(bare)), F.lit(" ?."))
+    return F.trim(F.lower(squeeze(F.translate(untag(c), QUOTES, ""))), F.lit(" ?."))
 
 
 def compact_key(c) -> Column:
@@ -39,14 +44,11 @@ def compact_key(c) -> Column:
 
 def content_tokens(c, stopwords=fixed.STOPWORDS) -> Column:
     """Distinct content words of a prompt, sorted: short words and stopwords out, a final plural s off."""
-    words = F.split(F.regexp_replace(norm_question(c), "[^a-z0-9]+", " "), " ")
-    stop = F.array(*[F.lit(w) for w in stopwords])
-    kept = F.filter(words, lambda w: (F.length(w) > 2) & ~F.array_contains(stop, w))
-    return F.array_sort(
-        F.array_distinct(
-            F.transform(kept, lambda w: F.when(w.endswith("s") & (F.length(w) > 4), F.substring(w, 1, F.length(w) - 1)).otherwise(w))
-        )
-    )
+    plain = F.lower(F.translate(untag(c), QUOTES, ""))
+    words = F.split(F.regexp_replace(plain, "[^a-z0-9]+", " "), " ")
+    kept = F.filter(F.array_except(words, F.array(*[F.lit(w) for w in stopwords])), lambda w: F.length(w) > 2)
+    single = F.transform(kept, lambda w: F.when(w.endswith("s") & (F.length(w) > 4), F.substring(w, 1, F.length(w) - 1)).otherwise(w))
+    return F.array_sort(F.array_distinct(single))
 
 
 def norm_answer(c) -> Column:

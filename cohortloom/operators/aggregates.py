@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions import numeric as N
 from ..sources.tables import semi_scan
 from . import ranks
 
@@ -123,13 +124,13 @@ def agreement(df: DataFrame, keys: list[str], a: str, b: str, cuts: list[float])
     """Pair agreement per group: correlations, error measures, exact and nearest-rank quantiles of the absolute difference."""
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).withColumn("_abs", F.abs(F.col(a) - F.col(b)))
     base = d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.corr(a, b).alias("pearson"), F.avg(F.col(a) - F.col(b)).alias("bias"), F.avg("_abs").alias("mae"),
+        F.count(F.lit(1)).alias("n"), N.safe_corr(a, b).alias("pearson"), F.avg(F.col(a) - F.col(b)).alias("bias"), F.avg("_abs").alias("mae"),
         F.sqrt(F.avg(F.col("_abs") * F.col("_abs"))).alias("rmse"), F.max("_abs").alias("max_abs"),
         *[F.avg((F.col("_abs") > c).cast("double")).alias(f"share_above_{i}") for i, c in enumerate(cuts)],
     )
     ra = ranks.average_rank(d, keys, a, "_ra").drop("n_key")
     both = ranks.average_rank(ra, keys, b, "_rb").drop("n_key")
-    rho = both.groupBy(*keys).agg(F.corr("_ra", "_rb").alias("spearman"))
+    rho = both.groupBy(*keys).agg(N.safe_corr("_ra", "_rb").alias("spearman"))
     med = ranks.exact_quantiles(d, keys, "_abs", {"median_abs": 0.5})
     near = ranks.nearest_rank_quantiles(d, keys, "_abs", {"p90_abs": 0.9, "p99_abs": 0.99})
     if not keys:

@@ -19,22 +19,18 @@ def _dense(block: pd.DataFrame, size: int, cols: dict) -> np.ndarray:
     return m
 
 
-def pair_stats(cells: DataFrame, partners: Column, size: int, chunks: int, products, finish, out: str) -> DataFrame:
+def pair_stats(cells: DataFrame, on_right: Column, on_left: Column, size: int, chunks: int, products, finish, out: str) -> DataFrame:
     """Rows of `finish` over all block pairs.
 
-    cells: block, slot, col, value. partners: for a cell's block the array of blocks it meets on its right (itself included).
+    cells: block, slot, col, value. on_right: array of the blocks a cell's block meets on its right, itself included; on_left: those
+    that meet it as their right partner, without itself.
     products(L, R) gives a float array (k, size, size) that adds up over column chunks; finish(S, same) turns the sums of a block
     pair into a DataFrame with slot_i, slot_j and statistics; `out` is the schema of those after block_i, block_j.
     """
     base = cells.where(F.col("value").isNotNull()).withColumn("chunk", F.pmod(F.xxhash64("col"), F.lit(chunks)))
-    meets = base.withColumn("bj", F.explode(partners))
-    left = meets.select(F.col("block").alias("bi"), "bj", "chunk", F.lit(0).alias("side"), "slot", "col", F.col("value").cast("int").alias("value"))
-    # The right side of pair (i, j) is the same cell sent once per block that names it as a partner.
-    right = (
-        base.withColumnRenamed("block", "bj")
-        .join(meets.select(F.col("block").alias("bi"), "bj").distinct().where("bi <> bj"), "bj")
-        .select("bi", "bj", "chunk", F.lit(1).alias("side"), "slot", "col", F.col("value").cast("int").alias("value"))
-    )
+    cell = ["chunk", "slot", "col", F.col("value").cast("int").alias("value")]
+    left = base.select(F.col("block").alias("bi"), F.explode(on_right).alias("bj"), F.lit(0).alias("side"), *cell)
+    right = base.select(F.explode(on_left).alias("bi"), F.col("block").alias("bj"), F.lit(1).alias("side"), *cell)
 
     def partial(pdf: pd.DataFrame) -> pd.DataFrame:
         bi, bj, chunk = int(pdf["bi"].iloc[0]), int(pdf["bj"].iloc[0]), int(pdf["chunk"].iloc[0])

@@ -11,6 +11,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import numeric as N
 from ..functions import text as T
 from ..session import cut
 from . import stats as S
@@ -134,7 +135,7 @@ def direct_fit(df: DataFrame, features: list[str], label: str, fold: str = "fold
 def fold_metrics(df: DataFrame, pred: str, target: str, by: str = "fold") -> DataFrame:
     """Per fold and in all: n, correlation, error measures."""
     d = F.col(pred) - F.col(target)
-    out = df.where(d.isNotNull()).rollup(by).agg(F.count(F.lit(1)).alias("n"), F.corr(pred, target).alias("r"), F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(F.abs(d)).alias("mae"), F.grouping(by).alias("_all"))
+    out = df.where(d.isNotNull()).rollup(by).agg(F.count(F.lit(1)).alias("n"), N.safe_corr(pred, target).alias("r"), F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(F.abs(d)).alias("mae"), F.grouping(by).alias("_all"))
     return out.withColumn("group", F.when(F.col("_all") == 1, "all").otherwise(F.col(by).cast("string"))).drop("_all", by)
 
 

@@ -145,6 +145,7 @@ def kinship(genotypes: DataFrame, t: float = fixed.KIN_TABLE_MIN, block: int = 2
         i, j = np.nonzero(ok)
         return pd.DataFrame({"slot_i": i.astype("int32"), "slot_j": j.astype("int32"), "n_variants": n[i, j].astype("int64"), "hethet": hethet[i, j] / n[i, j], "ibs0": ibs0[i, j] / n[i, j], "kinship": phi[i, j]})
 
-    partners = F.sequence(F.col("block"), F.lit(last))
-    pairs = pair_stats(cells, partners, block, chunks, _kin_products, finish, "slot_i int, slot_j int, n_variants long, hethet double, ibs0 double, kinship double")
+    b = F.col("block")
+    below = F.when(b > 0, F.sequence(F.lit(0).cast("long"), b - 1)).otherwise(F.array().cast("array<bigint>"))
+    pairs = pair_stats(cells, F.sequence(b, F.lit(last).cast("long")), below, block, chunks, _kin_products, finish, "slot_i int, slot_j int, n_variants long, hethet double, ibs0 double, kinship double")
     return name_pairs(pairs, dim, "sample_id", "iid1", "iid2")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import cut
 from ..sources.tables import require_unique
 
 
@@ -181,7 +182,8 @@ def crosswalk(live: DataFrame, catalog: DataFrame, explicit: DataFrame, coverage
     Token candidates come from each label's rarest words only: a label covered to `coverage` shares at least one of its
     n - ceil(coverage * n) + 1 rarest words, so common words never build pairs and no match is lost.
     """
-    live = live.select("qid", "survey", "question", T.norm_question("question").alias("norm"), T.compact_key("question").alias("compact"))
+    # Text is normalized once; all four steps read the written result.
+    live = cut(live.select("qid", "survey", T.norm_question("question").alias("norm"), T.compact_key("question").alias("compact"), T.content_tokens("question").alias("live_tokens")))
     cat = catalog.select("item", F.col("survey"), "label", T.norm_question("label").alias("norm"), T.compact_key("item").alias("compact"))
 
     by_id = explicit.select("qid", T.compact_key("item").alias("compact")).join(cat.groupBy("compact").agg(F.min("item").alias("item")), "compact").select("qid", "item", F.lit(1).alias("step"))
@@ -200,7 +202,7 @@ def crosswalk(live: DataFrame, catalog: DataFrame, explicit: DataFrame, coverage
     )
     by_suffix = suffix.distinct().groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("item")).where("n = 1").select("qid", "item", F.lit(3).alias("step"))
 
-    live_tok = live.select("qid", "survey", T.content_tokens("question").alias("live_tokens"))
+    live_tok = live.select("qid", "survey", "live_tokens")
     words = live_tok.select("qid", "survey", F.explode("live_tokens").alias("token"))
     common = words.groupBy("survey", "token").agg(F.count(F.lit(1)).alias("n_live"))
     labels = cat.select("item", "survey", T.content_tokens("label").alias("tokens")).where(F.size("tokens") >= 2)

@@ -115,9 +115,8 @@ def age_sex_z(df: DataFrame, y: str) -> DataFrame:
 # correlation -----------------------------------------------------------------------------------------------------------------
 def _guarded(a: str, b: str, min_n: int) -> tuple[Column, Column]:
     both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
     n = F.count_if(both)
-    return n, F.when((n >= min_n) & (F.var_pop(x) > 0) & (F.var_pop(y) > 0), F.corr(x, y))
+    return n, F.when(n >= min_n, N.safe_corr(a, b))
 
 
 def pearson(df: DataFrame, keys: list[str], a: str, b: str, min_n: int = 3) -> DataFrame:
@@ -210,7 +209,7 @@ def moments(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndarray
 
 
 def standardized(df: DataFrame, cols: list[str], mean: np.ndarray, cov: np.ndarray) -> list[Column]:
-    return [(F.col(c) - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(cols, mean, np.sqrt(np.diag(cov)))]
+    return [(F.col(c) - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(cols, mean, np.sqrt(np.where(np.diag(cov) > 0, np.diag(cov), 1.0)))]
 
 
 def dot(columns: list[Column], weights) -> Column:

@@ -110,11 +110,13 @@ def _ld_products(lhs: np.ndarray, rhs: np.ndarray) -> np.ndarray:
     return np.stack([ok_l @ ok_r.T, x @ ok_r.T, ok_l @ y.T, (x * x) @ ok_r.T, ok_l @ (y * y).T, x @ y.T])
 
 
-def ld_pairs(genotypes: DataFrame, variants: DataFrame, window: int, r2: float, chunks: int = 8) -> DataFrame:
+def ld_pairs(genotypes: DataFrame, variants: DataFrame, window: int, r2: float, chunks: int = 8, least_block: int = 256) -> DataFrame:
     """Variant pairs of one chromosome at most `window` places apart whose squared correlation is above the limit.
 
-    Places are counted per chromosome in order of position. Blocks are `window` long, so a pair lies in one block or two neighbours.
+    Places are counted per chromosome in order of position. Blocks are at least `window` long, so a pair lies in one block or two
+    neighbours.
     """
+    size = max(window, least_block)
     placed = ranks.with_histogram(variants.where(F.col("pos").isNotNull()).select("variant_id", "chrom", F.col("pos").cast("double").alias("p")), ["chrom"], "p")
     tie = ranks.cumulative_histogram(placed.select(F.concat_ws("|", "chrom", F.col("p").cast("string")).alias("at"), F.col("variant_id").cast("double").alias("v")), ["at"], "v", buckets=1)
     placed = placed.withColumn("at", F.concat_ws("|", "chrom", F.col("p").cast("string"))).join(tie.select("at", F.col("v").cast("long").alias("variant_id"), F.col("n_below").alias("nth")), ["at", "variant_id"])
@@ -124,10 +126,10 @@ def ld_pairs(genotypes: DataFrame, variants: DataFrame, window: int, r2: float,
     offset = 0
     for row in sorted(chroms.collect(), key=lambda x: str(x["chrom"])):  # chromosomes: a few dozen
         first[row["chrom"]] = offset
-        offset += -(-row["n"] // window) + 1
+        offset += -(-row["n"] // size) + 1
     start = F.element_at(F.create_map(*[F.lit(x) for kv in first.items() for x in kv]), F.col("chrom"))
     place = F.col("n_below") + F.col("nth")
-    dim = cut(placed.select("variant_id", (start + F.floor(place / window)).alias("block"), F.pmod(place, F.lit(window)).cast("int").alias("slot")))
+    dim = cut(placed.select("variant_id", (start + F.floor(place / size)).alias("block"), F.pmod(place, F.lit(size)).cast("int").alias("slot")))
     cells = genotypes.join(dim, "variant_id").select("block", "slot", F.col("sample_id").alias("col"), F.col("dosage").alias("value"))
 
     def finish(s: np.ndarray, same: bool) -> pd.DataFrame:
@@ -136,13 +138,13 @@ def ld_pairs(genotypes: DataFrame, variants: DataFrame, window: int, r2: float,
             cov, vx, vy = n * sxy - sx * sy, n * sxx - sx * sx, n * syy - sy * sy
             value = cov * cov / (vx * vy)
         a, b = np.indices(value.shape)
-        ok = (n > 1) & (vx > 0) & (vy > 0) & (value > r2) & ((b > a) if same else (b + window - a <= window))
+        ok = (n > 1) & (vx > 0) & (vy > 0) & (value > r2) & (b > a if same else True) & (b + (0 if same else size) - a <= window)
         i, j = np.nonzero(ok)
         return pd.DataFrame({"slot_i": i.astype("int32"), "slot_j": j.astype("int32"), "n": n[i, j].astype("int64"), "r2": value[i, j]})
 
-    partners = F.array(F.col("block"), F.col("block") + 1)
+    b = F.col("block")
     known = dim.select("block").distinct()
-    pairs = pair_stats(cells, partners, window, chunks, _ld_products, finish, "slot_i int, slot_j int, n long, r2 double")
+    pairs = pair_stats(cells, F.array(b, b + 1), F.array(b - 1), size, chunks, _ld_products, finish, "slot_i int, slot_j int, n long, r2 double")
     pairs = pairs.join(known.withColumnRenamed("block", "block_j"), "block_j", "left_semi")
     return name_pairs(pairs, dim, "variant_id", "variant_i", "variant_j")
 
@@ -219,11 +221,11 @@ def associate(genotypes: DataFrame, traits: DataFrame, names: list[str], with_p:
         aggs += [F.count(y).alias(f"n{i}"), F.sum(g).alias(f"g{i}"), F.sum(g * g).alias(f"gg{i}"), F.sum(y).alias(f"s{i}"), F.sum(y * y).alias(f"yy{i}"), F.sum(g * y).alias(f"gy{i}")]
     sums = rows.groupBy("variant_id").agg(*aggs)
     structs = F.array(*[F.struct(F.lit(n).alias("pheno_id"), *[F.col(f"{c}{i}").alias(c) for c in ("n", "g", "gg", "s", "yy", "gy")]) for i, n in enumerate(names)])
-    t = sums.select("variant_id", F.explode(structs).alias("t")).select("variant_id", "t.*")
+    t = sums.select("variant_id", F.explode(structs).alias("t")).select("variant_id", "t.*").where("n > 0")
     n = F.col("n")
     t = t.withColumn("sxx", F.col("gg") - F.col("g") * F.col("g") / n).withColumn("sxy", F.col("gy") - F.col("g") * F.col("s") / n).withColumn("syy", F.col("yy") - F.col("s") * F.col("s") / n)
     t = t.withColumn("beta", F.when(F.col("sxx") > 1e-9, F.col("sxy") / F.col("sxx")))
-    t = t.withColumn("se", F.when(n > 2, F.sqrt(F.greatest(F.col("syy") - F.col("beta") * F.col("sxy"), F.lit(0.0)) / (n - 2) / F.col("sxx"))))
+    t = t.withColumn("se", F.when((n > 2) & (F.col("sxx") > 1e-9), F.sqrt(F.greatest(F.col("syy") - F.col("beta") * F.col("sxy"), F.lit(0.0)) / (n - 2) / F.col("sxx"))))
     out = t.select("variant_id", "pheno_id", "n", (F.col("g") / (2 * n)).alias("a1freq"), "beta", "se")
     return out.withColumn("log10p", -stats.log10_p(F.col("beta"), F.col("se"), (n - 2).cast("double"))) if with_p else out
 

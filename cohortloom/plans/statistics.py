@@ -11,6 +11,7 @@ from ..operators import aggregates as A
 from ..operators import ranks
 from ..operators import stats as S
 from ..operators import windows as X
+from ..session import cut
 from . import roles
 from .aggregations import rcols
 from .registry import query, r, rs, table
@@ -38,7 +39,8 @@ role("normal", f"SELECT pheno_id, iid, y, age, {s_ppf('pr')} AS z FROM ranked",
  z AS (SELECT qid, pid, age, {s_ppf('pr')} AS z FROM q), b AS (SELECT qid, regr_slope(z, age) AS s, regr_intercept(z, age) AS i FROM z GROUP BY qid)
  SELECT qid AS pheno_id, pid AS iid, {rs('z')} AS z, {rs('z - (i + s * age)')} AS resid FROM z JOIN b USING (qid)"""))
 def flagship(spark, sf):
-    v = roles.single(spark, sf).select(F.col("qid").alias("pheno_id"), F.col("pid").alias("iid"), "y", "age")
+    # The selected responses are written once; ranks, fits and residuals read that table.
+    v = cut(roles.single(spark, sf).select(F.col("qid").alias("pheno_id"), F.col("pid").alias("iid"), "y", "age"))
     z = ranks.rank_normal(v, ["pheno_id"], "y", "z", buckets=1)
     return rcols(S.residualize(z, ["pheno_id"], "z", ["age"]).select("pheno_id", "iid", "z", "resid"), "z", "resid")
 
