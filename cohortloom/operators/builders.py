@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as T
+from .responses import union_all
 
 
 def one_vs_rest(answers: DataFrame) -> DataFrame:
@@ -325,3 +326,11 @@ def sex_additions(status: DataFrame) -> DataFrame:
     sex = F.when(F.col("ploidy") == PLOIDY_OF_SEX[0], 0).when(F.col("ploidy") == PLOIDY_OF_SEX[1], 1)
     extra = status.where(F.col("status") == SEX_STATUS[0]).select("iid", sex.alias("sex_01"), F.lit("imputed").alias("source")).where("sex_01 is not null")
     return base.unionByName(extra.join(base.select("iid"), "iid", "left_anti"))
+
+
+def select_builders(builders: dict, requested: list[str]) -> DataFrame:
+    """Union of the builders whose name starts a requested trait id; the others are never planned."""
+    parts = [make().withColumn("builder", F.lit(name)) for name, make in builders.items() if any(t.startswith(name) for t in requested)]
+    if not parts:
+        raise ValueError("no builder makes the requested traits")
+    return union_all(parts)

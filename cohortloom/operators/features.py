@@ -32,7 +32,7 @@ def branch_recode(answers: DataFrame, rules: DataFrame) -> tuple[DataFrame, Data
 
     answers: pid, qid, answer, value; rules: parent_qid, parent_answer, child_qid, value. Returns all rows and audit counts.
     """
-    implied = answers.select("pid", F.col("qid").alias("parent_qid"), F.col("answer").alias("parent_answer")).join(F.broadcast(rules), ["parent_qid", "parent_answer"])
+    implied = answers.select("pid", F.col("qid").alias("parent_qid"), F.col("answer").alias("parent_answer")).join(rules, ["parent_qid", "parent_answer"])
     implied = implied.groupBy("pid", F.col("child_qid").alias("qid")).agg(F.max("value").alias("value"), F.max(F.struct("parent_qid")).getField("parent_qid").alias("source"))
     added = implied.join(answers.select("pid", "qid").distinct(), ["pid", "qid"], "left_anti")
     rows = answers.select("pid", "qid", "value").withColumn("recoded", F.lit(False)).unionByName(added.select("pid", "qid", "value").withColumn("recoded", F.lit(True)))
@@ -50,7 +50,7 @@ def feature_rows(answers: DataFrame, ordinal: DataFrame) -> DataFrame:
     age = per.select(F.col("pid").alias("iid"), F.concat(F.lit("age_at_"), "qid").alias("feature"), F.col("age").alias("value"))
     o = answers.join(ordinal, ["qid", "answer"]).groupBy("pid", "qid").agg(F.max("value").alias("value"))
     o = o.select(F.col("pid").alias("iid"), F.concat(F.lit("ord_"), "qid").alias("feature"), "value")
-    rest = per.join(F.broadcast(ordinal.select("qid").distinct()), "qid", "left_anti")
+    rest = per.join(ordinal.select("qid").distinct(), "qid", "left_anti")
     options = answers.select("qid", F.col("answer").alias("option")).distinct()
     hot = rest.join(options, "qid").select(F.col("pid").alias("iid"), F.concat_ws("_", F.lit("is"), "qid", T.slug(T.answer_tail("option"))).alias("feature"), F.array_contains("chosen", F.col("option")).cast("double").alias("value"))
     return union_all([took, age, o, hot])

@@ -29,7 +29,7 @@ def component_labels(edges: DataFrame, a: str = "iid1", b: str = "iid2", max_rou
     """Least member of the component for every node with an edge.
 
     Alternating large-star and small-star steps: neighbours above a node move to the least neighbour, then those below, until
-    the edges are stars. Rounds grow with the logarithm of the size, each ends in a reliable checkpoint, hubs are split by the
+    the edges are stars. Rounds grow with the logarithm of the size, each ends in a written table, hubs are split by the
     adaptive skew join because a hub's minimum is a single row.
     """
     e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())

@@ -300,7 +300,7 @@ def weighted_mean(df: DataFrame, weights: dict[str, float], out: str = "weighted
 
 def recommended_scores(scores: DataFrame, rules: DataFrame, names: list[str]) -> DataFrame:
     """Long (iid, task, method, score) to one recommended score per task, wide: the rule table names the method of each task."""
-    return scores.join(F.broadcast(rules), ["task", "method"]).groupBy("iid").pivot("task", names).agg(F.max("score"))  # one rule per task
+    return scores.join(rules, ["task", "method"]).groupBy("iid").pivot("task", names).agg(F.max("score"))  # one rule per task
 
 
 def lump_rare(df: DataFrame, col: str, least: int = 20, other: str = "other") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alleles as L
 from ..functions import numeric as N
-from ..session import cut
+from ..session import LIST_ROWS, cut, key_list
 from . import aggregates as A
 from . import joins as J
 from . import ranks
@@ -175,6 +175,10 @@ def fit_pcs(genotypes: DataFrame, k: int, rounds: int = 8, seed: int = 7, spare:
     z = cut(standardized_dosage(genotypes, freq))
     sums = [F.sum(F.col("z") * F.col(c)).alias(c) for c in names]
     samples = z.select("sample_id").distinct()
+    n_samples, n_variants = z.agg(F.count_distinct("sample_id"), F.count_distinct("variant_id")).first()
+    # Sides with at most LIST_ROWS rows of k numbers are broadcast, so the cells are not shuffled for the joins.
+    per_sample = F.broadcast if n_samples <= LIST_ROWS else (lambda d: d)
+    per_variant = F.broadcast if n_variants <= LIST_ROWS else (lambda d: d)
     basis = samples.select("sample_id", *[(F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "sample_id"), F.lit(2001)) / 1000.0 - 1.0).alias(c) for i, c in enumerate(names)])
 
     def orthonormal(df: DataFrame) -> tuple[DataFrame, np.ndarray]:
@@ -189,9 +193,9 @@ def fit_pcs(genotypes: DataFrame, k: int, rounds: int = 8, seed: int = 7, spare:
     basis, _ = orthonormal(cut(basis))
     values = np.zeros(q)
     for _ in range(rounds):
-        by_variant = z.join(basis, "sample_id").groupBy("variant_id").agg(*sums)
-        basis, values = orthonormal(cut(z.join(by_variant, "variant_id").groupBy("sample_id").agg(*sums)))
-    loadings = cut(z.join(basis, "sample_id").groupBy("variant_id").agg(*sums))
+        by_variant = z.join(per_sample(basis), "sample_id").groupBy("variant_id").agg(*sums)
+        basis, values = orthonormal(cut(z.join(per_variant(by_variant), "variant_id").groupBy("sample_id").agg(*sums)))
+    loadings = cut(z.join(per_sample(basis), "sample_id").groupBy("variant_id").agg(*sums))
     eigen = [float(x) for x in np.sqrt(values)]  # squared singular values of the cells
     out = loadings.join(freq, "variant_id").select("variant_id", "freq", *[(F.col(n) / F.lit(float(np.sqrt(max(e, 1e-300))))).alias(f"w{i + 1}") for i, (n, e) in enumerate(zip(names, eigen)) if i < k])
     return out, basis.select("sample_id", *[F.col(n).alias(f"pc{i + 1}") for i, n in enumerate(names[:k])]), eigen[:k]
@@ -199,9 +203,11 @@ def fit_pcs(genotypes: DataFrame, k: int, rounds: int = 8, seed: int = 7, spare:
 
 def project_pcs(genotypes: DataFrame, loadings: DataFrame, k: int) -> DataFrame:
     """Scores of all samples by the fit set's loadings and frequencies: sum of z w over observed alleles, nothing imputed."""
-    z = standardized_dosage(genotypes, loadings.select("variant_id", "freq")).join(loadings.drop("freq"), "variant_id")
+    w = key_list(loadings.where((F.col("freq") > 0) & (F.col("freq") < 1)))
+    z = (F.col("dosage") - 2 * F.col("freq")) / F.sqrt(2 * F.col("freq") * (1 - F.col("freq")))
+    rows = genotypes.where(F.col("dosage").isNotNull()).join(w, "variant_id").withColumn("z", z)
     n = F.count(F.lit(1)) * 2
-    return z.groupBy("sample_id").agg(n.alias("n_alleles"), *[(F.sum(F.col("z") * F.col(f"w{i + 1}")) / n).alias(f"pc{i + 1}") for i in range(k)])
+    return rows.groupBy("sample_id").agg(n.alias("n_alleles"), *[(F.sum(F.col("z") * F.col(f"w{i + 1}")) / n).alias(f"pc{i + 1}") for i in range(k)])
 
 
 # association --------------------------------------------------------------------------------------------------------------------
@@ -214,7 +220,9 @@ def associate(genotypes: DataFrame, traits: DataFrame, names: list[str], with_p:
     if len(names) > 64:
         raise ValueError("a batch holds at most 64 traits")
     rows = genotypes.where(F.col("dosage").isNotNull()).select("variant_id", "sample_id", F.col("dosage").cast("double").alias("g"))
-    rows = rows.join(traits.select("sample_id", *[F.col(f"`{n}`").alias(f"y{i}") for i, n in enumerate(names)]), "sample_id")
+    # At most a million samples of 64 numbers are broadcast (half a gigabyte), so the genotypes are not shuffled by sample.
+    wide = key_list(traits.select("sample_id", *[F.col(f"`{n}`").cast("double").alias(f"y{i}") for i, n in enumerate(names)]), 1_000_000)
+    rows = rows.join(wide, "sample_id")
     aggs: list[Column] = []
     for i in range(len(names)):
         y, g = F.col(f"y{i}"), F.when(F.col(f"y{i}").isNotNull(), F.col("g"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import fixed
 from ..functions import text as T
 from ..operators import builders as B
 from ..operators import responses as R
@@ -281,9 +280,8 @@ role("resolved", """SELECT pid, qid, CASE WHEN max(bad) = 1 OR min(v) <> max(v)
 def resolved(spark, sf):
     s = roles.selected(spark, sf)
     c = spark.createDataFrame([("1000", 0.0), ("1001", 1.0), ("1002", 1.0), ("1003", None)], "concept string, value double")
-    qid = table(spark, sf, "events").select(F.col("event_type").alias("qid")).distinct()
     t = spark.createDataFrame([("0", 0.0), ("1", 1.0), ("2", 1.0), ("3", None)], "label string, value double")
-    return B.resolve_items(s, c.crossJoin(F.broadcast(qid)), t)
+    return B.resolve_items(s, c.withColumn("qid", F.explode(F.array(*[F.lit(q) for q in QIDS]))), t)
 
 
 @query("B23_resolved_items", sql("resolved", f"SELECT pid, qid, CASE WHEN status = 'scored' THEN CAST(v AS DOUBLE) END AS value, status, {rs('age')} AS age FROM resolved"))
@@ -385,12 +383,4 @@ def _(spark, sf):
         "ovr": lambda: a.where("qid = 'view'").select(F.col("pid").alias("iid"), (F.col("answer") == "Level: 1").cast("double").alias("y"), "age"),
         "num": lambda: roles.single(spark, sf).select(F.col("pid").alias("iid"), "y", "age"),
     }
-    return rcols(select_builders(builders, ["ovr_view_1"]), "age")
-
-
-def select_builders(builders: dict, requested: list[str]):
-    """Union of the builders whose name starts a requested trait id; the others are never planned."""
-    parts = [make().withColumn("builder", F.lit(name)) for name, make in builders.items() if any(t.startswith(name) for t in requested)]
-    if not parts:
-        raise ValueError("no builder makes the requested traits")
-    return R.union_all(parts)
+    return rcols(B.select_builders(builders, ["ovr_view_1"]), "age")
