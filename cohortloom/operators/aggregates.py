@@ -128,8 +128,7 @@ def agreement(df: DataFrame, keys: list[str], a: str, b: str, cuts: list[float])
         F.sqrt(F.avg(F.col("_abs") * F.col("_abs"))).alias("rmse"), F.max("_abs").alias("max_abs"),
         *[F.avg((F.col("_abs") > c).cast("double")).alias(f"share_above_{i}") for i, c in enumerate(cuts)],
     )
-    ra = ranks.average_rank(d, keys, a, "_ra").drop("n_key")
-    both = ranks.average_rank(ra, keys, b, "_rb").drop("n_key")
+    both = ranks.average_ranks(d, keys, {a: "_ra", b: "_rb"})
     rho = both.groupBy(*keys).agg(N.safe_corr("_ra", "_rb").alias("spearman"))
     med = ranks.exact_quantiles(d, keys, "_abs", {"median_abs": 0.5})
     near = ranks.nearest_rank_quantiles(d, keys, "_abs", {"p90_abs": 0.9, "p99_abs": 0.99})

@@ -69,6 +69,19 @@ def average_rank(df: DataFrame, keys: list[str], y: str, out: str = "rank", buck
     return with_histogram(df, keys, y, buckets).withColumn(out, F.col("n_below") + (F.col("n_at") + 1) / 2.0).drop("n_at", "n_below")
 
 
+def average_ranks(df: DataFrame, keys: list[str], columns: dict[str, str], buckets: int | None = None) -> DataFrame:
+    """Average ranks of several columns at once; every histogram is taken from the same rows, so passes do not nest."""
+    out = df
+    for c in columns:
+        out = out.where(F.col(c).isNotNull()).withColumn(c, F.col(c).cast("double") + F.lit(0.0))
+    rows = out
+    for c, name in columns.items():
+        ch = cumulative_histogram(rows, keys, c, buckets).alias("c")
+        on = [F.col(f"a.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys] + [F.col(f"a.{c}") == F.col(f"c.{c}")]
+        out = out.alias("a").join(ch, on).select("a.*", (F.col("c.n_below") + (F.col("c.n_at") + 1) / 2.0).alias(name))
+    return out
+
+
 def rank_normal(df: DataFrame, keys: list[str], y: str, out: str = "z", buckets: int | None = None) -> DataFrame:
     """Inverse-rank normal score: quantile of (average rank - 0.5) / n."""
     ranked = average_rank(df, keys, y, "_rank", buckets)

@@ -127,9 +127,7 @@ def pearson(df: DataFrame, keys: list[str], a: str, b: str, min_n: int = 3) -> D
 def spearman(df: DataFrame, keys: list[str], a: str, b: str, min_n: int = 3) -> DataFrame:
     """Pearson correlation of average ranks among complete pairs."""
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    d = ranks.average_rank(d, keys, a, "_ra").drop("n_key")
-    d = ranks.average_rank(d, keys, b, "_rb").drop("n_key")
-    return pearson(d, keys, "_ra", "_rb", min_n)
+    return pearson(ranks.average_ranks(d, keys, {a: "_ra", b: "_rb"}), keys, "_ra", "_rb", min_n)
 
 
 def corr_grid(df: DataFrame, keys: list[str], scores: list[str], targets: list[str], min_n: int = 3) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import variants as V
 from ..operators import windows as X
+from ..session import cut
 from ..sources import sinks
 from . import roles
 from .aggregations import rcols
@@ -103,6 +104,19 @@ def _(spark, sf):
     return V.ld_prune(roles.genotypes(spark, sf), roles.variants(spark, sf), 50, 0.80001, chunks=2)
 
 
+@query("V6_ld_prune_check", "SELECT CAST(0 AS BIGINT) AS n_pairs_left, CAST(0 AS BIGINT) AS n_needlessly_dropped")
+def _(spark, sf):
+    """No correlated pair is left inside, and every dropped variant has a kept one beside it."""
+    g, v = roles.genotypes(spark, sf), roles.variants(spark, sf)
+    pairs = V.ld_pairs(g, v, 50, 0.80001, chunks=2).select("variant_i", "variant_j")
+    both = cut(pairs.unionByName(pairs.select(F.col("variant_j").alias("variant_i"), F.col("variant_i").alias("variant_j"))))
+    kept = cut(V.ld_prune(g, v, 50, 0.80001, chunks=2))
+    beside = both.join(kept.withColumnRenamed("variant_id", "variant_j"), "variant_j", "left_semi").select(F.col("variant_i").alias("variant_id"))
+    left = kept.join(beside, "variant_id", "left_semi").agg(F.count(F.lit(1)).alias("n_pairs_left"))
+    lost = v.select("variant_id").join(kept, "variant_id", "left_anti").join(beside, "variant_id", "left_anti").agg(F.count(F.lit(1)).alias("n_needlessly_dropped"))
+    return left.crossJoin(lost)  # two single rows
+
+
 @query("V7_fitted_components")
 def _(spark, sf):
     return V.fit_pcs(roles.genotypes(spark, sf), 2, rounds=4)[1]
