@@ -56,7 +56,7 @@ def tasks(spark, sf):
     return A.union_tasks({"talk": s, "event": e, "order": o}, ["restarted", "flagged"])
 
 
-roles.role("tasks", """SELECT DISTINCT 'talk' AS task, conv_id % 40 AS pid, conv_id AS sitting_id, CAST(NULL AS DOUBLE) AS score FROM conversations WHERE conv_id % 7 <> 0
+roles.role("tasks", """SELECT DISTINCT 'talk' AS task, conv_id % 40 AS pid, conv_id AS sitting_id, CAST(NULL AS DOUBLE) AS score FROM conversations WHERE length(text) <= 400
  UNION ALL SELECT 'event', user_id, event_id, value FROM events UNION ALL SELECT 'order', o_custkey, o_orderkey, NULL FROM orders WHERE o_orderstatus <> 'P'""")
 
 

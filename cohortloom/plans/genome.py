@@ -51,12 +51,12 @@ def _(spark, sf):
     return V.split_multiallelic(p)
 
 
-@query("V4_id_remap", sql("variants", "SELECT variant_id, CASE WHEN variant_id % 4 = 0 THEN chrom || ':' || pos || ':' || ref || ':' || alt ELSE rsid END AS id, variant_id % 4 <> 0 AS mapped FROM variants"))
+@query("V4_id_remap", sql("variants", "SELECT variant_id, CASE WHEN f_miss < 0.075 THEN rsid ELSE chrom || ':' || pos || ':' || ref || ':' || alt END AS id, coalesce(f_miss < 0.075, false) AS mapped FROM variants"))
 def _(spark, sf):
     v = roles.variants(spark, sf)
     m = sinks.variant_id_maps(v)
     v = v.withColumn("variant_key", F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt"))
-    known = v.where("variant_id % 4 <> 0").select("variant_key").join(m, "variant_key").select("variant_key", "rsid")
+    known = v.where("f_miss < 0.075").select("variant_key").join(m, "variant_key").select("variant_key", "rsid")
     return V.remap_ids(v.drop("rsid"), known).select("variant_id", "id", "mapped")
 
 
@@ -122,11 +122,12 @@ def _(spark, sf):
     return V.fit_pcs(roles.genotypes(spark, sf), 2, rounds=4)[1]
 
 
-@query("V8_projection", sql("genotypes variants", f"""WITH l AS (SELECT variant_id, f, (pos % 17 - 8) / 10.0 AS w1, (pos % 7 - 3) / 10.0 AS w2 FROM variants JOIN (SELECT variant_id, avg(dosage) / 2 AS f FROM genotypes WHERE sample_id % 3 <> 0 GROUP BY variant_id) USING (variant_id) WHERE f > 0 AND f < 1),
+@query("V8_projection", sql("genotypes variants", f"""WITH l AS (SELECT variant_id, f, (pos % 17 - 8) / 10.0 AS w1, (pos % 7 - 3) / 10.0 AS w2 FROM variants JOIN (SELECT variant_id, avg(dosage) / 2 AS f FROM genotypes WHERE sample_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 2000) GROUP BY variant_id) USING (variant_id) WHERE f > 0 AND f < 1),
  z AS (SELECT sample_id, (dosage - 2 * f) / sqrt(2 * f * (1 - f)) AS z, w1, w2 FROM genotypes JOIN l USING (variant_id) WHERE dosage IS NOT NULL) SELECT sample_id, count(*) * 2 AS n_alleles, {rs('sum(z * w1) / (2 * count(*))')} AS pc1, {rs('sum(z * w2) / (2 * count(*))')} AS pc2 FROM z GROUP BY sample_id"""))
 def _(spark, sf):
     g = roles.genotypes(spark, sf)
-    freq = A.variant_freq(g.where("sample_id % 3 <> 0")).select("variant_id", "freq")
+    fit = table(spark, sf, "supplier").where("s_acctbal > 2000").select(F.col("s_suppkey").alias("sample_id"))
+    freq = A.variant_freq(g, fit).select("variant_id", "freq")
     w = roles.variants(spark, sf).select("variant_id", ((F.col("pos") % 17 - 8) / 10.0).alias("w1"), ((F.col("pos") % 7 - 3) / 10.0).alias("w2")).join(freq, "variant_id")
     return rcols(V.project_pcs(g, w, 2), "pc1", "pc2")
 
@@ -173,9 +174,9 @@ def _(spark, sf):
 
 
 @query("V12_harmonized_sumstats", sql("sumstats", f"""SELECT s.rsid, status, {rs("CASE status WHEN 'same' THEN beta WHEN 'flipped' THEN -beta END")} AS beta FROM (SELECT s.rsid, s.beta, CASE WHEN v.rsid IS NULL THEN 'missing' WHEN s.allele1 = v.alt THEN 'same' WHEN s.allele1 = v.ref THEN 'flipped' ELSE 'mismatch' END AS status
- FROM sumstats s LEFT JOIN (SELECT * FROM variants WHERE variant_id % 10 <> 7) v ON v.rsid = s.rsid) s"""))
+ FROM sumstats s LEFT JOIN (SELECT * FROM variants WHERE alt_ct >= 40) v ON v.rsid = s.rsid) s"""))
 def _(spark, sf):
-    ref = roles.variants(spark, sf).where("variant_id % 10 <> 7").select("rsid", F.col("alt").alias("allele1"), F.col("ref").alias("allele2"))
+    ref = roles.variants(spark, sf).where("alt_ct >= 40").select("rsid", F.col("alt").alias("allele1"), F.col("ref").alias("allele2"))
     return rcols(V.harmonize_stats(sumstats(spark, sf), ref).select("rsid", "status", "beta"), "beta")
 
 

@@ -96,11 +96,11 @@ def _(spark, sf):
 
 
 def calibrated(spark, sf):
-    return M.calibrate(roles.scores(spark, sf), ["x3"], "target", allowed=F.col("iid") % 4 != 0)
+    return M.calibrate(roles.scores(spark, sf), ["x3"], "target", allowed=F.col("x1") > 0)
 
 
 @query("M11_fold_safe_calibration", sql("scores", f"""WITH o AS (SELECT f.fold AS k, regr_slope(s.target, s.x3) AS b, regr_intercept(s.target, s.x3) AS a FROM (SELECT DISTINCT fold FROM scores) f JOIN scores s ON s.fold <> f.fold AND s.role = 'oof' GROUP BY f.fold),
- g AS (SELECT regr_slope(target, x3) AS b, regr_intercept(target, x3) AS a FROM scores WHERE role = 'oof' AND iid % 4 <> 0), c AS (SELECT iid, role, CASE WHEN role = 'applied' THEN g.a + g.b * x3 ELSE o.a + o.b * x3 END AS calibrated FROM scores JOIN o ON o.k = fold, g)
+ g AS (SELECT regr_slope(target, x3) AS b, regr_intercept(target, x3) AS a FROM scores WHERE role = 'oof' AND x1 > 0), c AS (SELECT iid, role, CASE WHEN role = 'applied' THEN g.a + g.b * x3 ELSE o.a + o.b * x3 END AS calibrated FROM scores JOIN o ON o.k = fold, g)
  SELECT iid, role, {rs('calibrated')} AS calibrated, {rs('(calibrated - m) / s')} AS calibrated_z FROM c, (SELECT avg(calibrated) AS m, stddev_samp(calibrated) AS s FROM c)"""))
 def _(spark, sf):
     return rcols(calibrated(spark, sf).select("iid", "role", "calibrated", "calibrated_z"), "calibrated", "calibrated_z")

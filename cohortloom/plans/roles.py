@@ -136,12 +136,12 @@ def sittings(spark, sf):
     c = table(spark, sf, "conversations")
     trial = F.struct(F.col("turn"), F.col("role").alias("emotion"), (F.length("text") % 2 == 0).alias("correct"), (F.length("text") * 1.0).alias("reaction_time"))
     return c.select(
-        (F.col("conv_id") % 40).alias("pid"), F.col("conv_id").alias("sitting_id"), (F.col("conv_id") % 7 == 0).cast("int").alias("restarted"),
+        (F.col("conv_id") % 40).alias("pid"), F.col("conv_id").alias("sitting_id"), (F.length("text") > 400).cast("int").alias("restarted"),
         F.array(trial).alias("trial_data"),
     )
 
 
-role("trials", """SELECT conv_id % 40 AS pid, conv_id AS sitting_id, CAST(conv_id % 7 = 0 AS INTEGER) AS restarted, role AS emotion,
+role("trials", """SELECT conv_id % 40 AS pid, conv_id AS sitting_id, CAST(length(text) > 400 AS INTEGER) AS restarted, role AS emotion,
  length(text) % 2 = 0 AS correct, CAST(length(text) AS DOUBLE) AS reaction_time FROM conversations""")
 
 
@@ -170,7 +170,7 @@ role("variants", """SELECT p_partkey AS variant_id, p_type AS chrom, p_partkey *
 
 def reference_freq(spark, sf):
     """A second source of the same variants: some swapped, some on the other strand, some wrong, some absent."""
-    v = variants(spark, sf).where(F.col("variant_id") % 41 != 0)
+    v = variants(spark, sf).where("alt_ct not between 30 and 39")
     m = F.col("variant_id") % 5
     swap, flip = m.isin(1, 3), m.isin(2, 3)
     strand = lambda c: F.when(flip, F.translate(c, "ACGT", "TGCA")).otherwise(F.col(c))
@@ -190,7 +190,7 @@ role("reference_freq", """SELECT variant_id, chrom, pos, rsid,
  CASE WHEN s THEN (CASE WHEN f THEN translate(alt, 'ACGT', 'TGCA') ELSE alt END) ELSE (CASE WHEN f THEN translate(ref, 'ACGT', 'TGCA') ELSE ref END) END AS a2,
  CASE WHEN s THEN 1.0 - fr ELSE fr END AS a1_freq
  FROM (SELECT *, variant_id % 5 IN (1, 3) AS s, variant_id % 5 IN (2, 3) AS f,
-  least(CAST(0.99 AS DOUBLE), greatest(CAST(0.01 AS DOUBLE), alt_ct / CAST(400.0 AS DOUBLE) + (variant_id % 9 - 4) / CAST(100.0 AS DOUBLE))) AS fr FROM variants WHERE variant_id % 41 <> 0)""", "variants")
+  least(CAST(0.99 AS DOUBLE), greatest(CAST(0.01 AS DOUBLE), alt_ct / CAST(400.0 AS DOUBLE) + (variant_id % 9 - 4) / CAST(100.0 AS DOUBLE))) AS fr FROM variants WHERE alt_ct NOT BETWEEN 30 AND 39)""", "variants")
 
 
 def genotypes(spark, sf):
