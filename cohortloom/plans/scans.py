@@ -60,7 +60,8 @@ def _(spark, sf):
     return tables.extract_with_age(o, p, "c_custkey", "o_orderdate", "birth").select("o_orderkey", "c_custkey", r("age").alias("age"))
 
 
-@query("S5_compact_sink")
+@query("S5_compact_sink", sql("variants", f"""SELECT s.pheno_id, rsid, chrom, CAST(pos AS INTEGER) AS pos, alt AS allele1, ref AS allele2, {rs('CAST(CASE WHEN obs_ct > 0 THEN alt_ct / CAST(obs_ct AS DOUBLE) END AS FLOAT)')} AS a1freq,
+ {rs('CAST(beta AS FLOAT)')} AS beta, {rs('CAST(se AS FLOAT)')} AS se, CAST(n AS INTEGER) AS n FROM variants JOIN (SELECT l_returnflag AS pheno_id, l_partkey AS variant_id, avg(l_discount) AS beta, stddev_samp(l_discount) AS se, count(*) AS n FROM lineitem GROUP BY ALL) s USING (variant_id)"""))
 def _(spark, sf):
     path = scratch_path(spark, "compact")
     v = roles.variants(spark, sf)
@@ -70,7 +71,8 @@ def _(spark, sf):
         F.avg("l_discount").alias("beta"), F.stddev("l_discount").alias("se"), F.count(F.lit(1)).alias("n")
     )
     sinks.write_compact(stats, ref, path)
-    return spark.read.parquet(f"{path}/traits").join(spark.read.parquet(f"{path}/reference"), "rsid")
+    back = spark.read.parquet(f"{path}/traits").join(spark.read.parquet(f"{path}/reference"), "rsid")
+    return back.select("pheno_id", "rsid", "chrom", "pos", "allele1", "allele2", r("a1freq").alias("a1freq"), r("beta").alias("beta"), r("se").alias("se"), "n")
 
 
 @query("S6_partitioned_sink", "SELECT p_type AS chrom, count(*) AS n_in, count(*) AS n_out, true AS ok FROM part GROUP BY p_type")

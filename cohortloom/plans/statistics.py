@@ -64,6 +64,26 @@ def _(spark, sf):
     return rcols(S.residualize(z, ["pheno_id"], "z", ["age", "pc1"]).select("pheno_id", "iid", "resid"), "resid")
 
 
+def s_ols(start, ids, keys, y, xs):
+    """CTE chain for a least-squares residual: columns are made orthogonal one after the other. The last CTE is named `fitted`."""
+    ctes, src, left = [], start, list(xs)
+    key = ", ".join(keys)
+    while left:
+        x, left = left[0], left[1:]
+        rest = [*left, y]
+        fit = ", ".join(f"regr_slope({c}, {x}) AS s_{c}, regr_intercept({c}, {x}) AS i_{c}" for c in rest)
+        name = "fitted" if not left else f"o{len(left)}"
+        join = f"JOIN b{len(left)} USING ({key})" if keys else f"CROSS JOIN b{len(left)}"
+        ctes.append(f"b{len(left)} AS (SELECT {key + ', ' if keys else ''}{fit} FROM {src}{' GROUP BY ' + key if keys else ''})")
+        ctes.append(f"{name} AS (SELECT {', '.join([*keys, *ids])}, " + ", ".join(f"{c} - (i_{c} + s_{c} * {x}) AS {c}" for c in rest) + f" FROM {src} {join})")
+        src = name
+    return ", ".join(ctes)
+
+
+_DESIGN = """WITH c AS (SELECT t.pheno_id, t.iid, t.y, t.age, p.sex_01, p.pc1, p.pc2, p.pc3 FROM traits t JOIN people p USING (iid) WHERE p.sex_01 IS NOT NULL), m AS (SELECT pheno_id, avg(age) AS ma FROM c GROUP BY pheno_id),
+ d AS (SELECT pheno_id, iid, y, age - ma AS age_c, sex_01 - CAST(0.5 AS DOUBLE) AS sex_h, (age - ma) * (sex_01 - CAST(0.5 AS DOUBLE)) AS age_sex, pc1, pc2, pc3 FROM c JOIN m USING (pheno_id)), """
+
+
 @query("T3_covariate_design", sql("traits people", f"""WITH c AS (SELECT t.pheno_id, t.iid, t.y, t.age, p.sex_01, p.pc1, p.pc2 FROM traits t JOIN people p USING (iid) WHERE p.sex_01 IS NOT NULL), m AS (SELECT pheno_id, avg(age) AS ma FROM c GROUP BY pheno_id)
  SELECT pheno_id, iid, {rs('age - ma')} AS age_c, {rs('sex_01 - 0.5')} AS sex_h, {rs('(age - ma) * (sex_01 - 0.5)')} AS age_sex, {rs('pc1')} AS pc1, {rs('pc2')} AS pc2 FROM c JOIN m USING (pheno_id)"""))
 def _(spark, sf):
@@ -71,10 +91,10 @@ def _(spark, sf):
     return rcols(d.select("pheno_id", "iid", *cols), *cols)
 
 
-@query("T3_design_residuals")
+@query("T3_design_residuals", sql("traits people", _DESIGN + s_ols("d", ["iid"], ["pheno_id"], "y", ["age_c", "sex_h", "age_sex", "pc1", "pc2", "pc3"]) + f" SELECT pheno_id, iid, {rs('y', 5)} AS resid FROM fitted"))
 def _(spark, sf):
     d, cols = S.design(roles.traits(spark, sf), roles.people(spark, sf), "full", ["pc1", "pc2", "pc3"])
-    return S.residualize(d, ["pheno_id"], "y", cols).select("pheno_id", "iid", "resid")
+    return S.residualize(d, ["pheno_id"], "y", cols).select("pheno_id", "iid", r("resid", 5).alias("resid"))
 
 
 @query("T4_eligibility", sql("traits single", """SELECT pheno_id, n, cases, controls, levels, CASE WHEN n < 100 THEN 'too_few_rows' WHEN levels < 3 THEN 'too_few_levels' END AS skip_reason FROM
@@ -150,10 +170,11 @@ def _(spark, sf):
     return rcols(S.cronbach_alpha(roles.scores(spark, sf), ["x1", "x3", "target"]), "alpha")
 
 
-@query("T13_age_sex_z")
+@query("T13_age_sex_z", sql("people", "WITH d AS (SELECT iid, pc1 AS y, age, age * age AS age2, CAST(sex_01 AS DOUBLE) AS sex_d FROM people WHERE sex_01 IS NOT NULL), " + s_ols("d", ["iid"], [], "y", ["age", "age2", "sex_d"])
+ + f" SELECT iid, {rs('(y - m) / s')} AS z FROM fitted, (SELECT avg(y) AS m, stddev_samp(y) AS s FROM fitted)"))
 def _(spark, sf):
     p = roles.people(spark, sf).where("sex_01 is not null")
-    return S.age_sex_z(p, "pc1").select("iid", "z")
+    return rcols(S.age_sex_z(p, "pc1").select("iid", "z"), "z")
 
 
 @query("T14_first_component", sql("scores", f"""WITH m AS (SELECT avg(x2) AS m2, stddev_samp(x2) AS s2, avg(x3) AS m3, stddev_samp(x3) AS s3 FROM scores)
@@ -190,9 +211,11 @@ def _(spark, sf):
     return rcols(S.recommended_scores(long, rules, ["price", "count_task"]), "price", "count_task")
 
 
-@query("T18_admin_sensitivity")
+@query("T18_admin_sensitivity", sql("scores", f"""WITH k AS (SELECT segment, row_number() OVER (ORDER BY segment) AS lv FROM (SELECT DISTINCT segment FROM scores)), d AS (SELECT iid, target AS base, target AS y, x1, x2, {', '.join(f'CAST((lv = {i}) AS INTEGER)::DOUBLE AS d{i}' for i in range(2, 6))} FROM scores JOIN k USING (segment)), """
+ + s_ols("d", ["iid"], [], "base", ["x1", "x2"]).replace("fitted", "plain").replace("b0", "p0").replace("b1", "p1").replace("o1", "q1") + ", " + s_ols("d", ["iid"], [], "y", ["x1", "x2", "d2", "d3", "d4", "d5"])
+ + f" SELECT count(*) AS n, {rs('corr(base, y)')} AS r, CAST((SELECT count(*) FROM k) AS INTEGER) AS n_levels FROM plain JOIN fitted USING (iid)"))
 def _(spark, sf):
-    return S.admin_sensitivity(roles.scores(spark, sf), "target", "segment", ["x1", "x2"])
+    return rcols(S.admin_sensitivity(roles.scores(spark, sf), "target", "segment", ["x1", "x2"]), "r")
 
 
 @query("T19_refit_sensitivity", sql("indicators", f"""WITH b AS (SELECT regr_slope(x3, x1) AS s3, regr_intercept(x3, x1) AS i3, regr_slope(x2, x1) AS s2, regr_intercept(x2, x1) AS i2 FROM indicators WHERE role = 'oof'),

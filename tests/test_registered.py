@@ -16,7 +16,7 @@ NAMES = [
     "B2_complement_collapse", "B13_composite_scales", "B16_hurdle", "B27_catalog_classes", "T2_residualize", "T16_pattern_scores", "G2_component_table", "V3_multiallelic_split", "V10_association", "M11_fold_safe_calibration",
 ]
 ROWS_ONLY = {
-    "S5_compact_sink", "S12_fingerprint", "S12_file_fingerprint", "T3_design_residuals", "T13_age_sex_z", "T15_one_factor_score", "T18_admin_sensitivity", "T21_component_candidate", "G3_unrelated_set",
+    "S12_fingerprint", "S12_file_fingerprint", "T15_one_factor_score", "T21_component_candidate", "G3_unrelated_set",
     "V6_ld_prune", "V7_fitted_components", "V10_association_p", "M4_fold_assignment", "M5_cross_fitted_scores", "M8_residual_boost", "M9_stable_split", "M10_direct_fit",
 }
 
