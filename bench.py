@@ -25,7 +25,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "4"), "bench", memory=os.environ.get("BENCH_MEMORY", "5g"))
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{sf_dir}/region.parquet").count()  # start-up is not part of any query
+    # Start-up of the JVM and of the Python workers is not part of any query.
+    spark.read.parquet(f"{sf_dir}/region.parquet").count()
+    spark.range(8).mapInPandas(lambda it: it, "id long").count()
     names = sys.argv[1:] or HEADLINE
     times = {}
     for name in names:

@@ -60,12 +60,21 @@ WEEKS_PER_MONTH = 4.345
 
 # Words that mark a sensitive topic.
 TOPIC_PATTERNS = [
+    ("sexual orientation|gay|lesbian|bisexual|straight|heterosexual|queer|asexual", "sexual_orientation"),
+    ("gender identity|transgender|two.?spirit|nonbinary", "gender_identity"),
     ("suicid|kill(ing)? yourself|end your life|self.?harm", "suicidality_self_harm"),
+    ("sexual (intercourse|activity|partner|assault|abuse)|forced.*sex|rape", "sexual_behavior_or_trauma"),
     ("abuse|violence|trauma|assault|hit you|hurt you|threatened", "trauma_violence"),
+    ("drug use|cannabis|marijuana|cocaine|heroin|opioid|hallucinogen|inhalant|stimulant|illicit", "substance_use"),
     ("alcohol|drink(ing)? .*alcohol|binge", "alcohol"),
+    ("menstrua|menopaus|pregnan|ovar|hysterectomy|birth control|abortion|reproductive", "reproductive_menstrual"),
     ("depress|anxiet|bipolar|mania|psychosis|schizophren|panic|ptsd|mental health", "mental_health"),
     ("covid|vaccin|coronavirus|pandemic", "covid_related"),
+    ("income|poverty|food (run out|didn't last)|afford|financial", "financial_hardship"),
+    ("incarcerat|prison|jail|arrest|police|legal (trouble|problem)", "justice_involvement"),
+    ("immigra|citizenship|country.*born|birthplace", "immigration_origin"),
     ("religio|god|spiritual|higher power|faith", "religion"),
+    ("disab|deaf|blind|difficulty (walking|dressing|concentrating)", "disability"),
 ]
 
 # Relatedness cut-offs, filter thresholds and model settings.
