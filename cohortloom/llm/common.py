@@ -37,3 +37,8 @@ def whole(text: Column | str = "text") -> Column:
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
+
+
+def text_key() -> Column:
+    """Tells rows with the same id, or none, apart."""
+    return F.xxhash64(whole())

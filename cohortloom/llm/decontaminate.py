@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .common import whole
+from .common import text_key, whole
 
 #: Positions that count in a run of eight words.
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 4, 5, 7), (0, 2, 3, 5, 6, 7))
@@ -31,10 +31,6 @@ def words(text):
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0)
 
 
-def text_key():
-    return F.xxhash64(whole())
-
-
 def runs(df: DataFrame, keep: list[str]) -> DataFrame:
     """keep, words, pos, h: one row per run of eight words and mask."""
     starts = F.when(F.size("words") >= SPAN, F.sequence(F.lit(0), F.size("words") - SPAN))

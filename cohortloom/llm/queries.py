@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii, quality, sharding
+from . import decontaminate, mixing, ngram_join, pii, quality, sharding
 from .common import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -20,6 +20,11 @@ def op4(spark, sf_dir):
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+@query("op6_ngram_join")
+def op6(spark, sf_dir):
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 @query("op8_quality_rules")
 def op8(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
