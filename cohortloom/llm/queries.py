@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_join, pii, quality, sharding
+from . import decontaminate, lm, mixing, ngram_join, pii, quality, records, sharding
 from .common import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -14,6 +14,13 @@ def op1(spark, sf_dir):
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op3_token_records")
+def op3(spark, sf_dir):
+    import public_tokenizers  # here only: its path is a parameter of the operator
+
+    return records.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query("op4_pii")
 def op4(spark, sf_dir):
     found = pii.report(table(spark, sf_dir, "documents"))
@@ -25,6 +32,12 @@ def op6(spark, sf_dir):
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+@query("op7_lm_scoring")
+def op7(spark, sf_dir):
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    return lm.score(table(spark, sf_dir, "documents"), held)
+
+
 @query("op8_quality_rules")
 def op8(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
