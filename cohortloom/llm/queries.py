@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm, mixing, ngram_join, pii, quality, records, sharding
+from . import decontaminate, lm, mixing, ngram_join, pii, quality, records, sharding, suffix_dedup
 from .common import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -14,6 +14,12 @@ def op1(spark, sf_dir):
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op2_suffix_dedup")
+def op2(spark, sf_dir):
+    clean = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), size=400)
+    return clean.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op3_token_records")
 def op3(spark, sf_dir):
     import public_tokenizers  # here only: its path is a parameter of the operator
