@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm, mixing, ngram_join, pii, quality, records, sharding, suffix_dedup
-from .common import ORACLES, QUERIES, query, table  # noqa: F401
+from . import decontaminate, licenses, lm, mixing, ngram_join, pii, quality, records, sharding, suffix_dedup
+from .common import LOWER, ORACLES, QUERIES, UPPER, query, table  # noqa: F401
 
 
 @query("op1_sharding")
@@ -38,6 +38,43 @@ def op6(spark, sf_dir):
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+LICENSE_SQL = rf"""
+WITH f AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') || '/' || coalesce(lang, '') AS dir FROM documents),
+t AS (SELECT text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM (SELECT DISTINCT text FROM f) WHERE regexp_matches(translate(text, '{UPPER}', '{LOWER}'), '{licenses.SPEAKS}')),
+a AS (SELECT text, words, unnest(string_split(text, chr(10))) AS line FROM t),
+l AS (SELECT DISTINCT * FROM a WHERE regexp_matches(translate(line, '{UPPER}', '{LOWER}'), '{licenses.SPEAKS}')),
+tf AS (SELECT text, term, count(*) AS tf FROM (SELECT text, unnest(regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '{licenses.TERM}')) AS term FROM l) GROUP BY ALL),
+n AS (SELECT count(DISTINCT text) AS n FROM tf),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+m0 AS (SELECT license, term, count(*) AS tf FROM (SELECT license, unnest(regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '{licenses.TERM}')) AS term FROM (VALUES {TEMPLATE_ROWS}) v(license, line)) GROUP BY ALL),
+m AS (SELECT license, m0.term, tf * (ln((1.0 + n) / (1 + coalesce(df, 0))) + 1) AS w FROM m0 LEFT JOIN df ON m0.term = df.term, n),
+w AS (SELECT text, tf.term, tf * (ln((1.0 + n) / (1 + df)) + 1) AS w FROM tf JOIN df ON tf.term = df.term, n),
+s AS (SELECT d.text, d.license, round(dot / nt / nm, 6) AS score FROM (SELECT text, license, sum(w.w * m.w) AS dot FROM w JOIN m ON w.term = m.term GROUP BY ALL) d
+      JOIN (SELECT text, sqrt(sum(w * w)) AS nt FROM w GROUP BY text) x ON d.text = x.text JOIN (SELECT license, sqrt(sum(w * w)) AS nm FROM m GROUP BY license) y ON d.license = y.license),
+b AS (SELECT text, license, score FROM s WHERE score >= 0.5 QUALIFY row_number() OVER (PARTITION BY text ORDER BY score DESC, license) = 1),
+h AS (SELECT text, 2 * sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) >= max(words) AS whole_file FROM l GROUP BY text),
+p AS (SELECT f.doc_id, f.dir, b.license, b.score, h.whole_file FROM f LEFT JOIN b ON f.text = b.text LEFT JOIN h ON b.text = h.text),
+g AS (SELECT dir, license, score FROM p WHERE whole_file AND license IS NOT NULL QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1),
+i AS (SELECT p.dir, g.dir AS above, g.license, g.score FROM (SELECT DISTINCT dir FROM p) p JOIN g ON g.dir = p.dir OR g.dir = split_part(p.dir, '/', 1) OR g.dir = ''
+      QUALIFY row_number() OVER (PARTITION BY p.dir ORDER BY length(g.dir) DESC) = 1)
+SELECT p.doc_id, coalesce(p.license, i.license) AS license, coalesce(p.score, i.score) AS score,
+       CASE WHEN p.license IS NOT NULL AND p.whole_file THEN 'file' WHEN p.license IS NOT NULL THEN 'header' WHEN i.above IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN p.license IS NULL THEN i.above END AS inherited_from
+FROM p LEFT JOIN i ON p.dir = i.dir
+"""
+
+
+@query("op5_license_scan", LICENSE_SQL)
+def op5(spark, sf_dir):
+    """Documents as files: the directory is source/language, the name the id."""
+    d = table(spark, sf_dir, "documents")
+    none = F.lit("")
+    files = d.select(F.concat_ws("/", F.coalesce("source", none), F.coalesce("lang", none), F.coalesce(F.col("doc_id").cast("string"), none)).alias("path"), "text")
+    found = licenses.scan(files)
+    return found.select(F.regexp_extract("path", "([^/]*)$", 1).try_cast("long").alias("doc_id"), "license", "score", "origin", "inherited_from")
+
+
 @query("op7_lm_scoring")
 def op7(spark, sf_dir):
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
