@@ -156,7 +156,8 @@ def learn(model: Model, held: DataFrame, unigrams: DataFrame) -> Model:
         tokens_seen = sum(r.n for r in rows)
         gained = sum(r.ll for r in rows) / max(tokens_seen, 1)
         for r in rows:
-            model.weights[r.bucket] = np.array([r.w0, r.w1, r.w2]) / r.n
+            w = np.maximum(np.array([r.w0, r.w1, r.w2]) / r.n, [0.0, 0.0, 1e-6])  # unseen words keep a chance
+            model.weights[r.bucket] = w / w.sum()
         if last is not None and gained - last < 1e-5 or not tokens_seen:
             return model
         last = gained

@@ -38,9 +38,10 @@ def bounds(spark, total: int, shards: int, slack: float) -> DataFrame:
 def fill(cells: DataFrame, nodes: DataFrame, room: DataFrame) -> DataFrame:
     """Runs of each cell's documents: cell, first number, count n, shard and the shard's slot of the first one.
 
-    cells: cell, pos, n. Nothing here grows with the documents but the number of cells.
+    cells: cell, pos, n. Nothing here grows with the documents but the number of cells. These tables are small by construction, so
+    each is one partition and no step of the rounds shuffles.
     """
-    nodes = cut(nodes)
+    cells, nodes, room = cells.coalesce(1), cut(nodes).coalesce(1), room.coalesce(1)
     size = nodes.count()
     onward = Window.orderBy("at", "kind").rowsBetween(0, Window.unboundedFollowing)
     first = F.first(F.when(F.col("kind") == 1, F.col("idx")), ignorenulls=True).over(onward)
@@ -50,23 +51,23 @@ def fill(cells: DataFrame, nodes: DataFrame, room: DataFrame) -> DataFrame:
     placed = None
     turn = 0
     while True:
-        open_nodes = nodes.join(F.broadcast(room.where("room > 0")), "shard")
+        open_nodes = nodes.join(room.where("room > 0"), "shard")
         twice = open_nodes.select("idx", F.col("idx").alias("to"), "shard", "room").unionByName(open_nodes.select((F.col("idx") + size).alias("idx"), F.col("idx").alias("to"), "shard", "room"))
         ahead = Window.orderBy("idx").rowsBetween(0, Window.unboundedFollowing)
         grid = nodes.select("idx").unionByName(nodes.select((F.col("idx") + size).alias("idx"))).join(twice, "idx", "left")
         route = grid.select(F.col("idx").alias("node"), F.first(F.when(F.col("to").isNotNull(), F.struct("to", "shard", "room")), ignorenulls=True).over(ahead).alias("go")).where(F.col("node") < size)
         before = F.sum("n").over(Window.partitionBy("shard").orderBy("cell", "first").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-        moved = todo.join(F.broadcast(route), "node").select("cell", "first", "n", "go.*").withColumn("take", F.greatest(F.lit(0).cast("long"), F.least("n", F.col("room") - before)))
-        moved = cut(moved)
+        moved = todo.join(route, "node").select("cell", "first", "n", "go.*").withColumn("take", F.greatest(F.lit(0).cast("long"), F.least("n", F.col("room") - before)))
+        moved = cut(moved).coalesce(1)
         taken = moved.where("take > 0").select("cell", "first", F.col("take").alias("n"), "shard", F.lit(turn).alias("turn"))
         placed = taken if placed is None else placed.unionByName(taken)
         todo = moved.where("n > take").select("cell", (F.col("first") + F.col("take")).alias("first"), (F.col("n") - F.col("take")).alias("n"), ((F.col("to") + 1) % size).alias("node"))
         if todo.isEmpty():
             break
-        room = cut(room.join(moved.groupBy("shard").agg(F.sum("take").alias("took")), "shard", "left").select("shard", (F.col("room") - F.coalesce("took", F.lit(0))).alias("room")))
+        room = cut(room.join(moved.groupBy("shard").agg(F.sum("take").alias("took")), "shard", "left").select("shard", (F.col("room") - F.coalesce("took", F.lit(0))).alias("room"))).coalesce(1)
         turn += 1
     earlier = F.sum("n").over(Window.partitionBy("shard").orderBy("turn", "cell", "first").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    return placed.select("cell", "first", "n", "shard", earlier.alias("slot_from"))
+    return placed.coalesce(1).select("cell", "first", "n", "shard", earlier.alias("slot_from"))
 
 
 def assign(docs: DataFrame, shards: int = 8, vnodes: int = 128, bits: int = 16, slack: float = 0.0, unit_rows: int = 1_000_000, seed: int = 1) -> DataFrame:
