@@ -43,8 +43,9 @@ def fill(cells: DataFrame, nodes: DataFrame, room: DataFrame) -> DataFrame:
     """
     cells, nodes, room = cells.coalesce(1), cut(nodes).coalesce(1), room.coalesce(1)
     size = nodes.count()
-    onward = Window.orderBy("at", "kind").rowsBetween(0, Window.unboundedFollowing)
-    first = F.first(F.when(F.col("kind") == 1, F.col("idx")), ignorenulls=True).over(onward)
+    # ordered backwards: a running last value costs a step per row, a first value over what follows would cost the rest of the table
+    behind = Window.orderBy(F.desc("at"), F.desc("kind"), F.desc("idx")).rowsBetween(Window.unboundedPreceding, 0)
+    first = F.last(F.when(F.col("kind") == 1, F.col("idx")), ignorenulls=True).over(behind)
     marks = cells.select(F.col("pos").alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("idx"), "cell", "n").unionByName(
         nodes.select(F.col("pos").alias("at"), F.lit(1).alias("kind"), "idx", F.lit(None).cast("long").alias("cell"), F.lit(None).cast("long").alias("n")))
     todo = marks.withColumn("home", F.coalesce(first, F.lit(0).cast("long"))).where("kind = 0").select("cell", F.lit(0).cast("long").alias("first"), "n", F.col("home").alias("node"))
@@ -53,9 +54,9 @@ def fill(cells: DataFrame, nodes: DataFrame, room: DataFrame) -> DataFrame:
     while True:
         open_nodes = nodes.join(room.where("room > 0"), "shard")
         twice = open_nodes.select("idx", F.col("idx").alias("to"), "shard", "room").unionByName(open_nodes.select((F.col("idx") + size).alias("idx"), F.col("idx").alias("to"), "shard", "room"))
-        ahead = Window.orderBy("idx").rowsBetween(0, Window.unboundedFollowing)
+        ahead = Window.orderBy(F.desc("idx")).rowsBetween(Window.unboundedPreceding, 0)
         grid = nodes.select("idx").unionByName(nodes.select((F.col("idx") + size).alias("idx"))).join(twice, "idx", "left")
-        route = grid.select(F.col("idx").alias("node"), F.first(F.when(F.col("to").isNotNull(), F.struct("to", "shard", "room")), ignorenulls=True).over(ahead).alias("go")).where(F.col("node") < size)
+        route = grid.select(F.col("idx").alias("node"), F.last(F.when(F.col("to").isNotNull(), F.struct("to", "shard", "room")), ignorenulls=True).over(ahead).alias("go")).where(F.col("node") < size)
         before = F.sum("n").over(Window.partitionBy("shard").orderBy("cell", "first").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
         moved = todo.join(route, "node").select("cell", "first", "n", "go.*").withColumn("take", F.greatest(F.lit(0).cast("long"), F.least("n", F.col("room") - before)))
         moved = cut(moved).coalesce(1)
