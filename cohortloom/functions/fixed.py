@@ -8,16 +8,37 @@ MISSING_ANSWERS = [
 ]
 
 # Words ignored when question texts are compared.
-STOPWORDS = (
-    "a about all also an and answer are as at be best by choose describes did disagree do does during for from have how i if in "
-    "is it me month much my of or other past please response say select that the their this to was were what when whether which "
-    "with would you your"
-).split()
+STOPWORDS = [
+    "a", "about", "all", "also", "an", "and", "answer", "are", "as", "at", "be", "best", "by", "choose", "describes", "did", "disagree",
+    "do", "does", "during", "for", "from", "have", "how", "i", "if", "in", "is", "it", "me", "month", "much", "my", "of", "or", "other",
+    "past", "please", "response", "say", "select", "that", "the", "their", "this", "to", "was", "were", "what", "when", "whether",
+    "which", "with", "would", "you", "your",
+]
 
 # Answers that read as a control on a two-answer question.
 CONTROL_ANSWERS = ["no", "none", "never", "no problems", "no problem", "no attempt", "usa", "united states", "united states of america"]
 CONTROL_PREFIXES = ["no ", "not ", "none ", "never ", "stayed about the same"]
 
+# Kinds of answers to a two-answer question, worst to best, and the normalized spellings of those told by their text.
+ANSWER_KINDS = ["control", "plain", "numeric", "other", "problem", "affirmed"]
+ANSWER_KIND_PATTERNS = {
+    "affirmed": r"\A(yes|true)\z",
+    "problem": r"too many|needed treatment|caused problems",
+    "other": r"\A(other\z|other |attempt)",
+}
+
+# What a coverage audit calls a question, by (has traits, has skipped traits), else by its disposition.
+COVERAGE_MADE = {(True, True): "covered_passed_and_qc_skipped", (True, False): "covered_passed", (False, True): "covered_qc_skipped"}
+COVERAGE_DISPOSITIONS = {
+    None: "missing_metadata_no_encoding_rule", "excluded": "explicitly_excluded", "ordinal_and_binary": "missing_expected_no_manifest_or_skip",
+    "binary_only": "missing_expected_no_manifest_or_skip", "nominal_binary": "missing_expected_no_manifest_or_skip",
+    "numeric": "missing_expected_no_manifest_or_skip", "else": "metadata_non_gwas_disposition",
+}
+
+# Dispositions of a question by its class alone, and the filters a trait may have.
+CLASS_DISPOSITIONS = {"descriptive": "excluded_descriptive", "date_text": "excluded_date", "free_text": "excluded_free_text"}
+SEX_FILTERS = ["all", "female", "male"]
+
 # Years of schooling and income midpoints (thousands), lowest category first.
 EDUCATION_YEARS = [9.0, 9.0, 9.0, 10.0, 13.0, 15.0, 18.0, 20.0]
 INCOME_MIDPOINTS = [5.0, 17.5, 30.0, 42.5, 62.5, 87.5, 125.0, 175.0, 250.0]

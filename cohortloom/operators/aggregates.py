@@ -170,10 +170,12 @@ def rollup_summary(df: DataFrame, key: str, sums: list[str], mins: list[str], ma
 
 
 def level_histogram(df: DataFrame, value: str, lo: int, hi: int) -> DataFrame:
-    """Counts at every integer level from lo to hi, zeros included."""
-    counts = df.where(F.col(value).between(lo, hi)).groupBy(F.col(value).cast("int").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    """Counts at every integer level from lo to hi, zeros included; values that are no such level are counted under the level null."""
+    v = F.col(value)
+    level = F.when(v.between(lo, hi) & (v == F.floor(v)), v.cast("int"))
+    counts = df.where(v.isNotNull()).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"))
     dim = df.sparkSession.range(lo, hi + 1).select(F.col("id").cast("int").alias("level"))
-    return dim.join(counts, "level", "left").fillna(0, ["n"])
+    return dim.join(counts, "level", "left").fillna(0, ["n"]).unionByName(counts.where("level is null"))
 
 
 def level_moments(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -20,28 +20,33 @@ def one_vs_rest(answers: DataFrame) -> DataFrame:
     per option of the question and never per other person.
     """
     chosen = answers.groupBy("pid", "qid").agg(F.collect_set("answer").alias("chosen"), F.min("age").alias("age"))
-    options = answers.select("qid", F.col("answer").alias("option")).distinct()
+    options = answers.select("qid", F.col("answer").alias("option")).distinct().withColumn("slug", T.slug(T.answer_tail("option")))
+    alike = options.groupBy("qid", "slug").agg(F.count(F.lit(1)).alias("alike"))
+    mark = F.when(F.col("alike") > 1, F.substring(F.md5("option"), 1, 8))  # options that share their first 40 characters stay apart
+    options = options.join(alike, ["qid", "slug"]).select("qid", "option", F.concat_ws("_", F.lit("bin"), "qid", "slug", mark).alias("pheno_id"))
     j = chosen.join(options, "qid")
     return j.select(
-        F.concat_ws("_", F.lit("bin"), F.col("qid"), T.slug(T.answer_tail("option"))).alias("pheno_id"), "qid", "option", F.col("pid").alias("iid"),
+        "pheno_id", "qid", "option", F.col("pid").alias("iid"),
         F.array_contains("chosen", F.col("option")).cast("double").alias("y"), "age",
     )
 
 
 def preference(answer: str | Column, value: str | Column) -> Column:
-    """Which of two complementary answers is worth a trait; larger wins, ties by text."""
+    """How much an answer is worth as the side of a two-answer question that becomes the trait; larger wins.
+
+    The kind decides, then the number of numeric answers, then the text. Each kind has its own test; the best kind whose test holds counts,
+    but a numeric answer is never a control and only what fits nothing else is plain.
+    """
     key = T.answer_norm(answer)
-    number = T.parse_number(key, strict=False)
-    value = T.col(value)
-    rank = (
-        F.when(key.isin("yes", "true"), 7)
-        .when(key.contains("too many") | key.contains("needed treatment") | key.contains("caused problems"), 6)
-        .when((key == "other") | key.startswith("other ") | key.startswith("attempt"), 5)
-        .when(value.isNotNull() | number.isNotNull(), 4)
-        .when(T.control_like(answer), 0)
-        .otherwise(3)
-    )
-    return F.struct(rank.alias("rank"), F.when(rank == 4, F.coalesce(value, number)).otherwise(0.0).alias("value"), key.alias("text"))
+    number = F.coalesce(T.col(value), T.parse_number(key, strict=False))
+    tests = {kind: key.rlike(pattern) for kind, pattern in fixed.ANSWER_KIND_PATTERNS.items()}
+    tests["numeric"] = number.isNotNull()
+    tests["plain"] = ~T.control_like(answer)
+    tests["control"] = F.lit(True)
+    places = [F.when(F.coalesce(tests[kind], F.lit(False)), F.lit(place)) for place, kind in enumerate(fixed.ANSWER_KINDS)]
+    place = F.greatest(*places)
+    numeric = fixed.ANSWER_KINDS.index("numeric")
+    return F.struct(place.alias("place"), F.when(place == numeric, number).otherwise(0.0).alias("value"), key.alias("text"))
 
 
 def collapse_complement(answers: DataFrame, values: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..session import cut
+from ..session import cut, uncut
 from . import ranks
 from .blocks import name_pairs, pair_stats
 from .joins import expand_neighbours
@@ -25,29 +25,29 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u"), F.col("v")).unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def component_labels(edges: DataFrame, a: str = "iid1", b: str = "iid2", max_rounds: int = 60) -> DataFrame:
+def component_labels(edges: DataFrame, a: str = "iid1", b: str = "iid2") -> DataFrame:
     """Least member of the component for every node with an edge.
 
     Alternating large-star and small-star steps: neighbours above a node move to the least neighbour, then those below, until
-    the edges are stars. Rounds grow with the logarithm of the size, each ends in a written table, hubs are split by the
-    adaptive skew join because a hub's minimum is a single row.
+    the edges are stars and a round changes nothing. Rounds grow with the logarithm of the size; each ends in a written table that replaces
+    the one before; hubs are split by the adaptive skew join because a hub's minimum is a single row.
     """
     e = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     seen = None
-    for _ in range(max_rounds):
+    while True:
         near = _both_ways(e)
         least = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = cut(near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         j = large.join(low, "u")
         small = j.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        e = cut(small)
+        before, e = e, cut(small)
+        uncut(before)
+        uncut(large)
         mark = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             break
         seen = mark
-    else:
-        raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("iid"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("iid"), F.col("v").alias("component")).distinct())
 
 
@@ -62,11 +62,13 @@ def components(edges: DataFrame, min_size: int = 3) -> tuple[DataFrame, DataFram
     return labels, table
 
 
-def independent_set(nodes: DataFrame, pairs: DataFrame, priority: DataFrame | None = None, max_rounds: int = 200) -> DataFrame:
+def independent_set(nodes: DataFrame, pairs: DataFrame, priority: DataFrame | None = None, bands: int = 16) -> DataFrame:
     """Maximal set of nodes without a pair inside.
 
-    Every round keeps the nodes that come before all their remaining neighbours (fewest pairs first, or the given priority, then
-    a hash, then the id) and removes those neighbours. Only the removed ids are carried, so the result is nodes minus removed.
+    Every round keeps the nodes that come before all their remaining neighbours and removes those neighbours, until no pair is left.
+    The order is the band of the priority (fewest pairs, or the given one, cut at its quantiles), then a hash, then the id: priorities that
+    run smoothly along a chain would settle it a few nodes a round, hashes settle all but a few in a number of rounds that grows with the
+    logarithm of the size. Only the removed ids are carried, so the result is nodes minus removed.
     """
     key = nodes.columns[0]
     both = _both_ways(pairs.select(F.col(pairs.columns[0]).alias("u"), F.col(pairs.columns[1]).alias("v")).where("u <> v")).distinct()
@@ -76,19 +78,22 @@ def independent_set(nodes: DataFrame, pairs: DataFrame, priority: DataFrame | No
         rank = both.groupBy("u").agg(F.count(F.lit(1)).cast("double").alias("p"))
     else:
         rank = priority.select(F.col(priority.columns[0]).alias("u"), F.col(priority.columns[1]).cast("double").alias("p"))
-    rank = rank.select("u", F.struct("p", F.xxhash64("u").alias("h"), F.col("u").alias("id")).alias("pu"))
+    rank = cut(rank)
+    marks = [k / bands for k in range(1, bands)]
+    limits = sorted(set(rank.agg(F.percentile_approx("p", F.array(*map(F.lit, marks)), 1000)).first()[0] or []))  # at most 15 numbers
+    band = sum(((F.col("p") > float(x)).cast("int") for x in limits), F.lit(0))
+    rank = rank.select("u", F.struct(band.alias("p"), F.xxhash64("u").alias("h"), F.col("u").alias("id")).alias("pu"))
     live = both.join(rank, "u").join(rank.select(F.col("u").alias("v"), F.col("pu").alias("pv")), "v")
     live = cut(live.select("u", "v", "pu", "pv"))
     removed = None
-    for _ in range(max_rounds):
+    while True:
         if live.isEmpty():
             break
         first = live.groupBy("u", "pu").agg(F.min("pv").alias("best")).where("pu < best").select("u")
         gone = cut(live.join(first, "u", "left_semi").select(F.col("v").alias("u")).distinct())
         removed = gone if removed is None else removed.unionByName(gone)
-        live = cut(live.join(gone, "u", "left_anti").join(gone.withColumnRenamed("u", "v"), "v", "left_anti").select("u", "v", "pu", "pv"))
-    else:
-        raise RuntimeError("independent set did not settle")
+        before, live = live, cut(live.join(gone, "u", "left_anti").join(gone.withColumnRenamed("u", "v"), "v", "left_anti").select("u", "v", "pu", "pv"))
+        uncut(before)
     return nodes if removed is None else nodes.join(removed.withColumnRenamed("u", key), key, "left_anti")
 
 
@@ -98,12 +103,15 @@ def unrelated(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, t: float = f
     return independent_set(candidates.select("iid"), edges.where(F.col("kinship") >= t).select("iid1", "iid2"))
 
 
-def verify_unrelated(kept: DataFrame, nodes: DataFrame, edges: DataFrame, t: float = fixed.UNRELATED_CUT) -> DataFrame:
-    """Counts that must be zero: kept ids unknown to the start set, and related pairs inside the kept set."""
+def verify_unrelated(kept: DataFrame, nodes: DataFrame, edges: DataFrame, seeds: DataFrame, t: float = fixed.UNRELATED_CUT) -> DataFrame:
+    """Counts that must be zero: kept ids unknown to the start set, related pairs inside the kept set, and ids off the seeds and their
+    relatives that could still be added."""
     strong = edges.where(F.col("kinship") >= t)
     inside = strong.join(kept.withColumnRenamed("iid", "iid1"), "iid1", "left_semi").join(kept.withColumnRenamed("iid", "iid2"), "iid2", "left_semi")
     stray = kept.join(nodes, "iid", "left_anti")
-    return stray.agg(F.count(F.lit(1)).alias("n_unknown")).crossJoin(inside.agg(F.count(F.lit(1)).alias("n_related_pairs")))  # two single rows
+    free = nodes.select("iid").join(expand_neighbours(seeds, edges, t), "iid", "left_anti").join(expand_neighbours(kept.select("iid"), edges, t), "iid", "left_anti")
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return one(stray, "n_unknown").crossJoin(one(inside, "n_related_pairs")).crossJoin(one(free, "n_addable"))  # single rows
 
 
 def kin_holdout(train: DataFrame, applied: DataFrame, edges: DataFrame, t: float = fixed.UNRELATED_CUT) -> tuple[DataFrame, DataFrame]:

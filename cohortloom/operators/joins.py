@@ -184,28 +184,23 @@ def crosswalk(live: DataFrame, catalog: DataFrame, explicit: DataFrame, coverage
     """
     # Text is normalized once; all four steps read the written result.
     live = cut(live.select("qid", "survey", T.norm_question("question").alias("norm"), T.compact_key("question").alias("compact"), T.content_tokens("question").alias("live_tokens")))
-    cat = catalog.select("item", F.col("survey"), "label", T.norm_question("label").alias("norm"), T.compact_key("item").alias("compact"))
+    cat = cut(catalog.select("item", F.col("survey"), T.norm_question("label").alias("norm"), T.compact_key("item").alias("compact"), T.content_tokens("label").alias("tokens")))
 
     by_id = explicit.select("qid", T.compact_key("item").alias("compact")).join(cat.groupBy("compact").agg(F.min("item").alias("item")), "compact").select("qid", "item", F.lit(1).alias("step"))
     by_text = live.select("qid", "norm").join(cat.groupBy("norm").agg(F.min("item").alias("item")), "norm").select("qid", "item", F.lit(2).alias("step"))
 
-    lengths = sorted(row[0] for row in cat.select(F.length("compact")).distinct().limit(1001).collect() if row[0])
-    if len(lengths) > 1000:
-        raise ValueError("codebook ids have more than 1000 different lengths")
-    ends = F.array(*[F.lit(n) for n in lengths])
-    live_ends = live.where("compact <> ''").select(
-        "qid", "survey", F.explode(F.transform(F.filter(ends, lambda n: n <= F.length("compact")), lambda n: F.right(F.col("compact"), n))).alias("end")
-    )
+    longest = cat.agg(F.max(F.length("compact"))).first()[0] or 0
+    live_ends = live.where("compact <> ''").select("qid", "survey", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("compact"), F.lit(max(longest, 1)))), lambda n: F.right(F.col("compact"), n))).alias("end"))
     item_ends = cat.where("compact <> ''").select("item", "survey", F.explode(F.transform(F.sequence(F.lit(1), F.length("compact")), lambda n: F.right(F.col("compact"), n))).alias("end"))
     suffix = live_ends.join(cat.select("item", "survey", F.col("compact").alias("end")), ["survey", "end"]).select("qid", "item").unionByName(
         live.where("compact <> ''").select("qid", "survey", F.col("compact").alias("end")).join(item_ends, ["survey", "end"]).select("qid", "item")
     )
     by_suffix = suffix.distinct().groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("item").alias("item")).where("n = 1").select("qid", "item", F.lit(3).alias("step"))
 
-    live_tok = live.select("qid", "survey", "live_tokens")
-    words = live_tok.select("qid", "survey", F.explode("live_tokens").alias("token"))
+    words = live.select("qid", "survey", F.explode(F.array_distinct("live_tokens")).alias("token"))
     common = words.groupBy("survey", "token").agg(F.count(F.lit(1)).alias("n_live"))
-    labels = cat.select("item", "survey", T.content_tokens("label").alias("tokens")).where(F.size("tokens") >= 2)
+    labels = cat.select("item", "survey", "tokens").where(F.size("tokens") >= 2)
+    label_words = labels.select("item", "survey", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     need = F.size("tokens") - F.ceil(F.lit(coverage) * F.size("tokens") - 1e-9) + 1
     ranked = (
         labels.select("item", "survey", F.explode("tokens").alias("token"))
@@ -216,10 +211,12 @@ def crosswalk(live: DataFrame, catalog: DataFrame, explicit: DataFrame, coverage
     )
     probes = ranked.select("item", "survey", F.explode(F.slice("rare", F.lit(1), need.cast("int"))).alias("p")).select("item", "survey", "p.token")
     pairs = words.join(probes, ["survey", "token"]).select("qid", "item", "survey").distinct()
+    # Hits are counted by key; no token array travels with a pair.
     scored = (
-        pairs.join(live_tok.select("qid", "survey", "live_tokens"), ["qid", "survey"])
-        .join(labels, ["item", "survey"])
-        .select("qid", "item", F.size("tokens").alias("n"), F.size(F.array_intersect("tokens", "live_tokens")).alias("hit"))
+        pairs.join(label_words, ["item", "survey"])
+        .join(words, ["qid", "survey", "token"])
+        .groupBy("qid", "item", "survey")
+        .agg(F.max("n").alias("n"), F.count(F.lit(1)).cast("int").alias("hit"))
         .withColumn("cov", F.col("hit") / F.col("n"))
         .where(F.col("cov") >= coverage - 1e-12)
     )

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions import text as T
 
 
@@ -65,14 +66,11 @@ def coverage(scan: DataFrame, catalog: DataFrame, made: DataFrame, skipped: Data
     m = made.groupBy("qid").agg(F.count(F.lit(1)).alias("n_made"))
     s = skipped.groupBy("qid").agg(F.count(F.lit(1)).alias("n_skipped"))
     out = scan.join(m, "qid", "left").join(s, "qid", "left").join(catalog.select("qid", "disposition"), "qid", "left")
-    made_any, skip_any = F.col("n_made").isNotNull(), F.col("n_skipped").isNotNull()
-    status = (
-        F.when(made_any & skip_any, "covered_passed_and_qc_skipped")
-        .when(made_any, "covered_passed")
-        .when(skip_any, "covered_qc_skipped")
-        .when(F.col("disposition").isNull(), "missing_metadata_no_encoding_rule")
-        .when(F.col("disposition").startswith("excluded"), "explicitly_excluded")
-        .when(F.col("disposition").isin("ordinal_and_binary", "binary_only", "nominal_binary", "numeric"), "missing_expected_no_manifest_or_skip")
-        .otherwise("metadata_non_gwas_disposition")
-    )
+    made_status = F.create_map(*[F.lit(x) for (m, k), name in fixed.COVERAGE_MADE.items() for x in (f"{m}{k}".lower(), name)])
+    state = F.concat(F.col("n_made").isNotNull().cast("string"), F.col("n_skipped").isNotNull().cast("string"))
+    named = {k: v for k, v in fixed.COVERAGE_DISPOSITIONS.items() if k not in (None, "else")}
+    by_disposition = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+    kind = F.regexp_replace("disposition", "^excluded.*", "excluded")
+    rest = F.when(kind.isNull(), F.lit(fixed.COVERAGE_DISPOSITIONS[None])).otherwise(F.coalesce(by_disposition[kind], F.lit(fixed.COVERAGE_DISPOSITIONS["else"])))
+    status = F.coalesce(made_status[state], rest)
     return out.withColumn("status", status).fillna(0, ["n_made", "n_skipped"])

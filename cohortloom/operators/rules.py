@@ -5,36 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from ..functions import text as T
 
 
-def answer_candidates(answer: str | Column) -> Column:
-    """Spellings tried in order: the normalized answer, what precedes ';', and 'N to M' as 'N-M'."""
+def answer_candidates(answer: str | Column, dash: Column) -> Column:
+    """Spellings tried in order: the normalized answer, what precedes ';', and 'N to M' as 'N-M' for rules that ask for it."""
     key = T.answer_norm(answer)
     head = F.when(key.contains(";"), F.trim(F.substring_index(key, ";", 1)))
-    dash = F.when(key.rlike(r"\A[0-9]+[ ]+to[ ]+[0-9]+\z"), F.regexp_replace(key, r"\A([0-9]+)[ ]+to[ ]+([0-9]+)\z", "$1-$2"))
+    dash = F.when(dash & key.rlike(r"\A[0-9]+[ ]+to[ ]+[0-9]+\z"), F.regexp_replace(key, r"\A([0-9]+)[ ]+to[ ]+([0-9]+)\z", "$1-$2"))
     return F.array_compact(F.array(key, head, dash))
 
 
 def apply_rules(df: DataFrame, rules: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """Value of each row's answer under its named rule.
 
-    `df` has rule and answer (and item, when overrides are given); `rules` has rule, label, value, local_missing; `overrides` has
-    item, label, value and wins. A locally missing spelling makes the answer missing. Distinct (item, rule, answer) triples are
-    resolved once and joined back, so the work on text does not grow with the rows.
+    `df` has rule and answer; `rules` has rule, label, value, local_missing, and optionally dash (the rule reads 'N to M' as 'N-M');
+    `overrides` has rule, label, value and is asked after the rule's own labels. A locally missing spelling makes the answer missing,
+    whatever an override says. Distinct (rule, answer) pairs are resolved once and joined back, so the work on text does not grow
+    with the rows.
     """
-    keys = ["rule", "answer"] + (["item"] if overrides is not None else [])
-    cands = df.select(*keys).distinct().select(*keys, F.posexplode(answer_candidates("answer")).alias("try", "label"))
+    keys = ["rule", "answer"]
+    asked = df.select(*keys).distinct()
+    if "dash" in rules.columns:
+        asked = asked.join(rules.groupBy("rule").agg(F.bool_or("dash").alias("_dash")), "rule", "left")
+    else:
+        asked = asked.withColumn("_dash", F.lit(False))
+    cands = asked.select(*keys, F.posexplode(answer_candidates("answer", F.coalesce("_dash", F.lit(False)))).alias("try", "label"))
     hit = cands.join(rules.select("rule", "label", "value", "local_missing"), ["rule", "label"], "left")
     first = F.min_by("value", F.when(F.col("value").isNotNull() & ~F.coalesce("local_missing", F.lit(False)), F.col("try")))
     aggs = [F.coalesce(F.bool_or("local_missing"), F.lit(False)).alias("_missing"), first.alias("_by_rule")]
     if overrides is not None:
-        own = overrides.select("item", "label", F.col("value").alias("_own"))
-        hit = hit.join(own, ["item", "label"], "left")
+        own = overrides.select("rule", "label", F.col("value").alias("_own"))
+        hit = hit.join(own, ["rule", "label"], "left")
         aggs.append(F.min_by("_own", F.when(F.col("_own").isNotNull(), F.col("try"))).alias("_own"))
     per = hit.groupBy(*keys).agg(*aggs)
-    by_rule = F.when(~F.col("_missing"), F.col("_by_rule"))
-    value = F.coalesce("_own", by_rule) if overrides is not None else by_rule
+    found = F.coalesce("_by_rule", "_own") if overrides is not None else F.col("_by_rule")
+    value = F.when(~F.col("_missing"), found)
     cond = [F.col(f"d.{k}").eqNullSafe(F.col(f"v.{k}")) for k in keys]
     return df.alias("d").join(per.select(*keys, value.alias("value")).alias("v"), cond, "left").select("d.*", "v.value")
 
@@ -62,7 +69,7 @@ def harmonize(df: DataFrame, mapping: DataFrame, key: str = "y") -> DataFrame:
 def classify_catalog(items: DataFrame, rules: DataFrame, nominal: DataFrame, excluded: str) -> DataFrame:
     """What becomes of each question: excluded, numeric, binary only, nominal, ordinal and binary, or review.
 
-    `items` has item, field_label, phenotype_class, options; `rules` has rule, label, value, local_missing, confidence and priority.
+    `items` has item, survey (optional, searched for topics as well), field_label, phenotype_class, options; `rules` has rule, label, value, local_missing, confidence and priority.
     A rule fits when it knows every informative option and gives at least 3 levels, or 2 when signed; the first fitting rule wins.
     """
     opts = items.select("item", F.explode(T.parse_options("options")).alias("o")).select("item", T.norm_answer("o.label").alias("label"), T.is_missing_answer("o.label").alias("miss"))
@@ -82,10 +89,9 @@ def classify_catalog(items: DataFrame, rules: DataFrame, nominal: DataFrame, exc
     best = fits.groupBy("item").agg(F.min_by(F.struct("rule", "levels", "confidence"), F.struct("priority", "rule")).alias("b")).select("item", "b.*")
     out = items.join(n_core, "item", "left").join(best, "item", "left").join(nominal.select("item", F.lit(True).alias("_nominal")), "item", "left")
     cls, n = F.col("phenotype_class"), F.coalesce("n_core", F.lit(0))
+    by_class = F.create_map(*[F.lit(x) for pair in fixed.CLASS_DISPOSITIONS.items() for x in pair])
     disposition = (
-        F.when(cls == "descriptive", "excluded_descriptive")
-        .when(cls == "date_text", "excluded_date")
-        .when(cls == "free_text", "excluded_free_text")
+        F.when(by_class[cls].isNotNull(), by_class[cls])
         .when(F.col("field_label").rlike(excluded), "excluded_race_pii_admin")
         .when(cls == "numeric_text", "numeric")
         .when(cls == "multi_select", "binary_only")
@@ -99,7 +105,7 @@ def classify_catalog(items: DataFrame, rules: DataFrame, nominal: DataFrame, exc
     is_ord = disposition == "ordinal_and_binary"
     return out.select(
         "item", disposition.alias("disposition"), n.alias("n_core"), F.when(is_ord, F.col("rule")).alias("rule"), F.when(is_ord, F.col("levels")).alias("levels"),
-        F.array_join(T.tag_topics("field_label"), ";").alias("topics"),
+        F.array_join(T.tag_topics(F.concat_ws(" ", "survey", "field_label") if "survey" in items.columns else F.col("field_label")), ";").alias("topics"),
     )
 
 
@@ -116,10 +122,12 @@ def assert_reserved(manifest: DataFrame, definitions: DataFrame) -> None:
 
 
 def sex_rules(meta: DataFrame, rules: DataFrame) -> DataFrame:
-    """Item-level sex filters; a filtered trait is adjusted for age and components only."""
+    """Item-level sex filters; a filtered trait is adjusted for age and components only. An unknown filter fails, rows without an item included."""
     j = meta.join(rules.select("item", F.lower(F.trim("sex_filter")).alias("_f")), "item", "left")
-    f = F.when(F.lower(F.coalesce("sex_filter", F.lit("all"))) != "all", F.lower("sex_filter")).otherwise(F.coalesce("_f", F.lit("all")))
-    return j.withColumn("sex_filter", f).withColumn("covar_mode", F.when(f != "all", F.lit("agepc")).otherwise(F.col("covar_mode"))).drop("_f")
+    f = F.when(F.lower(F.trim(F.coalesce("sex_filter", F.lit("all")))) != "all", F.lower(F.trim("sex_filter"))).otherwise(F.coalesce("_f", F.lit("all")))
+    known = f.isin(fixed.SEX_FILTERS)
+    f = F.when(known, f).otherwise(F.raise_error(F.concat(F.lit("invalid sex_filter: "), f)).cast("string"))
+    return j.withColumn("sex_filter", f).withColumn("covar_mode", F.when(F.col("sex_filter") != "all", F.lit("agepc")).otherwise(F.col("covar_mode"))).drop("_f")
 
 
 def trait_dictionary(answers: DataFrame, made: DataFrame, skipped: DataFrame) -> DataFrame:

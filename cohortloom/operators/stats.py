@@ -6,12 +6,14 @@ from functools import reduce
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
 from ..functions import fixed
 from ..functions import numeric as N
+from ..session import cut
 from . import ranks
 from .windows import zscore
 
@@ -230,7 +232,9 @@ def factor_loadings(corr: np.ndarray, floor: float = 0.005, rounds: int = 5000,
     values, vectors = np.linalg.eigh(corr)
     lam = vectors[:, -1] * np.sqrt(max(values[-1] - 1.0 / p, 0.1))
     psi = np.clip(1 - lam**2, floor, None)
-    for _ in range(rounds):
+    for turn in range(rounds + 1):
+        if turn == rounds:
+            raise ArithmeticError(f"factor loadings did not settle in {rounds} rounds")
         w = (lam / psi) / (1 + np.sum(lam**2 / psi))
         s_w = corr @ w
         new = s_w / (1 - w @ lam + w @ s_w)
@@ -260,25 +264,28 @@ def one_factor(df: DataFrame, cols: list[str], floor: float = 0.005, out: str =
     return df.dropna(subset=cols).withColumn(out, dot(standardized(df, cols, mean, cov), np.linalg.solve(implied, lam))), info
 
 
-def pattern_weights(spark, loadings: list[float], uniqueness: list[float]) -> DataFrame:
-    """Regression weights for every pattern of observed columns ('101' = first and third); p is at most ten."""
-    p = len(loadings)
-    if p > 10:
-        raise ValueError("at most ten indicators")
-    lam, psi, rows = np.asarray(loadings, float), np.asarray(uniqueness, float), []
-    for bits in range(1, 2**p):
-        seen = [i for i in range(p) if bits >> i & 1]
-        w = np.zeros(p)
-        w[seen] = np.linalg.solve(np.outer(lam[seen], lam[seen]) + np.diag(psi[seen]), lam[seen])
-        rows.append(("".join("1" if i in seen else "0" for i in range(p)), [float(x) for x in w]))
-    return spark.createDataFrame(rows, "pattern string, w array<double>")
+def pattern_weights(patterns: DataFrame, loadings: list[float], uniqueness: list[float]) -> DataFrame:
+    """Regression weights of each pattern of observed columns that occurs ('101' = first and third); the empty pattern has none."""
+    lam, psi = np.asarray(loadings, float), np.asarray(uniqueness, float)
+
+    def solve(batches):
+        for b in batches:
+            rows = []
+            for pattern in b["pattern"]:
+                seen = [i for i, c in enumerate(pattern) if c == "1"]
+                w = np.zeros(len(lam))
+                w[seen] = np.linalg.solve(np.outer(lam[seen], lam[seen]) + np.diag(psi[seen]), lam[seen])
+                rows.append((pattern, w.tolist()))
+            yield pd.DataFrame(rows, columns=["pattern", "w"])
+
+    return patterns.where(F.col("pattern").contains("1")).mapInPandas(solve, "pattern string, w array<double>")
 
 
 def pattern_scores(df: DataFrame, cols: list[str], loadings: list[float], uniqueness: list[float], out: str = "score") -> DataFrame:
     """Factor score from whatever standardized indicators a row has; rows without any have none."""
-    weights = pattern_weights(df.sparkSession, loadings, uniqueness)
     pattern = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in cols])
-    j = df.withColumn("pattern", pattern).join(F.broadcast(weights), "pattern", "left")  # at most 1023 rows
+    rows = df.withColumn("pattern", pattern)
+    j = rows.join(cut(pattern_weights(rows.select("pattern").distinct(), loadings, uniqueness)), "pattern", "left")
     value = reduce(lambda a, ic: a + F.element_at("w", ic[0] + 1) * F.coalesce(ic[1], F.lit(0.0)), enumerate(cols), F.lit(0.0))
     return j.withColumn(out, value).drop("w")
 
@@ -308,18 +315,19 @@ def lump_rare(df: DataFrame, col: str, least: int = 20, other: str = "other") ->
 
 
 def admin_sensitivity(df: DataFrame, score: str, category: str, covars: list[str], least: int = 20) -> DataFrame:
-    """Correlation of the score's z with the z after category dummies are added to the covariates."""
-    rows = lump_rare(df, category, least)
-    levels = sorted(x[0] for x in rows.select(category).distinct().limit(101).collect())
-    if len(levels) > 100:
-        raise ValueError("too many categories for dummies")
-    dummies = []
-    for i, level in enumerate(levels[1:]):
-        rows = rows.withColumn(f"_d{i}", (F.col(category) == level).cast("double"))
-        dummies.append(f"_d{i}")
+    """Correlation of the score's z with the z after category effects are added to the covariates.
+
+    A dummy per category gives the residuals of regressing within categories: score and covariates less their category means, joined as
+    a table, so any number of categories will do.
+    """
+    used = [score, *covars]
+    rows = lump_rare(df, category, least).dropna(subset=used)
+    means = rows.groupBy(category).agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(used)])
+    n_levels = means.count()
+    rows = rows.join(means, category).withColumns({f"_w{i}": F.col(c) - F.col(f"_m{i}") for i, c in enumerate(used)})
     base = zscore(residualize(rows, [], score, covars, "_r0"), "_r0", None, "base_z")
-    again = zscore(residualize(base, [], score, [*covars, *dummies], "_r1"), "_r1", None, "adjusted_z")
-    return pearson(again, [], "base_z", "adjusted_z").withColumn("n_levels", F.lit(len(levels)))
+    again = zscore(residualize(base, [], "_w0", [f"_w{i}" for i in range(1, len(used))], "_r1"), "_r1", None, "adjusted_z")
+    return pearson(again, [], "base_z", "adjusted_z").withColumn("n_levels", F.lit(n_levels))
 
 
 def refit_sensitivity(df: DataFrame, cols: list[str], base: str, subset: Column | None = None, covars: list[str] = ()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alleles as L
 from ..functions import numeric as N
-from ..session import LIST_ROWS, cut, key_list
+from ..session import LIST_BYTES, cut, key_list
 from . import aggregates as A
 from . import joins as J
 from . import ranks
@@ -176,9 +176,9 @@ def fit_pcs(genotypes: DataFrame, k: int, rounds: int = 8, seed: int = 7, spare:
     sums = [F.sum(F.col("z") * F.col(c)).alias(c) for c in names]
     samples = z.select("sample_id").distinct()
     n_samples, n_variants = z.agg(F.count_distinct("sample_id"), F.count_distinct("variant_id")).first()
-    # Sides with at most LIST_ROWS rows of k numbers are broadcast, so the cells are not shuffled for the joins.
-    per_sample = F.broadcast if n_samples <= LIST_ROWS else (lambda d: d)
-    per_variant = F.broadcast if n_variants <= LIST_ROWS else (lambda d: d)
+    # Sides of at most LIST_BYTES (a key and q numbers a row) are broadcast, so the cells are not shuffled for the joins.
+    small = lambda rows: F.broadcast if rows * (q + 1) * 8 <= LIST_BYTES else (lambda d: d)
+    per_sample, per_variant = small(n_samples), small(n_variants)
     basis = samples.select("sample_id", *[(F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "sample_id"), F.lit(2001)) / 1000.0 - 1.0).alias(c) for i, c in enumerate(names)])
 
     def orthonormal(df: DataFrame) -> tuple[DataFrame, np.ndarray]:
@@ -220,8 +220,8 @@ def associate(genotypes: DataFrame, traits: DataFrame, names: list[str], with_p:
     if len(names) > 64:
         raise ValueError("a batch holds at most 64 traits")
     rows = genotypes.where(F.col("dosage").isNotNull()).select("variant_id", "sample_id", F.col("dosage").cast("double").alias("g"))
-    # At most a million samples of 64 numbers are broadcast (half a gigabyte), so the genotypes are not shuffled by sample.
-    wide = key_list(traits.select("sample_id", *[F.col(f"`{n}`").cast("double").alias(f"y{i}") for i, n in enumerate(names)]), 1_000_000)
+    # Sent to every executor while its files are small, so that the genotypes are not shuffled by sample.
+    wide = key_list(traits.select("sample_id", *[F.col(f"`{n}`").cast("double").alias(f"y{i}") for i, n in enumerate(names)]))
     rows = rows.join(wide, "sample_id")
     aggs: list[Column] = []
     for i in range(len(names)):

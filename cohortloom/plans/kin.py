@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph as G
+from ..session import cut
 from . import roles
 from .aggregations import rcols
 from .registry import query, rs, table
@@ -41,7 +42,7 @@ def kept(spark, sf):
     e = roles.edges(spark, sf)
     rel = G.classify_pairs(e).where("relationship in ('identical', 'sibling') and kinship >= 0.495")
     seeds = rel.select(F.col("iid1").alias("iid")).unionByName(rel.select(F.col("iid2").alias("iid"))).distinct()
-    return G.unrelated(nodes, e, seeds, 0.4), nodes, e
+    return G.unrelated(nodes, e, seeds, 0.4), nodes, e, seeds
 
 
 @query("G3_unrelated_set")
@@ -49,10 +50,10 @@ def _(spark, sf):
     return kept(spark, sf)[0]
 
 
-@query("G3_unrelated_check", "SELECT CAST(0 AS BIGINT) AS n_unknown, CAST(0 AS BIGINT) AS n_related_pairs")
+@query("G3_unrelated_check", "SELECT CAST(0 AS BIGINT) AS n_unknown, CAST(0 AS BIGINT) AS n_related_pairs, CAST(0 AS BIGINT) AS n_addable")
 def _(spark, sf):
-    k, nodes, e = kept(spark, sf)
-    return G.verify_unrelated(k, nodes, e, 0.4)
+    k, nodes, e, seeds = kept(spark, sf)
+    return G.verify_unrelated(cut(k), nodes, e, seeds, 0.4)
 
 
 @query("G4_kinship", sql("genotypes", f"""WITH p AS (SELECT a.sample_id AS iid1, b.sample_id AS iid2, count(*) AS n, sum((a.dosage = 1 AND b.dosage = 1)::INT) AS hh, sum((abs(a.dosage - b.dosage) = 2)::INT) AS z, sum((a.dosage = 1)::INT) AS hi, sum((b.dosage = 1)::INT) AS hj

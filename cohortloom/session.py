@@ -57,17 +57,38 @@ def cut(df: DataFrame) -> DataFrame:
     and gives the planner the true size."""
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    done = df.sparkSession.read.schema(df.schema).parquet(path)
+    done.cut_path = path
+    return done
 
 
-LIST_ROWS = 2_000_000
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def key_list(df: DataFrame, limit: int = LIST_ROWS) -> DataFrame:
-    """A list of keys for a semi or anti join against a huge table: computed once, counted, and broadcast only below the limit.
+def uncut(df: DataFrame | None) -> None:
+    """Delete a cut table that nothing reads any more: rounds keep their last table only."""
+    path = getattr(df, "cut_path", None)
+    if path:
+        fs, where = _files(df.sparkSession, path)
+        fs.delete(where, True)
+
+
+#: Largest files, compressed, that are sent to every executor.
+LIST_BYTES = 64 << 20
+
+
+def sent_whole(done: DataFrame, limit: int = LIST_BYTES) -> DataFrame:
+    """A cut table with a broadcast hint if its files are small enough, else as it is."""
+    fs, where = _files(done.sparkSession, done.cut_path)
+    return F.broadcast(done) if fs.getContentSummary(where).getLength() <= limit else done
+
+
+def key_list(df: DataFrame, limit: int = LIST_BYTES) -> DataFrame:
+    """A list of keys for a semi or anti join against a huge table: computed once, measured, and broadcast only below the limit.
 
     Other joins carry no hint. The planner broadcasts tables whose size it knows; adaptive execution measures derived tables at
     run time, broadcasts the small ones and splits hot keys of the rest.
     """
-    done = cut(df)
-    return F.broadcast(done) if done.count() <= limit else done
+    return sent_whole(cut(df), limit)

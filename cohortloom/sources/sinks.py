@@ -77,7 +77,7 @@ def split_duplicates(df: DataFrame, key: str, order: str) -> DataFrame:
 def fingerprint(df: DataFrame) -> DataFrame:
     """Order-free hash of a table: row count, sum and xor-like second moment of row hashes, columns by name."""
     cols = sorted(df.columns)
-    h = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in cols])
+    h = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]), {"ignoreNullFields": "false"}))  # nulls keep their column
     return df.select(h.alias("h")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.pmod("h", F.lit(2**31))).alias("low_sum"),

@@ -33,6 +33,14 @@ def test_independent_set_is_independent_and_maximal(spark):
     assert all(v in kept or near[v] & kept for v in range(80))
 
 
+def test_independent_set_settles_on_a_long_chain(spark):
+    """Priorities that rise along a chain: the worst order for rounds of local minima."""
+    nodes = spark.range(1000).select(F.col("id").alias("iid"))
+    chain = spark.range(999).select(F.col("id").alias("iid1"), (F.col("id") + 1).alias("iid2"))
+    kept = {r["iid"] for r in G.independent_set(nodes, chain, nodes.select("iid", F.col("iid").cast("double").alias("p"))).collect()}
+    assert not any(i + 1 in kept for i in kept) and all(i in kept or i - 1 in kept or i + 1 in kept for i in range(1000))
+
+
 @pytest.mark.parametrize("k, z, want", [(0.36, 0.0, "identical"), (0.3535, 0.0011, "identical"), (0.3535, 0.0012, None), (0.1767, 0.0012, "sibling"), (0.3, 0.0, "parent_child"), (0.17, 0.0, None)])
 def test_pair_classes(spark, k, z, want):
     df = spark.createDataFrame([(k, z)], "kinship double, ibs0 double")

@@ -66,6 +66,8 @@ def test_fingerprint_ignores_order_and_sees_change(spark):
     c = a.selectExpr("id", "case when id = 3 then 0 else v end as v")
     one, two, three = (sinks.fingerprint(x).first() for x in (a, b, c))
     assert one == two and one != three
+    left, right = (sinks.fingerprint(spark.createDataFrame([row], "a string, b string")).first() for row in (("x", None), (None, "x")))
+    assert left != right
 
 
 def test_checked_inputs_fail(spark):

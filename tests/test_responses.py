@@ -102,11 +102,32 @@ def test_resolution_statuses(spark):
 
 
 def test_rules_spellings(spark):
-    df = spark.createDataFrame([("r", "i", "Cat: Often; daily"), ("r", "i", "4 to 6"), ("r", "i", "Does not apply"), ("r", "o", "often")], "rule string, item string, answer string")
-    rules = spark.createDataFrame([("r", "often", 3.0, False), ("r", "4-6", 5.0, False), ("r", "does not apply", None, True)], "rule string, label string, value double, local_missing boolean")
-    over = spark.createDataFrame([("o", "often", 8.0)], "item string, label string, value double")
-    got = {(r["item"], r["answer"]): r["value"] for r in U.apply_rules(df, rules, over).collect()}
-    assert got == {("i", "Cat: Often; daily"): 3.0, ("i", "4 to 6"): 5.0, ("i", "Does not apply"): None, ("o", "often"): 8.0}
+    df = spark.createDataFrame([("r", "Cat: Often; daily"), ("r", "4 to 6"), ("band", "4 to 6"), ("r", "Does not apply"), ("r", "rarely"), ("o", "often")], "rule string, answer string")
+    rules = spark.createDataFrame([("r", "often", 3.0, False, False), ("r", "4-6", 5.0, False, False), ("band", "4-6", 5.0, False, True), ("r", "does not apply", None, True, False)], "rule string, label string, value double, local_missing boolean, dash boolean")
+    over = spark.createDataFrame([("o", "often", 8.0), ("r", "often", 9.0), ("r", "does not apply", 7.0), ("r", "rarely", 1.0)], "rule string, label string, value double")
+    got = {(r["rule"], r["answer"]): r["value"] for r in U.apply_rules(df, rules, over).collect()}
+    assert got == {("r", "Cat: Often; daily"): 3.0, ("r", "4 to 6"): None, ("band", "4 to 6"): 5.0, ("r", "Does not apply"): None, ("r", "rarely"): 1.0, ("o", "often"): 8.0}
+
+
+def test_unknown_sex_filter_fails(spark):
+    meta = spark.createDataFrame([("a", "full"), ("b", "full")], "item string, covar_mode string").withColumn("sex_filter", F.lit("all"))
+    good = spark.createDataFrame([("a", " Female")], "item string, sex_filter string")
+    assert {(r["item"], r["sex_filter"], r["covar_mode"]) for r in U.sex_rules(meta, good).collect()} == {("a", "female", "agepc"), ("b", "all", "full")}
+    with pytest.raises(Exception, match="invalid sex_filter"):
+        U.sex_rules(meta, good.withColumn("sex_filter", F.lit("unknown"))).collect()
+
+
+def test_options_with_one_slug_stay_apart(spark):
+    long = "a very long answer that goes on for more than forty characters "
+    rows = [("1", "q", long + "one", 30.0), ("2", "q", long + "two", 30.0), ("3", "q", "short", 30.0)]
+    got = B.one_vs_rest(spark.createDataFrame(rows, "pid string, qid string, answer string, age double")).collect()
+    assert len(got) == 9 and len({(r["pheno_id"], r["iid"]) for r in got}) == 9 and "bin_q_short" in {r["pheno_id"] for r in got}
+
+
+def test_topics_search_the_survey(spark):
+    items = spark.createDataFrame([("i", "Disability survey", "How are you", "descriptive", "")], "item string, survey string, field_label string, phenotype_class string, options string")
+    rules = spark.createDataFrame([], "rule string, label string, value double, local_missing boolean, confidence string, priority int")
+    assert U.classify_catalog(items, rules, spark.createDataFrame([], "item string"), "zzz").first()["topics"] == "disability"
 
 
 def test_crosswalk_ladder(spark):

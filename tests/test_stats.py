@@ -1,5 +1,7 @@
 """Ranks, quantiles, regression, factor scores and calibration against numpy on small data."""
 
+import itertools
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -69,7 +71,8 @@ def test_one_factor_recovers_loadings(spark):
 
 def test_pattern_weights_full_pattern_equals_matrix_form(spark):
     lam, psi = np.array([0.8, 0.5, 0.3]), np.array([0.36, 0.75, 0.91])
-    w = {r["pattern"]: r["w"] for r in S.pattern_weights(spark, list(lam), list(psi)).collect()}
+    patterns = spark.createDataFrame([("".join(x),) for x in itertools.product("01", repeat=len(lam))], "pattern string")
+    w = {r["pattern"]: r["w"] for r in S.pattern_weights(patterns, list(lam), list(psi)).collect()}
     assert len(w) == 7 and np.allclose(w["111"], np.linalg.solve(np.outer(lam, lam) + np.diag(psi), lam)) and np.isclose(w["010"][1], 0.5)
 
 
