@@ -25,28 +25,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from . import arrays
 
 BUCKETS = 8
 _END = np.uint64(0x243F6A8885A308D3)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All tokens of the texts, each text's end included, as 64-bit hashes; number of tokens of each text."""
-    words = [(t or "").encode().lower().split() for t in texts]  # bytes: A-Z only, ASCII white space only
-    n = np.array([len(w) + 1 for w in words], np.int64)
-    flat = [w for ws in words for w in ws]
+    hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for _, h, at in arrays.words(column):
+        hashes.append(h)
+        counts.append(np.diff(at))
+    n = np.concatenate(counts) + 1
     out = np.full(int(n.sum()), _END, np.uint64)
-    if flat:
-        codes, names = pd.factorize(np.array(flat, object))
-        own = np.ones(len(out), bool)
-        own[np.cumsum(n) - 1] = False
-        out[own] = _mixed(pd.util.hash_array(names, categorize=False))[codes]
+    own = np.ones(len(out), bool)
+    own[np.cumsum(n) - 1] = False
+    out[own] = np.concatenate(hashes)
     return out, n
 
 
@@ -56,7 +51,7 @@ def before(tok: np.ndarray) -> np.ndarray:
 
 
 def pair(prev: np.ndarray, tok: np.ndarray) -> np.ndarray:
-    return _mixed(prev * np.uint64(0x9E3779B97F4A7C15) + tok)
+    return arrays.mixed(prev * np.uint64(0x9E3779B97F4A7C15) + tok)
 
 
 class Table:
@@ -83,12 +78,18 @@ def _counted(df: DataFrame, keys_of) -> DataFrame:
     """key, c: counted within each batch, then over all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key, c = np.unique(keys_of(tokens(b.column("text").to_pylist())[0]), return_counts=True)
+            key, c = np.unique(keys_of(tokens(b.column("text"))[0]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(c.astype(np.int64))], names=["key", "c"])
 
     return df.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def bucket_of(c: np.ndarray, total: int) -> np.ndarray:
     """0 for predecessors without pairs in the model, then by powers of ten of the relative frequency, rare to frequent."""
     with np.errstate(divide="ignore"):
@@ -134,8 +135,8 @@ def learn(model: Model, held: DataFrame, unigrams: DataFrame) -> Model:
     spread = held.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            tok, _ = tokens(b.column("text").to_pylist())
+        for b in _pieces(batches):
+            tok, _ = tokens(b.column("text"))
             c, prev, both, bucket = spread.value.look_up(tok)
             prev = np.where(both > 0, prev, 0)
             key = np.where(c > 0, np.uint64(0), tok).view(np.int64)
@@ -173,8 +174,8 @@ def score(docs: DataFrame, is_held, heavy: float = 1e-6, pair_share: float = 1e-
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = spread.value
-        for b in batches:
-            tok, n = tokens(b.column("text").to_pylist())
+        for b in _pieces(batches):
+            tok, n = tokens(b.column("text"))
             c, prev, both, bucket = m.look_up(tok)
             w = m.weights[bucket]
             known = c > 0

@@ -33,37 +33,25 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import component_labels
 from ..session import cut
+from . import arrays
 
 WORDS = 5
+PLACE = arrays.mixed(np.arange(1001, 1001 + WORDS, dtype=np.uint64)) | np.uint64(1)  # a factor for each place of a word
 BITS = 26  # of the bitmaps: 8 MB each
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def shingles(texts: list[str | None]) -> list[np.ndarray]:
+def shingles(column: pa.Array) -> Iterator[np.ndarray]:
     """Sorted distinct token hashes of each text."""
-    words = [(t or "").encode().lower().split() for t in texts]  # bytes: A-Z only, ASCII white space only
-    flat = [w for ws in words for w in ws]
-    if not flat:
-        return [np.empty(0, np.uint64)] * len(texts)
-    codes, names = pd.factorize(np.array(flat, object))
-    h = _mixed(pd.util.hash_array(names, categorize=False))[codes]
-    out, at = [], 0
-    for ws in words:
-        x = h[at:at + len(ws)]
-        at += len(ws)
-        k = min(WORDS, len(x))
-        if k:
-            acc = np.full(len(x) - k + 1, k, np.uint64)
-            for i in range(k):
-                acc = _mixed(acc * np.uint64(0x9E3779B97F4A7C15) + x[i:len(x) - k + 1 + i])
-            x = np.unique(acc)
-        out.append(x)
-    return out
+    for _, h, at in arrays.words(column):
+        whole = np.zeros(max(len(h) - WORDS + 1, 0), np.uint64)
+        for i in range(WORDS):
+            whole += h[i:len(h) - WORDS + 1 + i] * PLACE[i]
+        whole = arrays.mixed(whole)
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            if b - a >= WORDS:
+                yield np.unique(whole[a:b - WORDS + 1])
+            else:  # a short text is one token, or none
+                yield arrays.mixed((h[a:b] * PLACE[:b - a]).sum(dtype=np.uint64, keepdims=True) + np.uint64(b - a)) if b > a else h[:0]
 
 
 def node_of(tokens: np.ndarray) -> int | None:
@@ -73,7 +61,7 @@ def node_of(tokens: np.ndarray) -> int | None:
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     """Distinct sets of a batch: copies within it count once from here on."""
     seen = set()
-    for tokens in shingles(batch.column("text").to_pylist()):
+    for tokens in shingles(batch.column("text")):
         node = node_of(tokens)
         if node is not None and node not in seen:
             seen.add(node)
@@ -84,7 +72,7 @@ def nodes(docs: DataFrame) -> DataFrame:
     """doc_id, node (null without words), n."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = shingles(b.column("text").to_pylist())
+            sets = list(shingles(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([node_of(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64())], names=["doc_id", "node", "n"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, node long, n long")
@@ -146,12 +134,12 @@ def index(docs: DataFrame, frequent: np.ndarray, pair_size: int = 256) -> DataFr
         sig, pos = [order[:n_rare] & ~np.uint64(1)], [np.arange(1, n_rare + 1)]
         first = np.arange(n_rare, min(d + 1, n))  # places of frequent tokens in the prefix
         if len(first) and 4 * n >= 3 * pair_size:
-            sig.append(_mixed(order[first] + np.uint64(1)) | np.uint64(1))
+            sig.append(arrays.mixed(order[first] + np.uint64(1)) | np.uint64(1))
             pos.append(first + 1)
         if len(first) and n <= pair_size:
             i, j = np.triu_indices(len(order) - n_rare, 1)
             i, j = i + n_rare, j + n_rare
-            sig.append(_mixed(_mixed(order[i] + np.uint64(2)) + order[j]) | np.uint64(1))
+            sig.append(arrays.mixed(arrays.mixed(order[i] + np.uint64(2)) + order[j]) | np.uint64(1))
             pos.append(i + 1)
         return np.concatenate(sig), np.concatenate(pos)
 

@@ -18,7 +18,6 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,43 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .arrays import mixed, stretch, sums
 from .common import text_key
-from .ngram_join import _mixed, _set_bits, bitmap
+from .ngram_join import _set_bits, bitmap
 
 GRAM = 64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64))
-
-
-class Powers:
-    """Powers of the base and of its inverse, as far as the longest text so far needs."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            run = lambda b: np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(2 * n, b, np.uint64)]))
-            self.up, self.down = run(_BASE), run(pow(_BASE, -1, 1 << 64))
-        return self.up, self.down
-
-
-_powers = Powers()
-
-
-def sums(raw: bytes) -> np.ndarray:
-    """Prefix sums from which the hash of any stretch is read."""
-    up, _ = _powers.upto(len(raw) + 1)
-    out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[np.frombuffer(raw, np.uint8)] * up[: len(raw)], out=out[1:])
-    return out
-
-
-def stretch(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the bytes from start to end, wherever they stand."""
-    _, down = _powers.upto(len(s))
-    return _mixed((s[end] - s[start]) * down[start])
-
 
 def triggers(s: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Position, hash of its 64 bytes, first and last window served, of every trigger of a text that has windows at all."""
@@ -89,7 +56,7 @@ def triggers(s: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 def contexts(s: np.ndarray, q: np.ndarray, lo: np.ndarray, hi: np.ndarray, size: int) -> np.ndarray:
     """Names of the contexts: their bytes, their length and where the trigger stands in them."""
     shape = ((hi - lo).astype(np.uint64) << np.uint64(32)) | (q - lo).astype(np.uint64)
-    return _mixed(stretch(s, lo, hi + size) + _mixed(shape))
+    return mixed(stretch(s, lo, hi + size) + mixed(shape))
 
 
 def _texts(b: pa.RecordBatch, size: int) -> Iterator[tuple[int, bytes, int]]:
@@ -128,7 +95,7 @@ def parse(docs: DataFrame, size: int) -> DataFrame:
         def each():
             for b in batches:
                 for key, raw, copies in _texts(b, size):
-                    s = sums(raw)
+                    s = sums(np.frombuffer(raw, np.uint8))
                     q, gram, lo, hi = triggers(s, size)
                     yield [gram, contexts(s, q, lo, hi, size), np.full(len(q), key), lo, hi, np.full(len(q), copies)]
 
@@ -149,7 +116,7 @@ def named_windows(docs: DataFrame, mixed: np.ndarray, size: int) -> DataFrame:
             for b in batches:
                 seen = set()
                 for key, raw, _ in _texts(b, size):
-                    s = sums(raw)
+                    s = sums(np.frombuffer(raw, np.uint8))
                     q, gram, lo, hi = triggers(s, size)
                     pick = np.flatnonzero(_set_bits(bits, gram))
                     if not len(pick):
