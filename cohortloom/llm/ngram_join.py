@@ -7,13 +7,17 @@ single rare tokens finds the pair; if it is frequent, so are all common tokens,
 tokens finds it. Sets above `pair_size` tokens would have too many combinations; there the first common token is indexed by itself, and
 sets just below index both, so that no pair falls between. Length and position bounds drop pairs that cannot reach the threshold.
 
-Frequent means a count above D among the leading tokens of all sets. D is the least power of two from `rare` on that leaves at most one
-token for eight bits of a fixed bitmap, which is what goes to the tasks: its size does not grow, and a token that shares a bit with
-a frequent one only changes its place in the order, not the result.
+Tokens are counted over all sets where their hash lies in the first 3/8 of its range, in which prefixes almost always end. Frequent means
+a count above D; D is the least power of two from `rare` on that leaves at most one token for eight bits of a bitmap of fixed size,
+which is what goes to the tasks: a token that shares a bit with a frequent one only changes its place in the order, not the result. A
+second bitmap tells tokens of that range that occur once; nothing can share them, so they are not indexed (where bits are shared,
+more is indexed than need be).
 
 Equal sets are one node. A first round compares every member of an index entry with the entry's leader only; entries whose members are
 then in one component are finished, so a group of thousands of near copies costs its size, not its square. A second round compares what is still
-apart within an entry: members outside of its largest component with all members of other components. All comparisons are exact on the hashes.
+apart within an entry: members outside of its largest component with all members of other components. Pairs whose
+token counts by 256 hash classes cannot add up to the overlap they need are dropped first; all others are compared exactly on the
+hashes of their whole sets.
 
 Defined cases: texts without words and null texts have no tokens and stand alone; fewer than five words are one token; a class is
 named by its least doc_id, rows with a null id take the least id of their class; repeated rows are copies; an empty table gives an empty
@@ -38,6 +42,8 @@ from . import arrays
 WORDS = 5
 PLACE = arrays.mixed(np.arange(1001, 1001 + WORDS, dtype=np.uint64)) | np.uint64(1)  # a factor for each place of a word
 BITS = 26  # of the bitmaps: 8 MB each
+COUNTED = np.uint64(3 << 61)  # tokens below are counted
+CLASSES = 256
 
 
 def shingles(column: pa.Array) -> Iterator[np.ndarray]:
@@ -69,13 +75,20 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, node (null without words), n."""
+    """doc_id, node (null without words), n, classes (tokens per hash class as 16-bit numbers; null where one would not fit)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = list(shingles(b.column("text")))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([node_of(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64())], names=["doc_id", "node", "n"])
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1000):
+                b = whole.slice(k, 1000)
+                node, n, classes = [], [], []
+                for x in shingles(b.column("text")):
+                    node.append(node_of(x))
+                    n.append(len(x))
+                    c = np.bincount((x & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
+                    classes.append(c.astype(np.uint16).tobytes() if c.max() < 1 << 16 else None)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(classes, pa.binary())], names=["doc_id", "node", "n", "classes"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, node long, n long")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, node long, n long, classes binary")
 
 
 def bitmap(df: DataFrame, column: str) -> np.ndarray:
@@ -101,16 +114,19 @@ def _set_bits(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
 
 
-def frequent_tokens(docs: DataFrame, rare: int) -> DataFrame:
-    """Tokens above the count D in the leading 3/8 of all sets, counted over all of them."""
+def repeated_tokens(docs: DataFrame) -> DataFrame:
+    """Tokens of the counted range that more than one set holds (or one set in copies that met in no batch): token, n."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lead = [x[: len(x) * 3 // 8 + 2] for _, x in _sets(b)]
+            lead = [x[: np.searchsorted(x, COUNTED)] for _, x in _sets(b)]
             token, n = np.unique(np.concatenate(lead) if lead else np.empty(0, np.uint64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n, pa.int32())], names=["token", "n"])
 
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, n int").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > rare)
-    counts = cut(counts)
+    return cut(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, n int").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1"))
+
+
+def frequent_tokens(counts: DataFrame, rare: int) -> DataFrame:
+    counts = counts.where(F.col("n") > rare)
     levels = counts.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("level")).collect()  # 63 rows at most
     above, d = 0, None
     for row in levels:
@@ -121,17 +137,19 @@ def frequent_tokens(docs: DataFrame, rare: int) -> DataFrame:
     return counts if d is None else counts.where(F.col("n") >= d)
 
 
-def index(docs: DataFrame, frequent: np.ndarray, pair_size: int = 256) -> DataFrame:
+def index(docs: DataFrame, frequent: np.ndarray, repeated: np.ndarray, pair_size: int = 256) -> DataFrame:
     """Index entries: sig, node, n, pos. Entries of single rare tokens have even signatures, those of frequent tokens odd ones."""
-    spread = docs.sparkSession.sparkContext.broadcast(frequent)
+    spread = docs.sparkSession.sparkContext.broadcast((frequent, repeated))
 
-    def entries(tokens: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def entries(tokens: np.ndarray, bits: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(tokens)
         d = n // 4
         often = _set_bits(bits, tokens)
         order = np.concatenate([tokens[~often], tokens[often]])[: d + 2]
         n_rare = min(n - int(often.sum()), d + 1)
-        sig, pos = [order[:n_rare] & ~np.uint64(1)], [np.arange(1, n_rare + 1)]
+        alone = order[:n_rare]
+        keep = np.flatnonzero((alone >= COUNTED) | _set_bits(twice, alone))
+        sig, pos = [alone[keep] & ~np.uint64(1)], [keep + 1]
         first = np.arange(n_rare, min(d + 1, n))  # places of frequent tokens in the prefix
         if len(first) and 4 * n >= 3 * pair_size:
             sig.append(arrays.mixed(order[first] + np.uint64(1)) | np.uint64(1))
@@ -144,9 +162,8 @@ def index(docs: DataFrame, frequent: np.ndarray, pair_size: int = 256) -> DataFr
         return np.concatenate(sig), np.concatenate(pos)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = spread.value
         for b in batches:
-            rows = [(node, len(x), *entries(x, bits)) for node, x in _sets(b)]
+            rows = [(node, len(x), *entries(x, *spread.value)) for node, x in _sets(b)]
             for k in range(0, len(rows), 500):
                 part = rows[k:k + 500]
                 many = [len(r[2]) for r in part]
@@ -192,6 +209,24 @@ def remaining_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
     return _pairs(apart.where("component <> main").alias("x").join(apart.alias("y"), F.expr("x.sig = y.sig AND x.component <> y.component") & _possible("x", "y")))
 
 
+def able(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs whose overlap can reach 3/4: the lesser counts of their classes, summed, bound it from above."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y, n, m in zip(b.column("x"), b.column("y"), b.column("n_x").to_pylist(), b.column("n_y").to_pylist()):
+                if x.is_valid and y.is_valid:
+                    most = int(np.minimum(np.frombuffer(x.as_buffer(), np.uint16), np.frombuffer(y.as_buffer(), np.uint16)).sum())
+                    keep.append(7 * most >= 3 * (n + m))
+                else:
+                    keep.append(True)
+            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    x = sketches.select(F.col("node").alias("u"), F.col("classes").alias("x"), F.col("n").alias("n_x"))
+    y = sketches.select(F.col("node").alias("v"), F.col("classes").alias("y"), F.col("n").alias("n_y"))
+    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y", "n_x", "n_y").mapInArrow(run, "u long, v long")
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """u, v, overlap, n_u, n_v of the pairs, from their whole sets; only sets that occur in a pair are gathered."""
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))), "u"))
@@ -220,15 +255,17 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(overlap, "u long, v long, overlap long, n_u long, n_v long")
 
 
-def links(docs: DataFrame, rare: int = 64, pair_size: int = 256) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, all_nodes: DataFrame, rare: int = 64, pair_size: int = 256) -> tuple[DataFrame, DataFrame]:
     """Node pairs of similarity 3/4 or more, enough of them to connect every class, and the label of every linked node."""
-    often = bitmap(frequent_tokens(docs, rare), "token")
-    members = cut(shared_entries(index(docs, often, pair_size)))
+    counts = repeated_tokens(docs)
+    members = cut(shared_entries(index(docs, bitmap(frequent_tokens(counts, rare), "token"), bitmap(counts, "token"), pair_size)))
+    # one sketch per node that an entry holds; copies have equal ones
+    sketches = cut(all_nodes.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("classes").alias("classes")))
     linked = F.expr("100 * overlap >= 75 * (n_u + n_v - overlap)")
-    first = cut(star_pairs(members))
-    edges = cut(verified(docs, first).where(linked).select("u", "v"))
+    star = cut(star_pairs(members))
+    edges = cut(verified(docs, cut(able(star, sketches))).where(linked).select("u", "v"))
     labels = cut(component_labels(edges, "u", "v"))
-    second = cut(remaining_pairs(members, labels).join(first, ["u", "v"], "left_anti"))
+    second = cut(able(remaining_pairs(members, labels).join(star, ["u", "v"], "left_anti"), sketches))
     if not second.isEmpty():
         edges = cut(edges.unionByName(verified(docs, second).where(linked).select("u", "v")))
         labels = cut(component_labels(edges, "u", "v"))
@@ -238,7 +275,7 @@ def links(docs: DataFrame, rare: int = 64, pair_size: int = 256) -> tuple[DataFr
 def classes(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     all_nodes = cut(nodes(docs))
-    _, labels = links(docs, **options)
+    _, labels = links(docs, all_nodes, **options)
     placed = all_nodes.where("node is not null").join(labels.select(F.col("iid").alias("node"), "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = placed.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
