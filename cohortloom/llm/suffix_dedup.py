@@ -8,8 +8,10 @@ dictionary is only ever compared for equality of 400 leading bytes, so hashes of
 no suffix of the corpus is shuffled.
 
 * A context that occurs twice repeats all windows of its trigger: one row per trigger decides long repeats.
-* Triggers whose 64 bytes recur in unlike contexts (the ends of a repeated passage) name each of their windows, and a window named in
-  two contexts is repeated. Which triggers these are goes to the tasks as a bitmap of fixed size; a shared bit only names more windows.
+* Triggers whose 64 bytes recur in unlike contexts (the ends of a repeated passage) name their windows in blocks of 16: the whole block, and the core
+  that all of its windows share. A whole met in two contexts repeats the block. Only blocks whose core recurs in unlike wholes name each
+  window, and a window named in two of them is repeated.
+* Which triggers and cores these are goes to the tasks as bitmaps of fixed size; a shared bit only names more than need be.
 
 Defined cases: a null text is empty; texts under 400 bytes keep everything; copies of a text share their marks, which are kept by a 64-bit hash
 of the text; a hot text is counted within each batch first; overlapping repeats within one text count; an empty table gives an
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, uncut
 from .arrays import mixed, stretch, sums
 from .common import text_key
 from .ngram_join import _set_bits, bitmap
@@ -104,9 +106,8 @@ def parse(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
-def named_windows(docs: DataFrame, mixed: np.ndarray, size: int) -> DataFrame:
-    """Windows of the triggers in the bitmap: name, context, text_key, at. A context counts once in a batch, as all its windows are then repeated anyway."""
-    names = ["name", "context", "text_key", "at"]
+def _picked(docs: DataFrame, mixed: np.ndarray, size: int, names: list[str], rows_of) -> DataFrame:
+    """Rows of the triggers whose gram is in the bitmap. A context counts once in a batch: met twice, all its windows are repeated anyway."""
     spread = docs.sparkSession.sparkContext.broadcast(mixed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,26 +120,67 @@ def named_windows(docs: DataFrame, mixed: np.ndarray, size: int) -> DataFrame:
                     s = sums(np.frombuffer(raw, np.uint8))
                     q, gram, lo, hi = triggers(s, size)
                     pick = np.flatnonzero(_set_bits(bits, gram))
-                    if not len(pick):
-                        continue
-                    context = contexts(s, q[pick], lo[pick], hi[pick], size)
-                    new = [i for i, c in enumerate(context.tolist()) if not (c in seen or seen.add(c))]
-                    if new:
-                        pick, context = pick[new], context[new]
-                        many = hi[pick] - lo[pick] + 1
-                        at = np.repeat(lo[pick], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                        yield [stretch(s, at, at + size), np.repeat(context, many), np.full(len(at), key), at]
+                    if len(pick):
+                        context = contexts(s, q[pick], lo[pick], hi[pick], size)
+                        new = [i for i, c in enumerate(context.tolist()) if not (c in seen or seen.add(c))]
+                        if new:
+                            yield from rows_of(key, s, q[pick[new]], lo[pick[new]], hi[pick[new]], context[new])
 
         yield from _flushed(each(), names)
 
     return docs.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
-def marks(docs: DataFrame, size: int = 400) -> DataFrame:
+def _blocks(s, q, lo, hi, size: int, block: int):
+    """Windows of the triggers in blocks of their distance to the trigger: trigger, first and last window, names of core and whole.
+
+    The core is what all windows of a full block share, so equal windows have equal cores however the blocks are clipped.
+    """
+    near, far = (q - hi) // block, (q - lo) // block
+    many = far - near + 1
+    of = np.repeat(np.arange(len(q)), many)
+    b = np.repeat(near, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    first, last = np.maximum(q[of] - b * block - block + 1, lo[of]), np.minimum(q[of] - b * block, hi[of])
+    start = q[of] - b * block
+    core = mixed(stretch(s, start, start - block + 1 + size) + b.astype(np.uint64))
+    shape = mixed(((q[of] - first).astype(np.uint64) << np.uint64(32)) | (last - first).astype(np.uint64))
+    return of, first, last, core, mixed(stretch(s, first, last + size) + shape)
+
+
+def named_blocks(docs: DataFrame, grams: np.ndarray, size: int, block: int) -> DataFrame:
+    """core, whole, context, text_key, lo, hi of every block of the triggers in the bitmap."""
+    def rows(key, s, q, lo, hi, context):
+        of, first, last, core, whole = _blocks(s, q, lo, hi, size, block)
+        yield [core, whole, context[of], np.full(len(of), key), first, last]
+
+    return _picked(docs, grams, size, ["core", "whole", "context", "text_key", "lo", "hi"], rows)
+
+
+def named_windows(docs: DataFrame, grams: np.ndarray, cores: np.ndarray, size: int, block: int) -> DataFrame:
+    """name, whole, text_key, lo of every window of the blocks whose core is in the second bitmap."""
+    spread = docs.sparkSession.sparkContext.broadcast(cores)
+
+    def rows(key, s, q, lo, hi, context):
+        _, first, last, core, whole = _blocks(s, q, lo, hi, size, block)
+        pick = np.flatnonzero(_set_bits(spread.value, core))
+        if len(pick):
+            many = last[pick] - first[pick] + 1
+            at = np.repeat(first[pick], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            yield [stretch(s, at, at + size), np.repeat(whole[pick], many), np.full(len(at), key), at]
+
+    return _picked(docs, grams, size, ["name", "whole", "text_key", "lo"], rows)
+
+
+def _unlike(rows: DataFrame, key: str, other: str) -> DataFrame:
+    """Values of key that stand with two values of other or more; min and max combine on the map side."""
+    return rows.groupBy(key).agg(F.min(other).alias("a"), F.max(other).alias("b")).where("a <> b").select(key)
+
+
+def marks(docs: DataFrame, size: int = 400, block: int = 16) -> DataFrame:
     """Repeated windows of each distinct text: text_key, lo, hi (first and last start of a row of them)."""
+    block = min(block, size)
     d = docs.select(text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
     phrases = cut(parse(d, size))
-    # a context in one text and one copy is single; min and max tell unlike contexts of a gram apart
     grams = phrases.groupBy("gram").agg(F.sum("copies").alias("times"), F.min("context").alias("a"), F.max("context").alias("b")).where("times > 1")
     grams = cut(grams.select("gram", (F.col("a") != F.col("b")).alias("mixed")))
     shared = phrases.join(grams, "gram")
@@ -146,10 +188,16 @@ def marks(docs: DataFrame, size: int = 400) -> DataFrame:
     unlike = cut(shared.where("mixed").select("context", "text_key", "lo", "hi", "copies"))
     twice = unlike.groupBy("context").agg(F.sum("copies").alias("times")).where("times > 1").select("context")
     again = unlike.join(twice, "context").select("text_key", "lo", "hi")
-    windows = cut(named_windows(d, bitmap(grams.where("mixed"), "gram"), size))
-    repeated = windows.groupBy("name").agg(F.min("context").alias("a"), F.max("context").alias("b")).where("a <> b").select("name")
-    singles = windows.join(repeated, "name").select("text_key", F.col("at").alias("lo"), F.col("at").alias("hi"))
-    return alike.unionByName(again).unionByName(singles)
+    found = cut(alike.unionByName(again))
+    uncut(phrases)
+    uncut(unlike)
+    gram_bits = bitmap(grams.where("mixed"), "gram")
+    blocks = named_blocks(d, gram_bits, size, block)
+    core_bits = bitmap(_unlike(blocks, "core", "whole"), "core")
+    in_blocks = cut(blocks.join(_unlike(blocks, "whole", "context"), "whole").select("text_key", "lo", "hi"))
+    windows = named_windows(d, gram_bits, core_bits, size, block)
+    singles = cut(windows.join(_unlike(windows, "name", "whole"), "name").select("text_key", "lo", F.col("lo").alias("hi")))
+    return found.unionByName(in_blocks).unionByName(singles)
 
 
 def spans_of(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,26 +209,52 @@ def spans_of(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def deduplicate(docs: DataFrame, size: int = 400) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), starts and ends of the removed runs."""
-    found = marks(docs, size).groupBy("text_key").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), starts and ends of the removed runs.
+
+    Only texts whose key is in the bitmap of marked ones are joined with their marks; the others pass straight through.
+    """
+    found = cut(marks(docs, size).groupBy("text_key").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi")))
+    spread = docs.sparkSession.sparkContext.broadcast(bitmap(found, "text_key"))
     d = docs.select("doc_id", text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    kind = dict(d.dtypes)["doc_id"]
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "starts", "ends"]
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, starts array<long>, ends array<long>"
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chosen(b: pa.RecordBatch, marked: bool) -> pa.RecordBatch:
+        keys = b.column("text_key").to_numpy(zero_copy_only=False).view(np.uint64)
+        return b.filter(pa.array(_set_bits(spread.value, keys) == marked))
+
+    def batch(part: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)]], names=names)
+
+    def data(text) -> bytes:
+        return text.as_buffer().to_pybytes() if text.is_valid else b""
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 1000):
+                part = chosen(b.slice(k, 1000), False)
+                yield batch(part, [(len(raw), 0, 0, raw, [], []) for raw in map(data, part.column("text"))])
+
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield chosen(b, True)
+
+    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 500):
                 part = b.slice(k, 500)
                 rows = []
                 for text, lo, hi in zip(part.column("text"), part.column("lo"), part.column("hi")):
-                    raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+                    raw = data(text)
                     if not lo.is_valid:
                         rows.append((len(raw), 0, 0, raw, [], []))
                         continue
                     s, e = spans_of(np.asarray(lo.values), np.asarray(hi.values) + size)
                     kept = b"".join(raw[x:y] for x, y in zip([0, *e.tolist()], [*s.tolist(), len(raw)]))
                     rows.append((len(raw), int((e - s).sum()), len(s), kept, s.tolist(), e.tolist()))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(c, t) for c, t in zip(zip(*rows), kinds)]], names=names)
+                yield batch(part, rows)
 
-    kind = dict(d.dtypes)["doc_id"]
-    return d.join(found, "text_key", "left").select("doc_id", "text", "lo", "hi").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary, starts array<long>, ends array<long>")
+    with_marks = d.mapInArrow(touched, f"doc_id {kind}, text_key long, text string").join(found, "text_key", "left")
+    return d.mapInArrow(untouched, schema).unionByName(with_marks.select("doc_id", "text", "lo", "hi").mapInArrow(remove, schema))
