@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import numeric as N
+from ..session import cut
 from ..sources.tables import semi_scan
 from . import ranks
 
@@ -22,10 +23,9 @@ def person_means(days: DataFrame, cols: list[str], min_days: int = fixed.MIN_WEA
 
 
 def person_median(df: DataFrame, value: str, minimum: float | None = None) -> DataFrame:
-    """Exact median per person of plausible values, with mean age and record count."""
+    """Exact median per person of plausible values, with mean age and record count. A person has few records: one aggregation does."""
     kept = df if minimum is None else df.where(F.col(value) >= minimum)
-    med = ranks.exact_quantiles(kept, ["pid"], value, {"median": 0.5})
-    return med.join(kept.groupBy("pid").agg(F.avg("age").alias("age"), F.count(value).alias("n")), "pid")
+    return kept.groupBy("pid").agg(F.median(value).alias("median"), F.avg("age").alias("age"), F.count(value).alias("n")).where("n > 0")
 
 
 def onset_hour(starts: DataFrame, ts: str, night: str) -> DataFrame:
@@ -123,6 +123,7 @@ def overlap_metrics(df: DataFrame, a: Column, b: Column) -> DataFrame:
 def agreement(df: DataFrame, keys: list[str], a: str, b: str, cuts: list[float]) -> DataFrame:
     """Pair agreement per group: correlations, error measures, exact and nearest-rank quantiles of the absolute difference."""
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).withColumn("_abs", F.abs(F.col(a) - F.col(b)))
+    d = cut(d.select(*keys, a, b, "_abs"))  # read by every histogram
     base = d.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), N.safe_corr(a, b).alias("pearson"), F.avg(F.col(a) - F.col(b)).alias("bias"), F.avg("_abs").alias("mae"),
         F.sqrt(F.avg(F.col("_abs") * F.col("_abs"))).alias("rmse"), F.max("_abs").alias("max_abs"),
@@ -130,11 +131,10 @@ def agreement(df: DataFrame, keys: list[str], a: str, b: str, cuts: list[float])
     )
     both = ranks.average_ranks(d, keys, {a: "_ra", b: "_rb"})
     rho = both.groupBy(*keys).agg(N.safe_corr("_ra", "_rb").alias("spearman"))
-    med = ranks.exact_quantiles(d, keys, "_abs", {"median_abs": 0.5})
-    near = ranks.nearest_rank_quantiles(d, keys, "_abs", {"p90_abs": 0.9, "p99_abs": 0.99})
+    spread = ranks.quantiles(d, keys, "_abs", exact={"median_abs": 0.5}, nearest={"p90_abs": 0.9, "p99_abs": 0.99})
     if not keys:
-        return reduce(lambda x, y: x.crossJoin(y), [rho, med, near], base)  # single rows
-    return reduce(lambda x, y: x.join(y, keys), [rho, med, near], base)
+        return reduce(lambda x, y: x.crossJoin(y), [rho, spread], base)  # single rows
+    return reduce(lambda x, y: x.join(y, keys), [rho, spread], base)
 
 
 def ladder(df: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:

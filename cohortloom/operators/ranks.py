@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import numeric
 
 
+BUCKET_ROWS = 5_000_000
+
+
 def _splits(df: DataFrame, y: str, buckets: int) -> list[float]:
     """Fixed cut points for this run: at most `buckets` numbers reach the driver."""
     cuts = df.approxQuantile(y, [i / buckets for i in range(1, buckets)], 0.5 / buckets)
@@ -25,10 +28,10 @@ def _splits(df: DataFrame, y: str, buckets: int) -> list[float]:
 def cumulative_histogram(df: DataFrame, keys: list[str], y: str, buckets: int | None = None) -> DataFrame:
     """Per key and distinct value: `n_at` rows hold it, `n_below` rows are smaller, `n_key` rows in all. Nulls are left out.
 
-    buckets=1 is for values with few levels; otherwise one bucket per shuffle partition.
+    Buckets hold about BUCKET_ROWS rows, so their number grows with the rows; buckets=1 is for values known to have few levels.
     """
     if buckets is None:
-        buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        buckets = max(8, math.ceil(df.count() / BUCKET_ROWS))
     df = df.where(F.col(y).isNotNull()).withColumn(y, F.col(y).cast("double") + F.lit(0.0))
     hist = df.groupBy(*keys, y).agg(F.count(F.lit(1)).alias("n_at"))
     if buckets > 1:
@@ -88,29 +91,29 @@ def rank_normal(df: DataFrame, keys: list[str], y: str, out: str = "z", buckets:
     return ranked.withColumn(out, numeric.normal_quantile((F.col("_rank") - 0.5) / F.col("n_key"))).drop("_rank", "n_key")
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], y: str, probs: dict[str, float], buckets: int | None = None) -> DataFrame:
-    """Interpolated quantiles per key, read off the cumulative counts."""
+def quantiles(df: DataFrame, keys: list[str], y: str, exact: dict[str, float] | None = None, nearest: dict[str, float] | None = None, buckets: int | None = None) -> DataFrame:
+    """Interpolated quantiles and observed values at position round((n - 1) * p) per key, read off one table of cumulative counts."""
     ch = cumulative_histogram(df, keys, y, buckets)
-    aggs = []
-    for name, p in probs.items():
-        pos = (F.col("n_key") - 1) * F.lit(float(p))
+    last = F.col("n_key") - 1
+    at = lambda k: F.max(F.when((F.col("n_below") <= k) & (k < F.col("n_below") + F.col("n_at")), F.col(y)))
+    aggs, out = [], []
+    for name, p in (exact or {}).items():
+        pos = last * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
-        at = lambda k: F.max(F.when((F.col("n_below") <= k) & (k < F.col("n_below") + F.col("n_at")), F.col(y)))
         aggs += [at(lo).alias(f"{name}_lo"), at(hi).alias(f"{name}_hi"), F.max(pos - lo).alias(f"{name}_w")]
-    out = ch.groupBy(*keys).agg(*aggs)
-    return out.select(
-        *keys, *[(F.col(f"{n}_lo") + F.col(f"{n}_w") * (F.col(f"{n}_hi") - F.col(f"{n}_lo"))).alias(n) for n in probs]
-    )
+        out.append((F.col(f"{name}_lo") + F.col(f"{name}_w") * (F.col(f"{name}_hi") - F.col(f"{name}_lo"))).alias(name))
+    for name, p in (nearest or {}).items():
+        aggs.append(at(F.rint(last * F.lit(float(p)))).alias(name))
+        out.append(F.col(name))
+    return ch.groupBy(*keys).agg(*aggs).select(*keys, *out)
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], y: str, probs: dict[str, float], buckets: int | None = None) -> DataFrame:
+    return quantiles(df, keys, y, exact=probs, buckets=buckets)
 
 
 def nearest_rank_quantiles(df: DataFrame, keys: list[str], y: str, probs: dict[str, float], buckets: int | None = None) -> DataFrame:
-    """Observed value at position round((n - 1) * p), no interpolation."""
-    ch = cumulative_histogram(df, keys, y, buckets)
-    aggs = []
-    for name, p in probs.items():
-        k = F.rint((F.col("n_key") - 1) * F.lit(float(p)))
-        aggs.append(F.max(F.when((F.col("n_below") <= k) & (k < F.col("n_below") + F.col("n_at")), F.col(y))).alias(name))
-    return ch.groupBy(*keys).agg(*aggs)
+    return quantiles(df, keys, y, nearest=probs, buckets=buckets)
 
 
 def number_rows(df: DataFrame, order: str, out: str = "row_idx", buckets: int | None = None) -> DataFrame:

@@ -164,12 +164,17 @@ def bland_altman(df: DataFrame, a: str, b: str) -> DataFrame:
 # indicators ------------------------------------------------------------------------------------------------------------------
 def winsorize(df: DataFrame, cols: list[str], lo: float = fixed.WINSOR_LO, hi: float = fixed.WINSOR_HI, z: bool = True) -> DataFrame:
     """Clip each column at its exact interpolated quantiles, then scale to z."""
-    for c in cols:
-        q = ranks.exact_quantiles(df, [], c, {"_lo": lo, "_hi": hi})
-        df = df.crossJoin(F.broadcast(q)).withColumn(c, F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c), F.col("_lo")), F.col("_hi")))).drop("_lo", "_hi")
-    for c in cols if z else []:
-        df = zscore(df, c, None, c)
-    return df
+    each = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in cols])
+    q = ranks.quantiles(df.select(F.explode(each).alias("e")).select("e.*"), ["_col"], "_v", exact={"_lo": lo, "_hi": hi})  # one histogram for all columns
+    limit = lambda side, i, c: F.max(F.when(F.col("_col") == c, F.col(side))).alias(f"{side}{i}")
+    row = q.agg(*[limit(side, i, c) for i, c in enumerate(cols) for side in ("_lo", "_hi")])
+    clipped = {c: F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c), F.col(f"_lo{i}")), F.col(f"_hi{i}"))) for i, c in enumerate(cols)}
+    out = df.crossJoin(F.broadcast(row)).withColumns(clipped).drop(*row.columns)  # a single row
+    if z:
+        one = out.agg(*[f(c).alias(f"{name}{i}") for i, c in enumerate(cols) for name, f in (("_m", F.avg), ("_s", F.stddev_samp))])
+        scaled = {c: F.when(F.col(f"_s{i}") > 0, (F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}")) for i, c in enumerate(cols)}
+        out = out.crossJoin(F.broadcast(one)).withColumns(scaled).drop(*one.columns)  # a single row
+    return out
 
 
 def half_min_positive(df: DataFrame, cols: list[str]) -> DataFrame:

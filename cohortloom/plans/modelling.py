@@ -63,8 +63,7 @@ FEATURES = ["x1", "x2", "x3"]
 
 @query("M5_cross_fitted_scores")
 def _(spark, sf):
-    s = roles.scores(spark, sf).withColumn("fold", F.col("fold") % 3)
-    return M.cross_fit(s, FEATURES, "target", rounds=5, depth=2).select("iid", "role", "fold", "pred", "pred_z")
+    return M.cross_fit(roles.scores(spark, sf), FEATURES, "target", rounds=5, depth=2).select("iid", "role", "fold", "pred", "pred_z")
 
 
 @query("M6_fold_metrics", sql("scores", f"""SELECT coalesce(CAST(fold AS VARCHAR), 'all') AS "group", count(*) AS n, {rs('corr(x3 / 4.0, target)')} AS r, {rs('sqrt(avg((x3 / 4.0 - target) * (x3 / 4.0 - target)))')} AS rmse, {rs('avg(abs(x3 / 4.0 - target))')} AS mae FROM scores GROUP BY ROLLUP (fold)"""))
@@ -80,7 +79,7 @@ def _(spark, sf):
 
 @query("M8_residual_boost")
 def _(spark, sf):
-    s = M.align_label(roles.scores(spark, sf).withColumn("fold", F.col("fold") % 2), "target", "x3", F.col("role") == "oof")
+    s = M.align_label(roles.scores(spark, sf), "target", "x3", F.col("role") == "oof")
     return M.residual_boost(s, ["x1", "x2"], "x3", "aligned", rounds=3, depth=2).select("iid", "role", "boosted")
 
 
@@ -91,8 +90,7 @@ def _(spark, sf):
 
 @query("M10_direct_fit")
 def _(spark, sf):
-    s = roles.scores(spark, sf).withColumn("fold", F.col("fold") % 2)
-    return M.direct_fit(s, FEATURES, "target", rounds=3, depth=2).select("iid", "role", "direct", "direct_z")
+    return M.direct_fit(roles.scores(spark, sf), FEATURES, "target", rounds=3, depth=2).select("iid", "role", "direct", "direct_z")
 
 
 def calibrated(spark, sf):

@@ -41,7 +41,7 @@ role("normal", f"SELECT pheno_id, iid, y, age, {s_ppf('pr')} AS z FROM ranked",
 def flagship(spark, sf):
     # The selected responses are written once; ranks, fits and residuals read that table.
     v = cut(roles.single(spark, sf).select(F.col("qid").alias("pheno_id"), F.col("pid").alias("iid"), "y", "age"))
-    z = ranks.rank_normal(v, ["pheno_id"], "y", "z", buckets=1)
+    z = ranks.rank_normal(v, ["pheno_id"], "y", "z")
     return rcols(S.residualize(z, ["pheno_id"], "z", ["age"]).select("pheno_id", "iid", "z", "resid"), "z", "resid")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import alleles as A
 from ..operators import ranks
+from ..session import cut
 from .tables import require_unique
 
 
@@ -17,21 +18,33 @@ def write_compact(stats: DataFrame, reference: DataFrame, path: str, key: str =
     ref = reference.select(key, F.col("chrom"), F.col("pos").cast("int"), "allele1", "allele2", F.col("a1freq").cast("float"))
     ref.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").write.mode("overwrite").parquet(f"{path}/reference", compression="zstd")
     slim = stats.select("pheno_id", key, F.col("beta").cast("float"), F.col("se").cast("float"), F.col("n").cast("int"))
-    # Traits are split further by variant, so one trait's many variants never land in a single task.
-    slim.repartition("pheno_id", F.pmod(F.xxhash64(key), F.lit(64))).sortWithinPartitions("pheno_id", key).write.mode("overwrite").partitionBy(
-        "pheno_id"
-    ).parquet(f"{path}/traits", compression="zstd")
+    _split(cut(slim), "pheno_id", [key]).sortWithinPartitions("pheno_id", key).write.mode("overwrite").partitionBy("pheno_id").parquet(f"{path}/traits", compression="zstd")
+
+
+FILE_ROWS = 5_000_000
+
+
+def _split(rows: DataFrame, by: str, spread: list[str]) -> DataFrame:
+    """Rows dealt out so that each key value has one file per FILE_ROWS rows, and no task has more of one value than that."""
+    files = rows.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / FILE_ROWS).alias("_files")).withColumnRenamed(by, "_by")
+    dealt = rows.join(files, rows[by].eqNullSafe(files["_by"])).withColumn("_file", F.pmod(F.xxhash64(*spread), F.col("_files")))
+    return dealt.repartition(by, "_file").drop("_by", "_files", "_file")
 
 
 def write_partitioned(df: DataFrame, path: str, by: str) -> DataFrame:
     """Compressed tab-separated files, one directory per key value; returns counts in and out and fails when they differ."""
     spark: SparkSession = df.sparkSession
-    df.write.mode("overwrite").partitionBy(by).option("compression", "gzip").csv(path, sep="\t", header=True)
+    df = cut(df)  # evaluated once: for the files and for the counts
+    _split(df, by, df.columns).write.mode("overwrite").partitionBy(by).option("compression", "gzip").csv(path, sep="\t", header=True)
     back = spark.read.csv(path, sep="\t", header=True)
     n_in = df.groupBy(F.col(by).cast("string").alias(by)).agg(F.count(F.lit(1)).alias("n_in"))
     n_out = back.groupBy(F.col(by).cast("string").alias(by)).agg(F.count(F.lit(1)).alias("n_out"))
     both = n_in.join(n_out, by, "full_outer")
-    return both.withColumn("ok", F.coalesce(F.col("n_in") == F.col("n_out"), F.lit(False)))
+    both = cut(both.withColumn("ok", F.coalesce(F.col("n_in") == F.col("n_out"), F.lit(False))))
+    bad = both.where("not ok").limit(3).collect()
+    if bad:
+        raise ValueError(f"files do not hold what was written: {bad}")
+    return both
 
 
 def variant_id_maps(variants: DataFrame) -> DataFrame:
