@@ -137,13 +137,15 @@ def frequent_tokens(counts: DataFrame, rare: int) -> DataFrame:
     return counts if d is None else counts.where(F.col("n") >= d)
 
 
-def index(docs: DataFrame, frequent: np.ndarray, repeated: np.ndarray, pair_size: int = 256) -> DataFrame:
-    """Index entries: sig, node, n, pos. Entries of single rare tokens have even signatures, those of frequent tokens odd ones."""
+def index(docs: DataFrame, frequent: np.ndarray, repeated: np.ndarray, pair_size: int) -> DataFrame:
+    """Index entries: sig, node, n, pos, lone (counted tokens that no other set holds). Entries of single rare tokens have even signatures, those of frequent tokens odd ones."""
     spread = docs.sparkSession.sparkContext.broadcast((frequent, repeated))
 
-    def entries(tokens: np.ndarray, bits: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def entries(tokens: np.ndarray, bits: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         n = len(tokens)
         d = n // 4
+        counted = tokens[: np.searchsorted(tokens, COUNTED)]
+        lone = len(counted) - int(_set_bits(twice, counted).sum())
         often = _set_bits(bits, tokens)
         order = np.concatenate([tokens[~often], tokens[often]])[: d + 2]
         n_rare = min(n - int(often.sum()), d + 1)
@@ -159,7 +161,7 @@ def index(docs: DataFrame, frequent: np.ndarray, repeated: np.ndarray, pair_size
             i, j = i + n_rare, j + n_rare
             sig.append(arrays.mixed(arrays.mixed(order[i] + np.uint64(2)) + order[j]) | np.uint64(1))
             pos.append(i + 1)
-        return np.concatenate(sig), np.concatenate(pos)
+        return np.concatenate(sig), np.concatenate(pos), lone
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -170,15 +172,16 @@ def index(docs: DataFrame, frequent: np.ndarray, repeated: np.ndarray, pair_size
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate([r[2] for r in part]).view(np.int64)), pa.array(np.repeat(np.array([r[0] for r in part], np.int64), many)),
                     pa.array(np.repeat(np.array([r[1] for r in part], np.int32), many)), pa.array(np.concatenate([r[3] for r in part]).astype(np.int32)),
-                ], names=["sig", "node", "n", "pos"])
+                    pa.array(np.repeat(np.array([r[4] for r in part], np.int32), many)),
+                ], names=["sig", "node", "n", "pos", "lone"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "sig long, node long, n int, pos int")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "sig long, node long, n int, pos int, lone int")
 
 
 def shared_entries(rows: DataFrame) -> DataFrame:
     """The entries of two nodes or more. Counted with map-side combine, then joined, so that a hot signature is split by the skew join."""
     least = rows.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("sig")
-    return rows.join(least, "sig").select("sig", "node", "n", "pos")
+    return rows.join(least, "sig").select("sig", "node", "n", "pos", "lone")
 
 
 def _possible(a: str, b: str):
@@ -193,8 +196,8 @@ def _pairs(found: DataFrame) -> DataFrame:
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
-    """Every member with the leader of its entry, the smallest set."""
-    leaders = members.groupBy("sig").agg(F.min(F.struct("n", "node", "pos")).alias("l")).select("sig", "l.*")
+    """Every member with the leader of its entry: the set with the fewest tokens of its own, which edited copies of one text have in common."""
+    leaders = members.groupBy("sig").agg(F.min(F.struct("lone", "n", "node", "pos")).alias("l")).select("sig", "l.*")
     found = members.alias("x").join(leaders.alias("y"), F.expr("x.sig = y.sig AND x.node <> y.node") & _possible("x", "y"))
     return _pairs(found)
 
@@ -255,7 +258,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(overlap, "u long, v long, overlap long, n_u long, n_v long")
 
 
-def links(docs: DataFrame, all_nodes: DataFrame, rare: int = 64, pair_size: int = 256) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, all_nodes: DataFrame, rare: int = 16, pair_size: int = 64) -> tuple[DataFrame, DataFrame]:
     """Node pairs of similarity 3/4 or more, enough of them to connect every class, and the label of every linked node."""
     counts = repeated_tokens(docs)
     members = cut(shared_entries(index(docs, bitmap(frequent_tokens(counts, rare), "token"), bitmap(counts, "token"), pair_size)))
