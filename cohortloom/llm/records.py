@@ -22,8 +22,10 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -81,23 +83,18 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self._ids(texts)
         if len(self.known) > CACHE:
             self.known.clear()
-        known, out = self.known, []
-        for text in texts:
-            if any(a in text for a in self.added):
-                out += self._ids([text])
-                continue
-            pieces = PIECE.findall(text)
-            new = list({p for p in pieces if p not in known})
-            known.update(zip(new, self._ids(new)))
-            out.append(b"".join(map(known.__getitem__, pieces)))
-        return out
+        cut = [None if any(a in t for a in self.added) else PIECE.findall(t) for t in texts]
+        new = list(set(chain.from_iterable(filter(None, cut))) - self.known.keys())
+        self.known.update(zip(new, self._ids(new)))
+        look = self.known.__getitem__
+        return [self._ids([t])[0] if pieces is None else b"".join(map(look, pieces)) for t, pieces in zip(texts, cut)]
 
 
 @lru_cache(maxsize=2)
