@@ -144,6 +144,18 @@ def test_licences(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+def test_short_forms_and_full_licence_texts(spark):
+    """A short declaration counts as its licence only by name; full texts stand for their directories."""
+    full = lambda k: licenses.TEXTS[k].replace("<year> <copyright holders>", "2020 A. Person")
+    code = "\n".join(f"value_{i} = {i}" for i in range(60))
+    rows = [("s/a.py", "Released under the MIT License.\n" + code), ("s/b.py", "# Copyright 2021 Some Firm Inc. of Town, all rights reserved\n# SPDX-License-Identifier: BSD-3-Clause\n" + code), ("s/c.py", "Released under the Foo License.\n" + code),
+            *[(f"{k}/LICENSE", full(k)) for k in licenses.TEXTS], *[(f"{k}/src/x.py", code) for k in licenses.TEXTS], ("s/d.py", full("MIT") + code * 9)]
+    got = {r.path: (r.license, r.origin, r.inherited_from) for r in licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert [got[f"s/{x}.py"] for x in "abcd"] == [("MIT", "header", None), ("BSD-3-Clause", "header", None), (None, None, None), ("MIT", "header", None)]
+    for k in licenses.TEXTS:
+        assert got[f"{k}/LICENSE"] == (k, "file", None) and got[f"{k}/src/x.py"] == (k, "inherited", k)
+
+
 def test_language_model(make, corpus):
     texts = corpus + corpus[:40]
     docs = make(rows_of(texts) + [(None, "the of and", None, None, 0, 0, "", "", 0, 0, 0, "")])
