@@ -1,11 +1,13 @@
 """Benchmark decontamination by spaced seeds, in DataFrame operations only.
 
-Every run of eight words of a document is hashed under three fixed masks that each ignore two of its words; so is every run of the
-benchmark. Equal hashes give a diagonal (document position minus benchmark position). Along the diagonal the two texts are compared word by
+Seven fixed masks of five words within at most eight are hashed from every word of a document on, and of the benchmark likewise. Every
+pattern of up to two substituted words in eight and of up to three in twelve leaves some mask whole, wherever they stand. With that, no stretch
+that the comparison accepts is missed at `agree` of 3/4 or more and `stretch` of eight or more: a quarter of any longer stretch
+leaves eight of its words in a row with two at most, or twelve with three. Equal hashes give a diagonal (document position minus benchmark position). Along the diagonal the two texts are compared word by
 word, and the document is contaminated if some stretch of `stretch` words (or the whole passage if it is shorter) agrees in at
 least `agree` of its words: substituted words are tolerated, inside and outside of the masks.
 
-The runs are generated inside generated code and looked up in the benchmark's hashes: the hashes are broadcast only while their
+The masks' words are generated inside generated code and looked up in the benchmark's hashes: the hashes are broadcast only while their
 counted number stays under `broadcast_rows`, else the same join shuffles. Matches travel with the few aligned words, so that texts are
 neither shuffled nor read again.
 
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 from ..session import cut
 from .common import text_key, whole
 
-#: Positions that count in a run of eight words.
-MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 4, 5, 7), (0, 2, 3, 5, 6, 7))
+#: Words that count, from the first on.
+MASKS = ((0, 1, 3, 4, 5), (0, 1, 2, 3, 6), (0, 1, 5, 6, 7), (0, 1, 2, 3, 5), (0, 3, 4, 6, 7), (0, 2, 4, 5, 6), (0, 1, 2, 4, 7))
 SPAN = 8
 
 
@@ -32,10 +34,10 @@ def words(text):
 
 
 def runs(df: DataFrame, keep: list[str]) -> DataFrame:
-    """keep, words, pos, h: one row per run of eight words and mask."""
-    starts = F.when(F.size("words") >= SPAN, F.sequence(F.lit(0), F.size("words") - SPAN))
+    """keep, words, pos, h: one row per word and mask that ends within the text; h is null where it does not."""
+    starts = F.when(F.size("words") >= SPAN, F.sequence(F.lit(0), F.size("words") - min(m[-1] + 1 for m in MASKS)))
     at = df.select(*keep, "words", F.explode_outer(starts).alias("pos"))  # outer: an inner one would add a filter that cuts the words again
-    hashed = F.array(*[F.xxhash64(F.lit(k), *[F.get("words", F.col("pos") + i) for i in mask]) for k, mask in enumerate(MASKS)])
+    hashed = F.array(*[F.when(F.col("pos") + mask[-1] < F.size("words"), F.xxhash64(F.lit(k), *[F.get("words", F.col("pos") + i) for i in mask])) for k, mask in enumerate(MASKS)])
     return at.select(*keep, "words", "pos", F.explode_outer(hashed).alias("h"))
 
 
@@ -47,7 +49,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
 def hits(docs: DataFrame, benchmark: DataFrame, stretch: int = 13, agree: float = 0.75, broadcast_rows: int = 2_000_000) -> DataFrame:
     """Contaminated documents: doc_id, text_key, item_id, position of the first aligned word, words aligned, words equal, most equal words in a stretch."""
     items = cut(passages(benchmark))
-    seeds = cut(runs(items, ["item_id"]).where("pos is not null").select("h", "item_id", F.col("pos").alias("item_pos"), F.size("words").alias("item_len")))
+    seeds = cut(runs(items, ["item_id"]).where("h is not null").select("h", "item_id", F.col("pos").alias("item_pos"), F.size("words").alias("item_len")))
     if seeds.count() <= broadcast_rows:
         seeds = F.broadcast(seeds)
     d = docs.select("doc_id", text_key().alias("text_key"), words(whole()).alias("words"))

@@ -1,6 +1,7 @@
 """Repeated strings, near duplicates, benchmark leaks, personal data, licences, language model, quality: against brute force."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -96,6 +97,26 @@ def test_leaks_are_found_and_clean_stay(spark, make, corpus):
     assert decontaminate.hits(make([]), bench).count() == 0 and decontaminate.hits(docs, bench.limit(0)).count() == 0
 
 
+def test_masks_cover_all_that_is_accepted():
+    """Every pattern of substituted words that the comparison accepts leaves a mask whole, also as a passage of its own."""
+    for n in range(8, 17):
+        most = int(0.25 * min(n, 13))
+        places = [{m + k for m in mask} for mask in decontaminate.MASKS for k in range(n - mask[-1])]
+        for changed in itertools.chain.from_iterable(itertools.combinations(range(n), k) for k in range(most + 1)):
+            assert any(not p & set(changed) for p in places), (n, changed)
+
+
+def test_adjacent_substitutions_are_found(spark, make):
+    words = [f"b{i}" for i in range(16)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(f"c{i}" for i in range(8)))], "item_id long, text string")
+    middle = ["x" if i in (7, 8) else w for i, w in enumerate(words)]
+    three = ["x" if i in (4, 5, 6) else w for i, w in enumerate(words[:13])]
+    short = ["x" if i in (3, 4) else f"c{i}" for i in range(8)]
+    four = ["x" if i in (2, 5, 8, 11) else w for i, w in enumerate(words[:13])]
+    docs = make(rows_of([" ".join(["a"] * 9 + middle), " ".join(three), " ".join(["a"] + short), " ".join(four)]))
+    assert {(x.doc_id, x.item_id) for x in decontaminate.hits(docs, bench).collect()} == {(0, 1), (1, 1), (2, 2)}
+
+
 FIXED = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
