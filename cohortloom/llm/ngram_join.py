@@ -21,7 +21,8 @@ hashes of their whole sets.
 
 Defined cases: texts without words and null texts have no tokens and stand alone; fewer than five words are one token; a class is
 named by its least doc_id, rows with a null id take the least id of their class; repeated rows are copies; an empty table gives an empty
-result; other columns are ignored by `classes` and kept by `one_per_class`.
+result; other columns are ignored by `classes` and kept by `one_per_class`, which tells rows apart by id and text and lets the least id of a class stay,
+a null id last, and of one id's texts the least by hash.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import component_labels
 from ..session import cut
 from . import arrays
+from .common import text_key
 
 WORDS = 5
 PLACE = arrays.mixed(np.arange(1001, 1001 + WORDS, dtype=np.uint64)) | np.uint64(1)  # a factor for each place of a word
@@ -75,7 +77,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, node (null without words), n, classes (tokens per hash class as 16-bit numbers; null where one would not fit)."""
+    """doc_id, text_key, node (null without words), n, classes (tokens per hash class as 16-bit numbers; null where one would not fit)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
@@ -86,9 +88,10 @@ def nodes(docs: DataFrame) -> DataFrame:
                     n.append(len(x))
                     c = np.bincount((x & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
                     classes.append(c.astype(np.uint16).tobytes() if c.max() < 1 << 16 else None)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(classes, pa.binary())], names=["doc_id", "node", "n", "classes"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(classes, pa.binary())], names=["doc_id", "text_key", "node", "n", "classes"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, node long, n long, classes binary")
+    rows = docs.select("doc_id", text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, text_key long, node long, n long, classes binary")
 
 
 def bitmap(df: DataFrame, column: str) -> np.ndarray:
@@ -275,22 +278,42 @@ def links(docs: DataFrame, all_nodes: DataFrame, rare: int = 16, pair_size: int
     return edges, labels
 
 
-def classes(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def placed_rows(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """Rows with words (doc_id, text_key, n, component) and rows without (doc_id, text_key)."""
     all_nodes = cut(nodes(docs))
     _, labels = links(docs, all_nodes, **options)
-    placed = all_nodes.where("node is not null").join(labels.select(F.col("iid").alias("node"), "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = labels.select(F.col("iid").alias("node"), "component")
+    placed = all_nodes.where("node is not null").join(named, "node", "left").select("doc_id", "text_key", "n", F.coalesce("component", "node").alias("component"))
+    return placed, all_nodes.where("node is null").select("doc_id", "text_key")
+
+
+def classes(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    placed, alone = placed_rows(docs, **options)
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = placed.join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(all_nodes.where("node is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return out.unionByName(alone.select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
-    """The documents with the least id of their class, all columns kept; of rows equal in id and text one stays. Rows without an id stay."""
-    found = cut(classes(docs, **options))
-    gone = cut(found.where("doc_id <> component_id").select("doc_id").distinct())
-    twice = cut(found.where("doc_id is not null and doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The first document of each class by id (null last) and text key, all columns kept; of rows equal in id and text one stays.
+
+    Rows without words stand alone: those with an id stay once per id and text, those without an id all stay.
+    """
+    placed, alone = placed_rows(docs, **options)
+    placed = cut(placed)
+    first = placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("f"))
+    judged = cut(placed.join(first, "component").select("doc_id", "text_key", (F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_key") == F.col("f.text_key"))).alias("stays")))
+    gone = cut(judged.where("not stays").select("doc_id", "text_key").distinct())
+    rows = judged.where("stays").select("doc_id", "text_key").unionByName(alone.where("doc_id is not null"))
+    twice = cut(rows.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"))
+
+    def having(d: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        k = keys.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"))
+        t = d.withColumn("__t", text_key())
+        return t.join(k, t["doc_id"].eqNullSafe(k["__d"]) & (t["__t"] == k["__k"]), how).select(*docs.columns)
+
+    kept = having(docs, gone, "left_anti")
     if twice.isEmpty():
         return kept
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+    return having(kept, twice, "left_anti").unionByName(having(kept, twice, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -80,6 +80,17 @@ def test_one_per_class(make, corpus):
     assert ngram_join.classes(make([])).count() == 0
 
 
+def test_one_per_class_with_repeated_and_missing_ids(make):
+    """Rows are told apart by id and text; a class loses all but its first row, whatever ids they have."""
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    near = lambda k: text(k) + " more"
+    rows = [(5, text("a")), (5, near("b")), (3, text("b")), (6, text("c")), (6, near("c")), (None, text("d")), (None, near("d")), (None, near("d")), (7, near("e")), (None, text("e")), (8, ""), (8, ""), (None, ""), (None, None)]
+    docs = make([(i, t, "en", "s", 1, 7, "w", "k", 3, 9, 5, "x") for i, t in rows])
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_per_class(docs).collect()]
+    assert len(kept) == 8 and {(5, text("a")), (3, text("b")), (7, near("e")), (8, ""), (None, ""), (None, None)} <= set(kept)
+    assert sum(r in ((6, text("c")), (6, near("c"))) for r in kept) == 1 and sum(r in ((None, text("d")), (None, near("d"))) for r in kept) == 1
+
+
 def test_leaks_are_found_and_clean_stay(spark, make, corpus):
     r = random.Random(9)
     items = [" ".join(r.choice("alpha beta gamma delta eps zeta eta theta iota kappa mu nu xi omicron pi rho".split()) + str(r.randint(0, 40)) for _ in range(n)) for n in (20, 40, 13, 9, 5)]
