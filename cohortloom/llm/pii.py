@@ -4,13 +4,13 @@ Seeds are the e-mail addresses, IP addresses, card and phone numbers that the fi
 are its lexical pattern. Patterns and instances form a graph of counted edges: a pattern's confidence in a kind is the smoothed share of its
 edges that lead to instances believed to be of that kind, an instance is believed as far as its confident patterns agree (noisy or), and
 the two are computed in turn until no further instance is accepted. Identifier-like tokens that no fixed pattern knows become spans
-once they are accepted. Fixed spans always stay.
+once they are accepted, and at once if they are a seed written otherwise. Fixed spans always stay.
 
 Only documents with a digit or an @ go on; they are written once, with a row number, and only gaps and matches leave them: start and end
 come from running sums of lengths, so that a text with many matches costs in proportion. Matches never cross lines.
 
 Defined cases: a null text is empty; documents without spans get zero counts and the digest of the empty string; repeated and null ids
-are told apart by row number; contexts reach back at most 80 characters and may be empty (then they are no pattern); an empty table gives
+are told apart by row number; contexts reach back at most 80 characters, over earlier matches too, and may be empty (then they are no pattern); an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -39,9 +39,19 @@ CANDIDATE = r"[A-Za-z0-9._%+()@/:-]*[0-9@][A-Za-z0-9._%+()@/:-]*"
 def find(rows: DataFrame, keys: list[str], text: str, pattern: str, pieces: bool = False) -> DataFrame:
     """keys, start, end, match, left (up to 80 characters before): leftmost non-overlapping matches, or the pieces between them."""
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)).alias("match"))
-    each = rows.select(*keys, F.posexplode(zipped).alias("i", "z"))
-    gap, match = F.col("z.gap"), F.coalesce("z.match", F.lit(""))
-    each = each.select(*keys, "i", F.length(gap).alias("gap_len"), F.length(match).alias("match_len"), (gap if pieces else F.col("z.match")).alias("match"), F.substring(gap, -80, 80).alias("left"))
+    last = lambda c: F.substring(c, -80, 80)
+
+    def left(z, i):
+        # a gap and a match have two characters or more together (only the first gap and addresses, themselves longer, have none before): 41 of them reach back 80
+        own = F.lit("") if pieces else z["gap"]
+        earlier = F.transform(F.slice("z", F.greatest(i - 40, F.lit(1)), F.least(i, F.lit(41))), lambda y: last(F.concat(y["gap"], F.coalesce(y["match"], F.lit("")))))
+        return F.when((F.length(own) >= 80) | (i == 0), last(own)).otherwise(last(F.concat(F.array_join(earlier, ""), own)))
+
+    # outer: an inner one would add a filter that searches the text again
+    each = rows.select(*keys, zipped.alias("z")).select(*keys, "z", F.transform("z", left).alias("lefts"))
+    each = each.select(*keys, F.posexplode_outer(F.arrays_zip("z", "lefts")).alias("i", "y"))
+    gap, match = F.col("y.z.gap"), F.coalesce("y.z.match", F.lit(""))
+    each = each.select(*keys, "i", F.length(gap).alias("gap_len"), F.length(match).alias("match_len"), (gap if pieces else F.col("y.z.match")).alias("match"), F.col("y.lefts").alias("left"))
     done = F.sum(F.col("gap_len") + F.col("match_len")).over(Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     end = done - (F.col("match_len") if pieces else F.lit(0))
     size = F.col("gap_len" if pieces else "match_len")
@@ -79,7 +89,7 @@ def base_spans(texts: DataFrame) -> DataFrame:
     card = find(runs, ["row_id", "from", "before"], "match", r"[\x20-]{2,}", pieces=True)
     digits = _digits("match")
     card = card.withColumn("d", digits).where(F.length("d").between(12, 19)).where(_luhn(F.col("d")))
-    card = card.select("row_id", F.lit("card").alias("kind"), (F.col("from") + F.col("start")).alias("start"), (F.col("from") + F.col("end")).alias("end"), "match", F.when(F.col("start") == 0, F.col("before")).otherwise("").alias("left"))
+    card = card.select("row_id", F.lit("card").alias("kind"), (F.col("from") + F.col("start")).alias("start"), (F.col("from") + F.col("end")).alias("end"), "match", F.substring(F.concat("before", "left"), -80, 80).alias("left"))
     phone = has("phone", F.regexp_like("text", F.lit(r"\+[0-9]"))).where(F.length(digits).between(9, 15))
     return email.select(out).unionByName(ip.select(out)).unionByName(card.select(out)).unionByName(phone.select(out))
 
@@ -90,8 +100,11 @@ def _context(left: Column) -> Column:
     return F.when(F.regexp_like(low, F.lit(r"[^\s]+\s+[^\s]+[\s(\"']*$")), F.regexp_extract(low, r"([^\s]+\s+[^\s]+?)[\s(\"']*$", 1))
 
 
-def _value(match: Column) -> Column:
-    return F.regexp_replace(F.translate(match, UPPER, LOWER), r"[\s().+-]", "")
+def _value(match: Column, kind: Column | None = None) -> Column:
+    """What is equal in all spellings of an identifier; signs within addresses of both kinds belong to them."""
+    low = F.translate(match, UPPER, LOWER)
+    signs = match.contains("@") if kind is None else kind.isin("email", "ip")
+    return F.when(signs, low).otherwise(F.regexp_replace(low, r"[\s().+-]", ""))
 
 
 def candidates(texts: DataFrame, base: DataFrame) -> DataFrame:
@@ -138,10 +151,15 @@ def extract(docs: DataFrame, min_support: int = 3, confident: float = 0.5, accep
     texts = rows.where("text is not null").select("row_id", "text")
     base = cut(base_spans(texts))
     free = cut(candidates(texts, base))
-    seen = base.select(_context(F.col("left")).alias("pattern"), _value(F.col("match")).alias("value"), "kind").unionByName(
+    seeds = base.select(_context(F.col("left")).alias("pattern"), _value(F.col("match"), F.col("kind")).alias("value"), "kind")
+    seen = seeds.unionByName(
         free.select(_context(F.col("left")).alias("pattern"), _value(F.col("match")).alias("value"), F.lit(None).cast("string").alias("kind")))
     edges = cut(seen.where("pattern is not null").groupBy("pattern", "value", "kind").agg(F.count(F.lit(1)).alias("n")))
     found = bootstrap(edges, min_support, confident, accept)
+    # seeds that also occur in other spellings, under the kind that they have most often
+    votes = seeds.groupBy("value", "kind").agg(F.count(F.lit(1)).alias("n"))
+    known = votes.groupBy("value").agg(F.max(F.struct("n", "kind")).alias("b")).select("value", "b.kind")
+    found = known.unionByName(found.join(known.select("value"), "value", "left_anti").select("value", "kind"))
     more = free.withColumn("value", _value(F.col("match"))).join(found, "value").select("row_id", "kind", "start", "end", F.lit(False).alias("fixed"))
     return rows.select("row_id", "doc_id"), base.select("row_id", "kind", "start", "end", F.lit(True).alias("fixed")).unionByName(more)
 

@@ -166,6 +166,25 @@ def test_contexts_discover_unseen_identifiers(make):
     assert got[6].spans == "" and got[7].spans == ""
 
 
+def test_known_identifiers_written_otherwise(make):
+    """Also without a context that tells, and an address of digits is not a number of the same digits."""
+    texts = ["+1 555 010 0001", "see 1-555-010-0001 there", "host 12.34.56.78 up", "batch 12345678 done"]
+    got = {x.doc_id: x.spans for x in pii.report(make(rows_of(texts))).collect()}
+    assert (got[1], got[3]) == ("phone:4:18", "")
+
+
+def test_contexts_reach_over_earlier_matches(spark, make):
+    seeds = [f"line 7b call +1 555 010 {k:04d} soon" for k in range(5)]
+    got = {x.doc_id: x.spans for x in pii.report(make(rows_of([*seeds, "line 7b call 555-010-7777 today", "at 1 2 3 line 7b call 555-010-8888"]))).collect()}
+    assert got[5] == "phone:13:25" and got[6] == "phone:22:34"
+    r = random.Random(6)
+    texts = ["".join(r.choice(["a1", "22", "x", " ", "\n", ", ", "word ", "b@c.d", "9" * 30, "é", "y" * 90]) for _ in range(r.randint(1, 120))) for _ in range(60)] + ["1 " * 200]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")
+    for pattern in (pii.CANDIDATE, pii.PATTERNS["email"], pii.PATTERNS["card"]):
+        for x in pii.find(rows, ["row_id"], "text", pattern).collect():
+            assert x.left == texts[x.row_id][max(x.start - 80, 0):x.start]
+
+
 def test_licences(spark):
     rows = [("a/LICENSE", "This work is licensed under the GNU General Public License, version 3"), ("a/x/f.py", "print"), ("a/x/y/g.py", None), ("a/b/h.py", "code\nLicensed under the Apache License, Version 2.0.\n" + "word " * 50),
             ("b/i.py", "nothing of the kind"), ("a/x/COPYING", "Licensed under CC BY-NC 4.0."), ("top.txt", ""), (None, "text"), ("a/x/f.py", "print")]
