@@ -4,10 +4,12 @@ A token's probability mixes three maximum-likelihood estimates: after its predec
 (count / all tokens), and uniform over the vocabulary and one unseen token. The weights depend on how frequent the predecessor is,
 one set per bucket, and are learned by expectation-maximisation on the counts of documents that were held out from the counting.
 
-All words are counted, over all training documents. Words with at least `heavy` of the tokens (at most 1 / heavy of them can be) go to every task as a sorted
-array, the rest are joined by shuffle: no single key of that join holds more than `heavy` of the tokens. Pairs enter the model from a
-share of `pair_share` of the tokens on, counted exactly over all training documents among the words that reach that share themselves, without
-which no pair can; at most 1 / pair_share of them can be. Rarer pairs are left to the lower orders, as usual with cut-offs.
+All words and all pairs of words are counted, over all training documents. Words with at least `heavy` of the tokens (at most 1 / heavy of them
+can be) and pairs with at least `pair_share` (at most 1 / pair_share) go to every task as sorted arrays. All others stay tables: tokens that
+need one of them leave their task as (row, pair, count) rows, added up by row and pair, and are joined by shuffle. No single key of these joins
+holds more than those shares of the training tokens. Each predecessor's pair counts add up to its own count but for the batches' edges.
+
+Rows are numbered in each of the passes over the documents, which must therefore be a table read from files.
 
 Defined cases: a null text is empty and scores its end alone; the token before the first is the end; without training documents all
 counts are 0 and every token has the uniform probability; words are told apart by 64-bit hashes; repeated rows count each time; an
@@ -19,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +92,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.
 
 
 def bucket_of(c: np.ndarray, total: int) -> np.ndarray:
-    """0 for predecessors without pairs in the model, then by powers of ten of the relative frequency, rare to frequent."""
+    """0 for predecessors that are not in the training documents, then by powers of ten of the relative frequency, rare to frequent."""
     with np.errstate(divide="ignore"):
         return np.clip(np.floor(np.log10(np.maximum(c, 1) / max(total, 1))) + BUCKETS, 1, BUCKETS - 1).astype(np.int64) * (c > 0)
 
@@ -104,49 +105,79 @@ class Model:
         self.weights = np.tile([0.4, 0.4, 0.2], (BUCKETS, 1))
         self.weights[0] = [0.0, 0.8, 0.2]
 
-    def look_up(self, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Count of the word (0: not heavy), of its predecessor, of both, and the bucket."""
+    def look_up(self, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Count of the word, of its predecessor and of both; 0: not heavy."""
         c = self.words.find(tok)
         prev = np.concatenate([self.words.find(np.array([_END])), c[:-1]])
-        return c, prev, self.pairs.find(pair(before(tok), tok)), bucket_of(prev, self.total)
+        return c, prev, self.pairs.find(pair(before(tok), tok))
+
+
+def grouped(row: np.ndarray, tok: np.ndarray, c: np.ndarray, prev: np.ndarray, both: np.ndarray, keep: np.ndarray) -> list:
+    """Rows and columns word, ahead, two, c, prev, both, n of the kept tokens, added up by row and pair; keys are null where the count is at hand."""
+    ahead, two = before(tok), pair(before(tok), tok)
+    at = np.flatnonzero(keep)
+    _, first, n = np.unique(arrays.mixed(two[at] ^ arrays.mixed(row[at].astype(np.uint64) + np.uint64(1))), return_index=True, return_counts=True)
+    at = at[first]
+    key = lambda k, known: pa.array(k[at].view(np.int64), mask=known[at] > 0)
+    return [row[at], key(tok, c), key(ahead, prev), key(two, both), *[pa.array(x[at].astype(np.int64)) for x in (c, prev, both)], pa.array(n.astype(np.int64))]
+
+
+GROUPED = "word long, ahead long, two long, c long, prev long, both long, n long"
+
+
+def open_tokens(docs: DataFrame, spread, rows: bool) -> tuple[DataFrame, DataFrame]:
+    """GROUPED, with row_id if `rows`: tokens whose words are at hand, and all others. With `rows`, tokens with all counts at hand are left out."""
+    names = (["row_id"] if rows else []) + [x.split()[0] for x in GROUPED.split(", ")]
+
+    def part(tail: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in _pieces(batches):
+                tok, n = tokens(b.column("text"))
+                c, prev, both = spread.value.look_up(tok)
+                row = np.repeat(np.arange(len(n)), n) if rows else np.zeros(len(tok), np.int64)
+                rare = (c == 0) | (prev == 0)
+                row, *cols = grouped(row, tok, c, prev, both, rare if tail else ~rare & ((both == 0) | (not rows)))
+                yield pa.RecordBatch.from_arrays(([b.column("row_id").take(pa.array(row))] if rows else []) + cols, names=names)
+
+        return docs.select(*(["row_id"] if rows else []), "text").mapInArrow(run, ("row_id long, " if rows else "") + GROUPED)
+
+    return part(False), part(True)
+
 
+def resolved(docs: DataFrame, spread, unigrams: DataFrame, pairs: DataFrame, rows: bool) -> DataFrame:
+    """open_tokens with all counts. A key that is not asked for is replaced by another, which spreads its rows; its match is not used."""
+    def fill(t: DataFrame, key: str, others: tuple[str, str], column: str, table: DataFrame) -> DataFrame:
+        known = table.select(F.col("key").alias("k"), F.col("c").alias("found"))
+        filled = F.when(F.col(key).isNull(), F.col(column)).otherwise(F.coalesce("found", F.lit(0)))
+        return t.withColumn("at", F.coalesce(key, *others)).join(known, F.col("at") == F.col("k"), "left").withColumn(column, filled).drop("at", "k", "found")
 
-def fit(train: DataFrame, held: DataFrame, heavy: float, pair_share: float) -> tuple[Model, DataFrame]:
-    """The model, and the counts of all words: key, c."""
-    spark = train.sparkSession
+    near, tail = open_tokens(docs, spread, rows)
+    tail = fill(fill(tail, "word", ("two", "ahead"), "c", unigrams), "ahead", ("two", "word"), "prev", unigrams)
+    every = near.unionByName(tail)
+    return fill(every.withColumn("row", F.monotonically_increasing_id()), "two", ("word", "row"), "both", pairs).drop("row")
+
+
+def bucket(total: int):
+    """bucket_of for column prev."""
+    level = F.floor(F.log10(F.greatest("prev", F.lit(1)) / F.lit(max(total, 1)))) + BUCKETS
+    return F.when(F.col("prev") > 0, F.greatest(F.lit(1), F.least(F.lit(BUCKETS - 1), level))).otherwise(0).cast("int")
+
+
+def fit(train: DataFrame, held: DataFrame, heavy: float, pair_share: float) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, and the counts of all words and of all pairs: key, c."""
     unigrams = cut(_counted(train, lambda t: t))
     total, distinct = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    pairs = cut(_counted(train, lambda t: pair(before(t), t)))
     words = _collected(unigrams.where(F.col("c") >= heavy * total), "key")
-    strong = spark.sparkContext.broadcast(Table(words.keys[words.counts >= pair_share * total], words.counts[words.counts >= pair_share * total]))
-
-    def strong_pairs(tok: np.ndarray) -> np.ndarray:
-        there = strong.value.find(tok) > 0
-        prev = before(tok)
-        both = there & (strong.value.find(prev) > 0)
-        return pair(prev[both], tok[both])
-
-    pairs = _collected(_counted(train, strong_pairs).where(F.col("c") >= pair_share * total), "key")
-    model = Model(words, pairs, total, distinct)
-    return learn(model, held, unigrams), unigrams
+    model = Model(words, _collected(pairs.where(F.col("c") >= pair_share * total), "key"), total, distinct)
+    return learn(model, held, unigrams, pairs), unigrams, pairs
 
 
-def learn(model: Model, held: DataFrame, unigrams: DataFrame) -> Model:
+def learn(model: Model, held: DataFrame, unigrams: DataFrame, pairs: DataFrame) -> Model:
     """Weights by expectation-maximisation over the held-out tokens, grouped by bucket and counts; ends when a round gains under 1e-5 a token."""
     spread = held.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _pieces(batches):
-            tok, _ = tokens(b.column("text"))
-            c, prev, both, bucket = spread.value.look_up(tok)
-            prev = np.where(both > 0, prev, 0)
-            key = np.where(c > 0, np.uint64(0), tok).view(np.int64)
-            g = pd.DataFrame({"key": key, "known": c > 0, "bucket": bucket, "pair": both, "prev": prev, "c": c}).groupby(["key", "known", "bucket", "pair", "prev", "c"]).size().reset_index(name="n")
-            yield pa.RecordBatch.from_pandas(g, schema=pa.schema([("key", pa.int64()), ("known", pa.bool_()), *[(x, pa.int64()) for x in ("bucket", "pair", "prev", "c", "n")]]), preserve_index=False)
-
-    seen = cut(held.select("text").mapInArrow(run, "key long, known boolean, bucket long, pair long, prev long, c long, n long"))
-    rare = seen.where("not known").groupBy("key", "bucket").agg(F.sum("n").alias("n"))
-    rare = rare.join(unigrams, "key", "left").select("bucket", F.lit(0).cast("long").alias("pair"), F.lit(0).cast("long").alias("prev"), F.coalesce("c", F.lit(0)).alias("c"), "n")
-    hist = cut(seen.where("known").select("bucket", "pair", "prev", "c", "n").unionByName(rare).groupBy("bucket", "pair", "prev", "c").agg(F.sum("n").alias("n")))
+    seen = resolved(held, spread, unigrams, pairs, rows=False).withColumn("bucket", bucket(model.total))
+    hist = cut(seen.groupBy("bucket", F.col("both").alias("pair"), F.when(F.col("both") > 0, F.col("prev")).otherwise(0).alias("prev"), "c").agg(F.sum("n").alias("n")))
     parts = [F.when(F.col("prev") > 0, F.col("pair") / F.col("prev")).otherwise(0.0), F.col("c") / max(model.total, 1), F.lit(1 / (model.distinct + 1))]
     last = None
     while True:
@@ -167,7 +198,7 @@ def learn(model: Model, held: DataFrame, unigrams: DataFrame) -> Model:
 def score(docs: DataFrame, is_held, heavy: float = 1e-6, pair_share: float = 1e-5) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed single counts), score (log10 of the model)."""
     d = docs.select("doc_id", is_held.alias("held_out"), F.monotonically_increasing_id().alias("row_id"), F.col("text").cast("string").alias("text"))
-    model, unigrams = fit(d.where("not held_out"), d.where("held_out"), heavy, pair_share)
+    model, unigrams, pairs = fit(d.where("not held_out"), d.where("held_out"), heavy, pair_share)
     spread = docs.sparkSession.sparkContext.broadcast(model)
     total, distinct = model.total, model.distinct
     floor = total + 0.5 * (distinct + 1)
@@ -176,37 +207,26 @@ def score(docs: DataFrame, is_held, heavy: float = 1e-6, pair_share: float = 1e-
         m = spread.value
         for b in _pieces(batches):
             tok, n = tokens(b.column("text"))
-            c, prev, both, bucket = m.look_up(tok)
-            w = m.weights[bucket]
+            c, prev, both = m.look_up(tok)
+            w = m.weights[bucket_of(prev, total)]
             known = c > 0
-            p = w[:, 0] * both / np.maximum(prev, 1) + w[:, 1] * c / max(total, 1) + w[:, 2] / (distinct + 1)
+            done = known & (prev > 0) & (both > 0)
+            p = np.where(done, w[:, 0] * both / np.maximum(prev, 1) + w[:, 1] * c / max(total, 1) + w[:, 2] / (distinct + 1), 1.0)
             row = np.repeat(np.arange(len(n)), n)
             add = lambda x: np.bincount(row, x, len(n))
-            size = len(n)
-            none = lambda k, t: pa.nulls(k, t)
             yield pa.RecordBatch.from_arrays([
-                b.column("row_id"), b.column("doc_id"), b.column("held_out"), none(size, pa.int64()), none(size, pa.int64()), pa.array(n),
-                pa.array(add(known).astype(np.int64)), pa.array(add(np.where(known, np.log10((c + 0.5) / floor), 0.0))), pa.array(add(np.where(known, np.log10(p), 0.0))),
-            ], names=NAMES)
-            if not known.all():
-                g = pd.DataFrame({"row": row[~known], "key": tok[~known].view(np.int64), "bucket": bucket[~known]}).groupby(["row", "key", "bucket"], sort=False).size().reset_index(name="n")
-                k = len(g)
-                yield pa.RecordBatch.from_arrays([
-                    b.column("row_id").take(pa.array(g["row"].to_numpy())), none(k, b.schema.field("doc_id").type), none(k, pa.bool_()), pa.array(g["key"].to_numpy()), pa.array(g["bucket"].to_numpy()),
-                    pa.array(g["n"].to_numpy()), none(k, pa.int64()), none(k, pa.float64()), none(k, pa.float64()),
-                ], names=NAMES)
+                b.column("row_id"), b.column("doc_id"), b.column("held_out"), pa.array(n),
+                pa.array(add(known).astype(np.int64)), pa.array(add(np.where(known, np.log10((c + 0.5) / floor), 0.0))), pa.array(add(np.log10(p))),
+            ], names=["row_id", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
 
     kind = dict(docs.select("doc_id").dtypes)["doc_id"]
-    parts = cut(d.mapInArrow(run, f"row_id long, doc_id {kind}, held_out boolean, key long, bucket long, n long, n_known long, base double, score double"))
-    whole = parts.where("key is null").select("row_id", "doc_id", "held_out", F.col("n").alias("n_tokens"), "n_known", "base", "score")
-    c = F.coalesce("c", F.lit(0))
-    weight = lambda k: F.element_at(F.array(*[F.lit(float(x)) for x in model.weights[:, k]]), (F.col("bucket") + 1).cast("int"))
-    rare = parts.where("key is not null").select("row_id", "key", "bucket", "n").join(unigrams, "key", "left").groupBy("row_id").agg(
-        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more"), F.sum(F.col("n") * F.log10((c + 0.5) / floor)).alias("base_more"),
-        F.sum(F.col("n") * F.log10(weight(1) * c / max(total, 1) + weight(2) / (distinct + 1))).alias("score_more"))
-    out = whole.join(rare, "row_id", "left")
+    whole = d.mapInArrow(run, f"row_id long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
+    weight = lambda k: F.element_at(F.array(*[F.lit(float(x)) for x in model.weights[:, k]]), bucket(total) + 1)
+    p = weight(0) * F.col("both") / F.greatest("prev", F.lit(1)) + weight(1) * F.col("c") / max(total, 1) + weight(2) / (distinct + 1)
+    asked = F.col("word").isNotNull()
+    rest = resolved(d, spread, unigrams, pairs, rows=True).groupBy("row_id").agg(
+        F.sum(F.when(asked & (F.col("c") > 0), F.col("n")).otherwise(0)).alias("more"),
+        F.sum(F.when(asked, F.col("n") * F.log10((F.col("c") + 0.5) / floor)).otherwise(0.0)).alias("base_more"), F.sum(F.col("n") * F.log10(p)).alias("score_more"))
+    out = whole.join(rest, "row_id", "left")
     plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
     return out.select("doc_id", "held_out", "n_tokens", plus("n_known", "more").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), plus("base", "base_more").alias("base_score"), plus("score", "score_more").alias("score"))
-
-
-NAMES = ["row_id", "doc_id", "held_out", "key", "bucket", "n", "n_known", "base", "score"]

@@ -227,6 +227,15 @@ def test_language_model(make, corpus):
     assert lm.score(make([]), held).count() == 0
 
 
+def test_rare_pairs_count_in_the_model(make, corpus):
+    """Scores do not depend on which words and pairs are sent whole, and a once-seen pair raises its token's probability."""
+    docs = make(rows_of(corpus + corpus[:40]))
+    held = F.col("doc_id") % 5 == 1
+    got = [{r.doc_id: r for r in lm.score(docs, held, heavy=h, pair_share=p).collect()} for h, p in ((1e-9, 1e-9), (0.01, 0.02))]
+    for i, r in got[0].items():
+        assert got[1][i].score == pytest.approx(r.score, rel=1e-6) and got[1][i].base_score == pytest.approx(r.base_score) and got[1][i].n_known == r.n_known
+
+
 def test_quality_counts(make, corpus):
     texts = corpus + ["a b c a b c d", "x\nx\n\n\n x\nx", "# $ %%"]
     got = {r.doc_id: r for r in quality.judge(make(rows_of(texts))).collect()}
