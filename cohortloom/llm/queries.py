@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lm, mixing, ngram_join, pii, quality, records, sharding, suffix_dedup
+from . import centroids, decontaminate, licenses, lm, mixing, ngram_join, pii, quality, records, sharding, suffix_dedup
 from .common import LOWER, ORACLES, QUERIES, UPPER, query, table  # noqa: F401
 
 
@@ -113,3 +113,32 @@ def op9(spark, sf_dir):
 @query("op10_decontamination")
 def op10(spark, sf_dir):
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+def centroid_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds written out: a (vectors with their cluster and distance) and c (centroids) in turn."""
+    steps = [r"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+s AS (SELECT v, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), ''))) - 1 AS k FROM v)""",
+             f"c0 AS MATERIALIZED (SELECT CAST(k AS INTEGER) AS k, v FROM s WHERE k < {k})"]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (
+  SELECT row_id, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'d': d, 'k': k}}) AS b FROM (
+    SELECT row_id, vec_id, v.v, c.k, CAST(list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{n} c) GROUP BY row_id)""")
+        if n < rounds:
+            steps.append(f"""c{n + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN (
+    SELECT k, list(CAST((t - ((t % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+      SELECT k, i, CAST(sum(x) AS BIGINT) AS t, count(*) AS n FROM (SELECT b.k AS k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{n}) GROUP BY k, i) GROUP BY k) m ON c.k = m.k)""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, b.k AS cluster, b.d AS distance, CAST(sum(b.d) OVER (PARTITION BY b.k) AS BIGINT) AS cluster_inertia, CAST(sum(b.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.b.k = c.k
+"""
+
+
+@query("op11_centroid_clustering", centroid_sql())
+def op11(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), "embedding", k=8, rounds=10)
