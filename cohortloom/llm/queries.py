@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import centroids, decontaminate, licenses, lm, mixing, ngram_join, pii, quality, records, sharding, suffix_dedup
+from . import centroids, decontaminate, licenses, lm, mixing, ngram_join, pii, quality, records, repair, sharding, suffix_dedup
 from .common import LOWER, ORACLES, QUERIES, UPPER, query, table  # noqa: F401
 
 
@@ -142,3 +142,14 @@ FROM a{rounds} a JOIN c{rounds} c ON a.b.k = c.k
 @query("op11_centroid_clustering", centroid_sql())
 def op11(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"), "embedding", k=8, rounds=10)
+
+
+@query("op13_conversation_repair")
+def op13(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.report(repair.damage(rows)).withColumnRenamed("conv_id", "c")
+    every = rows.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    zero = F.lit(0).cast("long")
+    return every.select(
+        "conv_id", *(F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(repair.SHA_EMPTY)).alias("repaired_sha256"))
