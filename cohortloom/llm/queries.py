@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import centroids, decontaminate, licenses, lm, mixing, ngram_join, pii, quality, records, repair, sharding, suffix_dedup
+from . import centroids, decontaminate, fingerprints, licenses, lm, mixing, ngram_join, pii, quality, records, repair, sharding, suffix_dedup
 from .common import LOWER, ORACLES, QUERIES, UPPER, query, table  # noqa: F401
 
 
@@ -144,6 +144,11 @@ def op11(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"), "embedding", k=8, rounds=10)
 
 
+@query("op12_document_fingerprints")
+def op12(spark, sf_dir):
+    return fingerprints.beside_next(table(spark, sf_dir, "documents"))
+
+
 @query("op13_conversation_repair")
 def op13(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
