@@ -38,22 +38,46 @@ def op6(spark, sf_dir):
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
-TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+def _values(rows) -> str:
+    return ", ".join("({})".format(", ".join("'{}'".format(x.replace("'", "''")) for x in r)) for r in rows)
+
+
+FULL_TEXTS = [(k, v) for k, v in licenses.TEXTS.items() if k != "AGPL-3.0"]
 LICENSE_SQL = rf"""
 WITH f AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') || '/' || coalesce(lang, '') AS dir FROM documents),
-t AS (SELECT text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM (SELECT DISTINCT text FROM f) WHERE regexp_matches(translate(text, '{UPPER}', '{LOWER}'), '{licenses.SPEAKS}')),
+t AS (SELECT text, translate(text, '{UPPER}', '{LOWER}') AS low, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM (SELECT DISTINCT text FROM f) WHERE regexp_matches(translate(text, '{UPPER}', '{LOWER}'), '{licenses.SPEAKS}')),
 a AS (SELECT text, words, unnest(string_split(text, chr(10))) AS line FROM t),
 l AS (SELECT DISTINCT * FROM a WHERE regexp_matches(translate(line, '{UPPER}', '{LOWER}'), '{licenses.SPEAKS}')),
 tf AS (SELECT text, term, count(*) AS tf FROM (SELECT text, unnest(regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '{licenses.TERM}')) AS term FROM l) GROUP BY ALL),
 n AS (SELECT count(DISTINCT text) AS n FROM tf),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-m0 AS (SELECT license, term, count(*) AS tf FROM (SELECT license, unnest(regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '{licenses.TERM}')) AS term FROM (VALUES {TEMPLATE_ROWS}) v(license, line)) GROUP BY ALL),
-m AS (SELECT license, m0.term, tf * (ln((1.0 + n) / (1 + coalesce(df, 0))) + 1) AS w FROM m0 LEFT JOIN df ON m0.term = df.term, n),
-w AS (SELECT text, tf.term, tf * (ln((1.0 + n) / (1 + df)) + 1) AS w FROM tf JOIN df ON tf.term = df.term, n),
-s AS (SELECT d.text, d.license, round(dot / nt / nm, 6) AS score FROM (SELECT text, license, sum(w.w * m.w) AS dot FROM w JOIN m ON w.term = m.term GROUP BY ALL) d
-      JOIN (SELECT text, sqrt(sum(w * w)) AS nt FROM w GROUP BY text) x ON d.text = x.text JOIN (SELECT license, sqrt(sum(w * w)) AS nm FROM m GROUP BY license) y ON d.license = y.license),
-b AS (SELECT text, license, score FROM s WHERE score >= 0.5 QUALIFY row_number() OVER (PARTITION BY text ORDER BY score DESC, license) = 1),
-h AS (SELECT text, 2 * sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) >= max(words) AS whole_file FROM l GROUP BY text),
+x0 AS (SELECT * FROM (VALUES {_values(FULL_TEXTS)}) v(license, body)),
+x AS (SELECT license, translate(body, '{UPPER}', '{LOWER}') AS body FROM (
+  FROM x0 UNION ALL SELECT 'AGPL-3.0', replace(replace(body, 'GNU General Public', 'GNU Affero General Public'), 'GNU GENERAL PUBLIC', 'GNU AFFERO GENERAL PUBLIC') FROM x0 WHERE license = 'GPL-3.0')),
+forms AS (SELECT row_number() OVER () AS form, * FROM (
+  SELECT license, line, NULL::VARCHAR[] AS needs FROM (VALUES {_values(licenses.TEMPLATES.items())}) v(license, line)
+  UNION ALL SELECT license, string_agg(line, chr(10)), NULL FROM (SELECT license, unnest(string_split(body, chr(10))) AS line FROM x) WHERE regexp_matches(line, '{licenses.SPEAKS}') GROUP BY license
+  UNION ALL SELECT license, replace(phrase, '{{}}', name), list_filter(list_distinct(regexp_extract_all(lower(name), '{licenses.TERM}')), lambda c: c NOT IN ('license', 'version', 'international', 'the'))
+    FROM (VALUES {_values([(k, n) for k, ns in licenses.NAMES.items() for n in ns])}) v(license, name), (VALUES {_values([(p,) for p in licenses.PHRASES])}) w(phrase))),
+m AS (SELECT form, m0.term, tf * (ln((1.0 + n) / (1 + coalesce(df, 0))) + 1) AS w FROM (
+  SELECT form, term, count(*) AS tf FROM (SELECT form, unnest(regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '{licenses.TERM}')) AS term FROM forms) GROUP BY ALL) m0 LEFT JOIN df ON m0.term = df.term, n),
+asked AS (SELECT form, unnest(needs) AS term FROM forms WHERE needs IS NOT NULL),
+ma AS (SELECT m.form, m.term, m.w, CASE WHEN asked.term IS NULL THEN 0 ELSE 1 END AS asked FROM m LEFT JOIN asked ON m.form = asked.form AND m.term = asked.term),
+about AS (SELECT form, license, len(needs) AS needed, needs IS NOT NULL AS short, norm AS other FROM forms JOIN (SELECT form, sqrt(sum(w * w)) AS norm FROM m GROUP BY form) USING (form)),
+single AS (SELECT line, term, count(*) AS tf FROM (SELECT line, unnest(regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), '{licenses.TERM}')) AS term FROM (SELECT DISTINCT line FROM l)) GROUP BY ALL),
+w AS (SELECT k, whole, u.term, tf * (ln((1.0 + n) / (1 + coalesce(df, 0))) + 1) AS w FROM (SELECT text AS k, true AS whole, term, tf FROM tf UNION ALL SELECT line, false, term, tf FROM single) u LEFT JOIN df ON u.term = df.term, n),
+dots AS (SELECT k, whole, form, sum(w.w * ma.w) AS dot, sum(asked) AS there FROM w JOIN ma ON w.term = ma.term GROUP BY ALL),
+fits AS (SELECT k, d.whole, license, round(dot / norm / other, 6) AS score FROM dots d JOIN about USING (form) JOIN (SELECT k, whole, sqrt(sum(w * w)) AS norm FROM w GROUP BY ALL) z USING (k, whole)
+  WHERE (whole OR short) AND (NOT short OR there = needed)),
+runs AS (SELECT k, r, count(*) AS n FROM (
+  SELECT k, unnest(list_transform(range(1, greatest(len(t) - 1, 1)), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) AS r FROM (
+    SELECT text AS k, regexp_extract_all(low, '{licenses.TERM}') AS t FROM t UNION ALL SELECT chr(1) || license, regexp_extract_all(body, '{licenses.TERM}') FROM x)) GROUP BY ALL),
+lengths AS (SELECT k, sqrt(sum(n * n)) AS norm FROM runs GROUP BY k),
+complete AS (SELECT b.k AS text, substr(a.k, 2) AS license, round(sum(a.n * b.n) / any_value(x.norm) / any_value(y.norm), 6) AS score
+  FROM runs a JOIN runs b ON a.r = b.r AND starts_with(a.k, chr(1)) AND NOT starts_with(b.k, chr(1)) JOIN lengths x ON x.k = b.k JOIN lengths y ON y.k = a.k GROUP BY b.k, a.k),
+every AS (SELECT k AS text, license, score FROM fits WHERE whole UNION ALL SELECT l.text, license, score FROM fits JOIN l ON fits.k = l.line WHERE NOT whole UNION ALL FROM complete),
+b AS (SELECT text, license, score FROM every WHERE score >= 0.5 QUALIFY row_number() OVER (PARTITION BY text ORDER BY score DESC, license) = 1),
+h AS (SELECT text, 2 * sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) >= max(words) OR text IN (SELECT text FROM complete WHERE score >= 0.5) AS whole_file FROM l GROUP BY text),
 p AS (SELECT f.doc_id, f.dir, b.license, b.score, h.whole_file FROM f LEFT JOIN b ON f.text = b.text LEFT JOIN h ON b.text = h.text),
 g AS (SELECT dir, license, score FROM p WHERE whole_file AND license IS NOT NULL QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1),
 i AS (SELECT p.dir, g.dir AS above, g.license, g.score FROM (SELECT DISTINCT dir FROM p) p JOIN g ON g.dir = p.dir OR g.dir = split_part(p.dir, '/', 1) OR g.dir = ''
