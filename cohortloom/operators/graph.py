@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..session import cut, uncut
-from . import ranks
-from .blocks import name_pairs, pair_stats
+from . import tiles as T
 from .joins import expand_neighbours
 
 
@@ -62,13 +60,14 @@ def components(edges: DataFrame, min_size: int = 3) -> tuple[DataFrame, DataFram
     return labels, table
 
 
-def independent_set(nodes: DataFrame, pairs: DataFrame, priority: DataFrame | None = None, bands: int = 16) -> DataFrame:
+def independent_set(nodes: DataFrame, pairs: DataFrame, priority: DataFrame | None = None) -> DataFrame:
     """Maximal set of nodes without a pair inside.
 
     Every round keeps the nodes that come before all their remaining neighbours and removes those neighbours, until no pair is left.
-    The order is the band of the priority (fewest pairs, or the given one, cut at its quantiles), then a hash, then the id: priorities that
+    The order is the power of two of the node's number of pairs (or of the given positive priority), then a hash, then the id: numbers that
     run smoothly along a chain would settle it a few nodes a round, hashes settle all but a few in a number of rounds that grows with the
-    logarithm of the size. Only the removed ids are carried, so the result is nodes minus removed.
+    logarithm of the size. The order depends on the node and its pairs alone, never on how rows lie in partitions. Only the removed ids are carried, so the
+    result is nodes minus removed.
     """
     key = nodes.columns[0]
     both = _both_ways(pairs.select(F.col(pairs.columns[0]).alias("u"), F.col(pairs.columns[1]).alias("v")).where("u <> v")).distinct()
@@ -78,11 +77,8 @@ def independent_set(nodes: DataFrame, pairs: DataFrame, priority: DataFrame | No
         rank = both.groupBy("u").agg(F.count(F.lit(1)).cast("double").alias("p"))
     else:
         rank = priority.select(F.col(priority.columns[0]).alias("u"), F.col(priority.columns[1]).cast("double").alias("p"))
-    rank = cut(rank)
-    marks = [k / bands for k in range(1, bands)]
-    limits = sorted(set(rank.agg(F.percentile_approx("p", F.array(*map(F.lit, marks)), 1000)).first()[0] or []))  # at most 15 numbers
-    band = sum(((F.col("p") > float(x)).cast("int") for x in limits), F.lit(0))
-    rank = rank.select("u", F.struct(band.alias("p"), F.xxhash64("u").alias("h"), F.col("u").alias("id")).alias("pu"))
+    band = F.when(F.col("p") > 0, F.floor(F.log2("p"))).otherwise(-1100).cast("int")
+    rank = cut(rank.select("u", F.struct(band.alias("p"), F.xxhash64("u").alias("h"), F.col("u").alias("id")).alias("pu")))
     live = both.join(rank, "u").join(rank.select(F.col("u").alias("v"), F.col("pu").alias("pv")), "v")
     live = cut(live.select("u", "v", "pu", "pv"))
     removed = None
@@ -132,28 +128,22 @@ def _kin_products(lhs: np.ndarray, rhs: np.ndarray) -> np.ndarray:
     return np.stack([ok_l @ ok_r.T, het_l @ het_r.T, ibs0, het_l @ ok_r.T, ok_l @ het_r.T])
 
 
-def kinship(genotypes: DataFrame, t: float = fixed.KIN_TABLE_MIN, block: int = 256, chunks: int = 16) -> DataFrame:
+def kinship(genotypes: DataFrame | T.Tiles, t: float = fixed.KIN_TABLE_MIN, wide: int = 4, chunks: int | None = None) -> DataFrame:
     """Robust between-family kinship of all sample pairs at or above the table limit.
 
-    phi = (hethet - 2 ibs0) / (2 m) + 1/2 - (het_i + het_j) / (4 m), m the smaller het count, over variants seen in both samples.
+    phi = (hethet - 2 ibs0) / (2 m) + 1/2 - (het_i + het_j) / (4 m), m the smaller het count, over variants seen in both samples. Every super-block of
+    samples meets every other one in a cell of the grid; see `tiles.pair_sums`.
     """
-    samples = genotypes.select("sample_id").distinct()
-    dim = cut(ranks.number_rows(samples, "sample_id").select(F.col("sample_id").cast("long").alias("sample_id"), F.floor(F.col("row_idx") / block).alias("block"), F.pmod("row_idx", F.lit(block)).cast("int").alias("slot")))
-    last = dim.agg(F.max("block")).first()[0]
-    cells = genotypes.join(dim, "sample_id").select("block", "slot", F.col("variant_id").alias("col"), F.col("dosage").alias("value"))
+    packed = genotypes if isinstance(genotypes, T.Tiles) else T.pack(genotypes)
+    grid = T.grid_of(packed.n_samples, wide)
 
-    def finish(s: np.ndarray, same: bool) -> pd.DataFrame:
-        n, hethet, ibs0, het_i, het_j = s
+    def finish(i: np.ndarray, j: np.ndarray, sums: np.ndarray) -> dict:
+        n, hethet, ibs0, het_i, het_j = sums
         m = np.minimum(het_i, het_j)
         with np.errstate(all="ignore"):
             phi = (hethet - 2 * ibs0) / (2 * m) + 0.5 - (het_i + het_j) / (4 * m)
-        ok = (m > 0) & (phi >= t)
-        if same:
-            ok &= np.triu(np.ones_like(ok, dtype=bool), 1)
-        i, j = np.nonzero(ok)
-        return pd.DataFrame({"slot_i": i.astype("int32"), "slot_j": j.astype("int32"), "n_variants": n[i, j].astype("int64"), "hethet": hethet[i, j] / n[i, j], "ibs0": ibs0[i, j] / n[i, j], "kinship": phi[i, j]})
-
-    b = F.col("block")
-    below = F.when(b > 0, F.sequence(F.lit(0).cast("long"), b - 1)).otherwise(F.array().cast("array<bigint>"))
-    pairs = pair_stats(cells, F.sequence(b, F.lit(last).cast("long")), below, block, chunks, _kin_products, finish, "slot_i int, slot_j int, n_variants long, hethet double, ibs0 double, kinship double")
-    return name_pairs(pairs, dim, "sample_id", "iid1", "iid2")
+        ok = (m > 0) & (phi >= t) & (j > i)
+        return {"i": i[ok], "j": j[ok], "n_variants": n[ok].astype(np.int64), "hethet": hethet[ok] / n[ok], "ibs0": ibs0[ok] / n[ok], "kinship": phi[ok]}
+
+    pairs = T.pair_sums(packed, "samples", grid, grid.side, 5, _kin_products, finish, "i long, j long, n_variants long, hethet double, ibs0 double, kinship double", chunks)
+    return T.named(pairs, packed.samples, "sample_id", "iid1", "iid2")

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import alleles as L
 from ..functions import numeric as N
-from ..session import LIST_BYTES, cut, key_list
+from ..session import cut, key_list, sent_whole, uncut
 from . import aggregates as A
 from . import joins as J
-from . import ranks
 from . import stats
-from .blocks import name_pairs, pair_stats
-from .graph import independent_set
+from . import tiles as T
 
 
 # ladders -------------------------------------------------------------------------------------------------------------------
@@ -67,12 +66,13 @@ def marker_subset(markers: DataFrame, variants: DataFrame, max_miss: float) -> D
 
 
 def sequential_qc(
-    genotypes: DataFrame, samples: DataFrame, variants: DataFrame, ref: DataFrame, ranges: DataFrame, max_diff: float, min_maf: float, max_geno: float, max_mind: float
+    genotypes: DataFrame, samples: DataFrame, variants: DataFrame, ref: DataFrame, ranges: DataFrame, max_diff: float, min_maf: float, max_geno: float, max_mind: float,
+    window: int = 1000, step: int = 80, r2: float = 0.1,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Kept genotypes, the kept variants, and variants and samples left after each step; every step recounts what is left.
 
-    Frequency difference, then minor frequency, variant missingness, sample missingness, excluded regions. The working table is
-    cut once per axis change, so later steps do not repeat the earlier ones.
+    Frequency difference, then minor frequency, variant missingness, sample missingness, excluded regions, pruning of correlated variants. The working
+    table is cut once per axis change, so later steps do not repeat the earlier ones.
     """
     g = cut(genotypes.join(samples.select("sample_id").distinct(), "sample_id", "left_semi"))
     steps = []
@@ -98,6 +98,10 @@ def sequential_qc(
     outside = J.exclude_ranges(near, ranges).select("variant_id")
     g = cut(g.join(outside, "variant_id", "left_semi"))
     note("regions", g)
+    seen = g.select("variant_id").distinct()
+    outside = cut(ld_prune(g, near.select("variant_id", "chrom", "pos").join(seen, "variant_id", "left_semi"), window, step, r2).select("variant_id"))
+    g = cut(g.join(outside, "variant_id", "left_semi"))
+    note("ld_prune", g)
     log = g.sparkSession.createDataFrame(steps, "step int, name string, n_variants long, n_samples long")
     return g, outside, log
 
@@ -110,50 +114,83 @@ def _ld_products(lhs: np.ndarray, rhs: np.ndarray) -> np.ndarray:
     return np.stack([ok_l @ ok_r.T, x @ ok_r.T, ok_l @ y.T, (x * x) @ ok_r.T, ok_l @ (y * y).T, x @ y.T])
 
 
-def ld_pairs(genotypes: DataFrame, variants: DataFrame, window: int, r2: float, chunks: int = 8, least_block: int = 256) -> DataFrame:
-    """Variant pairs of one chromosome at most `window` places apart whose squared correlation is above the limit.
+def placed_tiles(genotypes: DataFrame, variants: DataFrame) -> T.Tiles:
+    """Tiles whose variants stand in order of chromosome, position and id; those without a position are left out."""
+    order = ("chrom", "pos", "variant_id")
+    return T.pack(genotypes, variants.where(F.col("pos").isNotNull()).select(*order), order)
+
+
+def ld_pairs(genotypes: DataFrame | T.Tiles, variants: DataFrame | None, window: int, r2: float, wide: int = 4, chunks: int | None = None) -> DataFrame:
+    """Variant pairs of one chromosome at most `window` places apart whose squared correlation is above the limit: variant_i, variant_j, i, j, n, r2.
 
-    Places are counted per chromosome in order of position. Blocks are at least `window` long, so a pair lies in one block or two
-    neighbours.
+    Places are counted in order of position. A super-block of variants meets itself and the next ones as far as the window reaches.
     """
-    size = max(window, least_block)
-    placed = ranks.with_histogram(variants.where(F.col("pos").isNotNull()).select("variant_id", "chrom", F.col("pos").cast("double").alias("p")), ["chrom"], "p")
-    tie = ranks.cumulative_histogram(placed.select(F.concat_ws("|", "chrom", F.col("p").cast("string")).alias("at"), F.col("variant_id").cast("double").alias("v")), ["at"], "v", buckets=1)
-    placed = placed.withColumn("at", F.concat_ws("|", "chrom", F.col("p").cast("string"))).join(tie.select("at", F.col("v").cast("long").alias("variant_id"), F.col("n_below").alias("nth")), ["at", "variant_id"])
-    chroms = variants.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
-    # Chromosomes follow each other with one empty block between, so that neighbours never cross a border.
-    first = {}
-    offset = 0
-    for row in sorted(chroms.collect(), key=lambda x: str(x["chrom"])):  # chromosomes: a few dozen
-        first[row["chrom"]] = offset
-        offset += -(-row["n"] // size) + 1
-    start = F.element_at(F.create_map(*[F.lit(x) for kv in first.items() for x in kv]), F.col("chrom"))
-    place = F.col("n_below") + F.col("nth")
-    dim = cut(placed.select("variant_id", (start + F.floor(place / size)).alias("block"), F.pmod(place, F.lit(size)).cast("int").alias("slot")))
-    cells = genotypes.join(dim, "variant_id").select("block", "slot", F.col("sample_id").alias("col"), F.col("dosage").alias("value"))
-
-    def finish(s: np.ndarray, same: bool) -> pd.DataFrame:
-        n, sx, sy, sxx, syy, sxy = s
+    t = genotypes if isinstance(genotypes, T.Tiles) else placed_tiles(genotypes, variants)
+    grid = T.grid_of(t.n_variants, wide)
+
+    def finish(i: np.ndarray, j: np.ndarray, sums: np.ndarray) -> dict:
+        n, sx, sy, sxx, syy, sxy = sums
         with np.errstate(all="ignore"):
             cov, vx, vy = n * sxy - sx * sy, n * sxx - sx * sx, n * syy - sy * sy
             value = cov * cov / (vx * vy)
-        a, b = np.indices(value.shape)
-        ok = (n > 1) & (vx > 0) & (vy > 0) & (value > r2) & (b > a if same else True) & (b + (0 if same else size) - a <= window)
-        i, j = np.nonzero(ok)
-        return pd.DataFrame({"slot_i": i.astype("int32"), "slot_j": j.astype("int32"), "n": n[i, j].astype("int64"), "r2": value[i, j]})
+        ok = (n > 1) & (vx > 0) & (vy > 0) & (value > r2) & (j > i) & (j - i <= window)
+        return {"i": i[ok], "j": j[ok], "n": n[ok].astype(np.int64), "r2": value[ok]}
 
-    b = F.col("block")
-    known = dim.select("block").distinct()
-    pairs = pair_stats(cells, F.array(b, b + 1), F.array(b - 1), size, chunks, _ld_products, finish, "slot_i int, slot_j int, n long, r2 double")
-    pairs = pairs.join(known.withColumnRenamed("block", "block_j"), "block_j", "left_semi")
-    return name_pairs(pairs, dim, "variant_id", "variant_i", "variant_j")
+    reach = -(-window // (grid.wide * T.TILE))
+    pairs = T.pair_sums(t, "variants", grid, reach, 6, _ld_products, finish, "i long, j long, n long, r2 double", chunks)
+    ids = sent_whole(cut(t.variants.select("idx", "variant_id", "chrom")))
+    side = lambda x, c: ids.select(F.col("idx").alias(x), F.col("variant_id").alias(f"variant_{x}"), F.col("chrom").alias(c))
+    return pairs.join(side("i", "c"), "i").join(side("j", "d"), "j").where("c <=> d").select("variant_i", "variant_j", "i", "j", F.col("c").alias("chrom"), "n", "r2")
 
 
-def ld_prune(genotypes: DataFrame, variants: DataFrame, window: int = 1000, r2: float = 0.1, chunks: int = 8) -> DataFrame:
-    """Variants left when no pair in the window is correlated above the limit; the higher minor frequency is kept first."""
-    pairs = ld_pairs(genotypes, variants, window, r2, chunks).select("variant_i", "variant_j")
-    maf = A.variant_freq(genotypes).select("variant_id", (-F.coalesce(L.minor_frequency("freq"), F.lit(0.0))).alias("p"))
-    return independent_set(variants.select("variant_id"), pairs, maf)
+def ld_prune(genotypes: DataFrame, variants: DataFrame, window: int = 1000, step: int = 80, r2: float = 0.1, ranges: int = 64) -> DataFrame:
+    """Variants left by a greedy pass over windows of `window` variants that move on by `step`.
+
+    In each window, pairs of variants that are still there are looked at in order; if their squared correlation is above the limit the one with the smaller
+    minor frequency goes, the later one of equals. A pair is looked at in the first window that holds both. Windows are cut into ranges of
+    at least `ranges` windows. Every range runs the pass by itself, then hands the variants gone from its last windows to the range after it; ranges that got
+    something new run again, until nothing new is handed over. A range is right as soon as the one before it is, so the result is that of one pass from
+    the first window to the last; in practice a border is forgotten after a few windows.
+    """
+    t = placed_tiles(genotypes, variants)
+    freq = cut(T.variant_counts(t).select("idx", F.coalesce(L.minor_frequency("freq"), F.lit(0.0)).alias("maf")))
+    starts = t.variants.groupBy(F.col("chrom").alias("c")).agg(F.min("idx").alias("start"))  # chromosomes
+    span = max(ranges, -(-window // step) + 1)
+    pairs = ld_pairs(t, None, window - 1, r2).select("i", "j", "chrom")
+    e = pairs.join(F.broadcast(starts), F.expr("chrom <=> c")).drop("chrom", "c")
+    nth = F.greatest(F.lit(0), F.ceil((F.col("j") - F.col("start") - window + 1) / step)).cast("long")
+    e = e.withColumn("k", nth).where(F.col("start") + F.col("k") * step <= F.col("i"))
+    small = sent_whole(freq)
+    e = e.join(small.select(F.col("idx").alias("i"), F.col("maf").alias("mi")), "i").join(small.select(F.col("idx").alias("j"), F.col("maf").alias("mj")), "j")
+    part = F.floor(F.col("k") / span)
+    e = cut(e.select((F.col("start") + part * span * step).alias("at"), (F.col("start") + (part + 1) * span * step).alias("next"), "k", "i", "j", F.when(F.col("mi") < F.col("mj"), F.col("i")).otherwise(F.col("j")).alias("goes")))
+    known = cut(e.select("at").distinct())
+
+    def run(pairs_: pd.DataFrame, gone_: pd.DataFrame) -> pd.DataFrame:
+        gone = set(gone_.idx)
+        if not len(pairs_):
+            return pd.DataFrame({"at": [], "next": [], "idx": []})
+        pairs_ = pairs_.sort_values(["k", "i", "j"])
+        for i, j, goes in zip(pairs_.i.tolist(), pairs_.j.tolist(), pairs_.goes.tolist()):
+            if i not in gone and j not in gone:
+                gone.add(goes)
+        return pd.DataFrame({"at": pairs_["at"].iloc[0], "next": pairs_["next"].iloc[0], "idx": sorted(gone)})
+
+    schema = "at long, next long, idx long"
+    handed = t.tiles.sparkSession.createDataFrame([], "at long, idx long")
+    gone, todo = None, known
+    while True:
+        fresh = e.join(todo, "at", "left_semi").groupBy("at").cogroup(handed.groupBy("at")).applyInPandas(run, schema)
+        spent = gone
+        gone = cut(fresh if gone is None else gone.join(todo, "at", "left_anti").unionByName(fresh))
+        uncut(spent)
+        now = cut(gone.where("idx >= next").select(F.col("next").alias("at"), "idx").join(known, "at", "left_semi"))
+        todo = cut(now.exceptAll(handed).unionByName(handed.exceptAll(now)).select("at").distinct())
+        handed = now
+        if todo.isEmpty():
+            break
+    out = t.variants.select("idx", "variant_id").join(gone.select("idx").distinct(), "idx", "left_anti")
+    return variants.join(out.select("variant_id"), "variant_id", "left_semi")
 
 
 def standardized_dosage(genotypes: DataFrame, freq: DataFrame) -> DataFrame:
@@ -163,42 +200,118 @@ def standardized_dosage(genotypes: DataFrame, freq: DataFrame) -> DataFrame:
     return j.select("variant_id", "sample_id", ((F.col("dosage") - 2 * f) / F.sqrt(2 * f * (1 - f))).alias("z"))
 
 
-def fit_pcs(genotypes: DataFrame, k: int, rounds: int = 8, seed: int = 7, spare: int = 2) -> tuple[DataFrame, DataFrame, list[float]]:
-    """Leading components by subspace iteration: loadings per variant (w1..wk and freq), scores per sample, eigenvalues.
+def _gram(rows: DataFrame, columns: list[str], n: int) -> np.ndarray:
+    """Cross products of all numbers of array columns, over all rows: n x n numbers."""
+
+    def run(it):
+        total = np.zeros((n, n))
+        for batch in it:
+            m = np.hstack([np.array(batch.column(c).to_pylist(), float).reshape(batch.num_rows, -1) for c in columns])
+            total += m.T @ m
+        yield pa.record_batch([pa.array(range(n), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], ["i", "row"])
+
+    sums = rows.select(*columns).mapInArrow(run, "i int, row array<double>").select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x"))
+    out = np.zeros((n, n))
+    for r in sums.collect():  # n x n numbers
+        out[r.i, r.j] = r.x
+    return out
+
 
-    A round is two joins and two grouped sums over the standardized cells, which are written once to the shared folder; only
-    k x k numbers reach the driver.
+def _turned(rows: DataFrame, columns: list[str], turn: np.ndarray, name: str, keep: list[str]) -> DataFrame:
+    """`name`: the numbers of array columns, side by side, times a small matrix."""
+    kinds = dict(rows.dtypes)
+
+    def run(it):
+        for batch in it:
+            m = np.hstack([np.array(batch.column(c).to_pylist(), float).reshape(batch.num_rows, -1) for c in columns]) @ turn
+            yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(m.tolist(), pa.list_(pa.float64()))], [*keep, name])
+
+    return rows.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in keep), f"{name} array<double>"]))
+
+
+def _whitening(gram: np.ndarray, scale: float) -> np.ndarray:
+    """Turns columns with these cross products into orthonormal ones; directions without length are left out."""
+    values, vectors = np.linalg.eigh(gram)
+    some = values > 1e-12 * max(scale, 1e-300)
+    return vectors[:, some] / np.sqrt(values[some])
+
+
+def fit_pcs(genotypes: DataFrame, k: int, tol: float = 1e-4, rounds: int = 60, seed: int = 7, spare: int = 14) -> tuple[DataFrame, DataFrame, list[float]]:
+    """Leading components of the standardized dosages: loadings per variant (w1..wk and freq), scores per sample, eigenvalues.
+
+    A randomized range finder: a random block of k + spare vectors is multiplied by the matrix and its transpose again and again, and all blocks
+    together, kept orthonormal, are the range in which the components are sought. It ends when |Z Z'u - lambda u| <= tol * lambda for each of the k, and
+    raises if that is not so after `rounds` rounds. A round passes over the tiles twice; numbers per sample stay in tables, and
+    only cross products of the vectors reach the driver.
     """
     q = k + spare
-    names = [f"q{i + 1}" for i in range(q)]
+    tiles = T.pack(genotypes)
+    z = T.standardize(tiles)
+    samples = tiles.samples.select("idx", "sample_id")
+    noise = [F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "sample_id"), F.lit(2001)) / 1000.0 - 1.0 for i in range(q)]
+    start = cut(samples.select("idx", F.array(*noise).alias("y")))
+    first = _gram(start, ["y"], q)
+    white = _whitening(first, np.trace(first))
+    new = cut(_turned(start, ["y"], white, "y", ["idx"]))
+    state, sizes = None, []  # state: idx, a (the range so far), h (what the matrix makes of it)
+    for _ in range(rounds):
+        width = white.shape[1]
+        made = T.times(z, T.times(z, new, "samples", width), "variants", width)
+        zero = F.array(*[F.lit(0.0)] * width)
+        both = new.join(made.withColumnRenamed("y", "h"), "idx", "left").select("idx", F.col("y").alias("a"), F.coalesce("h", zero).alias("h"))
+        before = state
+        if before is not None:
+            both = before.join(both.select("idx", F.col("a").alias("a2"), F.col("h").alias("h2")), "idx").select("idx", F.concat("a", "a2").alias("a"), F.concat("h", "h2").alias("h"))
+        state = cut(both)
+        uncut(before)
+        uncut(new)
+        sizes.append(width)
+        c = sum(sizes)
+        cross = _gram(state, ["a", "h"], 2 * c)
+        small, squares = (cross[:c, c:] + cross[:c, c:].T) / 2, cross[c:, c:]
+        values, vectors = np.linalg.eigh(small)
+        top = np.argsort(values)[::-1][:k]
+        lam, v = values[top], vectors[:, top]
+        left = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", v, squares, v) - lam**2, 0))
+        if len(top) == k and (left <= tol * np.maximum(lam, 1e-300)).all():
+            break
+        # what the last block was made into, less what the range holds, is the next block; taken off twice, as once is not exact
+        last = np.zeros((2 * c, width))
+        last[2 * c - width:] = np.eye(width)
+        last[:c] -= cross[:c, 2 * c - width:]
+        rest = cut(state.join(_turned(state, ["a", "h"], last, "y", ["idx"]), "idx"))
+        cross2 = _gram(rest, ["a", "y"], c + width)
+        over = cross2[:c, c:]
+        white = _whitening(cross2[c:, c:] - over.T @ over, np.trace(cross[2 * c - width:, 2 * c - width:]))
+        if not white.shape[1]:
+            break  # the range holds all there is
+        new = cut(_turned(rest, ["a", "y"], np.vstack([-over, np.eye(width)]) @ white, "y", ["idx"]))
+        uncut(rest)
+    else:
+        raise ValueError(f"components did not settle in {rounds} rounds: residuals {left / np.maximum(lam, 1e-300)}")
+    sign = np.sign(v[np.abs(v).argmax(axis=0), range(len(top))])
+    u = cut(_turned(state, ["a"], v * sign, "y", ["idx"]))
+    made = T.times(z, u, "samples", len(top))
+    loadings = made.join(z.freq, "idx").select("variant_id", "freq", *[(F.get("y", F.lit(i)) / F.lit(float(np.sqrt(max(x, 1e-300))))).alias(f"w{i + 1}") for i, x in enumerate(lam)])
+    scores = u.join(samples, "idx").select("sample_id", *[F.get("y", F.lit(i)).alias(f"pc{i + 1}") for i in range(len(top))])
+    return loadings, scores, [float(x) for x in lam]
+
+
+def verify_pcs(genotypes: DataFrame, loadings: DataFrame, scores: DataFrame, eigen: list[float]) -> DataFrame:
+    """One row from the cells themselves: total (sum of squared cells), share of the components, largest departure from orthonormal scores and largest
+    residual |Z Z'u - lambda u| / lambda."""
+    k = len(eigen)
     freq = A.variant_freq(genotypes).select("variant_id", "freq")
     z = cut(standardized_dosage(genotypes, freq))
-    sums = [F.sum(F.col("z") * F.col(c)).alias(c) for c in names]
-    samples = z.select("sample_id").distinct()
-    n_samples, n_variants = z.agg(F.count_distinct("sample_id"), F.count_distinct("variant_id")).first()
-    # Sides of at most LIST_BYTES (a key and q numbers a row) are broadcast, so the cells are not shuffled for the joins.
-    small = lambda rows: F.broadcast if rows * (q + 1) * 8 <= LIST_BYTES else (lambda d: d)
-    per_sample, per_variant = small(n_samples), small(n_variants)
-    basis = samples.select("sample_id", *[(F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "sample_id"), F.lit(2001)) / 1000.0 - 1.0).alias(c) for i, c in enumerate(names)])
-
-    def orthonormal(df: DataFrame) -> tuple[DataFrame, np.ndarray]:
-        tri = [(i, j) for i in range(q) for j in range(i, q)]
-        row = df.agg(F.array(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in tri])).first()[0]
-        values, vectors = np.linalg.eigh(stats.unpack(row, q))
-        order = np.argsort(values)[::-1]
-        values, vectors = np.clip(values[order], 1e-300, None), vectors[:, order]
-        turn = vectors / np.sqrt(values)
-        return df.select(df.columns[0], *[stats.dot([F.col(n) for n in names], turn[:, i]).alias(names[i]) for i in range(q)]), values
-
-    basis, _ = orthonormal(cut(basis))
-    values = np.zeros(q)
-    for _ in range(rounds):
-        by_variant = z.join(per_sample(basis), "sample_id").groupBy("variant_id").agg(*sums)
-        basis, values = orthonormal(cut(z.join(per_variant(by_variant), "variant_id").groupBy("sample_id").agg(*sums)))
-    loadings = cut(z.join(per_sample(basis), "sample_id").groupBy("variant_id").agg(*sums))
-    eigen = [float(x) for x in np.sqrt(values)]  # squared singular values of the cells
-    out = loadings.join(freq, "variant_id").select("variant_id", "freq", *[(F.col(n) / F.lit(float(np.sqrt(max(e, 1e-300))))).alias(f"w{i + 1}") for i, (n, e) in enumerate(zip(names, eigen)) if i < k])
-    return out, basis.select("sample_id", *[F.col(n).alias(f"pc{i + 1}") for i, n in enumerate(names[:k])]), eigen[:k]
+    pcs, made = [f"pc{i + 1}" for i in range(k)], [f"y{i + 1}" for i in range(k)]
+    by_variant = z.join(scores, "sample_id").groupBy("variant_id").agg(*[F.sum(F.col("z") * F.col(p)).alias(p) for p in pcs])
+    again = z.join(by_variant, "variant_id").groupBy("sample_id").agg(*[F.sum(F.col("z") * F.col(p)).alias(y) for p, y in zip(pcs, made)])
+    rows = scores.join(again, "sample_id", "left").na.fill(0.0, made)
+    gram = [F.abs(F.sum(F.col(pcs[i]) * F.col(pcs[j])) - (1.0 if i == j else 0.0)) for i in range(k) for j in range(i, k)]
+    left = [F.sqrt(F.sum((F.col(y) - F.lit(x) * F.col(p)) ** 2)) / F.lit(x) for p, y, x in zip(pcs, made, eigen)]
+    total = z.agg(F.sum(F.col("z") * F.col("z")).alias("total"))
+    checks = rows.agg(F.greatest(*gram, F.lit(0.0)).alias("skew"), F.greatest(*left, F.lit(0.0)).alias("residual"))
+    return total.join(checks).select("total", (F.lit(float(sum(eigen))) / F.col("total")).alias("share"), "skew", "residual")  # two single rows
 
 
 def project_pcs(genotypes: DataFrame, loadings: DataFrame, k: int) -> DataFrame:
@@ -211,25 +324,19 @@ def project_pcs(genotypes: DataFrame, loadings: DataFrame, k: int) -> DataFrame:
 
 
 # association --------------------------------------------------------------------------------------------------------------------
-def associate(genotypes: DataFrame, traits: DataFrame, names: list[str], with_p: bool = False) -> DataFrame:
-    """Covariate-free regression of up to 64 residual traits on every variant in one pass over the genotypes.
+def associate(genotypes: DataFrame | T.Tiles, traits: DataFrame, names: list[str], with_p: bool = False, batch: int = 64) -> DataFrame:
+    """Covariate-free regression of residual traits on every variant.
 
-    `traits` is wide: sample_id and one column per name, null where missing. Sums are combined per variant before the shuffle, so
-    neither pairs of samples and variants times traits nor a variant's cells are ever gathered.
+    `traits` is wide: sample_id and one column per name, null where missing. Genotypes are packed once; batches of at most `batch` traits, fewer where their values
+    could not be sent whole, are multiplied with the tiles. Any number of traits may be given.
     """
-    if len(names) > 64:
-        raise ValueError("a batch holds at most 64 traits")
-    rows = genotypes.where(F.col("dosage").isNotNull()).select("variant_id", "sample_id", F.col("dosage").cast("double").alias("g"))
-    # Sent to every executor while its files are small, so that the genotypes are not shuffled by sample.
-    wide = key_list(traits.select("sample_id", *[F.col(f"`{n}`").cast("double").alias(f"y{i}") for i, n in enumerate(names)]))
-    rows = rows.join(wide, "sample_id")
-    aggs: list[Column] = []
-    for i in range(len(names)):
-        y, g = F.col(f"y{i}"), F.when(F.col(f"y{i}").isNotNull(), F.col("g"))
-        aggs += [F.count(y).alias(f"n{i}"), F.sum(g).alias(f"g{i}"), F.sum(g * g).alias(f"gg{i}"), F.sum(y).alias(f"s{i}"), F.sum(y * y).alias(f"yy{i}"), F.sum(g * y).alias(f"gy{i}")]
-    sums = rows.groupBy("variant_id").agg(*aggs)
-    structs = F.array(*[F.struct(F.lit(n).alias("pheno_id"), *[F.col(f"{c}{i}").alias(c) for c in ("n", "g", "gg", "s", "yy", "gy")]) for i, n in enumerate(names)])
-    t = sums.select("variant_id", F.explode(structs).alias("t")).select("variant_id", "t.*").where("n > 0")
+    tiles = genotypes if isinstance(genotypes, T.Tiles) else T.pack(genotypes)
+    size = T.traits_at_once(tiles.n_samples, batch)
+    t = None
+    for at in range(0, len(names), size):
+        some = names[at:at + size]
+        sums = T.trait_sums(tiles, traits, some).withColumn("pheno_id", F.element_at(F.array(*map(F.lit, some)), F.col("trait") + 1)).drop("trait")
+        t = sums if t is None else t.unionByName(sums)
     n = F.col("n")
     t = t.withColumn("sxx", F.col("gg") - F.col("g") * F.col("g") / n).withColumn("sxy", F.col("gy") - F.col("g") * F.col("s") / n).withColumn("syy", F.col("yy") - F.col("s") * F.col("s") / n)
     t = t.withColumn("beta", F.when(F.col("sxx") > 1e-9, F.col("sxy") / F.col("sxx")))

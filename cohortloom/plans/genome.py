@@ -68,7 +68,7 @@ def geno_reference(spark, sf):
 def qc(spark, sf):
     s = table(spark, sf, "supplier").where("s_acctbal > 1000").select(F.col("s_suppkey").alias("sample_id"))
     ranges = table(spark, sf, "nation").select(F.when(F.col("n_regionkey") % 2 == 0, "ECONOMY").otherwise("SMALL").alias("chrom"), (F.col("n_nationkey") * 3000).alias("start"), (F.col("n_nationkey") * 3000 + 1100).alias("end"))
-    return V.sequential_qc(roles.genotypes(spark, sf), s, roles.variants(spark, sf), geno_reference(spark, sf), ranges, 0.1500001, 0.3, 0.12, 0.08)
+    return V.sequential_qc(roles.genotypes(spark, sf), s, roles.variants(spark, sf), geno_reference(spark, sf), ranges, 0.1500001, 0.3, 0.12, 0.08, WINDOW, STEP, R2)
 
 
 role("qc", """SELECT * FROM genotypes WHERE sample_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 1000)""", "genotypes")
@@ -80,46 +80,83 @@ role("q5", """SELECT * FROM q4 WHERE variant_id NOT IN (SELECT v.variant_id FROM
  ON r.chrom = v.chrom AND v.pos > r.s AND v.pos <= r.e)""", "q4 variants")
 
 
+WINDOW, STEP, R2 = 1000, 80, 0.1
+_R2 = "pow(n * sxy - sx * sy, 2) / ((n * sxx - sx * sx) * (n * syy - sy * sy))"
+
+
+def _linked(geno: str, vars_: str) -> str:
+    """Pairs above the limit that a window holds: places i and j in the chromosome, n, value, and the number k of the first window with both."""
+    return f"""(WITH o AS (SELECT variant_id, chrom, row_number() OVER (PARTITION BY chrom ORDER BY pos, variant_id) - 1 AS p FROM {vars_}), g AS (SELECT g.variant_id, sample_id, CAST(dosage AS DOUBLE) AS d, chrom, p FROM {geno} g JOIN o USING (variant_id) WHERE dosage IS NOT NULL),
+ s AS (SELECT a.chrom, a.p AS i, b.p AS j, a.variant_id AS variant_i, b.variant_id AS variant_j, count(*) AS n, sum(a.d) AS sx, sum(b.d) AS sy, sum(a.d * a.d) AS sxx, sum(b.d * b.d) AS syy, sum(a.d * b.d) AS sxy FROM g a JOIN g b ON a.chrom = b.chrom AND a.sample_id = b.sample_id AND b.p > a.p AND b.p - a.p < {WINDOW} GROUP BY ALL)
+ SELECT chrom, i, j, variant_i, variant_j, n, {_R2} AS value, greatest(0, CAST(ceil((j - {WINDOW} + 1) / {STEP}.0) AS BIGINT)) AS k FROM s WHERE n > 1 AND n * sxx - sx * sx > 0 AND n * syy - sy * sy > 0 AND {_R2} > CAST({R2} AS DOUBLE))"""
+
+
+def _pruned(geno: str, vars_: str) -> str:
+    """The greedy pass row by row: one step per window and left variant."""
+    return f"""(WITH RECURSIVE m AS (SELECT variant_id, coalesce(least(f, 1 - f), 0) AS maf FROM (SELECT v.variant_id, CASE WHEN count(dosage) > 0 THEN sum(dosage) / CAST(count(dosage) * 2 AS DOUBLE) END AS f FROM {vars_} v LEFT JOIN {geno} g USING (variant_id) GROUP BY v.variant_id)),
+ e AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY chrom, k, i) AS n FROM (SELECT chrom, k, variant_i AS v, i, list({{'v': variant_j, 'first': a.maf < b.maf}} ORDER BY j) AS js FROM {_linked(geno, vars_)} x JOIN m a ON a.variant_id = variant_i JOIN m b ON b.variant_id = variant_j WHERE k * {STEP} <= i GROUP BY ALL)),
+ r(n, chrom, gone, went) AS (SELECT CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) UNION ALL
+  SELECT n, chrom, list_concat(known, went), went FROM (SELECT *, CASE WHEN list_contains(known, v) THEN CAST([] AS BIGINT[]) WHEN stop IS NULL THEN list_transform(live, lambda x: x.v) ELSE list_append(list_transform(live[1:stop - 1], lambda x: x.v), v) END AS went
+   FROM (SELECT *, nullif(list_position(list_transform(live, lambda x: x.first), true), 0) AS stop FROM (SELECT *, list_filter(js, lambda x: NOT list_contains(known, x.v)) AS live FROM (SELECT e.n, e.chrom, e.v, e.js, CASE WHEN r.chrom = e.chrom THEN r.gone ELSE CAST([] AS BIGINT[]) END AS known FROM r JOIN e ON e.n = r.n + 1)))))
+ SELECT variant_id FROM {vars_} WHERE variant_id NOT IN (SELECT unnest(went) FROM r))"""
+
+
+QV = "(SELECT variant_id, chrom, pos FROM variants WHERE variant_id IN (SELECT variant_id FROM q5))"
+
+
 def _count(i, name, src):
     return f"SELECT CAST({i} AS INTEGER) AS step, '{name}' AS name, count(DISTINCT variant_id) AS n_variants, count(DISTINCT sample_id) AS n_samples FROM {src}"
 
 
 @query("V5_sequential_qc", sql("q5", " UNION ALL ".join([
     _count(0, "samples", "qc"), _count(1, "frequency_difference", "qc WHERE variant_id IN (SELECT variant_id FROM qv)"), _count(2, "maf", "qc WHERE variant_id IN (SELECT variant_id FROM qv WHERE least(f, 1 - f) >= 0.3)"),
-    _count(3, "geno", "q3"), _count(4, "mind", "q4"), _count(5, "regions", "q5")])))
+    _count(3, "geno", "q3"), _count(4, "mind", "q4"), _count(5, "regions", "q5"), _count(6, "ld_prune", f"q5 WHERE variant_id IN (SELECT variant_id FROM {_pruned('q5', QV)})")])))
 def _(spark, sf):
     return qc(spark, sf)[2]
 
 
-@query("V6_ld_pairs", sql("genotypes variants", f"""WITH o AS (SELECT variant_id, chrom, row_number() OVER (PARTITION BY chrom ORDER BY pos, variant_id) AS p FROM variants), g AS (SELECT g.variant_id, sample_id, CAST(dosage AS DOUBLE) AS d, chrom, p FROM genotypes g JOIN o USING (variant_id) WHERE dosage IS NOT NULL),
- s AS (SELECT a.variant_id AS variant_i, b.variant_id AS variant_j, count(*) AS n, sum(a.d) AS sx, sum(b.d) AS sy, sum(a.d * a.d) AS sxx, sum(b.d * b.d) AS syy, sum(a.d * b.d) AS sxy FROM g a JOIN g b ON a.chrom = b.chrom AND a.sample_id = b.sample_id AND b.p > a.p AND b.p - a.p <= 50 GROUP BY a.variant_id, b.variant_id)
- SELECT variant_i, variant_j, n, {rs('pow(n * sxy - sx * sy, 2) / ((n * sxx - sx * sx) * (n * syy - sy * sy))')} AS r2 FROM s WHERE n > 1 AND n * sxx - sx * sx > 0 AND n * syy - sy * sy > 0 AND pow(n * sxy - sx * sy, 2) / ((n * sxx - sx * sx) * (n * syy - sy * sy)) > 0.80001"""))
+@query("V6_ld_pairs", sql("genotypes variants", f"SELECT variant_i, variant_j, n, {rs('value')} AS r2 FROM {_linked('genotypes', 'variants')}"))
 def _(spark, sf):
-    p = V.ld_pairs(roles.genotypes(spark, sf), roles.variants(spark, sf), 50, 0.80001, chunks=2)
-    return rcols(p, "r2")
+    p = V.ld_pairs(roles.genotypes(spark, sf), roles.variants(spark, sf), WINDOW - 1, R2)
+    return rcols(p.select("variant_i", "variant_j", "n", "r2"), "r2")
 
 
-@query("V6_ld_prune")
+@query("V6_ld_prune", sql("genotypes variants", f"SELECT variant_id FROM {_pruned('genotypes', 'variants')}"))
 def _(spark, sf):
-    return V.ld_prune(roles.genotypes(spark, sf), roles.variants(spark, sf), 50, 0.80001, chunks=2)
+    return V.ld_prune(roles.genotypes(spark, sf), roles.variants(spark, sf), WINDOW, STEP, R2).select("variant_id")
 
 
 @query("V6_ld_prune_check", "SELECT CAST(0 AS BIGINT) AS n_pairs_left, CAST(0 AS BIGINT) AS n_needlessly_dropped")
 def _(spark, sf):
-    """No correlated pair is left inside, and every dropped variant has a kept one beside it."""
+    """No correlated pair is left in a window, and every dropped variant had a correlated one beside it."""
     g, v = roles.genotypes(spark, sf), roles.variants(spark, sf)
-    pairs = V.ld_pairs(g, v, 50, 0.80001, chunks=2).select("variant_i", "variant_j")
-    both = cut(pairs.unionByName(pairs.select(F.col("variant_j").alias("variant_i"), F.col("variant_i").alias("variant_j"))))
-    kept = cut(V.ld_prune(g, v, 50, 0.80001, chunks=2))
-    beside = both.join(kept.withColumnRenamed("variant_id", "variant_j"), "variant_j", "left_semi").select(F.col("variant_i").alias("variant_id"))
-    left = kept.join(beside, "variant_id", "left_semi").agg(F.count(F.lit(1)).alias("n_pairs_left"))
+    pairs = cut(V.ld_pairs(g, v, WINDOW - 1, R2))
+    first = V.placed_tiles(g, v).variants.groupBy("chrom").agg(F.min("idx").alias("start"))
+    k = F.greatest(F.lit(0), F.ceil((F.col("j") - F.col("start") - WINDOW + 1) / STEP))
+    pairs = cut(pairs.join(F.broadcast(first), "chrom").where(F.col("start") + k * STEP <= F.col("i")).select("variant_i", "variant_j"))
+    kept = cut(V.ld_prune(g, v, WINDOW, STEP, R2).select("variant_id"))
+    one = pairs.join(kept.withColumnRenamed("variant_id", "variant_i"), "variant_i", "left_semi")
+    left = one.join(kept.withColumnRenamed("variant_id", "variant_j"), "variant_j", "left_semi").agg(F.count(F.lit(1)).alias("n_pairs_left"))
+    beside = pairs.select(F.col("variant_i").alias("variant_id")).unionByName(pairs.select(F.col("variant_j").alias("variant_id")))
     lost = v.select("variant_id").join(kept, "variant_id", "left_anti").join(beside, "variant_id", "left_anti").agg(F.count(F.lit(1)).alias("n_needlessly_dropped"))
     return left.crossJoin(lost)  # two single rows
 
 
 @query("V7_fitted_components")
 def _(spark, sf):
-    return V.fit_pcs(roles.genotypes(spark, sf), 2, rounds=4)[1]
+    return V.fit_pcs(roles.genotypes(spark, sf), 2)[1]
+
+
+@query("V7_components_check", sql("genotypes", f"""WITH f AS (SELECT variant_id, avg(dosage) / 2 AS f FROM genotypes GROUP BY variant_id), z AS (SELECT power(dosage - 2 * f, 2) / (2 * f * (1 - f)) AS zz FROM genotypes JOIN f USING (variant_id) WHERE dosage IS NOT NULL AND f > 0 AND f < 1)
+ SELECT {rs('sum(zz)', 3)} AS total, true AS orthonormal, true AS settled, true AS share_is_sound FROM z"""))
+def _(spark, sf):
+    """Total from the cells; scores are orthonormal, residuals within the tolerance, and the share of two components lies between that of two average ones and all."""
+    from .registry import r
+
+    g = roles.genotypes(spark, sf)
+    found = V.verify_pcs(g, *V.fit_pcs(g, 2, tol=1e-4))
+    ranks_ = table(spark, sf, "supplier").count()
+    return found.select(r("total", 3).alias("total"), (F.col("skew") < 1e-6).alias("orthonormal"), (F.col("residual") < 2e-4).alias("settled"), ((F.col("share") > 2.0 / ranks_) & (F.col("share") <= 1)).alias("share_is_sound"))
 
 
 @query("V8_projection", sql("genotypes variants", f"""WITH l AS (SELECT variant_id, f, (pos % 17 - 8) / 10.0 AS w1, (pos % 7 - 3) / 10.0 AS w2 FROM variants JOIN (SELECT variant_id, avg(dosage) / 2 AS f FROM genotypes WHERE sample_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 2000) GROUP BY variant_id) USING (variant_id) WHERE f > 0 AND f < 1),

@@ -61,7 +61,7 @@ def _(spark, sf):
  k AS (SELECT *, (hh - 2 * z) / (2.0 * least(hi, hj)) + 0.5 - (hi + hj) / (4.0 * least(hi, hj)) AS kin FROM p WHERE least(hi, hj) > 0)
  SELECT iid1, iid2, n AS n_variants, {rs('hh / CAST(n AS DOUBLE)')} AS hethet, {rs('z / CAST(n AS DOUBLE)')} AS ibs0, {rs('kin')} AS kinship FROM k WHERE kin >= CAST(-0.1234567 AS DOUBLE)"""))
 def _(spark, sf):
-    return rcols(G.kinship(roles.genotypes(spark, sf), -0.1234567, block=256, chunks=8), "hethet", "ibs0", "kinship")
+    return rcols(G.kinship(roles.genotypes(spark, sf), -0.1234567), "hethet", "ibs0", "kinship")
 
 
 @query("G5_kin_holdout", sql("edges scores", """SELECT iid FROM scores WHERE role = 'oof' AND iid NOT IN (SELECT iid2 FROM edges WHERE kinship >= 0.45 AND iid1 IN (SELECT iid FROM scores WHERE role = 'applied')

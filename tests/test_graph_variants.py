@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def panel(spark, n=23, m=60, seed=5):
 
 def test_kinship_matches_brute_force_across_blocks(spark):
     d, g = panel(spark)
-    got = {(r["iid1"], r["iid2"]): r["kinship"] for r in G.kinship(g, -9.0, block=7, chunks=3).collect()}
+    got = {(r["iid1"], r["iid2"]): r["kinship"] for r in G.kinship(g, -9.0).collect()}
     for i, j in itertools.combinations(range(len(d)), 2):
         ok = ~np.isnan(d[i]) & ~np.isnan(d[j])
         a, b = d[i][ok], d[j][ok]
@@ -74,30 +75,90 @@ def test_kinship_matches_brute_force_across_blocks(spark):
         assert np.isclose(got[i, j], (both - 2 * z) / (2 * m) + 0.5 - (hi + hj) / (4 * m))
 
 
-def variants(spark, m=60):
-    return spark.createDataFrame([(j, "1" if j < 40 else "2", 1000 + j // 2) for j in range(m)], "variant_id long, chrom string, pos long")
-
-
-@pytest.mark.parametrize("block", [5, 64])
-def test_ld_pairs_and_pruning(spark, block):
-    d, g = panel(spark)
-    v = variants(spark)
+def cells(spark, d):
+    i, j = np.nonzero(~np.isnan(d))
+    return spark.createDataFrame(pd.DataFrame({"variant_id": j.astype("int64"), "sample_id": i.astype("int64"), "dosage": d[i, j].astype("int32")}))
+
+
+def large_panel(n, m, seed):
+    """Neighbouring variants are alike, so that many pairs are correlated."""
+    r = np.random.default_rng(seed)
+    d = r.binomial(2, r.uniform(0.1, 0.5, m), (n, m)).astype(float)
+    for j in range(1, m):
+        same = r.random(n) < r.choice([0.2, 0.6, 0.9])
+        d[same, j] = d[same, j - 1]
+    d[r.random((n, m)) < 0.05] = np.nan
+    return d
+
+
+@pytest.mark.parametrize("chunks", [1, 3])
+def test_kinship_over_several_super_blocks(spark, chunks):
+    d = large_panel(300, 600, 3)
+    got = {(r["iid1"], r["iid2"]): (r["kinship"], r["n_variants"]) for r in G.kinship(cells(spark, d), 0.02, wide=1, chunks=chunks).collect()}
+    ok, het = (~np.isnan(d)).astype(int), (d == 1).astype(int)
+    hi, hj = het @ ok.T, ok @ het.T
+    z = (d == 0).astype(int) @ (d == 2).astype(int).T
+    m = np.minimum(hi, hj)
+    phi = (het @ het.T - 2 * (z + z.T)) / (2 * m) + 0.5 - (hi + hj) / (4 * m)
+    want = {(i, j): (phi[i, j], (ok @ ok.T)[i, j]) for i, j in itertools.combinations(range(300), 2) if phi[i, j] >= 0.02}
+    assert set(got) == set(want) and want and all(np.isclose(got[k], want[k]).all() for k in want)
+
+
+def plain_prune(d, chroms, window, step, limit):
+    """A greedy pass over all windows of each chromosome; missing cells are left out pair by pair."""
+    ok, x = ~np.isnan(d), np.nan_to_num(d)
+    f = x.sum(axis=0) / (2 * ok.sum(axis=0))
+    maf, gone, pairs = np.minimum(f, 1 - f), set(), set()
+
+    def linked(i, j):
+        both = ok[:, i] & ok[:, j]
+        return np.corrcoef(x[both, i], x[both, j])[0, 1] ** 2 > limit
+
+    for c in sorted(set(chroms)):
+        mine = [k for k, v in enumerate(chroms) if v == c]
+        for start in range(0, len(mine), step):
+            now = mine[start:start + window]
+            for a, i in enumerate(now):
+                for j in now[a + 1:]:
+                    if i not in gone and j not in gone and linked(i, j):
+                        pairs.add((i, j))
+                        gone.add(i if maf[i] < maf[j] else j)
+    return set(range(len(chroms))) - gone
+
+
+@pytest.mark.parametrize("window, step, ranges", [(30, 11, 1), (5, 5, 64)])
+def test_pruning_equals_a_plain_greedy_pass(spark, window, step, ranges):
+    d = large_panel(50, 560, 5)
+    chroms = ["1" if j < 400 else "2" for j in range(560)]
+    v = spark.createDataFrame([(j, c, 1000 + j // 2) for j, c in enumerate(chroms)], "variant_id long, chrom string, pos long")
+    kept = {r["variant_id"] for r in V.ld_prune(cells(spark, d), v, window, step, 0.2, ranges=ranges).collect()}
+    assert kept == plain_prune(d, chroms, window, step, 0.2)
+
+
+def test_ld_pairs_of_neighbouring_super_blocks(spark):
+    d = large_panel(40, 560, 6)
+    v = spark.createDataFrame([(j, "1" if j < 300 else "2", j) for j in range(560)], "variant_id long, chrom string, pos long")
     want = set()
-    for i, j in itertools.combinations(range(60), 2):
+    for i, j in itertools.combinations(range(560), 2):
         ok = ~np.isnan(d[:, i]) & ~np.isnan(d[:, j])
-        if (i < 40) == (j < 40) and j - i <= 5 and np.corrcoef(d[ok, i], d[ok, j])[0, 1] ** 2 > 0.1:
+        if (i < 300) == (j < 300) and j - i <= 270 and np.corrcoef(d[ok, i], d[ok, j])[0, 1] ** 2 > 0.15:
             want.add((i, j))
-    got = {(r["variant_i"], r["variant_j"]) for r in V.ld_pairs(g, v, 5, 0.1, chunks=2, least_block=block).collect()}
-    assert got == want and (0, 1) in got
-    if block == 64:
-        kept = {r["variant_id"] for r in V.ld_prune(g, v, 5, 0.1, chunks=2).collect()}
-        assert not any(a in kept and b in kept for a, b in want)
-        assert all(x in kept or any(x in p and (set(p) - {x}) & kept for p in want) for x in range(60))
+    got = {(r["variant_i"], r["variant_j"]) for r in V.ld_pairs(cells(spark, d), v, 270, 0.15, wide=1).collect()}
+    assert got == want and any(j - i > 256 for i, j in want)
+
+
+def test_independent_set_does_not_depend_on_partitions(spark):
+    r = np.random.default_rng(8)
+    pairs = spark.createDataFrame([(int(a), int(b)) for a, b in r.integers(0, 400, (600, 2))], "iid1 long, iid2 long")
+    nodes = spark.range(400).withColumnRenamed("id", "iid")
+    equal = nodes.select("iid", F.lit(1.0).alias("p"))
+    one, other = ({x["iid"] for x in G.independent_set(nodes.repartition(n), pairs.repartition(n), equal.repartition(n)).collect()} for n in (2, 17))
+    assert one == other
 
 
 def test_components_of_cells_match_svd(spark):
     d, g = panel(spark)
-    loads, scores, eigen = V.fit_pcs(g, 2, rounds=25)
+    loads, scores, eigen = V.fit_pcs(g, 2)
     f = np.nanmean(d, axis=0) / 2
     z = np.nan_to_num((d - 2 * f) / np.sqrt(2 * f * (1 - f)))
     u, s, vt = np.linalg.svd(z, full_matrices=False)
@@ -125,6 +186,36 @@ def test_association_matches_least_squares(spark):
         assert row["n"] == ok.sum() and np.isclose(row["beta"], b) and np.isclose(row["se"], se) and row["log10p"] >= 0
 
 
+def test_many_traits_run_in_batches(spark):
+    d = large_panel(300, 40, 9)
+    r = np.random.default_rng(1)
+    y = r.normal(size=(300, 70))
+    y[r.random(y.shape) < 0.1] = np.nan
+    names = [f"t {k}" for k in range(70)]
+    t = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in row]) for i, row in enumerate(y)], "sample_id long, " + ", ".join(f"`{n}` double" for n in names))
+    got = {(x["variant_id"], x["pheno_id"]): (x["n"], x["beta"]) for x in V.associate(cells(spark, d), t, names).collect()}
+    assert len(got) == 40 * 70
+    for j, k in itertools.product((0, 17, 39), (0, 63, 64, 69)):
+        ok = ~np.isnan(d[:, j]) & ~np.isnan(y[:, k])
+        assert got[j, names[k]][0] == ok.sum() and np.isclose(got[j, names[k]][1], np.polyfit(d[ok, j], y[ok, k], 1)[0])
+
+
+def test_association_p_values_of_a_small_exact_table(spark):
+    """Dosages 0, 1, 2 against 1, 3, 4 and its mirror image: t = 5.196 and -5.196 with one degree of freedom, so p = 2 atan(1 / 5.196) / pi."""
+    g = spark.createDataFrame([(7, s, s) for s in range(3)] + [(8, s, 2 - s) for s in range(3)], "variant_id long, sample_id long, dosage int")
+    t = spark.createDataFrame([(0, 1.0), (1, 3.0), (2, 4.0)], "sample_id long, y double")
+    got = {x["variant_id"]: x for x in V.associate(g, t, ["y"], with_p=True).collect()}
+    p = 2 * np.arctan(1 / np.sqrt(27)) / np.pi
+    for key, sign in ((7, 1), (8, -1)):
+        assert np.isclose(got[key]["beta"], 1.5 * sign) and np.isclose(got[key]["se"], 1.5 / np.sqrt(27)) and np.isclose(10 ** -got[key]["log10p"], p, rtol=1e-6)
+
+
+def test_components_that_do_not_settle_raise(spark):
+    _, g = panel(spark)
+    with pytest.raises(ValueError, match="did not settle"):
+        V.fit_pcs(g, 2, tol=1e-9, rounds=1, spare=0)
+
+
 def test_null_missingness_rule(spark):
     v = spark.createDataFrame([(1, "A", "G", 40, 100, None), (2, "A", "G", 40, 100, 0.2), (3, "A", "G", 0, 0, 0.0), (4, "A", "C", 40, 100, 0.0)], "variant_id long, ref string, alt string, alt_ct long, obs_ct long, f_miss double")
     ref = spark.createDataFrame([(i, "G", "A", 0.4) for i in range(1, 5)], "variant_id long, a1 string, a2 string, a1_freq double")
