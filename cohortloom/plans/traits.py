@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import builders as B
+from ..operators import criteria as K
 from ..operators import responses as R
 from ..operators import rules as U
 from ..operators import windows as X
@@ -217,6 +218,64 @@ def _(spark, sf):
     return wide(spark, sf).select("pid", B.any_yes([c >= 3 for c in cols]).alias("any_yes"), B.sure_count([c >= 2 for c in cols], 2).alias("at_least_two"))
 
 
+CRITERIA_LEAVES = [
+    ("worry", "signup", ["3", "4"], [], ["0", "1"], None), ("excess_1", "click", ["4"], [], ["0", "1", "2"], None), ("excess_2", "view", ["4"], [], ["0", "1"], None),
+    ("sign_1", "error", ["3", "4"], [], ["0", "1"], None), ("sign_2", "purchase", ["2", "3", "4"], [], ["0"], None), ("sign_3", "view", ["1", "4"], [], ["0", "2"], None),
+    ("high", "click", ["3"], [], None, None), ("irritable", "error", ["3"], [], None, None), ("many", "purchase", [], [], None, 1), ("long", "view", [], ["3", "4"], None, None),
+    ("trouble", "signup", [], ["2", "4"], None, None), ("low", "click", ["1"], [], None, None), ("flat", "view", ["1"], [], None, None), ("several", "error", [], ["2"], None, None),
+    ("talk", "purchase", ["1"], [], None, None), ("rest", "purchase", ["3"], [], None, None)]
+CRITERIA = [
+    K.anxiety("gad", "worry", ["excess_1", "excess_2"], ["sign_1", "sign_2", "sign_3"], 2), K.episode("mania", ["high", "irritable"], ["many"]), K.episode("bipolar", [], ["long", "trouble"], of="mania"),
+    K.episode("depressed", ["low", "flat"], []), K.episode("recurrent", [], ["several"], of="depressed"), K.symptoms_by_screener("mania_high", "high", ["talk", "rest"]),
+    K.symptoms_by_screener("mania_irritable", "irritable", ["talk", "rest"])]
+DIAGNOSES = ["gad", "mania", "bipolar", "depressed", "recurrent", "mania_high__talk", "mania_high__rest", "mania_irritable__talk", "mania_irritable__rest"]
+
+
+def _leaf(name: str) -> str:
+    """true, false or null of one leaf from the lists of a person's answers."""
+    _, q, yes, part, no, need = next(x for x in CRITERIA_LEAVES if x[0] == name)
+    if need:
+        return f"(len({q}) >= {need})"
+    listed = lambda v: "[" + ", ".join(f"'{x}'" for x in v) + "]"
+    return f"(CASE WHEN {q} IS NULL THEN NULL WHEN list_has_any({q}, {listed(yes + part)}) THEN true WHEN {'true' if no is None else f'list_has_any({q}, {listed(no)})'} THEN false END)"
+
+
+def _ages(*leaves: str) -> str:
+    return "coalesce(" + ", ".join(f"a_{x[1]}" for x in CRITERIA_LEAVES if x[0] in leaves) + ")"
+
+
+def _counted(leaves, need):
+    yes, unknown = (" + ".join(f"coalesce(({_leaf(x)}){test}::INT, 0)" for x in leaves) for test in ("", " IS NULL"))
+    return f"(CASE WHEN {yes} >= {need} THEN true WHEN {yes} + {unknown} < {need} THEN false END)"
+
+
+def _any(*leaves):
+    return "(CASE WHEN " + " OR ".join(f"coalesce({_leaf(x)}, false)" for x in leaves) + " THEN true WHEN " + " OR ".join(f"{_leaf(x)} IS NOT NULL" for x in leaves) + " THEN false END)"
+
+
+def _gated(gate, body):
+    return f"(CASE WHEN {gate} THEN {body} WHEN NOT {gate} THEN false END)"
+
+
+_all = lambda *leaves: "(" + " AND ".join(f"coalesce({_leaf(x)}, false)" for x in leaves) + ")"
+_mania = _gated(_any("high", "irritable"), _all("many"))
+_CRITERIA_SQL = {
+    "gad": (_gated(_leaf("worry"), f"({_counted(['excess_1', 'excess_2'], 1)} AND {_counted(['sign_1', 'sign_2', 'sign_3'], 2)})"), _ages("worry", "excess_1", "excess_2", "sign_1", "sign_2", "sign_3")),
+    "mania": (_mania, _ages("high", "irritable", "many")), "bipolar": (_gated(_mania, _all("long", "trouble")), _ages("high", "irritable", "many", "long", "trouble")),
+    "depressed": (_any("low", "flat"), _ages("low", "flat")), "recurrent": (_gated(_any("low", "flat"), _all("several")), _ages("low", "flat", "several")),
+    **{f"mania_{p}__{s}": (_gated(_leaf(p), _all(s)), _ages(p, s)) for p in ("high", "irritable") for s in ("talk", "rest")}}
+
+
+@query("B14_criteria", sql("answers", "WITH a AS (SELECT pid, qid, list(DISTINCT right(answer, 1)) AS v, min(age) AS age FROM answers GROUP BY ALL), x AS (SELECT pid, " + ", ".join(f"max(v) FILTER (qid = '{q}') AS {q}, max(age) FILTER (qid = '{q}') AS a_{q}" for q in QIDS)
+       + " FROM a GROUP BY pid) SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS pheno_id, pid, CAST({v} AS DOUBLE) AS y, {rs(age)} AS age FROM x" for n, (v, age) in _CRITERIA_SQL.items()) + ") WHERE y IS NOT NULL AND age IS NOT NULL"))
+def _(spark, sf):
+    """Anxiety, mania, bipolar, depression and symptom-by-screener rows in one table."""
+    nodes, edges = (sum((c[k] for c in CRITERIA), []) for k in (0, 1))
+    tables = (spark.createDataFrame(rows, schema) for rows, schema in ((CRITERIA_LEAVES, K.LEAVES), (nodes, K.NODES), (edges, K.EDGES)))
+    found = K.diagnoses(answers(spark, sf), *tables, DIAGNOSES)
+    return found.withColumn("age", r("age"))
+
+
 @query("B15_symptom_count", sql("wide", f"""SELECT pid, CASE WHEN g = 0 THEN 0.0 WHEN n >= 3 THEN {rs('s / CAST(n AS DOUBLE) * 4')} END AS y FROM (SELECT pid, {_SCREEN} AS g, (v_click IS NOT NULL)::INT + (v_view IS NOT NULL)::INT + (v_error IS NOT NULL)::INT + (v_purchase IS NOT NULL)::INT AS n,
  coalesce((v_click >= 2)::INT, 0) + coalesce((v_view >= 2)::INT, 0) + coalesce((v_error >= 2)::INT, 0) + coalesce((v_purchase >= 2)::INT, 0) AS s FROM wide)"""))
 def _(spark, sf):
