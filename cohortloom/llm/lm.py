@@ -2,7 +2,8 @@
 
 A token's probability mixes three maximum-likelihood estimates: after its predecessor (count of the two / count of the predecessor), by itself
 (count / all tokens), and uniform over the vocabulary and one unseen token. The weights depend on how frequent the predecessor is,
-one set per bucket, and are learned by expectation-maximisation on the counts of documents that were held out from the counting.
+one set per bucket, and are learned by expectation-maximisation on held-out counts: a fifth of the training documents is deleted from the counts while
+the weights are learned on it, and is counted again in the model. Documents that are not for training set nothing.
 
 All words and all pairs of words are counted, over all training documents. Words with at least `heavy` of the tokens (at most 1 / heavy of them
 can be) and pairs with at least `pair_share` (at most 1 / pair_share) go to every task as sorted arrays. All others stay tables: tokens that
@@ -76,13 +77,16 @@ def _collected(df: DataFrame, key: str) -> Table:
 
 
 def _counted(df: DataFrame, keys_of) -> DataFrame:
-    """key, c: counted within each batch, then over all."""
+    """key, c and, of these, away in documents with `tune`: counted within each batch, then over all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key, c = np.unique(keys_of(tokens(b.column("text"))[0]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(c.astype(np.int64))], names=["key", "c"])
+            tok, n = tokens(b.column("text"))
+            key, at, c = np.unique(keys_of(tok), return_inverse=True, return_counts=True)
+            tune = np.repeat(b.column("tune").to_numpy(zero_copy_only=False).astype(np.int64), n)
+            away = np.bincount(at.reshape(-1), tune, len(key)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(c.astype(np.int64)), pa.array(away)], names=["key", "c", "away"])
 
-    return df.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    return df.select("text", "tune").mapInArrow(run, "key long, c long, away long").groupBy("key").agg(F.sum("c").alias("c"), F.sum("away").alias("away"))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -163,20 +167,27 @@ def bucket(total: int):
     return F.when(F.col("prev") > 0, F.greatest(F.lit(1), F.least(F.lit(BUCKETS - 1), level))).otherwise(0).cast("int")
 
 
-def fit(train: DataFrame, held: DataFrame, heavy: float, pair_share: float) -> tuple[Model, DataFrame, DataFrame]:
+def fit(train: DataFrame, heavy: float, pair_share: float) -> tuple[Model, DataFrame, DataFrame]:
     """The model, and the counts of all words and of all pairs: key, c."""
+    train = train.withColumn("tune", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0)
     unigrams = cut(_counted(train, lambda t: t))
-    total, distinct = unigrams.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     pairs = cut(_counted(train, lambda t: pair(before(t), t)))
-    words = _collected(unigrams.where(F.col("c") >= heavy * total), "key")
-    model = Model(words, _collected(pairs.where(F.col("c") >= pair_share * total), "key"), total, distinct)
-    return learn(model, held, unigrams, pairs), unigrams, pairs
+
+    def made(words: DataFrame, twos: DataFrame) -> Model:
+        total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+        return Model(_collected(words.where(F.col("c") >= heavy * total), "key"), _collected(twos.where(F.col("c") >= pair_share * total), "key"), total, distinct)
+
+    rest = [t.select("key", (F.col("c") - F.col("away")).alias("c")).where("c > 0") for t in (unigrams, pairs)]
+    model = made(unigrams, pairs)
+    model.weights = learn(made(*rest), train.where("tune"), *rest).weights
+    return model, unigrams, pairs
 
 
-def learn(model: Model, held: DataFrame, unigrams: DataFrame, pairs: DataFrame) -> Model:
-    """Weights by expectation-maximisation over the held-out tokens, grouped by bucket and counts; ends when a round gains under 1e-5 a token."""
-    spread = held.sparkSession.sparkContext.broadcast(model)
-    seen = resolved(held, spread, unigrams, pairs, rows=False).withColumn("bucket", bucket(model.total))
+def learn(model: Model, tune: DataFrame, unigrams: DataFrame, pairs: DataFrame) -> Model:
+    """Weights by expectation-maximisation over the tokens of documents that are not in the counts, grouped by bucket and counts; ends when a round gains under
+    1e-5 a token."""
+    spread = tune.sparkSession.sparkContext.broadcast(model)
+    seen = resolved(tune, spread, unigrams, pairs, rows=False).withColumn("bucket", bucket(model.total))
     hist = cut(seen.groupBy("bucket", F.col("both").alias("pair"), F.when(F.col("both") > 0, F.col("prev")).otherwise(0).alias("prev"), "c").agg(F.sum("n").alias("n")))
     parts = [F.when(F.col("prev") > 0, F.col("pair") / F.col("prev")).otherwise(0.0), F.col("c") / max(model.total, 1), F.lit(1 / (model.distinct + 1))]
     last = None
@@ -198,7 +209,7 @@ def learn(model: Model, held: DataFrame, unigrams: DataFrame, pairs: DataFrame)
 def score(docs: DataFrame, is_held, heavy: float = 1e-6, pair_share: float = 1e-5) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed single counts), score (log10 of the model)."""
     d = docs.select("doc_id", is_held.alias("held_out"), F.monotonically_increasing_id().alias("row_id"), F.col("text").cast("string").alias("text"))
-    model, unigrams, pairs = fit(d.where("not held_out"), d.where("held_out"), heavy, pair_share)
+    model, unigrams, pairs = fit(d.where("not held_out"), heavy, pair_share)
     spread = docs.sparkSession.sparkContext.broadcast(model)
     total, distinct = model.total, model.distinct
     floor = total + 0.5 * (distinct + 1)

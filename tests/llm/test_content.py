@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import functools
 import math
 import random
 import re
@@ -207,6 +208,59 @@ def test_short_forms_and_full_licence_texts(spark):
         assert got[f"{k}/LICENSE"] == (k, "file", None) and got[f"{k}/src/x.py"] == (k, "inherited", k)
 
 
+@functools.cache
+def _plain_model(key):
+    tok, out = PLAIN[key]
+    part = {i: zlib.crc32(str("" if i is None else i).encode()) % 5 for i in tok}
+
+    def model(docs):
+        words, both = Counter(), Counter()
+        for i in docs:
+            words.update(tok[i])
+            both.update(zip([None, *tok[i]], tok[i]))
+        total = sum(words.values())
+        level = lambda c: 0 if c <= 0 else max(1, min(lm.BUCKETS - 1, math.floor(math.log10(c / total)) + lm.BUCKETS))
+        parts = lambda a, b: (both[a, b] / words[a] if words[a] else 0.0, words[b] / total, 1 / (len(words) + 1))
+        return lambda a: level(words[a]), parts
+
+    level, parts = model([i for i in tok if not out[i] and part[i]])
+    weights = {k: [0.0, 0.8, 0.2] if k == 0 else [0.4, 0.4, 0.2] for k in range(lm.BUCKETS)}
+    tune = Counter(p for i, ws in tok.items() if part[i] == 0 and not out[i] for p in zip([None, *ws], ws))
+    last = None
+    while True:
+        sums, seen, ll = {}, Counter(), 0.0
+        for (a, b), n in tune.items():
+            k = level(a)
+            each = [w * x for w, x in zip(weights[k], parts(a, b))]
+            ll += n * math.log(sum(each))
+            seen[k] += n
+            sums[k] = [x + n * y / sum(each) for x, y in zip(sums.get(k, [0, 0, 0]), each)]
+        for k, s in sums.items():
+            w = [max(x / seen[k], y) for x, y in zip(s, (0, 0, 1e-6))]
+            weights[k] = [x / sum(w) for x in w]
+        gained = ll / max(sum(seen.values()), 1)
+        if last is not None and gained - last < 1e-5:
+            return *model([i for i in tok if not out[i]]), weights
+        last = gained
+
+
+PLAIN = {}
+
+
+def plain_score(tok, out, i):
+    """log10 of the model, from plain counts."""
+    PLAIN.setdefault(id(tok), (tok, out))
+    level, parts, weights = _plain_model(id(tok))
+    return sum(math.log10(sum(w * x for w, x in zip(weights[level(a)], parts(a, b)))) for a, b in zip([None, *tok[i]], tok[i]))
+
+
+def test_excluded_documents_change_no_other_score(make, corpus):
+    held = F.col("doc_id") % 5 == 1
+    one = {r.doc_id: r for r in lm.score(make(rows_of(corpus)), held).collect()}
+    other = {r.doc_id: r for r in lm.score(make(rows_of([f"other text {i}" if i % 5 == 1 else t for i, t in enumerate(corpus)])), held).collect()}
+    assert all((one[i].score, one[i].base_score) == pytest.approx((other[i].score, other[i].base_score)) for i in one if i % 5 != 1)
+
+
 def test_language_model(make, corpus):
     texts = corpus + corpus[:40]
     docs = make(rows_of(texts) + [(None, "the of and", None, None, 0, 0, "", "", 0, 0, 0, "")])
@@ -221,12 +275,25 @@ def test_language_model(make, corpus):
             g = got[i]
             assert (g.held_out, g.n_tokens, g.n_known, g.train_tokens) == (out[i], len(ws), sum(c[w] > 0 for w in ws), n)
             assert g.base_score == pytest.approx(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws))
-            assert -400_000 < g.score < 0
-        away = [i for i in tok if out[i]]
-        assert sum(got[i].score for i in away) > sum(got[i].base_score for i in away)
+            assert g.score == pytest.approx(plain_score(tok, out, i), rel=1e-6)
     assert lm.score(make([]), held).count() == 0
 
 
+def test_held_out_likelihood_on_texts_of_one_kind(make):
+    """Words that follow each other by a rule: pairs help on documents that set neither counts nor weights."""
+    r = random.Random(6)
+    follow = {k: [r.randrange(60) for _ in range(4)] for k in range(60)}
+
+    def text():
+        words = [r.randrange(60)]
+        while len(words) < 80:
+            words.append(r.choice(follow[words[-1]]))
+        return " ".join(f"w{k}" for k in words)
+
+    got = lm.score(make(rows_of([text() for _ in range(80)])), F.col("doc_id") % 5 == 1).where("held_out").collect()
+    assert len(got) == 16 and all(g.score > g.base_score for g in got)
+
+
 def test_rare_pairs_count_in_the_model(make, corpus):
     """Scores do not depend on which words and pairs are sent whole, and a once-seen pair raises its token's probability."""
     docs = make(rows_of(corpus + corpus[:40]))
