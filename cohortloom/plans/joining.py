@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators import responses as R
-from ..sources import sinks, tables
+from ..session import scratch_path
+from ..sources import ledger, sinks, tables
 from . import roles
 from .projections import s_compact, s_norm_question, s_tokens
 from .registry import query, r, rs, table
@@ -173,4 +174,21 @@ def _(spark, sf):
 def _(spark, sf):
     new = table(spark, sf, "orders").where("o_totalprice > 250000").groupBy(F.col("o_custkey").alias("pheno_id")).agg(F.lit("new").alias("run"), F.count(F.lit(1)).alias("n"))
     old = table(spark, sf, "customer").select(F.col("c_custkey").alias("pheno_id"), F.lit("old").alias("run"), F.lit(0).cast("long").alias("n"))
-    return sinks.merge_manifest(new, old, new)
+    return ledger.merge_manifest(new, old, new)
+
+
+@query("U4_ledger", """WITH n AS (SELECT o_custkey AS pheno_id, o_orderkey AS place, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders WHERE o_totalprice > 250000)
+ SELECT pheno_id, place, CASE WHEN k = 1 THEN 'new' ELSE 'skipped' END AS state, CASE WHEN k > 1 THEN 'duplicate_pheno_id' END AS skip_reason, CAST(1 AS BIGINT) AS version FROM n
+ UNION ALL SELECT c_custkey, NULL, 'old', NULL, 1 FROM customer WHERE c_custkey NOT IN (SELECT pheno_id FROM n)""")
+def _(spark, sf):
+    """A run's rows settled against its own repeats, merged with the prior manifest and published; the same run again adds no version."""
+    rows = table(spark, sf, "orders").where("o_totalprice > 250000").select(F.col("o_custkey").alias("pheno_id"), F.col("o_orderkey").alias("place"))
+    alone = rows.groupBy("pheno_id").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("pheno_id")
+    kept, skipped = ledger.settle(rows, alone)
+    old = table(spark, sf, "customer").select(F.col("c_custkey").alias("pheno_id"), F.lit("old").alias("state"))
+    merged = ledger.merge_manifest(kept.withColumn("state", F.lit("new")), old, rows)
+    folder = scratch_path(spark, "ledger")
+    ledger.publish(merged, folder)
+    version = ledger.publish(merged, folder)
+    both = ledger.current(spark, folder).unionByName(skipped.withColumn("state", F.lit("skipped")), allowMissingColumns=True)
+    return both.select("pheno_id", "place", "state", "skip_reason", F.lit(version).cast("long").alias("version"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import responses as R
 from ..session import scratch_path
-from ..sources import sinks, tables
+from ..sources import ledger, sinks, tables
 from . import roles
 from .registry import query, r, rs, table
 from .roles import sql
@@ -123,11 +123,32 @@ def _(spark, sf):
     return R.union_all([sinks.fingerprint(table(spark, sf, t)).withColumn("table", F.lit(t)) for t in ("orders", "lineitem", "customer")])
 
 
-@query("S12_file_fingerprint")
+def _tree(rows: str, by: str) -> str:
+    """n_leaves and digest per group, from rows with `leaf`."""
+    return f"""(SELECT {by}, CAST(sum(n) AS BIGINT) AS n_leaves, md5(string_agg(node || ':' || n || ':' || a || ':' || b, ',' ORDER BY node)) AS digest FROM (SELECT {by}, substr(leaf, 1, 2) AS node, count(*) AS n,
+ sum(CAST('0x' || substr(leaf, 1, 15) AS BIGINT)) AS a, sum(CAST('0x' || substr(leaf, 16, 15) AS BIGINT)) AS b FROM ({rows}) GROUP BY ALL) GROUP BY {by})"""
+
+
+_LEAF = lambda *cols: "md5(" + " || ".join(f"length({t}) || ':' || {t}" for t in (f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in cols)) + ")"
+
+
+@query("S12_row_tree", f"SELECT o_orderpriority AS grp, n_leaves, digest FROM {_tree('SELECT o_orderpriority, ' + _LEAF('o_custkey', 'o_orderkey', 'o_orderstatus') + ' AS leaf FROM orders', 'o_orderpriority')}")
+def _(spark, sf):
+    """Signature of the orders of each priority, the same however rows are split."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderpriority").alias("grp"))
+    return ledger.row_tree(o, ["grp"])
+
+
+_LINE = "variant_id || '|' || chrom || '|' || pos || '|' || ref || '|' || alt"
+
+
+@query("S12_file_fingerprint", sql("variants", f"SELECT 'chrom=' || chrom AS grp, n_leaves, n_bytes, digest FROM {_tree(f'SELECT chrom, md5({_LINE}) AS leaf FROM variants', 'chrom')} JOIN (SELECT chrom, CAST(sum(length({_LINE}) + 1) AS BIGINT) AS n_bytes FROM variants GROUP BY chrom) USING (chrom)"))
 def _(spark, sf):
+    """Signature of the files of each chromosome, from the files."""
     path = scratch_path(spark, "hash-input")
-    roles.variants(spark, sf).write.partitionBy("chrom").parquet(path)
-    return sinks.file_fingerprints(spark, f"{path}/*/*.parquet")
+    line = F.concat_ws("|", *[F.col(c).cast("string") for c in ("variant_id", "chrom", "pos", "ref", "alt")])
+    roles.variants(spark, sf).select("chrom", line.alias("line")).write.partitionBy("chrom").text(path)
+    return ledger.file_tree(spark, path, F.element_at(F.split("file", "/"), -2)).drop("n_files")
 
 
 @query("S13_id_list", "SELECT p_partkey FROM part")

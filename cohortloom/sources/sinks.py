@@ -96,14 +96,3 @@ def fingerprint(df: DataFrame) -> DataFrame:
         F.sum(F.pmod("h", F.lit(2**31))).alias("low_sum"),
         F.bit_xor("h").alias("hash_xor"),
     ).withColumn("columns", F.lit(",".join(cols)))
-
-
-def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 and length of every file below a path."""
-    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", F.sha2("content", 256).alias("sha256"))
-
-
-def merge_manifest(new: DataFrame, old: DataFrame, selected: DataFrame, key: str = "pheno_id") -> DataFrame:
-    """Prior rows of traits that were not selected stay; selected traits come from the new run."""
-    return old.join(selected.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
-
