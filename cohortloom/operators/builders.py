@@ -325,12 +325,28 @@ def sex_status(samples: DataFrame) -> DataFrame:
     return samples.withColumn("status", status)
 
 
-def sex_additions(status: DataFrame) -> DataFrame:
-    """Concordant samples with their sex, plus samples without a reported sex whose ploidy is canonical; `source` says which."""
+#: Answers that withhold the sex at birth, and the ploidies of a male with one X.
+WITHHELD = ["pmi skip", "i prefer not to answer"]
+ONE_X = ["X0", "XO"]
+
+
+def sex_additions(status: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sex of concordant samples and of those that a rule adds, and an audit row per addition.
+
+    status: iid, reported, ploidy, status and answer (to sex at birth). Added are reported males with one X, and samples that withheld the answer and whose ploidy is
+    XX or XY; others without a reported sex are not.
+    """
     base = status.where(F.col("status") == SEX_STATUS[2]).select("iid", F.col("reported").alias("sex_01"), F.lit("concordant").alias("source"))
-    sex = F.when(F.col("ploidy") == PLOIDY_OF_SEX[0], 0).when(F.col("ploidy") == PLOIDY_OF_SEX[1], 1)
-    extra = status.where(F.col("status") == SEX_STATUS[0]).select("iid", sex.alias("sex_01"), F.lit("imputed").alias("source")).where("sex_01 is not null")
-    return base.unionByName(extra.join(base.select("iid"), "iid", "left_anti"))
+    ploidy = F.upper(F.trim(F.coalesce("ploidy", F.lit(""))))
+    label = F.trim(F.regexp_replace(F.lower(F.coalesce("answer", F.lit(""))), r"[_:\s]+", " "))
+    withheld = F.col("reported").isNull() & label.isin(WITHHELD)
+    rule = (
+        F.when((F.col("reported") == 1) & ploidy.isin(ONE_X), "assigned_male_x0_xo").when(withheld & (ploidy == PLOIDY_OF_SEX[0]), "withheld_xx")
+        .when(withheld & (ploidy == PLOIDY_OF_SEX[1]), "withheld_xy")
+    )
+    audit = status.join(base.select("iid"), "iid", "left_anti").withColumn("rule", rule).where("rule is not null")
+    audit = audit.select("iid", F.when(F.col("rule") == "withheld_xx", 0).otherwise(1).alias("sex_01"), "rule", "answer", "ploidy", "status")
+    return base.unionByName(audit.select("iid", "sex_01", F.lit("imputed").alias("source"))), audit
 
 
 def select_builders(builders: dict, requested: list[str]) -> DataFrame:

@@ -251,13 +251,17 @@ def factor_loadings(corr: np.ndarray, floor: float = 0.005, rounds: int = 5000,
     return (lam if lam.sum() >= 0 else -lam), psi
 
 
-def one_factor(df: DataFrame, cols: list[str], floor: float = 0.005, out: str = "factor") -> tuple[DataFrame, dict]:
-    """Regression score of a one-factor model with its diagnostics; the first component stands in when the fit fails."""
+def one_factor(df: DataFrame, cols: list[str], floor: float = 0.005, out: str = "factor", rounds: int = 5000) -> tuple[DataFrame, dict]:
+    """Regression score of a one-factor model with its diagnostics; the first component stands in when the fit fails or does not settle, as `method` tells."""
     n, mean, cov = moments(df, cols)
     sd = np.sqrt(np.diag(cov))
     corr = cov / np.outer(sd, sd)
-    lam, psi = factor_loadings(corr, floor)
-    if not (np.all(np.isfinite(lam)) and np.all(np.isfinite(psi))):
+    try:
+        lam, psi = factor_loadings(corr, floor, rounds)
+        failed = not (np.all(np.isfinite(lam)) and np.all(np.isfinite(psi)))
+    except (ArithmeticError, np.linalg.LinAlgError):
+        failed = True
+    if failed:
         scored, info = first_pc(df, cols, out)
         return scored, {**info, "method": "first_pc"}
     implied = np.outer(lam, lam) + np.diag(psi)

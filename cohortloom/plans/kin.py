@@ -11,7 +11,7 @@ from .aggregations import rcols
 from .registry import query, rs, table
 from .roles import role, sql
 
-role("strong", "SELECT iid1, iid2 FROM edges WHERE kinship >= 0.47", "edges")
+role("strong", "SELECT iid1, iid2 FROM edges WHERE kinship >= 0.3535", "edges")
 role("comp", """SELECT iid, min(l) AS component FROM (WITH RECURSIVE reach(iid, l) AS (SELECT iid1, iid1 FROM strong UNION SELECT iid2, iid2 FROM strong
  UNION SELECT CASE WHEN e.iid1 = r.iid THEN e.iid2 ELSE e.iid1 END, r.l FROM reach r JOIN strong e ON (e.iid1 = r.iid OR e.iid2 = r.iid)) SELECT * FROM reach) GROUP BY iid""", "strong")
 
@@ -23,7 +23,7 @@ def _(spark, sf):
 
 
 def strong(spark, sf):
-    return roles.edges(spark, sf).where("kinship >= 0.47")
+    return roles.edges(spark, sf).where("kinship >= 0.3535")
 
 
 @query("G2_component_members", sql("comp", "SELECT iid, component FROM comp"))

@@ -5,22 +5,73 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as M
+from ..operators import responses as R
+from ..operators import vocabulary as Y
+from ..session import cut
 from . import roles, statistics, traits
 from .aggregations import rcols
 from .registry import query, r, rs, table
 from .roles import role, sql
 
-_HOT = [f"is_view_{i}" for i in range(5)]
+_ORD, _HOT = ("click", "error"), ("purchase", "signup", "view")
+_M1 = {**{f"took_{q}": f"CAST(count(*) FILTER (qid = '{q}') > 0 AS INTEGER)::DOUBLE" for q in traits.QIDS}, **{f"age_at_{q}": rs(f"min(age) FILTER (qid = '{q}')") for q in traits.QIDS},
+       **{f"ord_{q}": f"max(right(answer, 1)::DOUBLE * 2) FILTER (qid = '{q}')" for q in _ORD},
+       **{f"is_{q}_{i}": f"CASE WHEN count(*) FILTER (qid = '{q}') > 0 THEN CAST(count(*) FILTER (qid = '{q}' AND answer = 'Level: {i}') AS DOUBLE) END" for q in _HOT for i in range(5)}}
 
 
-@query("M1_feature_matrix", sql("answers single", f"""WITH c AS (SELECT pid, CAST(count(*) FILTER (qid = 'click') > 0 AS INTEGER)::DOUBLE AS took_click, max(age) FILTER (qid = 'view') AS age_at_view, max(right(answer, 1)::DOUBLE * 2) FILTER (qid = 'click') AS ord_click,
- count(*) FILTER (qid = 'view') AS nv, {', '.join(f"count(*) FILTER (qid = 'view' AND answer = 'Level: {i}') AS v{i}" for i in range(5))} FROM answers WHERE qid IN ('click', 'view') GROUP BY pid)
- SELECT pid AS iid, took_click, {rs('age_at_view')} AS age_at_view, ord_click, {', '.join(f"CASE WHEN nv > 0 THEN CAST(v{i} AS DOUBLE) END AS is_view_{i}" for i in range(5))} FROM c"""))
+def _ordinal(spark):
+    levels = spark.range(5).select(F.concat(F.lit("Level: "), F.col("id").cast("string")).alias("answer"), (F.col("id") * 2).cast("double").alias("value"))
+    return levels.select(F.explode(F.array(*map(F.lit, _ORD))).alias("qid"), "answer", "value")
+
+
+@query("M1_feature_matrix", sql("answers", f"SELECT pid AS iid, {', '.join(f'{e} AS {n}' for n, e in _M1.items())} FROM answers GROUP BY pid"))
+def _(spark, sf):
+    return rcols(M.feature_matrix(M.feature_rows(traits.answers(spark, sf), _ordinal(spark)), list(_M1)), *(f"age_at_{q}" for q in traits.QIDS))
+
+
+_AREA = {"n_customers": "count(*)", "balance": "avg(c_acctbal)"}
+
+
+def features(spark, sf):
+    """Surveys, areas, numeric, ordinal, one-hot and non-response features of all answers."""
+    e = roles.responses(spark, sf).withColumnRenamed("pid", "iid")
+    a = traits.answers(spark, sf).withColumnRenamed("pid", "iid")
+    people = e.select("iid").distinct().withColumn("place", F.when(F.col("iid") % 7 != 0, F.col("iid") % 25))
+    area = table(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("long").alias("place")).agg(*[F.expr(v).cast("double").alias(k) for k, v in _AREA.items()])
+    listed = lambda *qids: spark.createDataFrame([(q,) for q in qids], "qid string")
+    return R.union_all([
+        Y.survey_features(e.select("iid", "survey", "age")), Y.area_features(people, area, "place", list(_AREA)), Y.answer_features(a, _ordinal(spark), listed("purchase")),
+        Y.nonresponse_features(e, listed("view", "signup"), F.col("answer") == "PMI: Skip")])
+
+
+role("m1", f"""SELECT pid AS iid, 'took_' || survey AS feature, 'took' AS kind, NULL AS scope, CAST(1 AS DOUBLE) AS value FROM responses GROUP BY pid, survey
+ UNION ALL SELECT pid, 'age_at_' || survey, 'numeric', NULL, max(age) FROM responses GROUP BY pid, survey
+ UNION ALL SELECT pid, 'area_' || name, 'numeric', NULL, v FROM (SELECT DISTINCT pid FROM responses) JOIN (UNPIVOT (SELECT c_nationkey, {', '.join(f'CAST({v} AS DOUBLE) AS {k}' for k, v in _AREA.items())} FROM customer GROUP BY 1) ON {', '.join(_AREA)} INTO NAME name VALUE v) ON pid % 7 <> 0 AND pid % 25 = c_nationkey
+ UNION ALL SELECT pid, 'q_purchase_num', 'numeric', NULL, max(right(answer, 1)::DOUBLE) FROM answers WHERE qid = 'purchase' GROUP BY pid
+ UNION ALL SELECT pid, 'q_' || qid || '_ord', 'ordinal', NULL, max(right(answer, 1)::DOUBLE * 2) FROM answers WHERE qid IN {_ORD} GROUP BY pid, qid
+ UNION ALL SELECT DISTINCT pid, 'q_' || qid || '_a_' || right(answer, 1), 'one_hot', qid, CAST(1 AS DOUBLE) FROM answers WHERE qid IN ('signup', 'view')
+ UNION ALL SELECT pid, 'q_' || qid || '_nonresponse', 'nonresponse', NULL, CAST(CAST(bool_or(answer = 'PMI: Skip') AS INTEGER) AS DOUBLE) FROM responses WHERE qid IN ('signup', 'view') GROUP BY pid, qid""", "responses answers")
+role("m1_catalog", """SELECT CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS idx, feature, kind, scope, coalesce(n_scope, n) AS n_known, n_nonzero FROM (SELECT feature, kind, scope, count(DISTINCT iid) AS n, count(*) FILTER (value <> 0) AS n_nonzero FROM m1 GROUP BY ALL)
+ LEFT JOIN (SELECT scope AS s, count(DISTINCT iid) AS n_scope FROM m1 WHERE scope IS NOT NULL GROUP BY 1) ON scope = s""", "m1")
+
+
+@query("M1_sparse_vectors", sql("m1_catalog", f"SELECT iid, idx, {rs('value')} AS value, scopes FROM m1 JOIN m1_catalog USING (feature) JOIN (SELECT iid, array_to_string(list_sort(list(DISTINCT scope)), ',') AS scopes FROM m1 GROUP BY iid) USING (iid)"))
+def _(spark, sf):
+    """The cells of every person's sparse vector, over the vocabulary of all features."""
+    rows = cut(features(spark, sf))
+    v = Y.vectors(rows, Y.vocabulary(rows))
+    cells = v.select("iid", F.array_join("scopes", ",").alias("scopes"), F.explode(F.arrays_zip("indices", "values")).alias("c"))
+    return cells.select("iid", F.col("c.indices").alias("idx"), r(F.col("c.values")).alias("value"), "scopes")
+
+
+@query("M12_feature_catalog", sql("m1_catalog", "SELECT * FROM m1_catalog"))
+def _(spark, sf):
+    return Y.vocabulary(cut(features(spark, sf)))
+
+
+@query("M12_feature_counts", sql("m1_catalog", "SELECT 'feature_columns' AS metric, count(*) AS value FROM m1_catalog UNION ALL SELECT k || '_columns', (SELECT count(*) FROM m1_catalog WHERE kind = k) FROM (SELECT unnest(['took', 'numeric', 'ordinal', 'nonresponse', 'one_hot']) AS k)"))
 def _(spark, sf):
-    a = traits.answers(spark, sf).where("qid in ('click', 'view')")
-    o = spark.range(5).select(F.lit("click").alias("qid"), F.concat(F.lit("Level: "), F.col("id").cast("string")).alias("answer"), (F.col("id") * 2).cast("double").alias("value"))
-    cols = ["took_click", "age_at_view", "ord_click", *_HOT]
-    return rcols(M.feature_matrix(M.feature_rows(a, o), cols), "age_at_view")
+    return Y.feature_counts(Y.vocabulary(cut(features(spark, sf))))
 
 
 @query("M2_ordinal_eligible", """SELECT o_orderpriority AS qid, bool_and(n = 1) AND bool_and(mapped) AS eligible FROM (SELECT o_orderpriority, o_custkey, count(DISTINCT CASE WHEN o_orderpriority < '3' THEN 'P' ELSE o_orderstatus END) AS n, bool_and(o_orderpriority <> '2-HIGH') AS mapped FROM orders GROUP BY ALL) GROUP BY 1""")

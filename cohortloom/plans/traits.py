@@ -383,9 +383,24 @@ def _(spark, sf):
     return statuses(spark, sf)
 
 
-@query("B26_sex_additions", sql("people", f"SELECT iid, reported AS sex_01, 'concordant' AS source FROM ({_STATUS}) WHERE status = 'concordant_binary' UNION ALL SELECT iid, CASE WHEN ploidy = 'XX' THEN 0 ELSE 1 END, 'imputed' FROM ({_STATUS}) WHERE reported IS NULL AND ploidy IN ('XX', 'XY')"))
+_ANSWER = "CASE iid % 4 WHEN 0 THEN 'PMI: Skip' WHEN 1 THEN 'I prefer not to  answer' WHEN 2 THEN 'Something else' END"
+_ADDED = f"""SELECT *, CASE WHEN rule = 'withheld_xx' THEN 0 ELSE 1 END AS sex_01 FROM (SELECT *, CASE WHEN reported = 1 AND ploidy = 'X0' THEN 'assigned_male_x0_xo' WHEN reported IS NULL AND iid % 4 IN (0, 1) THEN CASE ploidy WHEN 'XX' THEN 'withheld_xx' WHEN 'XY' THEN 'withheld_xy' END END AS rule
+ FROM (SELECT iid, reported, CASE WHEN iid % 31 = 0 THEN 'X0' ELSE ploidy END AS ploidy, {_ANSWER} AS answer, status FROM ({_STATUS}))) WHERE rule IS NOT NULL"""
+
+
+def asked(spark, sf):
+    """Statuses with the answer to sex at birth; samples with an odd ploidy have one X here."""
+    return statuses(spark, sf).withColumn("ploidy", F.when(F.col("iid") % 31 == 0, "X0").otherwise(F.col("ploidy"))).withColumn("answer", F.expr(_ANSWER))
+
+
+@query("B26_sex_additions", sql("people", f"SELECT iid, reported AS sex_01, 'concordant' AS source FROM ({_STATUS}) WHERE status = 'concordant_binary' UNION ALL SELECT iid, sex_01, 'imputed' FROM ({_ADDED}) WHERE status <> 'concordant_binary'"))
+def _(spark, sf):
+    return B.sex_additions(asked(spark, sf))[0]
+
+
+@query("B26_sex_audit", sql("people", f"SELECT iid, sex_01, rule, answer, ploidy, status FROM ({_ADDED}) WHERE status <> 'concordant_binary'"))
 def _(spark, sf):
-    return B.sex_additions(statuses(spark, sf))
+    return B.sex_additions(asked(spark, sf))[1]
 
 
 _CLS = "CASE p_size % 9 WHEN 0 THEN 'descriptive' WHEN 1 THEN 'date_text' WHEN 2 THEN 'numeric_text' WHEN 3 THEN 'multi_select' WHEN 4 THEN 'slider' WHEN 5 THEN 'free_text' ELSE 'single_select' END"

@@ -9,6 +9,7 @@ from cohortloom.operators import builders as B
 from cohortloom.operators import joins as J
 from cohortloom.operators import responses as R
 from cohortloom.operators import rules as U
+from cohortloom.operators import vocabulary as Y
 
 SCHEMA = "pid string, qid string, ts timestamp, answer string, concept string, survey string, age double"
 
@@ -148,3 +149,26 @@ def test_exclude_ranges_half_open(spark):
     pts = spark.createDataFrame([("1", 10), ("1", 11), ("1", 250000), ("2", 15)], "chrom string, pos long")
     rng = spark.createDataFrame([("1", 10, 20), ("1", 90000, 250000)], "chrom string, start long, end long")
     assert sorted((r[0], r[1]) for r in J.exclude_ranges(pts, rng).collect()) == [("1", 10), ("2", 15)]
+
+
+def test_sex_additions_follow_their_rules(spark):
+    rows = [
+        ("same", 1, "XY", None), ("one x", 1, " xo", "Male"), ("female one x", 0, "X0", "Female"), ("skip", None, "XX", "PMI: Skip"), ("declined", None, "XY", "PMI_Prefer"), ("prefers", None, "XY", "I prefer not to answer"),
+        ("other answer", None, "XX", "Something else"), ("no answer", None, "XX", None), ("withheld odd", None, "XXY", "PMI: Skip"), ("differs", 1, "XX", "PMI: Skip")]
+    kept, audit = B.sex_additions(B.sex_status(spark.createDataFrame(rows, "iid string, reported int, ploidy string, answer string")))
+    assert {(r.iid, r.sex_01, r.source) for r in kept.collect()} == {("same", 1, "concordant"), ("one x", 1, "imputed"), ("skip", 0, "imputed"), ("prefers", 1, "imputed")}
+    assert {(r.iid, r.rule) for r in audit.collect()} == {("one x", "assigned_male_x0_xo"), ("skip", "withheld_xx"), ("prefers", "withheld_xy")}
+
+
+def test_sparse_features_tell_zero_from_unknown(spark):
+    a = spark.createDataFrame([(1, "q", "A: x"), (1, "q", "A: y"), (2, "q", "A: x"), (2, "n", "7.5"), (3, "o", "low")], "iid long, qid string, answer string")
+    ordinal = spark.createDataFrame([("o", "low", 1.0), ("o", "high", 2.0)], "qid string, answer string, value double")
+    rows = Y.answer_features(a, ordinal, spark.createDataFrame([("n",)], "qid string"))
+    e = spark.createDataFrame([(1, "m", "Yes"), (2, "m", "PMI: Skip"), (3, "m", "PMI: Dont Know"), (2, "m", "No")], "iid long, qid string, answer string")
+    rows = rows.unionByName(Y.nonresponse_features(e, spark.createDataFrame([("m",)], "qid string"), F.col("answer") == "PMI: Skip"))
+    catalog = Y.vocabulary(rows)
+    known = {r.feature: (r.idx, r.kind, r.n_known, r.n_nonzero) for r in catalog.collect()}
+    assert known == {"q_m_nonresponse": (0, "nonresponse", 2, 1), "q_n_num": (1, "numeric", 1, 1), "q_o_ord": (2, "ordinal", 1, 1), "q_q_a_x": (3, "one_hot", 2, 2), "q_q_a_y": (4, "one_hot", 2, 1)}
+    got = {r.iid: (r.indices, r["values"], r.scopes) for r in Y.vectors(rows, catalog).collect()}
+    assert got == {1: ([0, 3, 4], [0.0, 1.0, 1.0], ["q"]), 2: ([0, 1, 3], [1.0, 7.5, 1.0], ["q"]), 3: ([2], [1.0], [])}
+    assert {r.metric: r.value for r in Y.feature_counts(catalog).collect()}["one_hot_columns"] == 2

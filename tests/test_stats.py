@@ -69,6 +69,15 @@ def test_one_factor_recovers_loadings(spark):
     assert scored.where("factor is null").count() == 0
 
 
+def test_first_component_stands_in_where_factors_do_not_settle(spark):
+    g = np.random.default_rng(1)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in g.normal(size=(200, 3)) + g.normal(size=(200, 1))], "a double, b double, c double")
+    scored, info = S.one_factor(df, list("abc"), rounds=1)
+    want, _ = S.first_pc(df, list("abc"), "factor")
+    assert info["method"] == "first_pc" and [r["factor"] for r in scored.collect()] == [r["factor"] for r in want.collect()]
+    assert S.one_factor(df, list("abc"))[1]["method"] == "one_factor"
+
+
 def test_pattern_weights_full_pattern_equals_matrix_form(spark):
     lam, psi = np.array([0.8, 0.5, 0.3]), np.array([0.36, 0.75, 0.91])
     patterns = spark.createDataFrame([("".join(x),) for x in itertools.product("01", repeat=len(lam))], "pattern string")
