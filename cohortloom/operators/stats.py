@@ -373,6 +373,51 @@ def accept_model(loadings: DataFrame, pair_r: DataFrame, strong_needed: int, str
     return j.withColumn("reasons", F.array_join(reasons, ";")).withColumn("accepted", F.size(reasons) == 0)
 
 
+def moment_bank(df: DataFrame, candidates: dict[str, list[str]]) -> dict[str, tuple[int, np.ndarray, np.ndarray]]:
+    """n, means and covariances of every candidate's complete rows, from one pass over the rows; a few numbers per candidate reach the driver."""
+    parts = []
+    for name, cols in candidates.items():
+        there = reduce(lambda a, c: a & F.col(c).isNotNull(), cols, F.lit(True))
+        v = [F.when(there, F.col(c).cast("double")) for c in cols]
+        pairs = [F.covar_samp(v[i], v[j]) for i in range(len(cols)) for j in range(i, len(cols))]
+        parts += [F.count_if(there).alias(f"{name}:n"), F.array(*[F.avg(x) for x in v]).alias(f"{name}:means"), F.array(*pairs).alias(f"{name}:cov")]
+    row = df.agg(*parts).first()
+    return {name: (row[f"{name}:n"], np.asarray(row[f"{name}:means"], float), unpack(row[f"{name}:cov"], len(cols))) for name, cols in candidates.items()}
+
+
+def compare_models(df: DataFrame, candidates: dict[str, list[str]], strong_needed: int, forced: set[str] = frozenset(), floor: float = 0.005, rounds: int = 5000) -> DataFrame:
+    """One-factor scores of several candidate models, each decided by the acceptance rule.
+
+    Per model: its score (null for incomplete rows, and for all rows if the model is rejected), `_accepted`, `_reasons`, and for forced models `_forced`, the score of a
+    rejected one. All models are read from one moment bank; decisions come from one table of loadings and pair correlations. A model whose loadings do not settle, or whose
+    indicators do not vary, is rejected.
+    """
+    fits, loads, pairs = {}, [], []
+    for name, (n, mean, cov) in moment_bank(df, candidates).items():
+        cols, sd = candidates[name], np.sqrt(np.diag(cov))
+        try:
+            if n < 3 or not (np.isfinite(sd).all() and (sd > 0).all()):
+                raise ArithmeticError("no variation")
+            corr = cov / np.outer(sd, sd)
+            lam, psi = factor_loadings(corr, floor, rounds)
+            fits[name] = (mean, cov, np.linalg.solve(np.outer(lam, lam) + np.diag(psi), lam))
+            loads += [(name, float(x)) for x in lam]
+            pairs += [(name, float(corr[i, j])) for i in range(len(cols)) for j in range(i)]
+        except (ArithmeticError, np.linalg.LinAlgError):
+            fits[name] = None
+    spark = df.sparkSession
+    verdict = {r.model: r for r in accept_model(spark.createDataFrame(loads, "model string, loading double"), spark.createDataFrame(pairs, "model string, r double"), strong_needed).collect()}  # a row per model
+    out = {}
+    for name, cols in candidates.items():
+        fit, rule = fits[name], verdict.get(name)
+        accepted = fit is not None and rule.accepted
+        score = F.lit(None).cast("double") if fit is None else dot(standardized(df, cols, fit[0], fit[1]), fit[2])
+        out |= {name: score if accepted else F.lit(None).cast("double"), f"{name}_accepted": F.lit(bool(accepted)), f"{name}_reasons": F.lit("not_settled" if fit is None else rule.reasons)}
+        if name in forced:
+            out[f"{name}_forced"] = F.lit(None).cast("double") if accepted else score
+    return df.withColumns(out)
+
+
 def model_report(df: DataFrame, cols: list[str], loadings: dict[str, float], uniqueness: dict[str, float], floor: float = 0.005) -> DataFrame:
     """Per indicator: rows, missing share, mean, SD, loading, uniqueness and whether it sits at the floor."""
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "indicator", "v")

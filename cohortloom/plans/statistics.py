@@ -254,6 +254,33 @@ def _(spark, sf):
     return rcols(S.accept_model(loads, pair, 2), "least_loading", "least_r")
 
 
+_BANK = {"a": "x3 + 0.2 * x1", "b": "x3 + 0.15 * x2", "c": "x3 + 1.5 * target"}
+
+
+def _model(third: str) -> str:
+    """One-factor score of three indicators in closed form: loadings from the three correlations, regression weights from loadings and uniqueness."""
+    return f"""(WITH d AS (SELECT iid, a, b, {third} AS c FROM bank), r AS (SELECT corr(a, b) AS ab, corr(a, c) AS ac, corr(b, c) AS bc, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, stddev_samp(a) AS sa, stddev_samp(b) AS sb, stddev_samp(c) AS sc FROM d),
+ l AS (SELECT *, sqrt(ab * ac / bc) AS la, sqrt(ab * bc / ac) AS lb, sign(ac) * sqrt(ac * bc / ab) AS lc FROM r), w AS (SELECT *, 1 + la * la / (1 - la * la) + lb * lb / (1 - lb * lb) + lc * lc / (1 - lc * lc) AS t FROM l)
+ SELECT iid, ((a - ma) / sa * la / (1 - la * la) + (b - mb) / sb * lb / (1 - lb * lb) + (c - mc) / sc * lc / (1 - lc * lc)) / t AS score, concat_ws(';', CASE WHEN least(la, lb, lc) <= 0 THEN 'nonpositive_loading' END,
+  CASE WHEN (la >= 0.2)::INT + (lb >= 0.2)::INT + (lc >= 0.2)::INT < 2 THEN 'too_few_strong_loadings' END, CASE WHEN least(ab, ac, bc) < -0.05 THEN 'negative_pair_correlation' END) AS reasons FROM d, w)"""
+
+
+role("bank", "SELECT iid, " + ", ".join(f"{e} AS {n}" for n, e in _BANK.items()) + " FROM scores", "scores")
+
+
+def rcols4(df, *names):
+    return df.withColumns({n: r(n, 4) for n in names})
+
+
+@query("T22_model_comparison", sql("bank", f"""SELECT iid, CASE WHEN t.reasons = '' THEN {rs('t.score', 4)} END AS three, t.reasons = '' AS three_accepted, t.reasons AS three_reasons, CASE WHEN u.reasons = '' THEN {rs('u.score', 4)} END AS turned, u.reasons = '' AS turned_accepted,
+ u.reasons AS turned_reasons, CASE WHEN u.reasons <> '' THEN {rs('u.score', 4)} END AS turned_forced FROM {_model('c')} t JOIN {_model('-c')} u USING (iid)"""))
+def _(spark, sf):
+    """Two candidate models over one bank of indicators: the rejected one's score is null, and given in a column of its own as it is forced."""
+    s = roles.scores(spark, sf).select("iid", *[F.expr(e).alias(n) for n, e in _BANK.items()]).withColumn("minus_c", -F.col("c"))
+    out = S.compare_models(s, {"three": ["a", "b", "c"], "turned": ["a", "b", "minus_c"]}, strong_needed=2, forced={"turned"}).drop("a", "b", "c", "minus_c")
+    return rcols4(out, "three", "turned", "turned_forced")
+
+
 @query("T23_score_pairs", sql("scores", " UNION ALL ".join(f"SELECT role, '{a}' AS a, '{b}' AS b, count(*) AS n, {rs(f'corr({a}, {b})')} AS r FROM scores GROUP BY role" for a, b in (("x1", "x2"), ("x1", "x3"), ("x2", "x3")))))
 def _(spark, sf):
     return rcols(S.pair_grid(roles.scores(spark, sf), ["role"], ["x1", "x2", "x3"]), "r")

@@ -9,6 +9,7 @@ from ..operators import builders as B
 from ..operators import criteria as K
 from ..operators import responses as R
 from ..operators import rules as U
+from ..operators import sparse_traits as Q
 from ..operators import windows as X
 from . import roles
 from .aggregations import rcols
@@ -57,6 +58,52 @@ def _(spark, sf):
     return rcols(B.one_vs_rest(answers(spark, sf)).select("pheno_id", "iid", "y", "age"), "age")
 
 
+MANIFEST = [("click", "binary_only", False, "", "clicks"), ("view", "ordinal_and_binary", False, "grown_up", "views"), ("error", "excluded_date", False, "", "errors"), ("purchase", "nominal_binary", True, "", "purchases"), ("signup", "flagged_review", False, "", "sign-up")]
+MIN_AGES = [("grown_up", 45.0), ("unused", 1.0)]
+_YES = "CASE WHEN qid = 'signup' THEN CASE WHEN answer IN ('Level: 3', 'Level: 4') THEN 'Yes' ELSE 'No, never' END ELSE answer END"
+role("polled", f"SELECT pid, qid, {_YES} AS answer, min(age) AS age FROM (SELECT * FROM answers UNION ALL SELECT pid, 'extra', 'Level: 1', age FROM answers WHERE qid = 'click' AND pid % 3 = 0) GROUP BY 1, 2, 3", "answers")
+role("sparse", f"""WITH m AS (SELECT * FROM (VALUES {", ".join(str(x).replace("False", "false").replace("True", "true") for x in MANIFEST)}) v(qid, disposition, multi, rule, question)), g AS (SELECT p.* FROM polled p LEFT JOIN m USING (qid) LEFT JOIN (VALUES {", ".join(map(str, MIN_AGES))}) a(rule, min_age) USING (rule) WHERE min_age IS NULL OR age >= min_age),
+ n AS (SELECT qid, answer, count(DISTINCT pid) AS n FROM g GROUP BY ALL), t AS (SELECT qid, count(DISTINCT pid) AS total FROM g GROUP BY qid), k AS (SELECT qid, count(*) AS options FROM n GROUP BY qid),
+ c AS (SELECT s.qid, s.answer, 'bin_' || s.qid || '_' || CASE s.answer WHEN 'Yes' THEN 'yes' WHEN 'No, never' THEN 'no_never' ELSE right(s.answer, 1) END AS pheno_id, n_seen, coalesce(n, 0) AS n_cases, coalesce(total - n, 0) AS n_controls, disposition, multi, options, question, rule
+  FROM (SELECT qid, answer, count(DISTINCT pid) AS n_seen FROM polled GROUP BY ALL) s LEFT JOIN n USING (qid, answer) LEFT JOIN t USING (qid) LEFT JOIN m USING (qid) LEFT JOIN k USING (qid))
+ SELECT *, CASE WHEN disposition IS NULL THEN 'not_in_manifest' WHEN starts_with(disposition, 'excluded') THEN 'excluded' WHEN n_cases = 0 THEN 'below_min_age' WHEN options = 2 AND NOT multi AND answer <> 'Yes' THEN 'redundant_complement' WHEN n_cases < 5 OR n_controls < 5 THEN 'too_few' ELSE 'made' END AS status FROM c""", "polled")
+
+
+def sparse(spark, sf):
+    a = answers(spark, sf)
+    a = a.unionByName(a.where("qid = 'click' and pid % 3 = 0").select("pid", F.lit("extra").alias("qid"), F.lit("Level: 1").alias("answer"), "age"))
+    a = a.withColumn("answer", F.expr(_YES)).groupBy("pid", "qid", "answer").agg(F.min("age").alias("age"))
+    known = spark.createDataFrame(MANIFEST, "qid string, disposition string, multi boolean, rule string, question string")
+    return Q.build(a, known, spark.createDataFrame(MIN_AGES, "rule string, min_age double"), spark.createDataFrame([], "qid string, answer string, value double"), 5, 5)
+
+
+@query("B1_sparse_cases", sql("sparse", "SELECT pheno_id, pid AS iid FROM polled JOIN sparse USING (qid, answer) WHERE status = 'made' AND (rule <> 'grown_up' OR age >= 45)"))
+def _(spark, sf):
+    """Cases of all traits that pass disposition, least age and complement rules."""
+    return sparse(spark, sf).cases
+
+
+@query("B31_answer_coverage", sql("sparse", "SELECT qid, answer, pheno_id, n_seen, n_cases, n_controls, status FROM sparse"))
+def _(spark, sf):
+    return sparse(spark, sf).catalog.select("qid", "answer", "pheno_id", "n_seen", "n_cases", "n_controls", "status")
+
+
+@query("B32_dictionary", sql("sparse", """SELECT pheno_id, question, rule, status, CASE WHEN status = 'redundant_complement' THEN 'complement_of:bin_' || qid || '_yes' END AS construction_id, 'answered ''' || answer || ''' to ' || question AS case_wording,
+ CASE WHEN multi THEN 'question shown, option not selected' ELSE 'any other valid answer to ' || question END AS control_wording FROM sparse WHERE disposition IS NOT NULL"""))
+def _(spark, sf):
+    """Wording and source of every trait whose question is in the manifest."""
+    return sparse(spark, sf).catalog.where("question is not null").select("pheno_id", "question", "rule", "status", "construction_id", "case_wording", "control_wording")
+
+
+_BATCH = [f"bin_click_{i}" for i in range(5)] + ["bin_signup_yes", "bin_purchase_2"]
+
+
+@query("B1_sparse_batch", sql("sparse", f"""WITH g AS (SELECT pid, qid, answer FROM polled WHERE qid IN ('click', 'signup', 'purchase')) SELECT pid AS iid, {', '.join(f"CASE WHEN bool_or(qid = '{n.split('_')[1]}') THEN CAST(CAST(bool_or(p = '{n}') AS INTEGER) AS DOUBLE) END AS {n}" for n in _BATCH)}
+ FROM (SELECT g.*, CASE WHEN status = 'made' THEN pheno_id ELSE '' END AS p FROM g JOIN sparse USING (qid, answer)) GROUP BY pid"""))
+def _(spark, sf):
+    return Q.wide_batch(sparse(spark, sf), _BATCH)
+
+
 @query("B2_complement_collapse", """WITH a AS (SELECT DISTINCT o_orderpriority AS qid, o_custkey AS pid, CASE WHEN o_custkey % 3 = 0 THEN 'Yes' WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'No, never' ELSE CASE WHEN o_custkey % 3 = 1 THEN 'Other' ELSE 'No' END END AS answer FROM orders),
  o AS (SELECT qid, answer, count(*) OVER (PARTITION BY qid) AS n FROM (SELECT DISTINCT qid, answer FROM a))
  SELECT qid, answer, CASE WHEN n <> 2 THEN 'kept' WHEN answer = 'Yes' THEN 'kept_complement' ELSE 'skipped_complement' END AS status FROM o""")

@@ -9,6 +9,7 @@ from cohortloom.operators import builders as B
 from cohortloom.operators import joins as J
 from cohortloom.operators import responses as R
 from cohortloom.operators import rules as U
+from cohortloom.operators import sparse_traits as Q
 from cohortloom.operators import vocabulary as Y
 
 SCHEMA = "pid string, qid string, ts timestamp, answer string, concept string, survey string, age double"
@@ -172,3 +173,21 @@ def test_sparse_features_tell_zero_from_unknown(spark):
     got = {r.iid: (r.indices, r["values"], r.scopes) for r in Y.vectors(rows, catalog).collect()}
     assert got == {1: ([0, 3, 4], [0.0, 1.0, 1.0], ["q"]), 2: ([0, 1, 3], [1.0, 7.5, 1.0], ["q"]), 3: ([2], [1.0], [])}
     assert {r.metric: r.value for r in Y.feature_counts(catalog).collect()}["one_hot_columns"] == 2
+
+
+def test_sparse_traits_compose_their_rules(spark):
+    yes = [(p, "yn", "Yes" if p % 3 else "No", 30.0) for p in range(12)]
+    multi = [(p, "pick", a, 30.0) for p in range(8) for a in (["Red", "Blue"] if p < 4 else ["Blue"])]
+    old = [(p, "income", "Low" if p < 6 else "High" if p < 9 else "Middle", 20.0 if p in (6, 7, 8) else None if p == 0 else 50.0) for p in range(12)]
+    rest = [(1, "date", "2001", 30.0), (1, "amount", "7", 30.0), (1, "unheard", "Yes", 30.0)]
+    manifest = [("yn", "binary_only", False, "", "q"), ("pick", "nominal_binary", True, "", "q"), ("income", "ordinal_and_binary", False, "earner", "q"), ("date", "excluded_date", False, "", "q"), ("amount", "numeric", False, "", "q")]
+    t = Q.build(
+        spark.createDataFrame(yes + multi + old + rest, "pid long, qid string, answer string, age double"), spark.createDataFrame(manifest, "qid string, disposition string, multi boolean, rule string, question string"),
+        spark.createDataFrame([("earner", 40.0)], "rule string, min_age double"), spark.createDataFrame([], "qid string, answer string, value double"), 2, 1)
+    status = {r.pheno_id: (r.status, r.n_cases, r.n_controls) for r in t.catalog.collect()}
+    assert status == {
+        "bin_yn_yes": ("made", 8, 4), "bin_yn_no": ("redundant_complement", 4, 8), "bin_pick_red": ("made", 4, 4), "bin_pick_blue": ("too_few", 8, 0), "bin_income_low": ("redundant_complement", 5, 3), "bin_income_high": ("below_min_age", 0, 0),
+        "bin_income_middle": ("made", 3, 5), "bin_date_2001": ("excluded", 1, 0), "bin_amount_7": ("not_binary", 1, 0), "bin_unheard_yes": ("not_in_manifest", 1, 0)}
+    got = {r.iid: (r["bin_yn_yes"], r["bin_pick_red"], r["none"]) for r in Q.wide_batch(t, ["bin_yn_yes", "bin_pick_red", "none"]).collect()}
+    assert got[1] == (1.0, 1.0, None) and got[0] == (0.0, 1.0, None) and got[5] == (1.0, 0.0, None) and got[11] == (1.0, None, None)
+    assert t.cases.where("pheno_id = 'bin_yn_yes'").count() == 8
