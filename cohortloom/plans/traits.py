@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import builders as B
+from ..operators import composites as C
 from ..operators import criteria as K
 from ..operators import responses as R
 from ..operators import rules as U
@@ -403,6 +404,36 @@ def _(spark, sf):
     return rcols(B.approved_composite(resolved(spark, sf), 5), "age")
 
 
+_BOXES = [(c, q, str(1000 + k), code, kind) for c, q in (("tried", "click"), ("problems", "view")) for k, (code, kind) in enumerate([("none", "none"), ("a", "class"), ("b", "class"), ("other", "other")])]
+_LABELS = [("tried", "click", "level: 1", "a", "class"), ("problems", "view", "level: 2", "a", "class"), ("problems", "view", "level: 1", "a", "class"), ("problems", "view", "level: 1", "b", "class"), ("tried", "click", "pmi: skip", "declined", "declined"), ("tried", "click", "level: 3", "other", "other")]
+role("boxes", f"""WITH c AS (SELECT * FROM (VALUES {", ".join(map(str, _BOXES))}) v(composite, qid, concept, code, kind)), l AS (SELECT composite, qid, label, min(code) AS label_code, count(DISTINCT code) AS n_codes FROM (VALUES {", ".join(map(str, _LABELS))}) v(composite, qid, label, code, kind) GROUP BY ALL),
+ x AS (SELECT s.composite, pid, qid, max(ts) OVER (PARTITION BY pid, qid) AS ts, min(age) OVER (PARTITION BY pid, qid) AS age, survey, CASE WHEN k % 3 = 0 THEN '' ELSE r.concept END AS concept, lower(answer) AS label FROM responses r JOIN (SELECT DISTINCT composite, qid FROM c) s USING (qid) WHERE k < 16),
+ y AS (SELECT x.*, c.code AS cc, label_code, n_codes FROM x LEFT JOIN c USING (composite, qid, concept) LEFT JOIN l USING (composite, qid, label)),
+ z AS (SELECT *, concept <> '' AND (cc IS NULL OR (label_code IS NOT NULL AND (n_codes > 1 OR label_code <> cc))) AS bad FROM y),
+ w AS (SELECT z.*, CASE WHEN concept <> '' AND NOT bad THEN cc WHEN concept = '' AND n_codes = 1 THEN label_code END AS code FROM z), k AS (SELECT DISTINCT composite, qid, code, kind FROM (SELECT composite, qid, code, kind FROM c UNION ALL SELECT composite, qid, code, kind FROM (VALUES {", ".join(map(str, _LABELS))}) v(composite, qid, label, code, kind))),
+ g AS (SELECT composite, pid AS iid, bool_or(bad) AS bad, bool_or(code IS NULL OR coalesce(kind = 'declined', false)) AS open, bool_or(coalesce(kind = 'none', false)) AS none, count(DISTINCT CASE WHEN kind = 'class' THEN code END) AS n, min(age) AS age, array_to_string(list_sort(list(DISTINCT survey)), '|') AS source_surveys,
+  array_to_string(list_sort(list(DISTINCT qid || ':' || CAST(ts AS VARCHAR))), '|') AS source_event FROM w LEFT JOIN k USING (composite, qid, code) GROUP BY composite, pid)
+ SELECT *, CASE WHEN bad THEN 'invalid' WHEN open THEN 'missing' WHEN none AND n > 0 THEN 'contradiction' WHEN none OR n > 0 THEN 'scored' ELSE 'missing' END AS status FROM g""", "responses")
+
+
+def boxes(spark, sf):
+    """All answers of a person to a question as one event; every third row has lost its concept."""
+    e = roles.responses(spark, sf).where("k < 16").withColumn("concept", F.when(F.col("k") % 3 == 0, "").otherwise(F.col("concept")))
+    s = e.groupBy("pid", "qid").agg(F.max("ts").alias("ts"), F.min("age").alias("age"), F.collect_set(F.struct(F.col("answer").alias("text"), "concept", "survey")).alias("answers"))
+    return C.checkbox_counts(s, spark.createDataFrame(_BOXES, "composite string, qid string, concept string, code string, kind string"), spark.createDataFrame(_LABELS, "composite string, qid string, label string, code string, kind string"))
+
+
+@query("B23_checkbox_composites", sql("boxes", f"SELECT composite, iid, CASE WHEN status = 'scored' THEN CAST(n AS DOUBLE) END AS y, CAST(CASE WHEN status IN ('scored', 'contradiction') THEN 2 ELSE 0 END AS BIGINT) AS observed, status, {rs('age')} AS age, source_surveys, source_event FROM boxes"))
+def _(spark, sf):
+    return rcols(boxes(spark, sf), "age")
+
+
+@query("B23_composite_report", sql("boxes", "WITH s AS (SELECT composite, status, CASE WHEN status = 'scored' THEN CAST(n AS DOUBLE) END AS y FROM boxes) " + " UNION ALL ".join(
+    f"SELECT composite, '{m}' AS metric, {rs(e)} AS value FROM s GROUP BY composite" for m, e in {**{k: f"count(*) FILTER (status = '{k}')" for k in ("scored", "missing", "invalid", "contradiction")}, "minimum": "min(y)", "maximum": "max(y)", "mean": "avg(y)", "sd": "stddev_pop(y)"}.items())))
+def _(spark, sf):
+    return rcols(C.composite_report(boxes(spark, sf)), "value")
+
+
 @query("B24_stratified", sql("traits people", f"SELECT pheno_id || '_male' AS pheno_id, iid, {rs('y')} AS y, t.age FROM traits t JOIN people p USING (iid) WHERE p.sex_01 = 1"))
 def _(spark, sf):
     return rcols(B.stratified_trait(roles.traits(spark, sf), roles.people(spark, sf), 1, "_male"), "y")

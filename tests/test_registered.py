@@ -14,10 +14,11 @@ NAMES = [
     "flagship_trait_residuals", "S1_delimited_scan", "S3_multi_source_responses", "S6_partitioned_sink", "S9_pending_work", "P3_content_tokens", "P8_relation_label", "P20_right_trim",
     "J2_attrition", "J6_same_time_pair", "J9_range_exclusion", "A4_trial_rates", "A7_distribution", "A14_filter_ladder", "A20_option_count", "W1_latest_valid", "W6_strict_best",
     "B2_complement_collapse", "B13_composite_scales", "B16_hurdle", "B27_catalog_classes", "T2_residualize", "T16_pattern_scores", "G2_component_table", "V3_multiallelic_split", "V10_association", "M11_fold_safe_calibration",
+    "S12_file_fingerprint", "S12_row_tree", "U4_ledger", "B1_sparse_batch", "B14_criteria", "B26_sex_audit", "B31_answer_coverage", "T22_model_comparison", "V6_ld_prune", "M1_sparse_vectors",
 ]
 ROWS_ONLY = {
-    "S12_fingerprint", "S12_file_fingerprint", "T15_one_factor_score", "T21_component_candidate", "G3_unrelated_set",
-    "V6_ld_prune", "V7_fitted_components", "V10_association_p", "M4_fold_assignment", "M5_cross_fitted_scores", "M8_residual_boost", "M9_stable_split", "M10_direct_fit",
+    "S12_fingerprint", "T15_one_factor_score", "T21_component_candidate", "G3_unrelated_set",
+    "V7_fitted_components", "V10_association_p", "M4_fold_assignment", "M5_cross_fitted_scores", "M8_residual_boost", "M9_stable_split", "M10_direct_fit",
 }
 
 

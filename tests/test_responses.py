@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.operators import builders as B
+from cohortloom.operators import composites as C
 from cohortloom.operators import joins as J
 from cohortloom.operators import responses as R
 from cohortloom.operators import rules as U
@@ -191,3 +192,20 @@ def test_sparse_traits_compose_their_rules(spark):
     got = {r.iid: (r["bin_yn_yes"], r["bin_pick_red"], r["none"]) for r in Q.wide_batch(t, ["bin_yn_yes", "bin_pick_red", "none"]).collect()}
     assert got[1] == (1.0, 1.0, None) and got[0] == (0.0, 1.0, None) and got[5] == (1.0, 0.0, None) and got[11] == (1.0, None, None)
     assert t.cases.where("pheno_id = 'bin_yn_yes'").count() == 8
+
+
+def test_checkbox_statuses_and_provenance(spark):
+    concepts = [("c", "q", "1", "a", "class"), ("c", "q", "2", "b", "class"), ("c", "q", "8", "none", "none"), ("c", "q", "7", "other", "other")]
+    labels = [("c", "q", "tea", "a", "class"), ("c", "q", "juice", "b", "class"), ("c", "q", "drink", "a", "class"), ("c", "q", "drink", "b", "class"), ("c", "q", "none of these", "none", "none"), ("c", "q", "prefer not to answer", "declined", "declined"), ("c", "q", "something else", "other", "other")]
+    cases = {
+        "two": [("Tea", "1", "s"), ("Juice", "2", "r")], "twice": [("Tea", "1", "s"), (" tea ", "", "s")], "none": [("None of  these", "8", "s"), ("Something else", "7", "s")], "both": [("Tea", "1", "s"), ("none of these", "", "s")],
+        "unknown concept": [("Tea", "99", "s")], "clash": [("Juice", "1", "s")], "vague with concept": [("Drink", "1", "s")], "vague": [("Drink", "", "s")], "unheard": [("Soup", None, "s")], "declined": [("Tea", "1", "s"), ("Prefer not to answer", "", "s")],
+        "other": [("Something else", "7", "")]}
+    rows = [(p, "q", 5, 30.0, a) for p, a in cases.items()]
+    got = {r.iid: r for r in C.checkbox_counts(
+        spark.createDataFrame(rows, "pid string, qid string, ts int, age double, answers array<struct<text: string, concept: string, survey: string>>"),
+        spark.createDataFrame(concepts, "composite string, qid string, concept string, code string, kind string"), spark.createDataFrame(labels, "composite string, qid string, label string, code string, kind string")).collect()}
+    assert {k: (r.status, r.y, r.observed) for k, r in got.items()} == {
+        "two": ("scored", 2.0, 2), "twice": ("scored", 1.0, 2), "none": ("scored", 0.0, 2), "both": ("contradiction", None, 2), "unknown concept": ("invalid", None, 0), "clash": ("invalid", None, 0), "vague with concept": ("invalid", None, 0),
+        "vague": ("missing", None, 0), "unheard": ("missing", None, 0), "declined": ("missing", None, 0), "other": ("missing", None, 0)}
+    assert (got["two"].source_surveys, got["two"].source_event, got["other"].source_surveys) == ("r|s", "q:5", "")
