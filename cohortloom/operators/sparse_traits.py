@@ -72,10 +72,10 @@ def build(answers: DataFrame, manifest: DataFrame, min_ages: DataFrame, values:
 
 
 def wide_batch(traits: Sparse, names: list[str]) -> DataFrame:
-    """iid and a column per trait: 1 case, 0 answered otherwise, null not asked. The one place where zeros are filled in."""
+    """iid and a column per trait: 1 case, 0 answered otherwise, null not asked or not made. The one place where zeros are filled in. Rows are the persons asked for some of them."""
     if len(names) > 64:
         raise ValueError("a batch holds at most 64 traits")
-    of = {r.pheno_id: r.qid for r in traits.catalog.where(F.col("pheno_id").isin(names)).select("pheno_id", "qid").collect()}  # at most 64 rows
+    of = {r.pheno_id: r.qid for r in traits.catalog.where(F.col("pheno_id").isin(names) & (F.col("status") == "made")).select("pheno_id", "qid").collect()}  # at most 64 rows
     asked = traits.answered.where(F.col("qid").isin(sorted(set(of.values())))).groupBy("iid").agg(F.collect_set("qid").alias("qids"))
     ones = traits.cases.where(F.col("pheno_id").isin(names)).withColumn("y", F.lit(1.0)).groupBy("iid").pivot("pheno_id", names).agg(F.max("y"))
     zero = lambda n: F.when(F.array_contains("qids", of[n]), 0.0) if n in of else F.lit(None).cast("double")

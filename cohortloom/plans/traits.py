@@ -99,8 +99,8 @@ def _(spark, sf):
 _BATCH = [f"bin_click_{i}" for i in range(5)] + ["bin_signup_yes", "bin_purchase_2"]
 
 
-@query("B1_sparse_batch", sql("sparse", f"""WITH g AS (SELECT pid, qid, answer FROM polled WHERE qid IN ('click', 'signup', 'purchase')) SELECT pid AS iid, {', '.join(f"CASE WHEN bool_or(qid = '{n.split('_')[1]}') THEN CAST(CAST(bool_or(p = '{n}') AS INTEGER) AS DOUBLE) END AS {n}" for n in _BATCH)}
- FROM (SELECT g.*, CASE WHEN status = 'made' THEN pheno_id ELSE '' END AS p FROM g JOIN sparse USING (qid, answer)) GROUP BY pid"""))
+@query("B1_sparse_batch", sql("sparse", f"""WITH g AS (SELECT pid, qid, answer FROM polled WHERE qid IN ('click', 'signup', 'purchase')) SELECT pid AS iid, {', '.join(f"CASE WHEN bool_or(qid = '{n.split('_')[1]}') AND '{n}' IN (SELECT pheno_id FROM sparse WHERE status = 'made') THEN CAST(CAST(bool_or(p = '{n}') AS INTEGER) AS DOUBLE) END AS {n}" for n in _BATCH)}
+ FROM (SELECT g.*, CASE WHEN status = 'made' THEN pheno_id ELSE '' END AS p FROM g JOIN sparse USING (qid, answer)) WHERE qid IN (SELECT qid FROM sparse WHERE status = 'made' AND pheno_id IN ({', '.join(f"'{n}'" for n in _BATCH)})) GROUP BY pid"""))
 def _(spark, sf):
     return Q.wide_batch(sparse(spark, sf), _BATCH)
 
