@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +60,28 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     done = df.sparkSession.read.schema(df.schema).parquet(path)
     done.cut_path = path
+    if _spent:
+        _spent[-1].append(done)
     return done
 
 
+_spent: list[list[DataFrame]] = []
+
+
+@contextmanager
+def spent(*, keep: list[DataFrame]):
+    """Deletes the tables that were cut inside of the block when it ends, but for those that were put into `keep`: what is returned may read no others."""
+    _spent.append([])
+    try:
+        yield
+    finally:
+        made = _spent.pop()
+        kept = {t.cut_path for t in keep}
+        for t in made:
+            if t.cut_path not in kept:
+                uncut(t)
+
+
 def _files(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
