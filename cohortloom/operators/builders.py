@@ -5,6 +5,8 @@ Answer tables have pid, qid, y, age. A trait row is pheno_id, iid, y, age.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -350,8 +352,16 @@ def sex_additions(status: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def select_builders(builders: dict, requested: list[str]) -> DataFrame:
-    """Union of the builders whose name starts a requested trait id; the others are never planned."""
-    parts = [make().withColumn("builder", F.lit(name)) for name, make in builders.items() if any(t.startswith(name) for t in requested)]
+    """The requested traits from the builders that can make them; builders of no requested trait are never planned.
+
+    builders: prefix of trait ids to a function that returns rows with pheno_id; requested: trait ids, or prefixes that end in an underscore.
+    """
+    wanted = lambda t: F.col("pheno_id").startswith(t) if t.endswith("_") else F.col("pheno_id") == t
+    parts = []
+    for name, make in builders.items():
+        mine = [t for t in requested if t.startswith(f"{name}_")]
+        if mine:
+            parts.append(make().where(reduce(lambda a, b: a | b, map(wanted, mine))).withColumn("builder", F.lit(name)))
     if not parts:
         raise ValueError("no builder makes the requested traits")
     return union_all(parts)

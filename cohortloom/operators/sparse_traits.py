@@ -80,3 +80,13 @@ def wide_batch(traits: Sparse, names: list[str]) -> DataFrame:
     ones = traits.cases.where(F.col("pheno_id").isin(names)).withColumn("y", F.lit(1.0)).groupBy("iid").pivot("pheno_id", names).agg(F.max("y"))
     zero = lambda n: F.when(F.array_contains("qids", of[n]), 0.0) if n in of else F.lit(None).cast("double")
     return asked.join(ones, "iid", "left").select("iid", *[F.coalesce(F.col(f"`{n}`"), zero(n)).alias(n) for n in names])
+
+
+def legacy_ids(known: DataFrame, legacy: DataFrame) -> DataFrame:
+    """Earlier one-hot ids of the listed questions: qid, answer, pheno_id, n_cases, n_controls of every answer that was given, complements included.
+
+    legacy: qid, item (the name in the id; without one it is xgb_q and the question).
+    """
+    item = F.coalesce("item", F.concat(F.lit("xgb_q"), "qid"))
+    j = known.where("n_cases > 0").join(F.broadcast(legacy), "qid")
+    return j.select("qid", "answer", F.concat(F.lit("bin_"), item, F.lit("__"), T.slug(T.answer_tail("answer"))).alias("pheno_id"), "n_cases", "n_controls")

@@ -530,11 +530,18 @@ def _(spark, sf):
     return U.trait_dictionary(a, pick("p_size > 30"), pick("p_size > 15 and p_size <= 30"))
 
 
-@query("B30_selected_builders", sql("answers", f"SELECT 'ovr' AS builder, pid AS iid, CAST((answer = 'Level: 1')::INT AS DOUBLE) AS y, {rs('age')} AS age FROM answers WHERE qid = 'view'"))
+@query("B30_selected_builders", sql("answers single", f"""SELECT 'bin' AS builder, pheno_id, iid, y, {rs('age')} AS age FROM (SELECT 'bin_' || a.qid || '_' || right(o.answer, 1) AS pheno_id, a.pid AS iid, CAST(list_contains(a.c, o.answer) AS INTEGER)::DOUBLE AS y, a.age
+ FROM (SELECT pid, qid, list(answer) AS c, min(age) AS age FROM answers GROUP BY ALL) a JOIN (SELECT DISTINCT qid, answer FROM answers) o USING (qid)) WHERE pheno_id = 'bin_view_1' OR starts_with(pheno_id, 'bin_click_')
+ UNION ALL SELECT 'num', 'num_error', pid, y, {rs('age')} FROM single WHERE qid = 'error' AND y BETWEEN 1 AND 3"""))
 def _(spark, sf):
-    a = answers(spark, sf)
-    builders = {
-        "ovr": lambda: a.where("qid = 'view'").select(F.col("pid").alias("iid"), (F.col("answer") == "Level: 1").cast("double").alias("y"), "age"),
-        "num": lambda: roles.single(spark, sf).select(F.col("pid").alias("iid"), "y", "age"),
-    }
-    return rcols(B.select_builders(builders, ["ovr_view_1"]), "age")
+    """Two kinds of traits from the builders of all questions; the third builder is not planned."""
+    levels = roles.single(spark, sf).withColumn("answer", F.col("y").cast("string"))
+    ranges = spark.createDataFrame([("error", 1.0, 3.0)], "qid string, lo double, hi double")
+    builders = {"bin": lambda: B.one_vs_rest(answers(spark, sf)), "num": lambda: B.numeric_trait(levels, ranges), "sparse": lambda: sparse(spark, sf).cases}
+    return rcols(B.select_builders(builders, ["bin_view_1", "bin_click_", "num_error"]).select("builder", "pheno_id", "iid", "y", "age"), "age")
+
+
+@query("B25_legacy_ids", sql("sparse", "SELECT qid, answer, 'bin_' || CASE qid WHEN 'view' THEN 'seen_pages' ELSE 'xgb_q' || qid END || '__' || CASE answer WHEN 'Yes' THEN 'yes' WHEN 'No, never' THEN 'no_never' ELSE right(answer, 1) END AS pheno_id, n_cases, n_controls FROM sparse WHERE qid IN ('view', 'signup') AND n_cases > 0"))
+def _(spark, sf):
+    """One-hot ids that questions had before they became ordinal, for all their answers."""
+    return Q.legacy_ids(sparse(spark, sf).catalog, spark.createDataFrame([("view", "seen_pages"), ("signup", None)], "qid string, item string"))
