@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import sent_whole
+
 #: ASCII white space separates words, nothing else does.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -42,3 +44,10 @@ def word_count(text: Column) -> Column:
 def text_key() -> Column:
     """Tells rows with the same id, or none, apart."""
     return F.xxhash64(whole())
+
+
+def having(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of `docs` with (left_semi) or without (left_anti) a row of the cut table of (doc_id, text_key); texts stay where they are while the keys' files are small."""
+    k = sent_whole(keys).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"))
+    d = docs.withColumn("__t", text_key())
+    return d.join(k, d["doc_id"].eqNullSafe(k["__d"]) & (d["__t"] == k["__k"]), how).select(*docs.columns)

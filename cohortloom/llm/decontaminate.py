@@ -21,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
-from .common import text_key, whole
+from ..session import cut, spent
+from .common import having, text_key, whole
 
 #: Words that count, from the first on.
 MASKS = ((0, 1, 3, 4, 5), (0, 1, 2, 3, 6), (0, 1, 5, 6, 7), (0, 1, 2, 3, 5), (0, 3, 4, 6, 7), (0, 2, 4, 5, 6), (0, 1, 2, 4, 7))
@@ -72,7 +72,6 @@ def hits(docs: DataFrame, benchmark: DataFrame, stretch: int = 13, agree: float
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without the contaminated ones, all columns kept."""
-    bad = cut(hits(docs, benchmark, **options).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k")).distinct())
-    names = docs.columns
-    d = docs.withColumn("__t", text_key())
-    return d.join(bad, d["doc_id"].eqNullSafe(bad["__d"]) & (d["__t"] == bad["__k"]), "left_anti").select(*names)
+    with spent(keep=(keep := [])):
+        keep.append(cut(hits(docs, benchmark, **options).select("doc_id", "text_key").distinct()))
+    return having(docs, keep[0], "left_anti")

@@ -37,9 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import component_labels
-from ..session import cut
+from ..session import cut, spent
 from . import arrays
-from .common import text_key
+from .common import having, text_key
 
 WORDS = 5
 PLACE = arrays.mixed(np.arange(1001, 1001 + WORDS, dtype=np.uint64)) | np.uint64(1)  # a factor for each place of a word
@@ -300,19 +300,15 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
 
     Rows without words stand alone: those with an id stay once per id and text, those without an id all stay.
     """
-    placed, alone = placed_rows(docs, **options)
-    placed = cut(placed)
-    first = placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("f"))
-    judged = cut(placed.join(first, "component").select("doc_id", "text_key", (F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_key") == F.col("f.text_key"))).alias("stays")))
-    gone = cut(judged.where("not stays").select("doc_id", "text_key").distinct())
-    rows = judged.where("stays").select("doc_id", "text_key").unionByName(alone.where("doc_id is not null"))
-    twice = cut(rows.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"))
-
-    def having(d: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        k = keys.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"))
-        t = d.withColumn("__t", text_key())
-        return t.join(k, t["doc_id"].eqNullSafe(k["__d"]) & (t["__t"] == k["__k"]), how).select(*docs.columns)
-
+    with spent(keep=(keep := [])):
+        placed, alone = placed_rows(docs, **options)
+        placed = cut(placed)
+        first = placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("f"))
+        judged = cut(placed.join(first, "component").select("doc_id", "text_key", (F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_key") == F.col("f.text_key"))).alias("stays")))
+        gone = cut(judged.where("not stays").select("doc_id", "text_key").distinct())
+        rows = judged.where("stays").select("doc_id", "text_key").unionByName(alone.where("doc_id is not null"))
+        twice = cut(rows.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"))
+        keep += [gone, twice]
     kept = having(docs, gone, "left_anti")
     if twice.isEmpty():
         return kept

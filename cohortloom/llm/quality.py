@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
-from .common import text_key
+from ..session import cut, spent
+from .common import having, text_key
 
 SYMBOLS = "#*$%&|<>"
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_caps long, n_marks long, n_distinct long"
@@ -203,7 +203,6 @@ def judge(docs: DataFrame, min_rows: int = 100, far: float = 22.0) -> DataFrame:
 
 def accept(docs: DataFrame, **options) -> DataFrame:
     """The documents that are kept, all columns; rows equal in id and text share one fate."""
-    verdict = judge(docs, **options)
-    gone = cut(verdict.where("not kept").select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k")).distinct())
-    d = docs.withColumn("__t", text_key())
-    return d.join(gone, d["doc_id"].eqNullSafe(gone["__d"]) & (d["__t"] == gone["__k"]), "left_anti").select(*docs.columns)
+    with spent(keep=(keep := [])):
+        keep.append(cut(judge(docs, **options).where("not kept").select("doc_id", "text_key").distinct()))
+    return having(docs, keep[0], "left_anti")
