@@ -128,12 +128,28 @@ def _kin_products(lhs: np.ndarray, rhs: np.ndarray) -> np.ndarray:
     return np.stack([ok_l @ ok_r.T, het_l @ het_r.T, ibs0, het_l @ ok_r.T, ok_l @ het_r.T])
 
 
+def _sparse_kinship(cells: DataFrame, t: float) -> DataFrame:
+    """Kinship from pairs of observed cells of one variant: work grows with these pairs, not with all pairs of samples."""
+    cells = cells.where(F.col("dosage").isNotNull()).select("variant_id", "sample_id", F.col("dosage").cast("tinyint").alias("d"))
+    pairs = cells.alias("a").join(cells.alias("b"), F.expr("a.variant_id = b.variant_id AND a.sample_id < b.sample_id"))
+    both = pairs.select(F.col("a.sample_id").alias("iid1"), F.col("b.sample_id").alias("iid2"), F.col("a.d").alias("x"), F.col("b.d").alias("y"))
+    terms = {"n_variants": F.lit(1), "h": F.expr("x = 1 AND y = 1").cast("int"), "z": F.expr("abs(x - y) = 2").cast("int"), "hi": F.expr("x = 1").cast("int"), "hj": F.expr("y = 1").cast("int")}
+    sums = T.added(both, ["iid1", "iid2"], terms, T.most_cells(cells, "sample_id"))
+    m = F.least("hi", "hj")
+    sums = sums.where(m > 0).withColumn("kinship", (F.col("h") - 2 * F.col("z")) / (2 * m) + 0.5 - (F.col("hi") + F.col("hj")) / (4 * m))
+    return sums.where(F.col("kinship") >= t).select("n_variants", (F.col("h") / F.col("n_variants")).alias("hethet"), (F.col("z") / F.col("n_variants")).alias("ibs0"), "kinship", "iid1", "iid2")
+
+
 def kinship(genotypes: DataFrame | T.Tiles, t: float = fixed.KIN_TABLE_MIN, wide: int = 4, chunks: int | None = None) -> DataFrame:
     """Robust between-family kinship of all sample pairs at or above the table limit.
 
     phi = (hethet - 2 ibs0) / (2 m) + 1/2 - (het_i + het_j) / (4 m), m the smaller het count, over variants seen in both samples. Every super-block of
-    samples meets every other one in a cell of the grid; see `tiles.pair_sums`.
+    samples meets every other one in a cell of the grid; see `tiles.pair_sums`. Where few cells are observed, samples meet in the variants that both have.
     """
+    if not isinstance(genotypes, T.Tiles):
+        genotypes = cut(genotypes.select("variant_id", "sample_id", "dosage"))
+        if T.sparse(genotypes):
+            return _sparse_kinship(genotypes, t)
     packed = genotypes if isinstance(genotypes, T.Tiles) else T.pack(genotypes)
     grid = T.grid_of(packed.n_samples, wide)
 

@@ -147,6 +147,39 @@ def test_ld_pairs_of_neighbouring_super_blocks(spark):
     assert got == want and any(j - i > 256 for i, j in want)
 
 
+@pytest.fixture
+def few_cells(spark, monkeypatch):
+    """One cell in twenty is observed: tiles would be empty almost everywhere, so none may be packed."""
+    def fail(*_):
+        raise AssertionError("sparse cells were packed")
+
+    monkeypatch.setattr(V.T, "pack", fail)
+    r = np.random.default_rng(21)
+    d = r.binomial(2, r.uniform(0.2, 0.5, 500), (300, 500)).astype(float)
+    d[r.random(d.shape) > 0.05] = np.nan
+    return d, cells(spark, d)
+
+
+def test_kinship_of_few_cells(spark, few_cells):
+    d, g = few_cells
+    got = {(x["iid1"], x["iid2"]): (x["kinship"], x["n_variants"], x["hethet"]) for x in G.kinship(g, -0.3).collect()}
+    want = {}
+    for i, j in itertools.combinations(range(len(d)), 2):
+        ok = ~np.isnan(d[i]) & ~np.isnan(d[j])
+        a, b = d[i][ok], d[j][ok]
+        hi, hj, both, z = (a == 1).sum(), (b == 1).sum(), ((a == 1) & (b == 1)).sum(), (abs(a - b) == 2).sum()
+        if (m := min(hi, hj)) and (k := (both - 2 * z) / (2 * m) + 0.5 - (hi + hj) / (4 * m)) >= -0.3:
+            want[i, j] = k, ok.sum(), both / ok.sum()
+    assert set(got) == set(want) and want and all(np.isclose(got[k], want[k]).all() for k in want)
+
+
+def test_packed_sums_split_where_they_do_not_fit(spark):
+    rows = spark.range(40).selectExpr("id % 3 AS k", "id AS a", "2 * id AS b", "1 AS c", "id * id AS d")
+    terms = {n: F.col(n) for n in "abcd"}
+    one, other = (sorted(map(tuple, V.T.added(rows, ["k"], terms, most).collect())) for most in (1 << 20, 1 << 40))
+    assert one == other == sorted((k, sum(r := range(k, 40, 3)), 2 * sum(r), len(r), sum(x * x for x in r)) for k in range(3))
+
+
 def test_independent_set_does_not_depend_on_partitions(spark):
     r = np.random.default_rng(8)
     pairs = spark.createDataFrame([(int(a), int(b)) for a, b in r.integers(0, 400, (600, 2))], "iid1 long, iid2 long")
