@@ -120,12 +120,51 @@ def placed_tiles(genotypes: DataFrame, variants: DataFrame) -> T.Tiles:
     return T.pack(genotypes, variants.where(F.col("pos").isNotNull()).select(*order), order)
 
 
-def ld_pairs(genotypes: DataFrame | T.Tiles, variants: DataFrame | None, window: int, r2: float, wide: int = 4, chunks: int | None = None) -> DataFrame:
+def placed(genotypes: DataFrame, variants: DataFrame) -> T.Tiles | T.Cells:
+    """The variants in order of chromosome, position and id, as tiles or, where few cells are observed, as rows of cells."""
+    genotypes = cut(genotypes.select("variant_id", "sample_id", "dosage"))
+    if not T.sparse(genotypes):
+        return placed_tiles(genotypes, variants)
+    order = ("chrom", "pos", "variant_id")
+    v = T.numbered(variants.where(F.col("pos").isNotNull()).select(*order), *order)
+    at = v.join(F.broadcast(v.groupBy(F.col("chrom").alias("c_")).agg(F.min("idx").alias("c"))), F.expr("chrom <=> c_"))  # chromosomes
+    rows = genotypes.where(F.col("dosage").isNotNull()).join(sent_whole(cut(at.select("variant_id", "idx", "c"))), "variant_id")
+    return T.Cells(cut(rows.select("idx", "c", "sample_id", F.col("dosage").cast("tinyint").alias("dosage"))), v)
+
+
+def _minor(t: T.Tiles | T.Cells) -> DataFrame:
+    """idx and maf of every variant, 0 where nothing is observed."""
+    if isinstance(t, T.Tiles):
+        return T.variant_counts(t).select("idx", F.coalesce(L.minor_frequency("freq"), F.lit(0.0)).alias("maf"))
+    freq = t.rows.groupBy("idx").agg((F.sum("dosage") / (2 * F.count(F.lit(1)))).alias("freq"))
+    return t.variants.select("idx").join(freq, "idx", "left").select("idx", F.coalesce(L.minor_frequency("freq"), F.lit(0.0)).alias("maf"))
+
+
+def _cell_pairs(t: T.Cells, window: int, r2: float) -> DataFrame:
+    """i, j, n, r2 from pairs of observed cells of one sample and chromosome: stretches of `window` places meet themselves and the next."""
+    cell = t.rows.select("sample_id", "c", "idx", "dosage", F.floor(F.col("idx") / max(window, 1)).alias("stretch"))
+    a = cell.select("sample_id", "c", "stretch", F.col("idx").alias("i"), F.col("dosage").cast("long").alias("x"))
+    b = cell.select("sample_id", "c", F.explode(F.array("stretch", F.col("stretch") - 1)).alias("stretch"), F.col("idx").alias("j"), F.col("dosage").cast("long").alias("y"))
+    both = a.join(b, ["sample_id", "c", "stretch"]).where((F.col("j") > F.col("i")) & (F.col("j") - F.col("i") <= window))
+    x, y, n = F.col("x"), F.col("y"), F.col("n")
+    terms = {"n": F.lit(1), "sx": x, "sy": y, "sxx": x * x, "syy": y * y, "sxy": x * y}
+    both = both.select((F.col("i") * (window + 1) + F.col("j") - F.col("i")).alias("at"), "x", "y")
+    sums = T.added(both, ["at"], terms, 4 * T.most_cells(t.rows, "idx")).withColumn("i", F.floor(F.col("at") / (window + 1))).withColumn("j", F.col("i") + F.pmod("at", F.lit(window + 1)))
+    of = lambda a, b, ab: (n * F.col(ab) - F.col(a) * F.col(b)).cast("double")
+    sums = sums.where(n > 1).select("i", "j", "n", of("sx", "sy", "sxy").alias("cov"), of("sx", "sx", "sxx").alias("vx"), of("sy", "sy", "syy").alias("vy"))
+    cov = F.col("cov")
+    return sums.where("vx > 0 AND vy > 0").select("i", "j", "n", (cov * cov / (F.col("vx") * F.col("vy"))).alias("r2")).where(F.col("r2") > r2)
+
+
+def ld_pairs(genotypes: DataFrame | T.Tiles | T.Cells, variants: DataFrame | None, window: int, r2: float, wide: int = 4, chunks: int | None = None) -> DataFrame:
     """Variant pairs of one chromosome at most `window` places apart whose squared correlation is above the limit: variant_i, variant_j, i, j, n, r2.
 
-    Places are counted in order of position. A super-block of variants meets itself and the next ones as far as the window reaches.
+    Places are counted in order of position. A super-block of variants meets itself and the next ones as far as the window reaches. Where few cells
+    are observed, only variants that meet in a sample are paired at all.
     """
-    t = genotypes if isinstance(genotypes, T.Tiles) else placed_tiles(genotypes, variants)
+    t = placed(genotypes, variants) if isinstance(genotypes, DataFrame) else genotypes
+    if isinstance(t, T.Cells):
+        return _named_pairs(t, _cell_pairs(t, window, r2))
     grid = T.grid_of(t.n_variants, wide)
 
     def finish(i: np.ndarray, j: np.ndarray, sums: np.ndarray) -> dict:
@@ -138,12 +177,17 @@ def ld_pairs(genotypes: DataFrame | T.Tiles, variants: DataFrame | None, window:
 
     reach = -(-window // (grid.wide * T.TILE))
     pairs = T.pair_sums(t, "variants", grid, reach, 6, _ld_products, finish, "i long, j long, n long, r2 double", chunks)
+    return _named_pairs(t, pairs)
+
+
+def _named_pairs(t: T.Tiles | T.Cells, pairs: DataFrame) -> DataFrame:
+    """Ids and chromosome of the pairs' variants; those of two chromosomes go."""
     ids = sent_whole(cut(t.variants.select("idx", "variant_id", "chrom")))
     side = lambda x, c: ids.select(F.col("idx").alias(x), F.col("variant_id").alias(f"variant_{x}"), F.col("chrom").alias(c))
     return pairs.join(side("i", "c"), "i").join(side("j", "d"), "j").where("c <=> d").select("variant_i", "variant_j", "i", "j", F.col("c").alias("chrom"), "n", "r2")
 
 
-def ld_prune(genotypes: DataFrame, variants: DataFrame, window: int = 1000, step: int = 80, r2: float = 0.1, ranges: int = 64) -> DataFrame:
+def ld_prune(genotypes: DataFrame | T.Tiles | T.Cells, variants: DataFrame, window: int = 1000, step: int = 80, r2: float = 0.1, ranges: int = 64) -> DataFrame:
     """Variants left by a greedy pass over windows of `window` variants that move on by `step`.
 
     In each window, pairs of variants that are still there are looked at in order; if their squared correlation is above the limit the one with the smaller
@@ -152,8 +196,8 @@ def ld_prune(genotypes: DataFrame, variants: DataFrame, window: int = 1000, step
     something new run again, until nothing new is handed over. A range is right as soon as the one before it is, so the result is that of one pass from
     the first window to the last; in practice a border is forgotten after a few windows.
     """
-    t = placed_tiles(genotypes, variants)
-    freq = cut(T.variant_counts(t).select("idx", F.coalesce(L.minor_frequency("freq"), F.lit(0.0)).alias("maf")))
+    t = placed(genotypes, variants) if isinstance(genotypes, DataFrame) else genotypes
+    freq = cut(_minor(t))
     starts = t.variants.groupBy(F.col("chrom").alias("c")).agg(F.min("idx").alias("start"))  # chromosomes
     span = max(ranges, -(-window // step) + 1)
     pairs = ld_pairs(t, None, window - 1, r2).select("i", "j", "chrom")
@@ -177,7 +221,7 @@ def ld_prune(genotypes: DataFrame, variants: DataFrame, window: int = 1000, step
         return pd.DataFrame({"at": pairs_["at"].iloc[0], "next": pairs_["next"].iloc[0], "idx": sorted(gone)})
 
     schema = "at long, next long, idx long"
-    handed = t.tiles.sparkSession.createDataFrame([], "at long, idx long")
+    handed = variants.sparkSession.createDataFrame([], "at long, idx long")
     gone, todo = None, known
     while True:
         fresh = e.join(todo, "at", "left_semi").groupBy("at").cogroup(handed.groupBy("at")).applyInPandas(run, schema)

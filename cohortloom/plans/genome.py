@@ -129,9 +129,10 @@ def _(spark, sf):
 @query("V6_ld_prune_check", "SELECT CAST(0 AS BIGINT) AS n_pairs_left, CAST(0 AS BIGINT) AS n_needlessly_dropped")
 def _(spark, sf):
     """No correlated pair is left in a window, and every dropped variant had a correlated one beside it."""
-    g, v = roles.genotypes(spark, sf), roles.variants(spark, sf)
-    pairs = cut(V.ld_pairs(g, v, WINDOW - 1, R2))
-    first = V.placed_tiles(g, v).variants.groupBy("chrom").agg(F.min("idx").alias("start"))
+    v = roles.variants(spark, sf)
+    g = V.placed(roles.genotypes(spark, sf), v)
+    pairs = cut(V.ld_pairs(g, None, WINDOW - 1, R2))
+    first = g.variants.groupBy("chrom").agg(F.min("idx").alias("start"))
     k = F.greatest(F.lit(0), F.ceil((F.col("j") - F.col("start") - WINDOW + 1) / STEP))
     pairs = cut(pairs.join(F.broadcast(first), "chrom").where(F.col("start") + k * STEP <= F.col("i")).select("variant_i", "variant_j"))
     kept = cut(V.ld_prune(g, v, WINDOW, STEP, R2).select("variant_id"))

@@ -173,6 +173,22 @@ def test_kinship_of_few_cells(spark, few_cells):
     assert set(got) == set(want) and want and all(np.isclose(got[k], want[k]).all() for k in want)
 
 
+@pytest.mark.filterwarnings("ignore::RuntimeWarning")
+def test_pruning_of_few_cells(spark, few_cells):
+    d, g = few_cells
+    chroms = ["1" if j < 350 else "2" for j in range(500)]
+    v = spark.createDataFrame([(j, c, 1000 + j // 2) for j, c in enumerate(chroms)], "variant_id long, chrom string, pos long")
+    want = set()
+    for i, j in itertools.combinations(range(500), 2):
+        ok = ~np.isnan(d[:, i]) & ~np.isnan(d[:, j])
+        if chroms[i] == chroms[j] and j - i <= 29 and ok.sum() > 1 and np.corrcoef(d[ok, i], d[ok, j])[0, 1] ** 2 > 0.21:
+            want.add((i, j))
+    got = {(x["variant_i"], x["variant_j"]) for x in V.ld_pairs(g, v, 29, 0.21).collect()}
+    assert got == want and want
+    kept = {x["variant_id"] for x in V.ld_prune(g, v, 30, 11, 0.21, ranges=1).collect()}
+    assert kept == plain_prune(d, chroms, 30, 11, 0.21)
+
+
 def test_packed_sums_split_where_they_do_not_fit(spark):
     rows = spark.range(40).selectExpr("id % 3 AS k", "id AS a", "2 * id AS b", "1 AS c", "id * id AS d")
     terms = {n: F.col(n) for n in "abcd"}
