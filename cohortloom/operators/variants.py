@@ -368,18 +368,38 @@ def project_pcs(genotypes: DataFrame, loadings: DataFrame, k: int) -> DataFrame:
 
 
 # association --------------------------------------------------------------------------------------------------------------------
+def _cell_sums(cells: DataFrame, traits: DataFrame, names: list[str]) -> DataFrame:
+    """As `tiles.trait_sums`, one row per cell, added up before the shuffle."""
+    values = traits.select("sample_id", *[F.col(f"`{n}`").cast("double").alias(f"y{k}") for k, n in enumerate(names)])
+    g = F.col("dosage").cast("double")
+    parts = []
+    for k in range(len(names)):
+        y = F.when(~F.isnan(f"y{k}"), F.col(f"y{k}"))
+        there = F.when(y.isNotNull(), g)
+        parts.append({"n": F.count(y), "g": F.sum(there), "gg": F.sum(there * g), "s": F.sum(y), "yy": F.sum(y * y), "gy": F.sum(g * y)})
+    wide = cells.join(values, "sample_id").groupBy("variant_id").agg(*[c.alias(f"{n}{k}") for k, p in enumerate(parts) for n, c in p.items()])
+    rows = [F.struct(F.lit(k).alias("trait"), *[F.col(f"{n}{k}").alias(n) for n in p]) for k, p in enumerate(parts)]
+    return wide.select("variant_id", F.explode(F.array(*rows)).alias("r")).select("variant_id", "r.*").where(F.col("n") > 0)
+
+
 def associate(genotypes: DataFrame | T.Tiles, traits: DataFrame, names: list[str], with_p: bool = False, batch: int = 64) -> DataFrame:
     """Covariate-free regression of residual traits on every variant.
 
     `traits` is wide: sample_id and one column per name, null where missing. Genotypes are packed once; batches of at most `batch` traits, fewer where their values
-    could not be sent whole, are multiplied with the tiles. Any number of traits may be given.
+    could not be sent whole, are multiplied with the tiles. Where few cells are observed they stay rows. Any number of traits may be given.
     """
-    tiles = genotypes if isinstance(genotypes, T.Tiles) else T.pack(genotypes)
-    size = T.traits_at_once(tiles.n_samples, batch)
+    tiles, cells = genotypes, None
+    if not isinstance(genotypes, T.Tiles):
+        genotypes = cut(genotypes.select("variant_id", "sample_id", "dosage"))
+        if T.sparse(genotypes):
+            cells = genotypes.where(F.col("dosage").isNotNull())
+        else:
+            tiles = T.pack(genotypes)
+    size = min(batch, 8) if cells is not None else T.traits_at_once(tiles.n_samples, batch)
     t = None
     for at in range(0, len(names), size):
         some = names[at:at + size]
-        sums = T.trait_sums(tiles, traits, some).withColumn("pheno_id", F.element_at(F.array(*map(F.lit, some)), F.col("trait") + 1)).drop("trait")
+        sums = (T.trait_sums(tiles, traits, some) if cells is None else _cell_sums(cells, traits, some)).withColumn("pheno_id", F.element_at(F.array(*map(F.lit, some)), F.col("trait") + 1)).drop("trait")
         t = sums if t is None else t.unionByName(sums)
     n = F.col("n")
     t = t.withColumn("sxx", F.col("gg") - F.col("g") * F.col("g") / n).withColumn("sxy", F.col("gy") - F.col("g") * F.col("s") / n).withColumn("syy", F.col("yy") - F.col("s") * F.col("s") / n)

@@ -189,6 +189,19 @@ def test_pruning_of_few_cells(spark, few_cells):
     assert kept == plain_prune(d, chroms, 30, 11, 0.21)
 
 
+def test_association_of_few_cells(spark, few_cells):
+    d, g = few_cells
+    y = np.random.default_rng(4).normal(size=(300, 9))
+    y[::7, 1] = np.nan
+    names = [f"t {k}" for k in range(9)]
+    t = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in row]) for i, row in enumerate(y)], "sample_id long, " + ", ".join(f"`{n}` double" for n in names))
+    got = {(x["variant_id"], x["pheno_id"]): x for x in V.associate(g, t, names).collect()}
+    for j, k in itertools.product(range(0, 500, 50), range(9)):
+        ok = ~np.isnan(d[:, j]) & ~np.isnan(y[:, k])
+        row = got[j, names[k]]
+        assert row["n"] == ok.sum() and np.isclose(row["a1freq"], d[ok, j].mean() / 2) and np.isclose(row["beta"], np.polyfit(d[ok, j], y[ok, k], 1)[0])
+
+
 def test_packed_sums_split_where_they_do_not_fit(spark):
     rows = spark.range(40).selectExpr("id % 3 AS k", "id AS a", "2 * id AS b", "1 AS c", "id * id AS d")
     terms = {n: F.col(n) for n in "abcd"}
