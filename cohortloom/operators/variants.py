@@ -280,64 +280,91 @@ def _whitening(gram: np.ndarray, scale: float) -> np.ndarray:
     return vectors[:, some] / np.sqrt(values[some])
 
 
+DEGREE = 10  # of the polynomial of a round
+
+
 def fit_pcs(genotypes: DataFrame, k: int, tol: float = 1e-4, rounds: int = 60, seed: int = 7, spare: int = 14) -> tuple[DataFrame, DataFrame, list[float]]:
     """Leading components of the standardized dosages: loadings per variant (w1..wk and freq), scores per sample, eigenvalues.
 
-    A randomized range finder: a random block of k + spare vectors is multiplied by the matrix and its transpose again and again, and all blocks
-    together, kept orthonormal, are the range in which the components are sought. It ends when |Z Z'u - lambda u| <= tol * lambda for each of the k, and
-    raises if that is not so after `rounds` rounds. A round passes over the tiles twice; numbers per sample stay in tables, and
-    only cross products of the vectors reach the driver.
+    A random block of k + spare vectors over the samples is turned into the best components it holds, and, as long as these are not settled, run through a
+    Chebyshev polynomial of Z Z' that is small from 0 to the block's least eigenvalue and large above. It ends when |Z Z'u - lambda u| <= tol * lambda
+    for each of the k, and raises if that is not so after `rounds` rounds. Tables keep one block of vectors however many rounds there are; each
+    factor of the polynomial passes over the matrix, as tiles or, where few cells are observed, as rows of cells.
     """
     q = k + spare
-    tiles = T.pack(genotypes)
-    z = T.standardize(tiles)
-    samples = tiles.samples.select("idx", "sample_id")
+    genotypes = cut(genotypes.select("variant_id", "sample_id", "dosage"))
+    few = T.sparse(genotypes)
+    if few:
+        freq = cut(A.variant_freq(genotypes).select("variant_id", "freq"))
+        cells = cut(standardized_dosage(genotypes, freq))
+        matrix = T.sparse_rows(genotypes, cells)
+        samples = matrix.samples.select("idx", "sample_id")
+        product = lambda x, width: T.gram_times(matrix, x, width)
+    else:
+        tiles = T.pack(genotypes)
+        z = T.standardize(tiles)
+        samples = tiles.samples.select("idx", "sample_id")
+        product = lambda x, width: T.times(z, T.times(z, x, "samples", width), "variants", width)
+
+    def with_product(x: DataFrame, width: int, *keep: str) -> DataFrame:
+        """idx, y, what is kept, and h: what the matrix makes of y."""
+        made = product(x, width).withColumnRenamed("y", "h")
+        return x.join(made, "idx", "left").select("idx", "y", *keep, F.coalesce("h", F.array(*[F.lit(0.0)] * width)).alias("h"))
+
     noise = [F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "sample_id"), F.lit(2001)) / 1000.0 - 1.0 for i in range(q)]
-    start = cut(samples.select("idx", F.array(*noise).alias("y")))
-    first = _gram(start, ["y"], q)
-    white = _whitening(first, np.trace(first))
-    new = cut(_turned(start, ["y"], white, "y", ["idx"]))
-    state, sizes = None, []  # state: idx, a (the range so far), h (what the matrix makes of it)
+    block = cut(samples.select("idx", F.array(*noise).alias("y")))
     for _ in range(rounds):
-        width = white.shape[1]
-        made = T.times(z, T.times(z, new, "samples", width), "variants", width)
-        zero = F.array(*[F.lit(0.0)] * width)
-        both = new.join(made.withColumnRenamed("y", "h"), "idx", "left").select("idx", F.col("y").alias("a"), F.coalesce("h", zero).alias("h"))
-        before = state
-        if before is not None:
-            both = before.join(both.select("idx", F.col("a").alias("a2"), F.col("h").alias("h2")), "idx").select("idx", F.concat("a", "a2").alias("a"), F.concat("h", "h2").alias("h"))
-        state = cut(both)
-        uncut(before)
-        uncut(new)
-        sizes.append(width)
-        c = sum(sizes)
-        cross = _gram(state, ["a", "h"], 2 * c)
-        small, squares = (cross[:c, c:] + cross[:c, c:].T) / 2, cross[c:, c:]
+        cross = _gram(block, ["y"], q)
+        scale = 1 / np.sqrt(np.maximum(np.diag(cross), 1e-300))
+        white = scale[:, None] * _whitening(cross * np.outer(scale, scale), q)
+        q = white.shape[1]
+        even = cut(_turned(block, ["y"], white, "y", ["idx"]))
+        state = cut(with_product(even, q))
+        uncut(block)
+        uncut(even)
+        cross = _gram(state, ["y", "h"], 2 * q)
+        # a basis that was nearly dependent is not quite orthonormal: its own cross products are taken into account
+        own = _whitening(cross[:q, :q], q)
+        small, squares = own.T @ (cross[:q, q:] + cross[q:, :q]) @ own / 2, own.T @ cross[q:, q:] @ own
         values, vectors = np.linalg.eigh(small)
-        top = np.argsort(values)[::-1][:k]
-        lam, v = values[top], vectors[:, top]
+        values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
+        lam, v = values[:k], vectors[:, :k]
         left = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", v, squares, v) - lam**2, 0))
-        if len(top) == k and (left <= tol * np.maximum(lam, 1e-300)).all():
+        if (left <= tol * np.maximum(lam, 1e-300)).all():
             break
-        # what the last block was made into, less what the range holds, is the next block; taken off twice, as once is not exact
-        last = np.zeros((2 * c, width))
-        last[2 * c - width:] = np.eye(width)
-        last[:c] -= cross[:c, 2 * c - width:]
-        rest = cut(state.join(_turned(state, ["a", "h"], last, "y", ["idx"]), "idx"))
-        cross2 = _gram(rest, ["a", "y"], c + width)
-        over = cross2[:c, c:]
-        white = _whitening(cross2[c:, c:] - over.T @ over, np.trace(cross[2 * c - width:, 2 * c - width:]))
-        if not white.shape[1]:
-            break  # the range holds all there is
-        new = cut(_turned(rest, ["a", "y"], np.vstack([-over, np.eye(width)]) @ white, "y", ["idx"]))
-        uncut(rest)
+        q = own.shape[1]
+        turn = np.kron(np.eye(2), own @ vectors)
+        both = cut(_turned(state, ["y", "h"], turn, "both", ["idx"]))
+        uncut(state)
+        # on [0, low] the polynomial stays below its value at the largest eigenvalue, to which it is scaled
+        half = max(values[-1], 1e-8 * values[0]) / 2
+        sigma = first = half / (values[0] - half)
+        now = cut(both.select("idx", F.slice("both", 1, q).alias("before"), F.slice("both", q + 1, q).alias("h")))
+        uncut(both)
+        eye = np.eye(q)
+        block = cut(_turned(now, ["before", "h"], np.vstack([-first * eye, first / half * eye]), "y", ["idx", "before"]))
+        uncut(now)
+        for _ in range(DEGREE - 1):
+            after = 1 / (2 / first - sigma)
+            last, three = block, cut(with_product(block, q, "before"))
+            step = np.vstack([-2 * after * eye, 2 * after / half * eye, -sigma * after * eye])
+            block = cut(_turned(three, ["y", "h", "before"], step, "next", ["idx", "y"]).select("idx", F.col("y").alias("before"), F.col("next").alias("y")))
+            uncut(last)
+            uncut(three)
+            sigma = after
     else:
         raise ValueError(f"components did not settle in {rounds} rounds: residuals {left / np.maximum(lam, 1e-300)}")
-    sign = np.sign(v[np.abs(v).argmax(axis=0), range(len(top))])
-    u = cut(_turned(state, ["a"], v * sign, "y", ["idx"]))
-    made = T.times(z, u, "samples", len(top))
-    loadings = made.join(z.freq, "idx").select("variant_id", "freq", *[(F.get("y", F.lit(i)) / F.lit(float(np.sqrt(max(x, 1e-300))))).alias(f"w{i + 1}") for i, x in enumerate(lam)])
-    scores = u.join(samples, "idx").select("sample_id", *[F.get("y", F.lit(i)).alias(f"pc{i + 1}") for i in range(len(top))])
+    v = own @ v
+    sign = np.sign(v[np.abs(v).argmax(axis=0), range(len(lam))])
+    u = cut(_turned(state, ["y"], v * sign, "y", ["idx"]))
+    scores = u.join(samples, "idx").select("sample_id", *[F.get("y", F.lit(i)).alias(f"pc{i + 1}") for i in range(len(lam))])
+    root = [F.lit(float(np.sqrt(max(x, 1e-300)))) for x in lam]
+    if few:
+        sums = cells.join(scores, "sample_id").groupBy("variant_id").agg(*[F.sum(F.col("z") * F.col(f"pc{i + 1}")).alias(f"s{i}") for i in range(len(lam))])
+        loadings = freq.join(sums, "variant_id", "left").select("variant_id", "freq", *[(F.coalesce(f"s{i}", F.lit(0.0)) / x).alias(f"w{i + 1}") for i, x in enumerate(root)])
+    else:
+        made = T.times(z, u, "samples", len(lam))
+        loadings = made.join(z.freq, "idx").select("variant_id", "freq", *[(F.get("y", F.lit(i)) / x).alias(f"w{i + 1}") for i, x in enumerate(root)])
     return loadings, scores, [float(x) for x in lam]
 
 

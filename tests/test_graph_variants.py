@@ -284,3 +284,31 @@ def test_null_missingness_rule(spark):
     step = lambda flag: {r["variant_id"]: r["failed_step"] for r in V.variant_ladder(v, ref, 0.03, 0.01, 0.05, flag).collect()}
     assert step(True) == {1: "missingness", 2: "missingness", 3: "frequency_difference", 4: "alignment"}
     assert step(False)[1] is None
+
+
+def test_components_of_few_cells(spark, few_cells):
+    d, g = few_cells
+    loads, scores, eigen = V.fit_pcs(g, 2)
+    f = np.nanmean(d, axis=0) / 2
+    z = np.nan_to_num((d - 2 * f) / np.sqrt(2 * f * (1 - f)), posinf=0.0, neginf=0.0)
+    u, s, vt = np.linalg.svd(z, full_matrices=False)
+    assert np.allclose(eigen, s[:2] ** 2, rtol=1e-6)
+    got = scores.toPandas().sort_values("sample_id")[["pc1", "pc2"]].to_numpy()
+    w = loads.toPandas().sort_values("variant_id")[["w1", "w2"]].to_numpy()
+    for k in range(2):
+        assert abs(got[:, k] @ u[:, k]) > 0.999 and abs(w[:, k] @ vt[k]) > 0.999
+
+
+@pytest.mark.parametrize("bytes_", [300 * 8 * 2, 1 << 20])
+def test_product_of_few_cells(spark, few_cells, monkeypatch, bytes_):
+    """Rows end between variants, and columns are sent in batches."""
+    monkeypatch.setattr(V.T, "CELLS", 64)
+    monkeypatch.setattr(V.T, "LIST_BYTES", bytes_)
+    d, g = few_cells
+    z = np.nan_to_num(d)
+    cells_ = g.where("dosage > 0").select("variant_id", "sample_id", F.col("dosage").cast("double").alias("z"))
+    t = V.T.sparse_rows(g, cells_)
+    x = np.random.default_rng(3).normal(size=(t.n_samples, 5))
+    rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "idx long, y array<double>")
+    got = np.array([r.y for r in V.T.gram_times(t, rows, 5).orderBy("idx").collect()])
+    assert t.n_samples == 300 and np.allclose(got, z @ (z.T @ x))
