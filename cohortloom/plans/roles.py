@@ -106,6 +106,17 @@ role("traits", """SELECT o_orderpriority AS pheno_id, o_custkey AS iid, round(av
  CAST(20 + o_custkey % 60 AS DOUBLE) AS age FROM orders GROUP BY o_orderpriority, o_custkey""")
 
 
+def exact_traits(spark, sf):
+    """As `traits`, by whole cents: halves are rounded away from zero, in whatever order the prices are added."""
+    o = table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("pheno_id"), F.col("o_custkey").alias("iid"))
+    s = o.agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("s"), F.nullif(F.count("o_totalprice"), F.lit(0)).alias("n"))
+    return s.select("pheno_id", "iid", F.expr("sign(s) * ((2 * abs(s) + 1000 * n) div (2000 * n)) / 100.0D").alias("y"))
+
+
+role("exact_traits", """SELECT pheno_id, iid, sign(s) * ((2 * abs(s) + 1000 * n) // (2000 * n)) / CAST(100.0 AS DOUBLE) AS y FROM (SELECT o_orderpriority AS pheno_id, o_custkey AS iid,
+ CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS s, nullif(count(o_totalprice), 0) AS n FROM orders GROUP BY o_orderpriority, o_custkey)""")
+
+
 # measurements and wearables ------------------------------------------------------------------------------------------------
 def measures(spark, sf):
     x = table(spark, sf, "lineitem")

@@ -97,11 +97,11 @@ def _(spark, sf):
     return S.residualize(d, ["pheno_id"], "y", cols).select("pheno_id", "iid", r("resid", 5).alias("resid"))
 
 
-@query("T4_eligibility", sql("traits single", """SELECT pheno_id, n, cases, controls, levels, CASE WHEN n < 100 THEN 'too_few_rows' WHEN levels < 3 THEN 'too_few_levels' END AS skip_reason FROM
- (SELECT pheno_id, count(*) AS n, count(*) FILTER (y = 1) AS cases, count(*) FILTER (y = 0) AS controls, count(DISTINCT y) AS levels FROM (SELECT pheno_id, y FROM traits UNION ALL SELECT qid, y FROM single UNION ALL SELECT 'flag', (y > 2)::INT::DOUBLE FROM single) GROUP BY pheno_id)"""))
+@query("T4_eligibility", sql("exact_traits single", """SELECT pheno_id, n, cases, controls, levels, CASE WHEN n < 100 THEN 'too_few_rows' WHEN levels < 3 THEN 'too_few_levels' END AS skip_reason FROM
+ (SELECT pheno_id, count(*) AS n, count(*) FILTER (y = 1) AS cases, count(*) FILTER (y = 0) AS controls, count(DISTINCT y) AS levels FROM (SELECT pheno_id, y FROM exact_traits UNION ALL SELECT qid, y FROM single UNION ALL SELECT 'flag', (y > 2)::INT::DOUBLE FROM single) GROUP BY pheno_id)"""))
 def _(spark, sf):
     s = roles.single(spark, sf)
-    v = roles.traits(spark, sf).select("pheno_id", "y").unionByName(s.select(F.col("qid").alias("pheno_id"), "y")).unionByName(s.select(F.lit("flag").alias("pheno_id"), (F.col("y") > 2).cast("double").alias("y")))
+    v = roles.exact_traits(spark, sf).select("pheno_id", "y").unionByName(s.select(F.col("qid").alias("pheno_id"), "y")).unionByName(s.select(F.lit("flag").alias("pheno_id"), (F.col("y") > 2).cast("double").alias("y")))
     return S.eligible(A.eligibility_counts(v), "quant", min_n=100)
 
 

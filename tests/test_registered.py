@@ -1,12 +1,13 @@
 """A cross-section of the registered queries against DuckDB on the smallest data, and the shape of the registry."""
 
+import itertools
 import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
-from cohortloom.plans import catalog
+from cohortloom.plans import catalog, roles
 from tools import check
 
 SF = "/root/testdata/sf0.001"
@@ -83,3 +84,15 @@ def test_checked_inputs_fail(spark):
         joins.validated_join(df, df, ["k"])
     with pytest.raises(ValueError):
         tables.require_columns(df, ["missing"])
+
+
+def test_trait_means_on_a_half_do_not_depend_on_the_order_of_orders(spark, tmp_path):
+    prices = [1000.10, 2000.20, 3014.70]  # 2.005 thousand on average
+    orders = [(k, "1-URGENT", p) for k, some in enumerate(itertools.permutations(prices)) for p in some] + [(9, "1-URGENT", 264715.0), (10, "1-URGENT", -2005.0), (11, "1-URGENT", None)]
+    spark.createDataFrame(orders, "o_custkey long, o_orderpriority string, o_totalprice double").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    want = {**{k: 2.01 for k in range(6)}, 9: 264.72, 10: -2.01, 11: None}
+    assert {r.iid: r.y for r in roles.exact_traits(spark, str(tmp_path)).collect()} == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    assert dict(con.execute(roles.sql("exact_traits", "SELECT iid, y FROM exact_traits")).fetchall()) == want
+    assert "exact_traits" in catalog.ORACLES["T4_eligibility"]
