@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions import text as T
+from ..session import cut, sent_whole
 from .responses import union_all
 
 
@@ -66,8 +67,8 @@ def collapse_complement(answers: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def numeric_trait(single: DataFrame, ranges: DataFrame, integer: bool = False) -> DataFrame:
-    """Numeric answers inside the question's range (no range: any number)."""
-    j = single.join(ranges.select("qid", "lo", "hi"), "qid")
+    """Numeric answers inside the question's range (no range: any number). The ranges are measured and sent whole if they are small: a few questions would be a few hot keys."""
+    j = single.join(sent_whole(cut(ranges.select("qid", "lo", "hi"))), "qid")
     v = T.parse_number("answer", integer=integer, strict=False)
     ok = (F.col("lo").isNull() | F.col("hi").isNull()) | v.between(F.col("lo"), F.col("hi"))
     return j.withColumn("y", v).where(ok & F.col("y").isNotNull()).select(F.concat_ws("_", F.lit("num"), "qid").alias("pheno_id"), F.col("pid").alias("iid"), "y", "age")

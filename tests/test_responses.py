@@ -209,3 +209,11 @@ def test_checkbox_statuses_and_provenance(spark):
         "two": ("scored", 2.0, 2), "twice": ("scored", 1.0, 2), "none": ("scored", 0.0, 2), "both": ("contradiction", None, 2), "unknown concept": ("invalid", None, 0), "clash": ("invalid", None, 0), "vague with concept": ("invalid", None, 0),
         "vague": ("missing", None, 0), "unheard": ("missing", None, 0), "declined": ("missing", None, 0), "other": ("missing", None, 0)}
     assert (got["two"].source_surveys, got["two"].source_event, got["other"].source_surveys) == ("r|s", "q:5", "")
+
+
+def test_numeric_answers_are_not_dealt_by_their_few_questions(spark):
+    single = spark.range(200).selectExpr("id AS pid", "CASE WHEN id % 2 = 0 THEN 'a' ELSE 'b' END AS qid", "cast(id AS string) AS answer", "30.0D AS age")
+    ranges = spark.createDataFrame([("a", 10.0, 20.0), ("b", None, None)], "qid string, lo double, hi double")
+    out = B.numeric_trait(single, ranges, integer=True)
+    assert "Exchange hashpartitioning" not in out._jdf.queryExecution().toString()
+    assert sorted((r.pheno_id, r.iid, r.y) for r in out.collect()) == sorted([("num_a", i, float(i)) for i in range(10, 21, 2)] + [("num_b", i, float(i)) for i in range(1, 200, 2)])
