@@ -71,6 +71,32 @@ def test_shingle_classes(make, corpus, rare, pair_size):
     assert got == brute_classes(dict(enumerate(texts)))
 
 
+def test_texts_that_share_a_frequent_passage_are_not_paired(make, monkeypatch):
+    """Two thirds of each text are one passage: its tokens are frequent wherever their hashes lie."""
+    passage = " ".join(f"p{k}" for k in range(100))
+    texts = [" ".join(f"own{i}x{k}" for k in range(45)) + " " + passage for i in range(150)]
+    made, pairs = [], ngram_join._pairs
+    monkeypatch.setattr(ngram_join, "_pairs", lambda found: made.append(found.count()) or pairs(found))
+    got = {row.doc_id: (row.n_shingles, row.component_id) for row in ngram_join.classes(make(rows_of(texts))).collect()}
+    assert got == {i: (141, i) for i in range(len(texts))}
+    assert sum(made) <= 2 * len(texts)
+
+
+def test_parities_lose_no_link(make, monkeypatch):
+    """Edited copies around the threshold, apart after the first round."""
+    monkeypatch.setattr(ngram_join, "FEW", 1)
+    r = random.Random(11)
+    base = [f"b{k}" for k in range(140)]
+    texts = []
+    for i in range(60):
+        words = list(base)
+        for k in r.sample(range(140), r.randrange(2, 9)):
+            words[k] = f"e{i % 7}x{k}"
+        texts.append(" ".join(words))
+    got = {row.doc_id: (row.n_shingles, row.component_id) for row in ngram_join.classes(make(rows_of(texts))).collect()}
+    assert got == brute_classes(dict(enumerate(texts)))
+
+
 def test_one_per_class(make, corpus):
     rows = rows_of(corpus) + rows_of([corpus[0]])  # a repeated row
     docs = make(rows)
