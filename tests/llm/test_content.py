@@ -71,6 +71,28 @@ def test_shingle_classes(make, corpus, rare, pair_size):
     assert got == brute_classes(dict(enumerate(texts)))
 
 
+def test_texts_are_parsed_once_for_blocks_and_once_for_windows(spark, make, monkeypatch):
+    r = random.Random(4)
+    own = lambda: "".join(r.choice("abcdefghij ") for _ in range(500))
+    passage = own() + own()
+    docs = make(rows_of([own() + passage + own() for _ in range(12)]))
+    parsed, picked = [], suffix_dedup._picked
+
+    def counted(docs, mixed, size, names, rows_of):
+        calls = spark.sparkContext.accumulator(0)
+        parsed.append(calls)
+
+        def rows(*args):
+            calls.add(1)
+            yield from rows_of(*args)
+
+        return picked(docs, mixed, size, names, rows)
+
+    monkeypatch.setattr(suffix_dedup, "_picked", counted)
+    assert all(x.n_removed >= 1000 for x in suffix_dedup.deduplicate(docs, size=400).collect())
+    assert [x.value for x in parsed] == [12, 12]
+
+
 def test_texts_that_share_a_frequent_passage_are_not_paired(make, monkeypatch):
     """Two thirds of each text are one passage: its tokens are frequent wherever their hashes lie."""
     passage = " ".join(f"p{k}" for k in range(100))
