@@ -8,8 +8,8 @@ and `part-N.idx`, one (offset, length) pair per record, from which readers fetch
 and its payload is the id's presence byte, the id (i64), the width of a token (2 or 4 bytes) and the tokens, the end id last. Files are written
 under an attempt's own name and renamed when complete: a lost task leaves nothing that is read, a repeated one writes the same bytes.
 
-Texts are cut where white space follows other characters, which a byte-level pre-tokenizer never joins, and each distinct piece goes
-through the tokenizer once per worker; texts with one of the tokenizer's added tokens, and tokenizers of other kinds, take the plain way.
+Texts are cut where ASCII white space follows other characters, which a byte-level pre-tokenizer never joins, and each distinct piece (told
+apart by a 64-bit hash of its bytes and length) goes through the tokenizer once per worker; ids are put together by whole arrays; texts with one of the tokenizer's added tokens, and tokenizers of other kinds, take the plain way.
 
 Defined cases: a null text is empty and yields the end id alone; null ids sort first; rows with the same id are ordered by a hash of the
 text, so that a frequent id is spread over parts; an empty table gives an empty result; other columns are ignored.
@@ -18,33 +18,47 @@ text, so that a frequent id is spread over parts; an empty table gives an empty
 from __future__ import annotations
 
 import json
-import re
+import os
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, scratch_path
+from . import arrays
 from .common import text_key
 
-#: Unicode white space, and the mask of the framing's checksums.
-_WHITE = "\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PIECE = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
+#: UTF-8 of white space beyond ASCII, and the mask of the framing's checksums.
+_WIDE = [int.from_bytes(chr(c).encode()) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 MASK_DELTA = 0xA282EAD8
 HEAD = "<BqB"
 CACHE = 1_000_000  # pieces a worker remembers before it starts anew
 
 
+def starts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the pieces of the texts begin: at each text that is not empty, and at ASCII white space after anything but white space."""
+    space = arrays.SPACE[raw]
+    begin = space & ~np.append(False, space[:-1])
+    p = np.flatnonzero(begin[1:]) + 1
+    wide = p[raw[p - 1] >= 0x80]
+    last = [raw[np.maximum(wide - k, 0)].astype(np.int64) for k in (1, 2, 3)]
+    white = np.isin(last[1] << 8 | last[0], _WIDE) | np.isin(last[2] << 16 | last[1] << 8 | last[0], _WIDE)
+    begin[wide[white]] = False
+    begin[0:1] = False
+    begin[at[:-1][at[:-1] < at[1:]]] = True
+    return np.flatnonzero(begin)
+
+
 def masked(data: bytes) -> int:
     c = zlib.crc32(data)
     return ((c >> 15 | c << 17) + MASK_DELTA) & 0xFFFFFFFF
@@ -70,9 +84,10 @@ def unframe(stream) -> bytes | None:
 
 
 class Encoder:
-    """Texts to little-endian 32-bit ids."""
+    """Texts to ids."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks fill the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -80,21 +95,55 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.by_piece = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
         self.added = [x["content"] for x in spec.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.at, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        """Adds pieces by their sorted keys."""
+        ids = self._ids(pieces)
+        size = np.array([len(x) for x in ids], np.int64)
+        place = np.searchsorted(self.known, keys)
+        self.at = np.insert(self.at, place, len(self.pool) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, place, size)
+        self.known = np.insert(self.known, place, keys)
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), "<u4", int(size.sum()))])
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        return [x.tobytes() for x in self.encode_column(pa.array(texts, pa.string()))]
+
+    def encode_column(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; null texts are empty."""
         if not self.by_piece:
-            return self._ids(texts)
+            return [np.array(x, "<u4") for x in self._ids([t or "" for t in column.to_pylist()])]
+        raw, at = arrays.texts(column)
+        raw, at = raw[at[0]:at[-1]], at - at[0]
+        start = starts(raw, at)
+        end = np.append(start[1:], len(raw))
+        key, first, of = np.unique(arrays.mixed(arrays.stretch(arrays.sums(raw), start, end) + (end - start).astype(np.uint64)), return_index=True, return_inverse=True)
         if len(self.known) > CACHE:
-            self.known.clear()
-        cut = [None if any(a in t for a in self.added) else PIECE.findall(t) for t in texts]
-        new = list(set(chain.from_iterable(filter(None, cut))) - self.known.keys())
-        self.known.update(zip(new, self._ids(new)))
-        look = self.known.__getitem__
-        return [self._ids([t])[0] if pieces is None else b"".join(map(look, pieces)) for t, pieces in zip(texts, cut)]
+            self._forget()
+        place = np.searchsorted(self.known, key)
+        there = place < len(self.known)
+        there[there] = self.known[place[there]] == key[there]
+        new = np.flatnonzero(~there)
+        if len(new):
+            self._learn(key[new], [raw[a:b].tobytes().decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+        place = np.searchsorted(self.known, key)[of]
+        size = self.size[place]
+        total = np.append(0, np.cumsum(size))
+        ids = self.pool[np.repeat(self.at[place] - total[:-1], size) + np.arange(total[-1])]
+        edge = total[np.searchsorted(start, at)]
+        out = [ids[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
+        for a in self.added:
+            for k in np.flatnonzero(pc.match_substring(column, a).fill_null(False).to_numpy(zero_copy_only=False)).tolist():
+                out[k] = np.array(self._ids([column[k].as_py()])[0], "<u4")
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -128,13 +177,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, parts:
         offset = records = tokens = 0
         with store.open_output_stream(f"{own}.rec") as rec, store.open_output_stream(f"{own}.idx") as idx:
             for b in batches:
-                for k in range(0, b.num_rows, 200):
-                    piece = b.slice(k, 200)
-                    for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder(tokenizer).encode([t or "" for t in piece.column("text").to_pylist()])):
-                        data = frame(pack(doc_id, ids + end))
+                for k in range(0, b.num_rows, 500):
+                    piece = b.slice(k, 500)
+                    for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder(tokenizer).encode_column(piece.column("text"))):
+                        data = frame(pack(doc_id, ids.tobytes() + end))
                         rec.write(data)
                         idx.write(struct.pack("<QQ", offset, len(data)))
-                        offset, records, tokens = offset + len(data), records + 1, tokens + len(ids) // 4 + 1
+                        offset, records, tokens = offset + len(data), records + 1, tokens + len(ids) + 1
         for kind in ("rec", "idx"):
             store.move(f"{own}.{kind}", f"{name}.{kind}")
         yield pa.RecordBatch.from_pydict({"part": [part], "n_records": [records], "n_tokens": [tokens]}, pa.schema([("part", pa.int32()), ("n_records", pa.int64()), ("n_tokens", pa.int64())]))

@@ -1,5 +1,6 @@
 """Sharding, mixing and token records."""
 
+import os
 import random
 import zlib
 
@@ -137,6 +138,24 @@ def test_pieces_encode_as_the_whole():
         assert e.encode([x])[0] == np.array(e.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_columns_encode_by_pieces_once():
+    import pyarrow as pa
+
+    P = pytest.importorskip("public_tokenizers")
+    pytest.importorskip("tokenizers")
+    e = records.Encoder(P.path("byte_bpe_50k.json"))
+    asked, plain = [], e._ids
+    e._ids = lambda texts: asked.extend(texts) or plain(texts)
+    r = random.Random(2)
+    signs = [" ", "  ", "\n", "\x85", "\u2003", "\u3000", "ab", "ab", "é", "'s", "…", "7"]
+    texts = [None, "", " ", *["".join(r.choice(signs) for _ in range(r.randint(0, 20))) for _ in range(2000)]]
+    column = pa.array(texts, pa.string())
+    for part in (column.slice(0, 700), column.slice(700), column.slice(5, 0), column):
+        assert [x.tolist() for x in e.encode_column(part)] == plain([t or "" for t in part.to_pylist()])
+    assert len(asked) == len(set(asked))
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"  # threads of each task's own would fight for the task's core
+
+
 def test_damage_is_seen():
     import io
 
