@@ -309,6 +309,23 @@ def test_excluded_documents_change_no_other_score(make, corpus):
     assert all((one[i].score, one[i].base_score) == pytest.approx((other[i].score, other[i].base_score)) for i in one if i % 5 != 1)
 
 
+def test_batches_of_long_texts_are_bounded(spark, make, corpus):
+    """Texts reach Python tasks in batches bounded by bytes, however few rows these are."""
+    import pyarrow as pa
+
+    from cohortloom.session import BATCH_BYTES
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"size": [b.nbytes]})
+
+    for operator in (suffix_dedup.deduplicate, ngram_join.classes):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        operator(make(rows_of(corpus[:20]))).count()
+        long = spark.range(0, 300, 1, 1).selectExpr("repeat('x', 50000) AS text")
+        assert 0 < max(r["size"] for r in long.mapInArrow(sizes, "size long").collect()) <= BATCH_BYTES + 60_000
+
+
 def test_language_model(make, corpus):
     texts = corpus + corpus[:40]
     docs = make(rows_of(texts) + [(None, "the of and", None, None, 0, 0, "", "", 0, 0, 0, "")])
