@@ -5,9 +5,10 @@ A token's probability mixes three maximum-likelihood estimates: after its predec
 one set per bucket, and are learned by expectation-maximisation on held-out counts: a fifth of the training documents is deleted from the counts while
 the weights are learned on it, and is counted again in the model. Documents that are not for training set nothing.
 
-All words and all pairs of words are counted, over all training documents. Words with at least `heavy` of the tokens (at most 1 / heavy of them
-can be) and pairs with at least `pair_share` (at most 1 / pair_share) go to every task as sorted arrays. All others stay tables: tokens that
-need one of them leave their task as (row, pair, count) rows, added up by row and pair, and are joined by shuffle. No single key of these joins
+All words and all pairs of words are counted, over all training documents. The most frequent words (WORDS of them at most, or those with at least `heavy`
+of the tokens) and pairs with at least `pair_share` (at most 1 / pair_share) go to every task as sorted arrays. All others stay tables: tokens that
+need one of them leave their task as (row, pair, count) rows, added up by row and pair, and are joined by shuffle, in SHARES passes by the pair's hash,
+each of which drops its shuffle files before the next. No single key of these joins
 holds more than those shares of the training tokens. Each predecessor's pair counts add up to its own count but for the batches' edges.
 
 Rows are numbered in each of the passes over the documents, which must therefore be a table read from files.
@@ -20,16 +21,19 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import bounded_batches, cut, uncut
 from . import arrays
 
 BUCKETS = 8
+SHARES = 4  # passes over the pairs that are joined, by hash: a power of two
+WORDS = 1 << 20  # words that go to every task at most
 _END = np.uint64(0x243F6A8885A308D3)
 
 
@@ -116,31 +120,34 @@ class Model:
         return c, prev, self.pairs.find(pair(before(tok), tok))
 
 
-def grouped(row: np.ndarray, tok: np.ndarray, c: np.ndarray, prev: np.ndarray, both: np.ndarray, keep: np.ndarray) -> list:
-    """Rows and columns word, ahead, two, c, prev, both, n of the kept tokens, added up by row and pair; keys are null where the count is at hand."""
-    ahead, two = before(tok), pair(before(tok), tok)
-    at = np.flatnonzero(keep)
-    _, first, n = np.unique(arrays.mixed(two[at] ^ arrays.mixed(row[at].astype(np.uint64) + np.uint64(1))), return_index=True, return_counts=True)
-    at = at[first]
+def grouped(row: np.ndarray, tok: np.ndarray, ahead: np.ndarray, two: np.ndarray, c: np.ndarray, prev: np.ndarray) -> list:
+    """Rows and columns word, ahead, two, c, prev, n, added up by row and pair; words are null where the count is at hand."""
+    _, at, n = np.unique(arrays.mixed(two ^ arrays.mixed(row.astype(np.uint64) + np.uint64(1))), return_index=True, return_counts=True)
     key = lambda k, known: pa.array(k[at].view(np.int64), mask=known[at] > 0)
-    return [row[at], key(tok, c), key(ahead, prev), key(two, both), *[pa.array(x[at].astype(np.int64)) for x in (c, prev, both)], pa.array(n.astype(np.int64))]
+    return [row[at], key(tok, c), key(ahead, prev), pa.array(two[at].view(np.int64)), pa.array(c[at].astype(np.int64)), pa.array(prev[at].astype(np.int64)), pa.array(n.astype(np.int64))]
 
 
-GROUPED = "word long, ahead long, two long, c long, prev long, both long, n long"
+GROUPED = "word long, ahead long, two long, c long, prev long, n long"
 
 
-def open_tokens(docs: DataFrame, spread, rows: bool) -> tuple[DataFrame, DataFrame]:
-    """GROUPED, with row_id if `rows`: tokens whose words are at hand, and all others. With `rows`, tokens with all counts at hand are left out."""
+def open_tokens(docs: DataFrame, spread, rows: bool, share: int) -> tuple[DataFrame, DataFrame]:
+    """GROUPED, with row_id if `rows`, of one share of the pairs that are not at hand: tokens whose words are at hand, and all others."""
     names = (["row_id"] if rows else []) + [x.split()[0] for x in GROUPED.split(", ")]
 
     def part(tail: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = spread.value
             for b in _pieces(batches):
                 tok, n = tokens(b.column("text"))
-                c, prev, both = spread.value.look_up(tok)
-                row = np.repeat(np.arange(len(n)), n) if rows else np.zeros(len(tok), np.int64)
+                ahead = before(tok)
+                two = pair(ahead, tok)
+                at = np.flatnonzero(two & np.uint64(SHARES - 1) == np.uint64(share))
+                row = np.repeat(np.arange(len(n)), n)[at] if rows else np.zeros(len(at), np.int64)
+                tok, ahead, two = tok[at], ahead[at], two[at]
+                c, prev = m.words.find(tok), m.words.find(ahead)
                 rare = (c == 0) | (prev == 0)
-                row, *cols = grouped(row, tok, c, prev, both, rare if tail else ~rare & ((both == 0) | (not rows)))
+                keep = np.flatnonzero(rare if tail else ~rare & ((m.pairs.find(two) == 0) | (not rows)))
+                row, *cols = grouped(*[x[keep] for x in (row, tok, ahead, two, c, prev)])
                 yield pa.RecordBatch.from_arrays(([b.column("row_id").take(pa.array(row))] if rows else []) + cols, names=names)
 
         return docs.select(*(["row_id"] if rows else []), "text").mapInArrow(run, ("row_id long, " if rows else "") + GROUPED)
@@ -148,17 +155,18 @@ def open_tokens(docs: DataFrame, spread, rows: bool) -> tuple[DataFrame, DataFra
     return part(False), part(True)
 
 
-def resolved(docs: DataFrame, spread, unigrams: DataFrame, pairs: DataFrame, rows: bool) -> DataFrame:
-    """open_tokens with all counts. A key that is not asked for is replaced by another, which spreads its rows; its match is not used."""
-    def fill(t: DataFrame, key: str, others: tuple[str, str], column: str, table: DataFrame) -> DataFrame:
-        known = table.select(F.col("key").alias("k"), F.col("c").alias("found"))
+def resolved(docs: DataFrame, spread, unigrams: DataFrame, pairs: DataFrame, rows: bool, share: int) -> DataFrame:
+    """open_tokens with all counts. A word that is not asked for is replaced by its pair, which spreads the rows; its match is not used."""
+    def fill(t: DataFrame, key: str, column: str) -> DataFrame:
+        known = unigrams.select(F.col("key").alias("k"), F.col("c").alias("found"))
         filled = F.when(F.col(key).isNull(), F.col(column)).otherwise(F.coalesce("found", F.lit(0)))
-        return t.withColumn("at", F.coalesce(key, *others)).join(known, F.col("at") == F.col("k"), "left").withColumn(column, filled).drop("at", "k", "found")
+        return t.withColumn("at", F.coalesce(key, "two")).join(known, F.col("at") == F.col("k"), "left").withColumn(column, filled).drop("at", "k", "found")
 
-    near, tail = open_tokens(docs, spread, rows)
-    tail = fill(fill(tail, "word", ("two", "ahead"), "c", unigrams), "ahead", ("two", "word"), "prev", unigrams)
-    every = near.unionByName(tail)
-    return fill(every.withColumn("row", F.monotonically_increasing_id()), "two", ("word", "row"), "both", pairs).drop("row")
+    near, tail = open_tokens(docs, spread, rows, share)
+    narrow = [*(["row_id"] if rows else []), "word", "two", "c", "prev", "n"]
+    every = near.select(narrow).unionByName(fill(fill(tail, "word", "c"), "ahead", "prev").select(narrow))
+    known = pairs.where(F.col("key").bitwiseAND(F.lit(SHARES - 1)) == share).select(F.col("key").alias("two"), F.col("c").alias("found"))
+    return every.join(known, "two", "left").withColumn("both", F.coalesce("found", F.lit(0))).drop("two", "found")
 
 
 def bucket(total: int):
@@ -167,15 +175,27 @@ def bucket(total: int):
     return F.when(F.col("prev") > 0, F.greatest(F.lit(1), F.least(F.lit(BUCKETS - 1), level))).otherwise(0).cast("int")
 
 
-def fit(train: DataFrame, heavy: float, pair_share: float) -> tuple[Model, DataFrame, DataFrame]:
+def least(words: DataFrame) -> int:
+    """The least power of two that at most WORDS words reach."""
+    levels = words.groupBy(F.floor(F.log2("c")).alias("level")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect()  # 63 rows at most
+    above, level = 0, 62
+    for row in levels:
+        above += row.n
+        if above > WORDS:
+            break
+        level = row.level
+    return 1 << level
+
+
+def fit(train: DataFrame, heavy: float | None, pair_share: float) -> tuple[Model, DataFrame, DataFrame]:
     """The model, and the counts of all words and of all pairs: key, c."""
     train = train.withColumn("tune", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0)
-    unigrams = cut(_counted(train, lambda t: t))
-    pairs = cut(_counted(train, lambda t: pair(before(t), t)))
+    unigrams = cut(_counted(train, lambda t: t), drop_shuffles=True)
+    pairs = cut(_counted(train, lambda t: pair(before(t), t)), drop_shuffles=True)
 
     def made(words: DataFrame, twos: DataFrame) -> Model:
         total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-        return Model(_collected(words.where(F.col("c") >= heavy * total), "key"), _collected(twos.where(F.col("c") >= pair_share * total), "key"), total, distinct)
+        return Model(_collected(words.where(F.col("c") >= (least(words) if heavy is None else heavy * total)), "key"), _collected(twos.where(F.col("c") >= pair_share * total), "key"), total, distinct)
 
     rest = [t.select("key", (F.col("c") - F.col("away")).alias("c")).where("c > 0") for t in (unigrams, pairs)]
     model = made(unigrams, pairs)
@@ -187,8 +207,11 @@ def learn(model: Model, tune: DataFrame, unigrams: DataFrame, pairs: DataFrame)
     """Weights by expectation-maximisation over the tokens of documents that are not in the counts, grouped by bucket and counts; ends when a round gains under
     1e-5 a token."""
     spread = tune.sparkSession.sparkContext.broadcast(model)
-    seen = resolved(tune, spread, unigrams, pairs, rows=False).withColumn("bucket", bucket(model.total))
-    hist = cut(seen.groupBy("bucket", F.col("both").alias("pair"), F.when(F.col("both") > 0, F.col("prev")).otherwise(0).alias("prev"), "c").agg(F.sum("n").alias("n")))
+    def level(share: int) -> DataFrame:
+        seen = resolved(tune, spread, unigrams, pairs, rows=False, share=share).withColumn("bucket", bucket(model.total))
+        return cut(seen.groupBy("bucket", F.col("both").alias("pair"), F.when(F.col("both") > 0, F.col("prev")).otherwise(0).alias("prev"), "c").agg(F.sum("n").alias("n")), drop_shuffles=True)
+
+    hist = reduce(DataFrame.unionByName, [level(k) for k in range(SHARES)])
     parts = [F.when(F.col("prev") > 0, F.col("pair") / F.col("prev")).otherwise(0.0), F.col("c") / max(model.total, 1), F.lit(1 / (model.distinct + 1))]
     last = None
     while True:
@@ -206,8 +229,9 @@ def learn(model: Model, tune: DataFrame, unigrams: DataFrame, pairs: DataFrame)
         last = gained
 
 
-def score(docs: DataFrame, is_held, heavy: float = 1e-6, pair_share: float = 1e-5) -> DataFrame:
+def score(docs: DataFrame, is_held, heavy: float | None = None, pair_share: float = 1e-5) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed single counts), score (log10 of the model)."""
+    bounded_batches(docs.sparkSession)
     d = docs.select("doc_id", is_held.alias("held_out"), F.monotonically_increasing_id().alias("row_id"), F.col("text").cast("string").alias("text"))
     model, unigrams, pairs = fit(d.where("not held_out"), heavy, pair_share)
     spread = docs.sparkSession.sparkContext.broadcast(model)
@@ -235,9 +259,15 @@ def score(docs: DataFrame, is_held, heavy: float = 1e-6, pair_share: float = 1e-
     weight = lambda k: F.element_at(F.array(*[F.lit(float(x)) for x in model.weights[:, k]]), bucket(total) + 1)
     p = weight(0) * F.col("both") / F.greatest("prev", F.lit(1)) + weight(1) * F.col("c") / max(total, 1) + weight(2) / (distinct + 1)
     asked = F.col("word").isNotNull()
-    rest = resolved(d, spread, unigrams, pairs, rows=True).groupBy("row_id").agg(
-        F.sum(F.when(asked & (F.col("c") > 0), F.col("n")).otherwise(0)).alias("more"),
-        F.sum(F.when(asked, F.col("n") * F.log10((F.col("c") + 0.5) / floor)).otherwise(0.0)).alias("base_more"), F.sum(F.col("n") * F.log10(p)).alias("score_more"))
+
+    def added(share: int) -> DataFrame:
+        return cut(resolved(d, spread, unigrams, pairs, rows=True, share=share).groupBy("row_id").agg(
+            F.sum(F.when(asked & (F.col("c") > 0), F.col("n")).otherwise(0)).alias("more"),
+            F.sum(F.when(asked, F.col("n") * F.log10((F.col("c") + 0.5) / floor)).otherwise(0.0)).alias("base_more"), F.sum(F.col("n") * F.log10(p)).alias("score_more")), drop_shuffles=True)
+
+    rest = reduce(DataFrame.unionByName, [added(k) for k in range(SHARES)]).groupBy("row_id").agg(*[F.sum(x).alias(x) for x in ("more", "base_more", "score_more")])
+    uncut(unigrams)
+    uncut(pairs)
     out = whole.join(rest, "row_id", "left")
     plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
     return out.select("doc_id", "held_out", "n_tokens", plus("n_known", "more").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), plus("base", "base_more").alias("base_score"), plus("score", "score_more").alias("score"))

@@ -359,6 +359,22 @@ def test_held_out_likelihood_on_texts_of_one_kind(make):
     assert len(got) == 16 and all(g.score > g.base_score for g in got)
 
 
+def test_pairs_are_joined_in_shares(make, corpus, monkeypatch):
+    """No pass joins half of the rows, and the passes together hold every open token once."""
+    made, resolved = [], lm.resolved
+
+    def counted(*args, rows, **options):
+        out = resolved(*args, rows=rows, **options)
+        if rows:
+            made.append(out.agg(F.count("*"), F.sum("n")).first())
+        return out
+
+    monkeypatch.setattr(lm, "resolved", counted)
+    got = lm.score(make(rows_of(corpus)), F.col("doc_id") % 5 == 1, pair_share=1.0).collect()
+    assert sum(n for _, n in made) == sum(g.n_tokens for g in got)
+    assert max(n for n, _ in made) < sum(n for n, _ in made) / 2
+
+
 def test_rare_pairs_count_in_the_model(make, corpus):
     """Scores do not depend on which words and pairs are sent whole, and a once-seen pair raises its token's probability."""
     docs = make(rows_of(corpus + corpus[:40]))
