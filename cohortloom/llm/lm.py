@@ -76,8 +76,15 @@ class Table:
 
 
 def _collected(df: DataFrame, key: str) -> Table:
-    pdf = df.select(key, "c").toPandas()  # its bound is in the callers
-    return Table(pdf[key].to_numpy(np.int64).view(np.uint64), pdf["c"].to_numpy(np.int64))
+    """The table's rows, which the tasks pack into bytes, so that the driver holds no objects for them; their bound is in the callers."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary()) for c in b.columns], names=["keys", "counts"])
+
+    found = df.select(key, "c").mapInArrow(pack, "keys binary, counts binary").collect()
+    keys, counts = (np.frombuffer(b"".join(r[k] for r in found), "<i8") for k in (0, 1))
+    return Table(keys.view(np.uint64), counts)
 
 
 def _counted(df: DataFrame, keys_of) -> DataFrame:
@@ -212,6 +219,7 @@ def learn(model: Model, tune: DataFrame, unigrams: DataFrame, pairs: DataFrame)
         return cut(seen.groupBy("bucket", F.col("both").alias("pair"), F.when(F.col("both") > 0, F.col("prev")).otherwise(0).alias("prev"), "c").agg(F.sum("n").alias("n")), drop_shuffles=True)
 
     hist = reduce(DataFrame.unionByName, [level(k) for k in range(SHARES)])
+    spread.destroy()  # the tables of `hist` are written
     parts = [F.when(F.col("prev") > 0, F.col("pair") / F.col("prev")).otherwise(0.0), F.col("c") / max(model.total, 1), F.lit(1 / (model.distinct + 1))]
     last = None
     while True:

@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest import rows_of  # noqa: F401
 from pyspark.sql import functions as F
@@ -375,6 +376,28 @@ def test_pairs_are_joined_in_shares(make, corpus, monkeypatch):
     assert max(n for n, _ in made) < sum(n for n, _ in made) / 2
 
 
+def test_counts_reach_the_driver_packed(spark):
+    """Some dozens of bytes a word at the driver, also where the session does not turn rows into pandas by Arrow."""
+    import tracemalloc
+
+    n, name = 200_000, "spark.sql.execution.arrow.pyspark.enabled"
+    counts = spark.range(0, n, 1, 4).selectExpr("id * 7919 - 500000 AS key", "id + 1 AS c")
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        lm._collected(counts.limit(10), "key")
+        tracemalloc.start()
+        found = lm._collected(counts, "key")
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(name, before)
+    asked = np.array([-500000, 7919 * 5 - 500000, 3], np.int64).view(np.uint64)
+    assert found.find(asked).tolist() == [1, 6, 0] and len(found.keys) == n
+    assert peak < 100 * n
+    assert len(lm._collected(counts.limit(0), "key").keys) == 0
+
+
 def test_rare_pairs_count_in_the_model(make, corpus):
     """Scores do not depend on which words and pairs are sent whole, and a once-seen pair raises its token's probability."""
     docs = make(rows_of(corpus + corpus[:40]))
