@@ -7,9 +7,11 @@ the weights are learned on it, and is counted again in the model. Documents that
 
 All words and all pairs of words are counted, over all training documents. The most frequent words (WORDS of them at most, or those with at least `heavy`
 of the tokens) and pairs with at least `pair_share` (at most 1 / pair_share) go to every task as sorted arrays. All others stay tables: tokens that
-need one of them leave their task as (row, pair, count) rows, added up by row and pair, and are joined by shuffle, in SHARES passes by the pair's hash,
-each of which drops its shuffle files before the next. No single key of these joins
-holds more than those shares of the training tokens. Each predecessor's pair counts add up to its own count but for the batches' edges.
+need one of them leave their task, added up by row and pair, and are joined by shuffle, in SHARES passes by the pair's hash, each of which drops its
+shuffle files before the next. Pairs and these tokens travel as packed arrays, one row for each stretch of hashes (BUCKET training tokens or fewer on average; their number
+grows with the input): within a task a stretch's counts come first and its tokens stream past them. Tokens with words that are not at hand get these by a join of their own, once
+for all passes. No single pair of training documents makes more than those shares of the training tokens. Each predecessor's pair counts add up to its own count but
+for the batches' edges.
 
 Rows are numbered in each of the passes over the documents, which must therefore be a table read from files.
 
@@ -34,6 +36,7 @@ from . import arrays
 BUCKETS = 8
 SHARES = 4  # passes over the pairs that are joined, by hash: a power of two
 WORDS = 1 << 20  # words that go to every task at most
+BUCKET = 1 << 18  # training tokens of a stretch of pairs' hashes, about
 _END = np.uint64(0x243F6A8885A308D3)
 
 
@@ -75,16 +78,49 @@ class Table:
         return np.where(self.keys[at] == keys, self.counts[at], 0)
 
 
+def _packed(starts: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """Whole numbers of 64 bits as bytes: one value from each start to the next, the last start being the end."""
+    at = pa.py_buffer((starts * 8).astype(np.int32))
+    return [pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, at, pa.py_buffer(np.ascontiguousarray(c).view(np.int64).astype("<i8"))]) for c in columns]
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    """All numbers of a column of _packed."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, np.int64)
+    at = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]].view("<i8")
+
+
+def _gathered(packed: DataFrame) -> Table:
+    """The table of packed keys and c; its bound is in the callers."""
+    found = packed.collect()
+    keys, counts = (np.frombuffer(b"".join(r[k] for r in found), "<i8") for k in (0, 1))
+    return Table(keys.view(np.uint64), counts)
+
+
 def _collected(df: DataFrame, key: str) -> Table:
-    """The table's rows, which the tasks pack into bytes, so that the driver holds no objects for them; their bound is in the callers."""
+    """The table's rows, which the tasks pack into bytes, so that the driver holds no objects for them."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary()) for c in b.columns], names=["keys", "counts"])
+                yield pa.RecordBatch.from_arrays(_packed(np.array([0, b.num_rows]), *[c.to_numpy(zero_copy_only=False) for c in b.columns]), names=["keys", "c"])
 
-    found = df.select(key, "c").mapInArrow(pack, "keys binary, counts binary").collect()
-    keys, counts = (np.frombuffer(b"".join(r[k] for r in found), "<i8") for k in (0, 1))
-    return Table(keys.view(np.uint64), counts)
+    return _gathered(df.select(key, "c").mapInArrow(pack, "keys binary, c binary"))
+
+
+def _collected_pairs(pairs: DataFrame, column: str, least: float) -> Table:
+    """Pairs whose count in this column of pair_counts is `least` or more."""
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            c = _unpacked(b.column(column))
+            at = np.flatnonzero(c >= max(least, 1))
+            if len(at):
+                yield pa.RecordBatch.from_arrays(_packed(np.array([0, len(at)]), _unpacked(b.column("keys"))[at], c[at]), names=["keys", "c"])
+
+    return _gathered(pairs.select("keys", column).mapInArrow(pick, "keys binary, c binary"))
 
 
 def _counted(df: DataFrame, keys_of) -> DataFrame:
@@ -100,6 +136,52 @@ def _counted(df: DataFrame, keys_of) -> DataFrame:
     return df.select("text", "tune").mapInArrow(run, "key long, c long, away long").groupBy("key").agg(F.sum("c").alias("c"), F.sum("away").alias("away"))
 
 
+def stretches(total: int) -> int:
+    """Number of stretches of the pairs' hashes: a power of two, as many in each of the SHARES passes."""
+    return SHARES << max(0, (max(total, 1) // (SHARES * BUCKET)).bit_length())
+
+
+def _edges(sorted_pairs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches, of n, that these pairs are in, and where each begins, with the end."""
+    of = (sorted_pairs >> np.uint64(64 - n.bit_length() + 1)).astype(np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)
+    return of[starts], np.append(starts, len(of))
+
+
+def _chunks(n: int, most: int = 1 << 22) -> Iterator[slice]:
+    for k in range(0, n, most):
+        yield slice(k, k + most)
+
+
+def pair_counts(train: DataFrame, n: int) -> DataFrame:
+    """One row for each stretch of pairs: stretch, and packed the pairs in order (keys), their counts (c) and those without documents with `tune` (rest)."""
+    schema, names = "stretch long, keys binary, c binary, rest binary", ["stretch", "keys", "c", "rest"]
+
+    def added(keys: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return [keys[starts], *[np.add.reduceat(c[order], starts) for c in columns]]
+
+    def rows(keys: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+        of, starts = _edges(keys, n)
+        return [pa.array(of), *_packed(starts, keys, *columns)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tok, many = tokens(b.column("text"))
+            two = pair(before(tok), tok)
+            kept = np.repeat(~b.column("tune").to_numpy(zero_copy_only=False).astype(bool), many).astype(np.int64)
+            for k in _chunks(len(two)):
+                yield pa.RecordBatch.from_arrays(rows(*added(two[k], np.ones(len(two[k]), np.int64), kept[k])), names=names)
+
+    def merged(t: pa.Table) -> pa.Table:
+        keys, *columns = [np.concatenate([_unpacked(c) for c in t.column(x).chunks]) for x in names[1:]]
+        return pa.Table.from_arrays(rows(*added(keys.view(np.uint64), *columns)), names=names)
+
+    return train.select("text", "tune").mapInArrow(run, schema).groupBy("stretch").applyInArrow(merged, schema)
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for k in range(0, b.num_rows, rows):
@@ -122,64 +204,129 @@ class Model:
 
     def look_up(self, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Count of the word, of its predecessor and of both; 0: not heavy."""
-        c = self.words.find(tok)
-        prev = np.concatenate([self.words.find(np.array([_END])), c[:-1]])
-        return c, prev, self.pairs.find(pair(before(tok), tok))
+        return *self.counts(tok), self.pairs.find(pair(before(tok), tok))
 
+    def counts(self, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Count of the word and of its predecessor."""
+        key, at = np.unique(tok, return_inverse=True)
+        c = self.words.find(key)[at.reshape(-1)]
+        return c, np.concatenate([self.words.find(np.array([_END])), c[:-1]])
 
-def grouped(row: np.ndarray, tok: np.ndarray, ahead: np.ndarray, two: np.ndarray, c: np.ndarray, prev: np.ndarray) -> list:
-    """Rows and columns word, ahead, two, c, prev, n, added up by row and pair; words are null where the count is at hand."""
-    _, at, n = np.unique(arrays.mixed(two ^ arrays.mixed(row.astype(np.uint64) + np.uint64(1))), return_index=True, return_counts=True)
-    key = lambda k, known: pa.array(k[at].view(np.int64), mask=known[at] > 0)
-    return [row[at], key(tok, c), key(ahead, prev), pa.array(two[at].view(np.int64)), pa.array(c[at].astype(np.int64)), pa.array(prev[at].astype(np.int64)), pa.array(n.astype(np.int64))]
 
+def grouped(row: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each pair of a row, by pair, and how often it is there; rows are in order."""
+    order = np.argsort(two, kind="stable")
+    row, two = row[order], two[order]
+    starts = np.flatnonzero(np.concatenate([[True], (two[1:] != two[:-1]) | (row[1:] != row[:-1])])) if len(row) else np.zeros(0, np.int64)
+    return order[starts], np.diff(np.append(starts, len(row)))
 
-GROUPED = "word long, ahead long, two long, c long, prev long, n long"
 
+def far_tokens(docs: DataFrame, spread, unigrams: DataFrame, rows: bool) -> DataFrame:
+    """Tokens with a word, their own or the one before, that is not at hand: row_id (0 unless `rows`), two, c, prev, n, asked (c was not at hand)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = spread.value
+        for b in _pieces(batches):
+            tok, many = tokens(b.column("text"))
+            c, prev = m.counts(tok)
+            at = np.flatnonzero((c == 0) | (prev == 0))
+            ahead, row = before(tok)[at], np.repeat(b.column("row_id").to_numpy() if rows else np.zeros(len(many), np.int64), many)[at]
+            tok, c, prev = tok[at], c[at], prev[at]
+            two = pair(ahead, tok)
+            at, n = grouped(row, two)
+            key = lambda k, known: pa.array(k[at].view(np.int64), mask=known[at] > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(row[at]), key(tok, c), key(ahead, prev), pa.array(two[at].view(np.int64)), pa.array(c[at]), pa.array(prev[at]), pa.array(n)], names=names)
 
-def open_tokens(docs: DataFrame, spread, rows: bool, share: int) -> tuple[DataFrame, DataFrame]:
-    """GROUPED, with row_id if `rows`, of one share of the pairs that are not at hand: tokens whose words are at hand, and all others."""
-    names = (["row_id"] if rows else []) + [x.split()[0] for x in GROUPED.split(", ")]
+    def fill(t: DataFrame, key: str, column: str) -> DataFrame:
+        """A word that is not asked for is replaced by its pair, which spreads the rows; its match is not used."""
+        known = unigrams.select(F.col("key").alias("k"), F.col("c").alias("found"))
+        filled = F.when(F.col(key).isNull(), F.col(column)).otherwise(F.coalesce("found", F.lit(0)))
+        return t.withColumn("at", F.coalesce(key, "two")).join(known, F.col("at") == F.col("k"), "left").withColumn(column, filled).drop("at", "k", "found")
 
-    def part(tail: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            m = spread.value
-            for b in _pieces(batches):
-                tok, n = tokens(b.column("text"))
-                ahead = before(tok)
-                two = pair(ahead, tok)
-                at = np.flatnonzero(two & np.uint64(SHARES - 1) == np.uint64(share))
-                row = np.repeat(np.arange(len(n)), n)[at] if rows else np.zeros(len(at), np.int64)
-                tok, ahead, two = tok[at], ahead[at], two[at]
-                c, prev = m.words.find(tok), m.words.find(ahead)
-                rare = (c == 0) | (prev == 0)
-                keep = np.flatnonzero(rare if tail else ~rare & ((m.pairs.find(two) == 0) | (not rows)))
-                row, *cols = grouped(*[x[keep] for x in (row, tok, ahead, two, c, prev)])
-                yield pa.RecordBatch.from_arrays(([b.column("row_id").take(pa.array(row))] if rows else []) + cols, names=names)
+    names = ["row_id", "word", "ahead", "two", "c", "prev", "n"]
+    found = docs.select(*(["row_id"] if rows else []), "text").mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return fill(fill(found, "word", "c"), "ahead", "prev").select("row_id", "two", "c", "prev", "n", F.col("word").isNotNull().alias("asked"))
 
-        return docs.select(*(["row_id"] if rows else []), "text").mapInArrow(run, ("row_id long, " if rows else "") + GROUPED)
 
-    return part(False), part(True)
+PACKED = "stretch long, kind int, two binary, n binary, row_id binary, c binary, prev binary, asked binary"
 
 
-def resolved(docs: DataFrame, spread, unigrams: DataFrame, pairs: DataFrame, rows: bool, share: int) -> DataFrame:
-    """open_tokens with all counts. A word that is not asked for is replaced by its pair, which spreads the rows; its match is not used."""
-    def fill(t: DataFrame, key: str, column: str) -> DataFrame:
-        known = unigrams.select(F.col("key").alias("k"), F.col("c").alias("found"))
-        filled = F.when(F.col(key).isNull(), F.col(column)).otherwise(F.coalesce("found", F.lit(0)))
-        return t.withColumn("at", F.coalesce(key, "two")).join(known, F.col("at") == F.col("k"), "left").withColumn(column, filled).drop("at", "k", "found")
+def open_tokens(docs: DataFrame, far: DataFrame, spread, n: int, rows: bool, share: int) -> DataFrame:
+    """PACKED, kind 1, of one share of the tokens whose pairs are not at hand."""
+    names = [x.split()[0] for x in PACKED.split(", ")]
 
-    near, tail = open_tokens(docs, spread, rows, share)
-    narrow = [*(["row_id"] if rows else []), "word", "two", "c", "prev", "n"]
-    every = near.select(narrow).unionByName(fill(fill(tail, "word", "c"), "ahead", "prev").select(narrow))
-    known = pairs.where(F.col("key").bitwiseAND(F.lit(SHARES - 1)) == share).select(F.col("key").alias("two"), F.col("c").alias("found"))
-    return every.join(known, "two", "left").withColumn("both", F.coalesce("found", F.lit(0))).drop("two", "found")
+    def packed(two: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+        of, starts = _edges(two, n)
+        return pa.RecordBatch.from_arrays([pa.array(of), pa.array(np.ones(len(of), np.int32)), *_packed(starts, two, *columns)], names=names)
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = spread.value
+        for b in batches:
+            tok, many = tokens(b.column("text"))
+            two = pair(before(tok), tok)
+            at = np.flatnonzero(two >> np.uint64(65 - SHARES.bit_length()) == np.uint64(share))
+            row = np.repeat(b.column("row_id").to_numpy() if rows else np.zeros(len(many), np.int64), many)[at]
+            two, tok, ahead = two[at], tok[at], before(tok)[at]
+            for k in _chunks(len(two)):
+                first, times = grouped(row[k], two[k])
+                r, t, c, prev = row[k][first], two[k][first], m.words.find(tok[k][first]), m.words.find(ahead[k][first])
+                keep = np.flatnonzero((c > 0) & (prev > 0) & ((m.pairs.find(t) == 0) | (not rows)))
+                yield packed(t[keep], times[keep], r[keep], c[keep], prev[keep], np.zeros(len(keep), np.int64))
+
+    def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            two, *columns = [b.column(x).cast(pa.int64()).to_numpy() for x in names[2:]]
+            order = np.argsort(two.view(np.uint64))
+            yield packed(two.view(np.uint64)[order], *[c[order] for c in columns])
 
-def bucket(total: int):
-    """bucket_of for column prev."""
-    level = F.floor(F.log10(F.greatest("prev", F.lit(1)) / F.lit(max(total, 1)))) + BUCKETS
-    return F.when(F.col("prev") > 0, F.greatest(F.lit(1), F.least(F.lit(BUCKETS - 1), level))).otherwise(0).cast("int")
+    far = far.where(F.shiftrightunsigned("two", 65 - SHARES.bit_length()) == share).select(*names[2:])
+    return docs.select(*(["row_id"] if rows else []), "text").mapInArrow(near, PACKED).unionByName(far.mapInArrow(ordered, PACKED))
+
+
+def resolved(docs: DataFrame, far: DataFrame, spread, pairs: DataFrame, n: int, rows: bool, share: int) -> DataFrame:
+    """Of one share of the open tokens: with `rows` row_id, n, and the sums more (words asked for and known), base_more and score_more; else how many tokens (n) there are by
+    bucket, count of the pair, of the word before (0 where the pair has none) and of the word."""
+    def added(keys: list[np.ndarray], sums: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+        order = np.lexsort(keys)
+        keys = [k[order] for k in keys]
+        starts = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+        return pa.RecordBatch.from_arrays([pa.array(k[starts]) for k in keys] + [pa.array(np.add.reduceat(x[order], starts)) for x in sums], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = spread.value
+        floor = m.total + 0.5 * (m.distinct + 1)
+        last, keys, counts = -1, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for b in batches:
+            # stretches come in order, a stretch's counts before its tokens, so that the counts' keys are in order as well
+            known = b.filter(pa.array(b.column("kind").to_numpy() == 0))
+            if known.num_rows:
+                if last != b.column("stretch")[0].as_py():
+                    keys, counts = keys[:0], counts[:0]
+                keys, counts = np.concatenate([keys, _unpacked(known.column("two")).view(np.uint64)]), np.concatenate([counts, _unpacked(known.column("n"))])
+            asking = b.filter(pa.array(b.column("kind").to_numpy() == 1))
+            two, times, row, c, prev, asked = [_unpacked(asking.column(x)) for x in names]
+            if len(two):
+                both = np.zeros(len(two), np.int64)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, two.view(np.uint64)), len(keys) - 1)
+                    both = np.where(keys[at] == two.view(np.uint64), counts[at], 0)
+                level = bucket_of(prev, m.total)
+                if rows:
+                    w = m.weights[level]
+                    p = w[:, 0] * both / np.maximum(prev, 1) + w[:, 1] * c / max(m.total, 1) + w[:, 2] / (m.distinct + 1)
+                    yield added([row], [times, times * asked * (c > 0), times * asked * np.log10((c + 0.5) / floor), times * np.log10(p)], ["row_id", "n", "more", "base_more", "score_more"])
+                else:
+                    yield added([level, both, np.where(both > 0, prev, 0), c], [times], ["bucket", "pair", "prev", "c", "n"])
+            last = b.column("stretch")[b.num_rows - 1].as_py() if b.num_rows else last
+            edge = np.searchsorted(keys, np.uint64(max(last, 0) << (65 - n.bit_length())))
+            keys, counts = keys[edge:], counts[edge:]
+
+    names = [x.split()[0] for x in PACKED.split(", ")][2:]
+    none = F.lit(b"").alias
+    per = n // SHARES
+    given = pairs.where((F.col("stretch") >= share * per) & (F.col("stretch") < (share + 1) * per))
+    given = given.select("stretch", F.lit(0).alias("kind"), F.col("keys").alias("two"), F.col("c" if rows else "rest").alias("n"), *map(none, names[2:]))
+    every = given.unionByName(open_tokens(docs, far, spread, n, rows, share)).repartition("stretch").sortWithinPartitions("stretch", "kind")
+    return every.mapInArrow(run, "row_id long, n long, more long, base_more double, score_more double" if rows else "bucket long, pair long, prev long, c long, n long")
 
 
 def least(words: DataFrame) -> int:
@@ -194,32 +341,36 @@ def least(words: DataFrame) -> int:
     return 1 << level
 
 
-def fit(train: DataFrame, heavy: float | None, pair_share: float) -> tuple[Model, DataFrame, DataFrame]:
-    """The model, and the counts of all words and of all pairs: key, c."""
+def fit(train: DataFrame, heavy: float | None, pair_share: float) -> tuple[Model, DataFrame, DataFrame, int]:
+    """The model, the counts of all words (key, c), pair_counts, and the number of stretches."""
     train = train.withColumn("tune", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0)
     unigrams = cut(_counted(train, lambda t: t), drop_shuffles=True)
-    pairs = cut(_counted(train, lambda t: pair(before(t), t)), drop_shuffles=True)
+    sizes = lambda words: words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    n = stretches(sizes(unigrams)[0])
+    pairs = cut(pair_counts(train, n), drop_shuffles=True)
 
-    def made(words: DataFrame, twos: DataFrame) -> Model:
-        total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-        return Model(_collected(words.where(F.col("c") >= (least(words) if heavy is None else heavy * total)), "key"), _collected(twos.where(F.col("c") >= pair_share * total), "key"), total, distinct)
+    def made(words: DataFrame, column: str) -> Model:
+        total, distinct = sizes(words)
+        return Model(_collected(words.where(F.col("c") >= (least(words) if heavy is None else heavy * total)), "key"), _collected_pairs(pairs, column, pair_share * total), total, distinct)
 
-    rest = [t.select("key", (F.col("c") - F.col("away")).alias("c")).where("c > 0") for t in (unigrams, pairs)]
-    model = made(unigrams, pairs)
-    model.weights = learn(made(*rest), train.where("tune"), *rest).weights
-    return model, unigrams, pairs
+    rest = unigrams.select("key", (F.col("c") - F.col("away")).alias("c")).where("c > 0")
+    model = made(unigrams, "c")
+    model.weights = learn(made(rest, "rest"), train.where("tune"), rest, pairs, n).weights
+    return model, unigrams, pairs, n
 
 
-def learn(model: Model, tune: DataFrame, unigrams: DataFrame, pairs: DataFrame) -> Model:
+def learn(model: Model, tune: DataFrame, unigrams: DataFrame, pairs: DataFrame, n: int) -> Model:
     """Weights by expectation-maximisation over the tokens of documents that are not in the counts, grouped by bucket and counts; ends when a round gains under
     1e-5 a token."""
     spread = tune.sparkSession.sparkContext.broadcast(model)
+    far = cut(far_tokens(tune, spread, unigrams, rows=False), drop_shuffles=True)
+
     def level(share: int) -> DataFrame:
-        seen = resolved(tune, spread, unigrams, pairs, rows=False, share=share).withColumn("bucket", bucket(model.total))
-        return cut(seen.groupBy("bucket", F.col("both").alias("pair"), F.when(F.col("both") > 0, F.col("prev")).otherwise(0).alias("prev"), "c").agg(F.sum("n").alias("n")), drop_shuffles=True)
+        return cut(resolved(tune, far, spread, pairs, n, rows=False, share=share).groupBy("bucket", "pair", "prev", "c").agg(F.sum("n").alias("n")), drop_shuffles=True)
 
     hist = reduce(DataFrame.unionByName, [level(k) for k in range(SHARES)])
     spread.destroy()  # the tables of `hist` are written
+    uncut(far)
     parts = [F.when(F.col("prev") > 0, F.col("pair") / F.col("prev")).otherwise(0.0), F.col("c") / max(model.total, 1), F.lit(1 / (model.distinct + 1))]
     last = None
     while True:
@@ -241,7 +392,7 @@ def score(docs: DataFrame, is_held, heavy: float | None = None, pair_share: floa
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed single counts), score (log10 of the model)."""
     bounded_batches(docs.sparkSession)
     d = docs.select("doc_id", is_held.alias("held_out"), F.monotonically_increasing_id().alias("row_id"), F.col("text").cast("string").alias("text"))
-    model, unigrams, pairs = fit(d.where("not held_out"), heavy, pair_share)
+    model, unigrams, pairs, n_stretches = fit(d.where("not held_out"), heavy, pair_share)
     spread = docs.sparkSession.sparkContext.broadcast(model)
     total, distinct = model.total, model.distinct
     floor = total + 0.5 * (distinct + 1)
@@ -264,17 +415,15 @@ def score(docs: DataFrame, is_held, heavy: float | None = None, pair_share: floa
 
     kind = dict(docs.select("doc_id").dtypes)["doc_id"]
     whole = d.mapInArrow(run, f"row_id long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
-    weight = lambda k: F.element_at(F.array(*[F.lit(float(x)) for x in model.weights[:, k]]), bucket(total) + 1)
-    p = weight(0) * F.col("both") / F.greatest("prev", F.lit(1)) + weight(1) * F.col("c") / max(total, 1) + weight(2) / (distinct + 1)
-    asked = F.col("word").isNotNull()
+    far = cut(far_tokens(d, spread, unigrams, rows=True), drop_shuffles=True)
+    uncut(unigrams)
 
     def added(share: int) -> DataFrame:
-        return cut(resolved(d, spread, unigrams, pairs, rows=True, share=share).groupBy("row_id").agg(
-            F.sum(F.when(asked & (F.col("c") > 0), F.col("n")).otherwise(0)).alias("more"),
-            F.sum(F.when(asked, F.col("n") * F.log10((F.col("c") + 0.5) / floor)).otherwise(0.0)).alias("base_more"), F.sum(F.col("n") * F.log10(p)).alias("score_more")), drop_shuffles=True)
+        sums = resolved(d, far, spread, pairs, n_stretches, rows=True, share=share)
+        return cut(sums.groupBy("row_id").agg(*[F.sum(x).alias(x) for x in ("more", "base_more", "score_more")]), drop_shuffles=True)
 
     rest = reduce(DataFrame.unionByName, [added(k) for k in range(SHARES)]).groupBy("row_id").agg(*[F.sum(x).alias(x) for x in ("more", "base_more", "score_more")])
-    uncut(unigrams)
+    uncut(far)
     uncut(pairs)
     out = whole.join(rest, "row_id", "left")
     plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
