@@ -64,18 +64,45 @@ def pair(prev: np.ndarray, tok: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Counts by sorted key."""
+    """Counts by sorted key. Keys are hashes, so that their leading bits lead to a few keys each; where they don't, the search is by halves."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
         order = np.argsort(keys)
-        self.keys, self.counts = keys[order], counts[order]
+        self.keys, self.counts, self._index = keys[order], counts[order], None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_index": None}  # each task's process makes its own
+
+    def index(self) -> tuple[np.uint64, np.ndarray, bool]:
+        """Shift to the leading bits, where each value of them begins, and whether no value has many keys."""
+        if self._index is None:
+            bits = len(self.keys).bit_length()
+            shift = np.uint64(64 - bits)
+            starts = np.zeros((1 << bits) + 1, np.int32)
+            np.cumsum(np.bincount((self.keys >> shift).astype(np.int64), minlength=1 << bits), out=starts[1:])
+            self._index = shift, starts, bool(np.diff(starts).max() <= 64)
+        return self._index
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Counts, 0 where the key is not listed."""
+        out = np.zeros(len(keys), np.int64)
         if not len(self.keys):
-            return np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.counts[at], 0)
+            return out
+        shift, starts, even = self.index()
+        if not even:
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            return np.where(self.keys[at] == keys, self.counts[at], 0)
+        lead = (keys >> shift).astype(np.int64)
+        at, end = starts[lead], starts[lead + 1]
+        todo = np.flatnonzero(at < end)
+        at, end, keys = at[todo], end[todo], keys[todo]
+        while len(todo):
+            hit = self.keys[at] == keys
+            out[todo[hit]] = self.counts[at[hit]]
+            at = at + 1
+            more = ~hit & (at < end)
+            todo, at, end, keys = todo[more], at[more], end[more], keys[more]
+        return out
 
 
 def _packed(starts: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
@@ -363,6 +390,7 @@ def learn(model: Model, tune: DataFrame, unigrams: DataFrame, pairs: DataFrame,
     """Weights by expectation-maximisation over the tokens of documents that are not in the counts, grouped by bucket and counts; ends when a round gains under
     1e-5 a token."""
     spread = tune.sparkSession.sparkContext.broadcast(model)
+    tune = cut(tune.select("text"))  # read in each pass, without the others
     far = cut(far_tokens(tune, spread, unigrams, rows=False), drop_shuffles=True)
 
     def level(share: int) -> DataFrame:
@@ -371,6 +399,7 @@ def learn(model: Model, tune: DataFrame, unigrams: DataFrame, pairs: DataFrame,
     hist = reduce(DataFrame.unionByName, [level(k) for k in range(SHARES)])
     spread.destroy()  # the tables of `hist` are written
     uncut(far)
+    uncut(tune)
     parts = [F.when(F.col("prev") > 0, F.col("pair") / F.col("prev")).otherwise(0.0), F.col("c") / max(model.total, 1), F.lit(1 / (model.distinct + 1))]
     last = None
     while True:

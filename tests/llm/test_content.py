@@ -398,6 +398,28 @@ def test_counts_reach_the_driver_packed(spark):
     assert len(lm._collected(counts.limit(0), "key").keys) == 0
 
 
+def test_table_finds_hashed_and_other_keys():
+    """Keys spread over all bits are found by their leading bits, crowded ones by halves; both find all listed keys and no others."""
+    r = np.random.default_rng(5)
+    for listed in (r.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2), np.arange(0, 10_000, 2, np.uint64), np.array([0, 1 << 63, (1 << 64) - 2], np.uint64), np.array([6], np.uint64), np.zeros(0, np.uint64)):
+        listed = r.permutation(np.unique(listed))
+        found = lm.Table(listed, np.arange(1, len(listed) + 1))
+        assert found.find(listed).tolist() == list(range(1, len(listed) + 1))
+        assert not found.find(np.concatenate([listed + np.uint64(1), np.array([(1 << 64) - 1, 3], np.uint64)])).any()
+    assert lm.Table(np.arange(10_000, dtype=np.uint64), np.ones(10_000, np.int64)).index()[2] is False
+
+
+def test_stretches_of_pairs_grow_with_the_tokens(make, corpus, monkeypatch):
+    """Scores do not depend on the number of stretches, and twice the tokens make no larger stretches."""
+    assert all(lm.BUCKET // 2 <= 10**k // lm.stretches(10**k) <= lm.BUCKET for k in range(7, 13))
+    docs, held = make(rows_of(corpus + corpus[:40])), F.col("doc_id") % 5 == 1
+    got = []
+    for size in (lm.BUCKET, 50):
+        monkeypatch.setattr(lm, "BUCKET", size)
+        got.append({r.doc_id: r for r in lm.score(docs, held, heavy=0.01, pair_share=0.02).collect()})
+    assert all((got[1][i].score, got[1][i].base_score, got[1][i].n_known) == pytest.approx((r.score, r.base_score, r.n_known)) for i, r in got[0].items())
+
+
 def test_rare_pairs_count_in_the_model(make, corpus):
     """Scores do not depend on which words and pairs are sent whole, and a once-seen pair raises its token's probability."""
     docs = make(rows_of(corpus + corpus[:40]))
