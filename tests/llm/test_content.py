@@ -458,3 +458,29 @@ def test_quality_outliers(make):
     assert all(got[i] for i in range(260)) and not any(got[260 + i] for i in range(60)) and all(got[900 + i] for i in range(5))
     kept = quality.accept(docs)
     assert kept.columns == docs.columns and kept.count() == 265
+
+
+@pytest.mark.parametrize("size", [400, 70, 30])
+def test_triggers_of_texts_side_by_side_serve_every_window_once(size):
+    """Texts without small hashes (one byte all along) and of one window are among them; each window has the trigger of its least hash."""
+    r = random.Random(6)
+    some = [bytes(r.choice(b"ab") for _ in range(n)) for n in (size, size + 1, 3000, size, 5000)] + [bytes([c]) * (size + 900) for c in range(97, 127)]
+    s = suffix_dedup.sums(np.frombuffer(b"".join(some), np.uint8))
+    at = np.cumsum([0, *map(len, some)])
+    q, gram, lo, hi, of = suffix_dedup.triggers(s, at, size)
+    k, down = size - min(64, size) + 1, suffix_dedup._powers.upto(len(s))[1]
+    got = {w: int(p) for p, a, b in zip(q, lo, hi) for w in range(a, b + 1)}
+    key = ((s[size - k + 1:] - s[:k - size - 1]) * down[:len(s) - size + k - 1] >> np.uint64(32)).tolist()
+    assert got == {w: min(range(w, w + k), key=lambda p: (key[p], p)) for i in range(len(some)) for w in range(at[i], at[i + 1] - size + 1)}
+    assert len(got) == (hi - lo + 1).sum() and (np.searchsorted(at, q, side="right") - 1 == of).all() and (gram == suffix_dedup.stretch(s, q, q + min(64, size))).all()
+
+
+def test_marks_meet_their_texts_as_merged_runs(spark, make):
+    """A text with thousands of repeated windows brings one pair of numbers to each of its copies."""
+    r = random.Random(7)
+    passage = "".join(r.choice("abcdefghij ") for _ in range(3000))
+    docs = make(rows_of([passage + f" {i} " + passage for i in range(40)] * 3))
+    found = suffix_dedup.merged(suffix_dedup.marks(docs, 30), 30).collect()
+    assert len({x.text_key for x in found}) == len(found) == 40 and all(len(x.starts) == len(x.ends) <= 3 for x in found)
+    marks = spark.createDataFrame([(1, 0, 5), (1, 3, 4), (1, 35, 35), (1, 100, 100), (2, 0, 0), (2, 29, 30)], "text_key long, lo long, hi long")
+    assert sorted((x.text_key, x.starts, x.ends) for x in suffix_dedup.merged(marks, 30).collect()) == [(1, [0, 100], [65, 130]), (2, [0], [60])]
