@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import alleles as L
 from ..functions import numeric as N
-from ..session import cut, key_list, sent_whole, uncut
+from ..session import bounded_batches, cut, key_list, sent_whole, uncut
 from . import aggregates as A
 from . import joins as J
 from . import stats
@@ -244,126 +245,124 @@ def standardized_dosage(genotypes: DataFrame, freq: DataFrame) -> DataFrame:
     return j.select("variant_id", "sample_id", ((F.col("dosage") - 2 * f) / F.sqrt(2 * f * (1 - f))).alias("z"))
 
 
-def _gram(rows: DataFrame, columns: list[str], n: int) -> np.ndarray:
-    """Cross products of all numbers of array columns, over all rows: n x n numbers."""
-
-    def run(it):
-        total = np.zeros((n, n))
-        for batch in it:
-            m = np.hstack([np.array(batch.column(c).to_pylist(), float).reshape(batch.num_rows, -1) for c in columns])
-            total += m.T @ m
-        yield pa.record_batch([pa.array(range(n), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], ["i", "row"])
-
-    sums = rows.select(*columns).mapInArrow(run, "i int, row array<double>").select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x"))
-    out = np.zeros((n, n))
-    for r in sums.collect():  # n x n numbers
-        out[r.i, r.j] = r.x
-    return out
-
-
-def _turned(rows: DataFrame, columns: list[str], turn: np.ndarray, name: str, keep: list[str]) -> DataFrame:
-    """`name`: the numbers of array columns, side by side, times a small matrix."""
-    kinds = dict(rows.dtypes)
-
-    def run(it):
-        for batch in it:
-            m = np.hstack([np.array(batch.column(c).to_pylist(), float).reshape(batch.num_rows, -1) for c in columns]) @ turn
-            yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(m.tolist(), pa.list_(pa.float64()))], [*keep, name])
+def _whitening(gram: np.ndarray, least: float) -> np.ndarray:
+    """Turns columns with these cross products into orthonormal ones; directions that are nearly without length are left out."""
+    scale = 1 / np.sqrt(np.maximum(np.diag(gram), 1e-300))
+    values, vectors = np.linalg.eigh(gram * np.outer(scale, scale))
+    some = values > least * max(values[-1], 1e-300)
+    return scale[:, None] * vectors[:, some] / np.sqrt(values[some])
 
-    return rows.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in keep), f"{name} array<double>"]))
 
+def _best(gram: np.ndarray, basis: np.ndarray, image: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What a space holds of a matrix' components, largest first: values, the components and their images as turns of the columns with the cross products
+    `gram`, and lengths of the residuals. basis, image: a basis and what the matrix makes of it, as turns of those columns."""
+    own = _whitening(basis.T @ gram @ basis, least)
+    small = own.T @ (basis.T @ gram @ image) @ own
+    values, vectors = np.linalg.eigh((small + small.T) / 2)
+    values, turn = np.maximum(values[::-1], 0), own @ vectors[:, ::-1]
+    left = image @ turn - basis @ turn * values
+    return values, basis @ turn, image @ turn, np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", left, gram, left), 0))
 
-def _whitening(gram: np.ndarray, scale: float) -> np.ndarray:
-    """Turns columns with these cross products into orthonormal ones; directions without length are left out."""
-    values, vectors = np.linalg.eigh(gram)
-    some = values > 1e-12 * max(scale, 1e-300)
-    return vectors[:, some] / np.sqrt(values[some])
 
+STEPS = 8  # products of a round
+KEPT = 24  # components beside the block's that go on to the next round
+DRIFT = 1e-8  # of the largest value: where kept images are off by more, the kept components are left out
 
-DEGREE = 10  # of the polynomial of a round
 
-
-def fit_pcs(genotypes: DataFrame, k: int, tol: float = 1e-4, rounds: int = 60, seed: int = 7, spare: int = 14) -> tuple[DataFrame, DataFrame, list[float]]:
+def fit_pcs(genotypes: DataFrame, k: int, tol: float = 1e-4, rounds: int = 60, seed: int = 7, spare: int = 2) -> tuple[DataFrame, DataFrame, list[float]]:
     """Leading components of the standardized dosages: loadings per variant (w1..wk and freq), scores per sample, eigenvalues.
 
-    A random block of k + spare vectors over the samples is turned into the best components it holds, and, as long as these are not settled, run through a
-    Chebyshev polynomial of Z Z' that is small from 0 to the block's least eigenvalue and large above. It ends when |Z Z'u - lambda u| <= tol * lambda
-    for each of the k, and raises if that is not so after `rounds` rounds. Tables keep one block of vectors however many rounds there are; each
-    factor of the polynomial passes over the matrix, as tiles or, where few cells are observed, as rows of cells.
+    A random block of k + spare vectors over the samples is run through Z Z' some times; its Chebyshev polynomials, the vectors of the block and the best components
+    of earlier rounds span the space from which the best components are taken, as in a restarted block Lanczos method: copies of a component are found as long as the
+    block has as many vectors, however many there are. It ends when |Z Z'u - lambda u| <= tol * lambda for each of the k, by a product with u itself, and raises
+    if that is not so after `rounds` rounds. Tables keep the vectors of one round; each product passes over the matrix, as tiles or, where few cells
+    are observed, as rows of cells, and what is sent by it grows with the samples.
     """
+    bounded_batches(genotypes.sparkSession)
     q = k + spare
-    genotypes = cut(genotypes.select("variant_id", "sample_id", "dosage"))
+    if getattr(genotypes, "cut_path", None) is None:
+        genotypes = cut(genotypes.select("variant_id", "sample_id", "dosage"))
     few = T.sparse(genotypes)
     if few:
         freq = cut(A.variant_freq(genotypes).select("variant_id", "freq"))
         cells = cut(standardized_dosage(genotypes, freq))
         matrix = T.sparse_rows(genotypes, cells)
-        samples = matrix.samples.select("idx", "sample_id")
-        product = lambda x, width: T.gram_times(matrix, x, width)
+        samples, n = matrix.samples.select("idx", "sample_id"), matrix.n_samples
+        product = lambda x, width: T.gram_parts(matrix, x, width)
     else:
         tiles = T.pack(genotypes)
         z = T.standardize(tiles)
-        samples = tiles.samples.select("idx", "sample_id")
-        product = lambda x, width: T.times(z, T.times(z, x, "samples", width), "variants", width)
+        samples, n = tiles.samples.select("idx", "sample_id"), tiles.n_samples
+        product = lambda x, width: T.blocks_of(T.times(z, T.times(z, T.rows_of(x, width, n), "samples", width), "variants", width), width)
 
-    def with_product(x: DataFrame, width: int, *keep: str) -> DataFrame:
-        """idx, y, what is kept, and h: what the matrix makes of y."""
-        made = product(x, width).withColumnRenamed("y", "h")
-        return x.join(made, "idx", "left").select("idx", "y", *keep, F.coalesce("h", F.array(*[F.lit(0.0)] * width)).alias("h"))
+    def with_product(x: DataFrame, width: int, more: list[DataFrame], n_more: int) -> DataFrame:
+        """x, beside it what the matrix makes of it, and n_more columns."""
+        eye = np.eye(2 * width + n_more)
+        parts = [T.turned(x, eye[:width]), T.turned(product(x, width), eye[width:2 * width]), *(T.turned(m, eye[2 * width:]) for m in more)]
+        return cut(T.added_blocks(reduce(DataFrame.unionAll, parts)))
 
     noise = [F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "sample_id"), F.lit(2001)) / 1000.0 - 1.0 for i in range(q)]
-    block = cut(samples.select("idx", F.array(*noise).alias("y")))
+    block = cut(T.blocks_of(samples.select("idx", F.array(*noise).alias("y")), q))
+    white = _whitening(T.cross_products(block, q), 1e-12)
+    q = white.shape[1]
+    even = cut(T.turned(block, white))
+    uncut(block)
+    state, n_kept, low = with_product(even, q, [], 0), 0, 0.0  # columns: block, its image, kept components, their images
+    uncut(even)
     for _ in range(rounds):
-        cross = _gram(block, ["y"], q)
-        scale = 1 / np.sqrt(np.maximum(np.diag(cross), 1e-300))
-        white = scale[:, None] * _whitening(cross * np.outer(scale, scale), q)
-        q = white.shape[1]
-        even = cut(_turned(block, ["y"], white, "y", ["idx"]))
-        state = cut(with_product(even, q))
-        uncut(block)
-        uncut(even)
-        cross = _gram(state, ["y", "h"], 2 * q)
-        # a basis that was nearly dependent is not quite orthonormal: its own cross products are taken into account
-        own = _whitening(cross[:q, :q], q)
-        small, squares = own.T @ (cross[:q, q:] + cross[q:, :q]) @ own / 2, own.T @ cross[q:, q:] @ own
-        values, vectors = np.linalg.eigh(small)
-        values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
-        lam, v = values[:k], vectors[:, :k]
-        left = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", v, squares, v) - lam**2, 0))
+        width = 2 * (q + n_kept)
+        eye = np.eye(width)
+        gram = T.cross_products(state, width)
+        values, best, _, left = _best(gram, eye[:, :q], eye[:, q:2 * q], 1e-12)
+        lam, left = values[:k], left[:k]
         if (left <= tol * np.maximum(lam, 1e-300)).all():
             break
-        q = own.shape[1]
-        turn = np.kron(np.eye(2), own @ vectors)
-        both = cut(_turned(state, ["y", "h"], turn, "both", ["idx"]))
-        uncut(state)
-        # on [0, low] the polynomial stays below its value at the largest eigenvalue, to which it is scaled
-        half = max(values[-1], 1e-8 * values[0]) / 2
-        sigma = first = half / (values[0] - half)
-        now = cut(both.select("idx", F.slice("both", 1, q).alias("before"), F.slice("both", q + 1, q).alias("h")))
-        uncut(both)
-        eye = np.eye(q)
-        block = cut(_turned(now, ["before", "h"], np.vstack([-first * eye, first / half * eye]), "y", ["idx", "before"]))
-        uncut(now)
-        for _ in range(DEGREE - 1):
-            after = 1 / (2 / first - sigma)
-            last, three = block, cut(with_product(block, q, "before"))
-            step = np.vstack([-2 * after * eye, 2 * after / half * eye, -sigma * after * eye])
-            block = cut(_turned(three, ["y", "h", "before"], step, "next", ["idx", "y"]).select("idx", F.col("y").alias("before"), F.col("next").alias("y")))
-            uncut(last)
-            uncut(three)
-            sigma = after
+        # images of kept components were put together from others, round after round; the matrix is symmetric, and so they have to be
+        both = np.hstack([eye[:, :q], eye[:, 2 * q:2 * q + n_kept]]).T @ gram @ np.hstack([eye[:, q:2 * q], eye[:, 2 * q + n_kept:]])
+        used = n_kept if np.abs(both - both.T).max() <= DRIFT * values[0] else 0
+        high = values[0] + left[0]
+        half, mid = max((high - low) / 2, 1e-8 * high, 1e-300), (high + low) / 2
+        polys: list[DataFrame] = []
+        first = np.zeros((width, 2 * q))  # the block and its first polynomial
+        first[:q, :q], first[:q, q:], first[q:2 * q, q:] = np.eye(q), -mid / half * np.eye(q), np.eye(q) / half
+        before, now = T.turned(state, first[:, :q]), cut(T.turned(state, first[:, q:]))
+        one = now
+        for _ in range(STEPS - 1):
+            terms = [T.turned(product(now, q), 2 / half * np.eye(q)), T.turned(now, -2 * mid / half * np.eye(q)), T.turned(before, -np.eye(q))]
+            polys.append(cut(T.added_blocks(reduce(DataFrame.unionAll, terms))))
+            before, now = now, polys[-1]
+        uncut(one)
+        wide = cut(T.side_by_side([state, *polys]))
+        for x in (state, *polys):
+            uncut(x)
+        width += q * len(polys)
+        eye = np.eye(width)
+        own = [eye[:, :q], np.vstack([first[:, q:], np.zeros((width - len(first), q))]), *(eye[:, width - q * m:][:, :q] for m in range(len(polys), 0, -1))]
+        images = [eye[:, q:2 * q], *(mid * own[j] + half / 2 * (own[j - 1] + own[j + 1]) for j in range(1, len(own) - 1))]
+        basis = np.hstack([*own[:-1], eye[:, 2 * q:2 * q + used]])
+        image = np.hstack([*images, eye[:, 2 * q + n_kept:2 * q + n_kept + used]])
+        gram = T.cross_products(wide, width)
+        _, best, made, _ = _best(gram, basis, image, 1e-8)
+        low = 0.9 * _best(gram, basis, image, 1e-6)[0][-1]
+        q = min(q, best.shape[1])
+        n_kept = min(KEPT, best.shape[1] - q)
+        even, rest = cut(T.turned(wide, best[:, :q])), T.turned(wide, np.hstack([best[:, q:q + n_kept], made[:, q:q + n_kept]]))
+        state = with_product(even, q, [rest] if n_kept else [], 2 * n_kept)
+        uncut(even)
+        uncut(wide)
     else:
         raise ValueError(f"components did not settle in {rounds} rounds: residuals {left / np.maximum(lam, 1e-300)}")
-    v = own @ v
-    sign = np.sign(v[np.abs(v).argmax(axis=0), range(len(lam))])
-    u = cut(_turned(state, ["y"], v * sign, "y", ["idx"]))
-    scores = u.join(samples, "idx").select("sample_id", *[F.get("y", F.lit(i)).alias(f"pc{i + 1}") for i in range(len(lam))])
+    v = best[:, :k]
+    u = cut(T.turned(state, v * np.sign(v[np.abs(v).argmax(axis=0), range(len(lam))])))
+    uncut(state)
+    found = T.rows_of(u, len(lam), n)
+    scores = cut(found.join(samples, "idx").select("sample_id", *[F.get("y", F.lit(i)).alias(f"pc{i + 1}") for i in range(len(lam))]))
     root = [F.lit(float(np.sqrt(max(x, 1e-300)))) for x in lam]
     if few:
-        sums = cells.join(scores, "sample_id").groupBy("variant_id").agg(*[F.sum(F.col("z") * F.col(f"pc{i + 1}")).alias(f"s{i}") for i in range(len(lam))])
+        sums = cells.join(sent_whole(scores), "sample_id").groupBy("variant_id").agg(*[F.sum(F.col("z") * F.col(f"pc{i + 1}")).alias(f"s{i}") for i in range(len(lam))])
         loadings = freq.join(sums, "variant_id", "left").select("variant_id", "freq", *[(F.coalesce(f"s{i}", F.lit(0.0)) / x).alias(f"w{i + 1}") for i, x in enumerate(root)])
     else:
-        made = T.times(z, u, "samples", len(lam))
+        made = T.times(z, found, "samples", len(lam))
         loadings = made.join(z.freq, "idx").select("variant_id", "freq", *[(F.get("y", F.lit(i)) / x).alias(f"w{i + 1}") for i, x in enumerate(root)])
     return loadings, scores, [float(x) for x in lam]
 

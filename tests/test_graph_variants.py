@@ -312,3 +312,30 @@ def test_product_of_few_cells(spark, few_cells, monkeypatch, bytes_):
     rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "idx long, y array<double>")
     got = np.array([r.y for r in V.T.gram_times(t, rows, 5).orderBy("idx").collect()])
     assert t.n_samples == 300 and np.allclose(got, z @ (z.T @ x))
+
+
+def test_components_that_have_many_copies(spark):
+    """Forty equal panels side by side: every component occurs forty times, which is more than a block of vectors holds."""
+    r = np.random.default_rng(5)
+    d = r.integers(0, 3, (30, 60)).astype(float)
+    rows = [(60 * c + j, 30 * c + i, int(d[i, j])) for c in range(40) for i in range(30) for j in range(60)]
+    g = spark.createDataFrame(rows, "variant_id long, sample_id long, dosage int")
+    loads, scores, eigen = V.fit_pcs(g, 2)
+    f = d.mean(axis=0) / 2
+    largest = np.linalg.svd((d - 2 * f) / np.sqrt(2 * f * (1 - f)), compute_uv=False)[0] ** 2
+    assert np.allclose(eigen, [largest, largest], rtol=1e-6)
+    got = V.verify_pcs(g, loads, scores, eigen).first()
+    assert got.skew < 1e-6 and got.residual < 2e-4
+
+
+def test_blocks_of_vectors(spark, monkeypatch):
+    """Blocks hold the rows that they come from, also the last one, and sums, turns and cross products are those of the whole."""
+    monkeypatch.setattr(V.T, "SPAN", 64)
+    r = np.random.default_rng(6)
+    x, y, turn = r.normal(size=(150, 3)), r.normal(size=(150, 3)), r.normal(size=(6, 2))
+    a, b = (V.T.blocks_of(spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(m)], "idx long, y array<double>"), 3) for m in (x, y))
+    back = lambda t, q: np.array([row.y for row in V.T.rows_of(t, q, 150).orderBy("idx").collect()])
+    assert np.array_equal(back(a, 3), x) and np.allclose(back(V.T.added_blocks(a.unionAll(b)), 3), x + y)
+    wide = V.T.side_by_side([a, b])
+    both = np.hstack([x, y])
+    assert np.array_equal(back(wide, 6), both) and np.allclose(V.T.cross_products(wide, 6), both.T @ both) and np.allclose(back(V.T.turned(wide, turn), 2), both @ turn)
