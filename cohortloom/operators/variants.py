@@ -373,8 +373,9 @@ def verify_pcs(genotypes: DataFrame, loadings: DataFrame, scores: DataFrame, eig
     k = len(eigen)
     freq = A.variant_freq(genotypes).select("variant_id", "freq")
     z = cut(standardized_dosage(genotypes, freq))
+    scores = cut(scores) if getattr(scores, "cut_path", None) is None else scores
     pcs, made = [f"pc{i + 1}" for i in range(k)], [f"y{i + 1}" for i in range(k)]
-    by_variant = z.join(scores, "sample_id").groupBy("variant_id").agg(*[F.sum(F.col("z") * F.col(p)).alias(p) for p in pcs])
+    by_variant = z.join(sent_whole(scores), "sample_id").groupBy("variant_id").agg(*[F.sum(F.col("z") * F.col(p)).alias(p) for p in pcs])
     again = z.join(by_variant, "variant_id").groupBy("sample_id").agg(*[F.sum(F.col("z") * F.col(p)).alias(y) for p, y in zip(pcs, made)])
     rows = scores.join(again, "sample_id", "left").na.fill(0.0, made)
     gram = [F.abs(F.sum(F.col(pcs[i]) * F.col(pcs[j])) - (1.0 if i == j else 0.0)) for i in range(k) for j in range(i, k)]

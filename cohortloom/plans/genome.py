@@ -154,7 +154,7 @@ def _(spark, sf):
     """Total from the cells; scores are orthonormal, residuals within the tolerance, and the share of two components lies between that of two average ones and all."""
     from .registry import r
 
-    g = roles.genotypes(spark, sf)
+    g = cut(roles.genotypes(spark, sf))
     found = V.verify_pcs(g, *V.fit_pcs(g, 2, tol=1e-4))
     ranks_ = table(spark, sf, "supplier").count()
     return found.select(r("total", 3).alias("total"), (F.col("skew") < 1e-6).alias("orthonormal"), (F.col("residual") < 2e-4).alias("settled"), ((F.col("share") > 2.0 / ranks_) & (F.col("share") <= 1)).alias("share_is_sound"))

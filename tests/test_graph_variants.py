@@ -339,3 +339,18 @@ def test_blocks_of_vectors(spark, monkeypatch):
     wide = V.T.side_by_side([a, b])
     both = np.hstack([x, y])
     assert np.array_equal(back(wide, 6), both) and np.allclose(V.T.cross_products(wide, 6), both.T @ both) and np.allclose(back(V.T.turned(wide, turn), 2), both @ turn)
+
+
+def test_cells_of_the_components_check_are_made_once(spark, monkeypatch):
+    """The fit and its check read one written table of genotypes, and the check sends the fit's written scores whole."""
+    from cohortloom.plans import catalog, genome
+
+    _, g = panel(spark)
+    seen, fit, verify = [], V.fit_pcs, V.verify_pcs
+    monkeypatch.setattr(genome.roles, "genotypes", lambda *_: g)
+    monkeypatch.setattr(genome, "table", lambda *_: g.select("sample_id").distinct())
+    monkeypatch.setattr(genome.V, "fit_pcs", lambda x, *a, **k: seen.append(x) or fit(x, *a, **k))
+    monkeypatch.setattr(genome.V, "verify_pcs", lambda x, *a: seen.extend([x, a[1]]) or verify(x, *a))
+    row = catalog.QUERIES["V7_components_check"](spark, "").first()
+    assert row.orthonormal and row.settled and row.share_is_sound
+    assert seen[0].cut_path == seen[1].cut_path and seen[2].cut_path
